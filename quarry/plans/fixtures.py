@@ -133,7 +133,7 @@ SQL = {
 }
 SQL["items"] = f"""SELECT p.p_partkey::INTEGER AS id, p.p_name AS title,
        list_transform(range(0, (SELECT count(*) FROM ({SQL['genres']}))),
-                      i -> CASE WHEN i = g.idx THEN '1' ELSE '0' END) AS flags
+                      lambda i: CASE WHEN i = g.idx THEN '1' ELSE '0' END) AS flags
 FROM part p JOIN ({SQL['genres']}) g ON p.p_type = g.name"""
 SQL["scored"] = f"SELECT *, round(ln(n_chars + 1), 1) AS score FROM ({SQL['labelled']})"
 SQL["raw_rows"] = f"""SELECT concat_ws(chr(9),
