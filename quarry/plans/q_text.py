@@ -1 +1,198 @@
-"""Registered queries."""
+"""Registered text queries (TXT-*, FN-12)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry.operators import relational as rel
+from quarry.operators import text as tx
+from quarry.plans import fixtures as fx
+from quarry.plans.q_core import _STOP_SQL
+from quarry.plans.registry import query, rounded
+
+W = fx.with_fixtures
+ANCHOR = "en"
+
+# FIXED VALUES: the two word lists the text program weighs.
+WORD_LISTS = [("common", "you"), ("common", "do"), ("common", "we"),
+              ("uncommon", "telescope"), ("uncommon", "legislation"), ("uncommon", "investment")]
+
+_TOKENIZE_SQL = f"""
+, filt AS (SELECT * FROM tokens WHERE regexp_full_match(tok, '[^0-9]*'))
+, rare AS (SELECT tok FROM filt GROUP BY tok HAVING count(*) < 2)
+, tk AS (SELECT doc_id, topic, tok FROM filt
+         WHERE tok NOT IN {_STOP_SQL} AND length(tok) >= 2 AND tok NOT IN (SELECT tok FROM rare))
+"""
+_TFIDF_SQL = _TOKENIZE_SQL + """
+, tf AS (SELECT doc_id, tok, count(*) AS tf FROM tk GROUP BY doc_id, tok)
+, df AS (SELECT tok, count(*) AS df FROM tf GROUP BY tok)
+, nd AS (SELECT count(*) AS n FROM documents)
+, tfidf AS (SELECT doc_id, tf.tok, tf, ln(((SELECT n FROM nd) + 1) / (df + 1)) AS idf,
+                   tf * ln(((SELECT n FROM nd) + 1) / (df + 1)) AS tfidf
+            FROM tf JOIN df ON tf.tok = df.tok)
+"""
+
+
+def full_tokens(spark, sf):
+    return tx.tokenize(fx.tokens(spark, sf))
+
+
+def exact_tfidf(spark, sf):
+    n = fx.docs(spark, sf).count()  # corpus size: one scalar
+    return tx.tfidf_exact(full_tokens(spark, sf), n), n
+
+
+@query("txt01_tokens_space", """
+SELECT tok, count(*) AS n FROM (SELECT lower(unnest(string_split(text, ' '))) AS tok FROM documents) GROUP BY tok""")
+def tokens_space(spark, sf):
+    return rel.count_by(tx.tokens_space(fx.docs(spark, sf)), "tok")
+
+
+@query("txt02_tokens_word", W("""
+SELECT count(*) AS n_tokens, count(DISTINCT tok) AS n_distinct FROM tokens""", "tokens"))
+def tokens_word(spark, sf):
+    t = tx.tokens_word(fx.docs(spark, sf))
+    return t.agg(F.count("*").alias("n_tokens"), F.count_distinct("tok").alias("n_distinct"))
+
+
+@query("txt03_tokenize", W(_TOKENIZE_SQL + """
+SELECT doc_id, tok, count(*) AS tf FROM tk GROUP BY doc_id, tok""", "tokens"))
+def tokenize(spark, sf):
+    return tx.term_frequencies(full_tokens(spark, sf))
+
+
+@query("txt04_token_report", W(f"""
+, c AS (SELECT tok, count(*) AS n FROM tokens WHERE regexp_full_match(tok, '[^0-9]*') GROUP BY tok)
+, s AS (SELECT 'raw' AS step, tok, n FROM c
+        UNION ALL SELECT 'no_stop', tok, n FROM c WHERE tok NOT IN {_STOP_SQL}
+        UNION ALL SELECT 'sized', tok, n FROM c WHERE tok NOT IN {_STOP_SQL} AND length(tok) >= 2
+        UNION ALL SELECT 'no_rare', tok, n FROM c WHERE tok NOT IN {_STOP_SQL} AND length(tok) >= 2 AND n >= 2)
+SELECT step, tok, n, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY step ORDER BY n DESC, tok) AS rank FROM s) WHERE rank <= 20""",
+                                 "tokens"))
+def token_report(spark, sf):
+    return tx.token_report(fx.tokens(spark, sf), 20)
+
+
+@query("txt05_docs_per_topic", "SELECT lang AS topic, count(*) AS n FROM documents GROUP BY lang ORDER BY n DESC")
+def docs_per_topic(spark, sf):
+    return rel.sort_desc(rel.count_by(fx.docs(spark, sf), "topic"), "n", "topic")
+
+
+@query("txt07_tfidf_exact", W(_TFIDF_SQL + """
+SELECT doc_id, tok, tf, round(idf, 6) AS idf, round(tfidf, 6) AS tfidf FROM tfidf""", "tokens"))
+def tfidf_exact(spark, sf):
+    t, _ = exact_tfidf(spark, sf)
+    return rounded(t)
+
+
+@query("txt08_value_range", W(_TFIDF_SQL + """
+SELECT round(min(tfidf), 6) AS min_value, round(max(tfidf), 6) AS max_value FROM tfidf""", "tokens"))
+def value_range(spark, sf):
+    t, _ = exact_tfidf(spark, sf)
+    return rounded(rel.value_range(t, "tfidf"))
+
+
+_WORDS_SQL = ", ".join(f"('{a}', '{b}')" for a, b in WORD_LISTS)
+
+
+@query("txt09_weigh_terms", W(_TFIDF_SQL + f"""
+, words(list, tok) AS (VALUES {_WORDS_SQL})
+SELECT w.list, w.tok, round(ln(((SELECT n FROM nd) + 1) / (coalesce(df.df, 0) + 1)), 6) AS weight
+FROM words w LEFT JOIN df ON w.tok = df.tok""", "tokens"))
+def weigh_terms(spark, sf):
+    n = fx.docs(spark, sf).count()
+    tf = tx.term_frequencies(full_tokens(spark, sf))
+    idf = tx.idf_table(tf, n)
+    words = spark.createDataFrame(WORD_LISTS, "list string, tok string")
+    return rounded(tx.weigh_terms(words, idf, n))
+
+
+_PICK = "((doc_id * 2654435761 + {seed}) % 1000003) / 1000003.0"
+
+
+@query("txt10_topic_similarity", W(_TFIDF_SQL + f"""
+, picks AS (SELECT topic, arg_min(doc_id, {_PICK.format(seed=42)}) AS doc_id FROM docs GROUP BY topic)
+, second AS (SELECT topic, arg_min(doc_id, {_PICK.format(seed=43)}) AS doc_id FROM docs
+             WHERE topic = '{ANCHOR}' GROUP BY topic)
+, anchor AS (SELECT doc_id FROM picks WHERE topic = '{ANCHOR}')
+, pairs AS (SELECT '{ANCHOR}' AS topic_a, (SELECT doc_id FROM anchor) AS doc_a, topic AS topic_b, doc_id AS doc_b
+            FROM (SELECT * FROM picks WHERE topic <> '{ANCHOR}' UNION ALL SELECT * FROM second))
+, norms AS (SELECT doc_id, sqrt(sum(tfidf * tfidf)) AS nrm FROM tfidf GROUP BY doc_id)
+, dots AS (SELECT p.doc_a, p.doc_b, sum(a.tfidf * b.tfidf) AS dot
+           FROM (SELECT DISTINCT doc_a, doc_b FROM pairs) p JOIN tfidf a ON a.doc_id = p.doc_a
+           JOIN tfidf b ON b.doc_id = p.doc_b AND a.tok = b.tok GROUP BY p.doc_a, p.doc_b)
+SELECT p.topic_a, p.doc_a, p.topic_b, p.doc_b,
+       round(CASE WHEN na.nrm * nb.nrm <> 0 THEN coalesce(d.dot, 0) / (na.nrm * nb.nrm) END, 6) AS cosine
+FROM pairs p LEFT JOIN dots d ON p.doc_a = d.doc_a AND p.doc_b = d.doc_b
+LEFT JOIN norms na ON na.doc_id = p.doc_a LEFT JOIN norms nb ON nb.doc_id = p.doc_b""", "docs", "tokens"))
+def topic_similarity(spark, sf):
+    t, _ = exact_tfidf(spark, sf)
+    return rounded(tx.topic_similarity(fx.docs(spark, sf), t, ANCHOR))
+
+
+# --- model path (row-count checks) -------------------------------------------------
+
+
+def token_arrays(spark, sf):
+    return tx.doc_token_arrays(full_tokens(spark, sf), keep=["topic"])
+
+
+# Small per-row helpers reading a sparse vector's stored entries (O(nnz);
+# densifying a 2^18-wide vector per document would cost 2 MB per row).
+_nnz = F.udf(lambda v: int(v.numNonzeros()), "int", useArrow=True)
+_stored_min = F.udf(lambda v: float(v.values.min()) if len(v.values) else None, "double", useArrow=True)
+_stored_max = F.udf(lambda v: float(v.values.max()) if len(v.values) else None, "double", useArrow=True)
+
+
+@query("txt06_hashed_tf")
+def hashed_tf(spark, sf):
+    """Hashed term frequencies (2^18 wide): stored entries per document."""
+    tf = tx.hashed_tf(token_arrays(spark, sf))
+    return tf.select("doc_id", _nnz("tf").alias("n_terms"))
+
+
+@query("txt07_tfidf_library")
+def tfidf_library(spark, sf):
+    """Library IDF on hashed TF; min / max of each document's stored weights."""
+    _, t = tx.tfidf(token_arrays(spark, sf))
+    return t.select("doc_id", _stored_min("tfidf").alias("min_value"), _stored_max("tfidf").alias("max_value"))
+
+
+def _split_docs(spark, sf, raw: bool):
+    if raw:
+        d = fx.docs(spark, sf).select("doc_id", "topic", F.split("text", " ").alias("tokens"))
+    else:
+        d = token_arrays(spark, sf)
+    return rel.split_by_hash(d, "doc_id", 0.6, 123)
+
+
+@query("txt11_topic_classifier")
+def topic_classifier(spark, sf):
+    """Naive Bayes on TF-IDF (processed tokens) and on raw TF (whitespace
+    tokens), both scored on held-out documents: accuracy and weighted F1."""
+    from quarry.operators.evaluate import accuracy, weighted_f1
+    rows = []
+    for variant, raw in (("tfidf", False), ("raw", True)):
+        train, test = _split_docs(spark, sf, raw)
+        pred = tx.topic_classifier(train, test, use_idf=not raw).persist()
+        acc = accuracy(pred, "prediction").withColumn("variant", F.lit(variant))
+        f1 = weighted_f1(pred, "prediction").withColumn("variant", F.lit(variant))
+        rows.append(acc.join(f1, "variant"))
+    return rel.union_all(rows)
+
+
+@query("txt13_word_vectors")
+def word_vectors(spark, sf):
+    """Word2Vec (seed 42) vocabulary with vectors."""
+    m = tx.word_vectors(token_arrays(spark, sf), size=50)
+    return m.getVectors().select("word")
+
+
+@query("txt14_nearest_words")
+def nearest_words(spark, sf):
+    """20 nearest words to the most frequent kept token."""
+    arrays = token_arrays(spark, sf)
+    m = tx.word_vectors(arrays, size=50)
+    top = rel.top_k(rel.count_by(full_tokens(spark, sf), "tok"), [F.desc("n"), F.asc("tok")], 1).first()
+    return tx.nearest_words(m, top["tok"], 20)
