@@ -29,8 +29,8 @@ def roc_auc(df: DataFrame, score: str, label: str = "label", name: str = "roc_au
                                                     F.sum(1 - _is_pos(label)).alias("_n"))
     cum = prefix_sums(per, ["_s"], ["_n"], prefix="_below", inclusive=False)
     agg = cum.agg(F.sum(F.col("_p") * (F.col("_below_n") + 0.5 * F.col("_n"))).alias("_u"),
-                  F.sum("_p").alias("_P"), F.sum("_n").alias("_N"))
-    return agg.select((F.col("_u") / (F.col("_P") * F.col("_N"))).alias(name))
+                  F.sum("_p").alias("_pos_total"), F.sum("_n").alias("_neg_total"))
+    return agg.select((F.col("_u") / (F.col("_pos_total") * F.col("_neg_total"))).alias(name))
 
 
 def pr_auc(df: DataFrame, score: str, label: str = "label", name: str = "pr_auc") -> DataFrame:
@@ -39,12 +39,12 @@ def pr_auc(df: DataFrame, score: str, label: str = "label", name: str = "pr_auc"
                                                     F.sum(1 - _is_pos(label)).alias("_n"))
     cum = prefix_sums(per, [F.desc("_s")], ["_p", "_n"], prefix="_tp")  # _tp_p = TP, _tp_n = FP
     total_pos = per.agg(F.sum("_p")).first()[0] or 0  # one scalar
-    c = cum.withColumn("_P", F.lit(total_pos))
+    c = cum.withColumn("_total_pos", F.lit(total_pos))
     tp, fp = F.col("_tp_p"), F.col("_tp_n")
     ptp, pfp = tp - F.col("_p"), fp - F.col("_n")
     prec = tp / (tp + fp)
     prev_prec = F.when(ptp + pfp == 0, prec).otherwise(ptp / (ptp + pfp))
-    area = (tp - ptp) / F.col("_P") * (prec + prev_prec) / 2
+    area = (tp - ptp) / F.col("_total_pos") * (prec + prev_prec) / 2
     return c.agg(F.sum(area).alias(name))
 
 

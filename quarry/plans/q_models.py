@@ -1 +1,488 @@
-"""Registered queries."""
+"""Registered model and metric queries: REC-*, EVL-*, FEA-*, CLS-*, TUN-*,
+KM-*, DIM-* (exact pieces with oracle SQL; fitted models row-checked)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry.functions import scalar as fn
+from quarry.operators import classify as cl
+from quarry.operators import cluster as km
+from quarry.operators import evaluate as ev
+from quarry.operators import recommend as rc
+from quarry.operators import reduce as rd
+from quarry.operators import relational as rel
+from quarry.operators import shape as sh
+from quarry.operators.ordered import global_index
+from quarry.plans import fixtures as fx
+from quarry.plans.q_core import _BASELINE_SQL, CENTROIDS_SQL, USER, baseline_predictions, label_centroids
+from quarry.plans.registry import query, rounded
+
+W = fx.with_fixtures
+ITEM = 7          # the item whose neighbours are listed
+THRESHOLD = 7.0   # score threshold turning SCORED into a hard prediction
+K = 10
+
+_MODELS: dict = {}
+
+
+def _cached(key, build):
+    if key not in _MODELS:
+        _MODELS[key] = build()
+    return _MODELS[key]
+
+
+# --- recommendation: exact pieces ----------------------------------------------------
+
+
+@query("rec06_similar_items", f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS a FROM embeddings)
+, q AS (SELECT a AS b FROM v WHERE vec_id = {ITEM})
+, s AS (SELECT vec_id, list_dot_product(a, b) / (sqrt(list_dot_product(a, a)) * sqrt(list_dot_product(b, b)))
+               AS similarity FROM v, q)
+SELECT vec_id, round(similarity, 6) AS similarity FROM s ORDER BY similarity DESC, vec_id LIMIT {K} OFFSET 1""")
+def similar_items(spark, sf):
+    v = fx.vectors(spark, sf).select("vec_id", fn.to_double_array("embedding").alias("v"))
+    return rounded(rc.similar_items(v, ITEM, K, 1, "vec_id", "v"))
+
+
+@query("rec07_squared_error", W(_BASELINE_SQL + f"""
+SELECT r.item, round(pow(p.predicted - r.rating, 2), 6) AS squared_error
+FROM ratings r JOIN pred p ON r."user" = p."user" AND r.item = p.item
+WHERE r."user" = {USER} ORDER BY r.item LIMIT 1""", "ratings"))
+def squared_error(spark, sf):
+    pairs = baseline_predictions(spark, sf).join(fx.ratings(spark, sf), ["user", "item"])
+    first = rel.top_k(sh.lookup(pairs, "user", USER), ["item"], 1)
+    return rounded(first.select("item", ev.squared_error(F.col("predicted"), F.col("rating")).alias("squared_error")))
+
+
+_MSE_SQL = W(_BASELINE_SQL + """
+SELECT round(avg(pow(p.predicted - r.rating, 2)), 6) AS mse, round(sqrt(avg(pow(p.predicted - r.rating, 2))), 6) AS rmse
+FROM ratings r JOIN pred p ON r."user" = p."user" AND r.item = p.item""", "ratings")
+
+
+def _pairs(spark, sf):
+    return rel.join_inner(fx.ratings(spark, sf), baseline_predictions(spark, sf), ["user", "item"])
+
+
+@query("rec08_mse_rmse", _MSE_SQL)
+def mse_rmse(spark, sf):
+    return rounded(ev.mse_rmse(_pairs(spark, sf)))
+
+
+@query("rec09_mse_rmse_library", _MSE_SQL)
+def mse_rmse_library(spark, sf):
+    mse, rmse = ev.mse_rmse_library(_pairs(spark, sf))
+    return rounded(spark.createDataFrame([(float(mse), float(rmse))], "mse double, rmse double"))
+
+
+_POP_SQL = """
+, pop AS (SELECT item, count(*) AS n FROM ratings GROUP BY item)
+, ranked AS (SELECT item, row_number() OVER (ORDER BY n DESC, item) AS pos FROM pop)
+, na AS (SELECT "user", count(*) AS na FROM ratings GROUP BY "user")
+"""
+
+
+def _ap_sql(k: int) -> str:
+    return f"""
+, hits{k} AS (SELECT r."user", k.pos, row_number() OVER (PARTITION BY r."user" ORDER BY k.pos) AS h
+             FROM ratings r JOIN ranked k ON r.item = k.item WHERE k.pos <= {k})
+, ap{k} AS (SELECT na."user", coalesce(sum(h / pos), 0) / least(na.na, {k}) AS ap
+           FROM na LEFT JOIN hits{k} h ON na."user" = h."user" GROUP BY na."user", na.na)
+"""
+
+
+def _popularity(spark, sf, k):
+    r = fx.ratings(spark, sf)
+    pop = rel.count_by(r, "item")
+    return r, ev.top_k_positions(pop, "item", [F.desc("n"), F.asc("item")], k)
+
+
+@query("rec10_average_precision", W(_POP_SQL + _ap_sql(K) + f"""
+SELECT "user", round(ap, 6) AS ap FROM ap{K}""", "ratings"))
+def average_precision(spark, sf):
+    r, ranked = _popularity(spark, sf, K)
+    return rounded(ev.average_precision_shared_list(r.select("user", "item"), ranked, K))
+
+
+@query("rec11_map_at_k", W(_POP_SQL + _ap_sql(10) + _ap_sql(2000) + """
+SELECT 10 AS k, round(avg(ap), 6) AS map FROM ap10 UNION ALL SELECT 2000, round(avg(ap), 6) FROM ap2000""",
+                               "ratings"))
+def map_at_k(spark, sf):
+    rows = []
+    for k in (10, 2000):
+        r, ranked = _popularity(spark, sf, k)
+        ap = ev.average_precision_shared_list(r.select("user", "item"), ranked, k)
+        rows.append(ev.map_at_k(ap).select(F.lit(k).alias("k"), "map"))
+    return rounded(rel.union_all(rows))
+
+
+@query("rec12_map_full", W(_POP_SQL + """
+, hits AS (SELECT r."user", k.pos, row_number() OVER (PARTITION BY r."user" ORDER BY k.pos, k.item) AS h
+           FROM ratings r JOIN ranked k ON r.item = k.item)
+SELECT round(avg(ap), 6) AS map FROM (SELECT "user", sum(h / pos) / count(*) AS ap FROM hits GROUP BY "user")""",
+                               "ratings"))
+def map_full(spark, sf):
+    r = fx.ratings(spark, sf)
+    pop = rel.count_by(r, "item")
+    # a full ranking of every item: distributed global positions, not one task
+    pos = global_index(pop, [F.desc("n"), F.asc("item")], "pos").withColumn("pos", F.col("pos") + 1)
+    return rounded(ev.map_full(r.select("user", "item"), pos))
+
+
+# --- recommendation: ALS (row checks) -----------------------------------------------------
+
+
+def _als(spark, sf):
+    return _cached(("als", sf), lambda: rc.fit_als(fx.ratings(spark, sf), rank=50, max_iter=10, reg=0.01))
+
+
+@query("rec01_fit_als")
+def fit_als(spark, sf):
+    """User factor table of the fitted model (rank 50, 10 iterations, 0.01)."""
+    users, _ = rc.factor_tables(_als(spark, sf))
+    return users.select("id", F.size("features").alias("rank"))
+
+
+@query("rec03_predict_pairs")
+def predict_pairs(spark, sf):
+    return rc.predict_pairs(_als(spark, sf), fx.ratings(spark, sf)).select("user", "item", "rating", "prediction")
+
+
+@query("rec04_recommend")
+def recommend(spark, sf):
+    users = fx.ratings(spark, sf).select("user").where(F.col("user") == USER).distinct()
+    titles = fx.items(spark, sf).select(F.col("id").alias("item"), "title")
+    return rc.recommend(_als(spark, sf), users, K, titles)
+
+
+@query("rec05_recommend_all")
+def recommend_all(spark, sf):
+    return rc.recommend_all(_als(spark, sf), K)
+
+
+@query("rec13_factor_tables")
+def factor_tables(spark, sf):
+    _, items = rc.factor_tables(_als(spark, sf))
+    return items.select("id", F.size("features").alias("rank"))
+
+
+@query("rec_als_metrics")
+def als_metrics(spark, sf):
+    """ALS on its training pairs: MSE / RMSE and MAP@10 of its top-10 lists."""
+    m = _als(spark, sf)
+    r = fx.ratings(spark, sf)
+    pred = rc.predict_pairs(m, r).withColumnRenamed("prediction", "predicted")
+    err = ev.mse_rmse(pred).withColumn("_k", F.lit(1))
+    ap = ev.average_precision(rc.recommend_all(m, K), r.select("user", "item"), K)
+    mp = ev.map_at_k(ap).withColumn("_k", F.lit(1))
+    return err.join(mp, "_k").drop("_k")
+
+
+# --- evaluation metrics (exact) -----------------------------------------------------------
+
+_PRED_SQL = f"CASE WHEN score > {THRESHOLD} THEN 1.0 ELSE 0.0 END"
+
+
+@query("evl01_accuracy", W(f"""
+SELECT round(avg(CASE WHEN {_PRED_SQL} = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM scored""",
+                           "labelled", "scored"))
+def accuracy(spark, sf):
+    s = fx.scored(spark, sf).withColumn("predicted", sh.threshold("score", THRESHOLD))
+    return rounded(ev.accuracy(s, "predicted"))
+
+
+def _roc_sql(score: str) -> str:
+    return f"""(SELECT (sum(CASE WHEN label > 0.5 THEN lo + (ties - 1) / 2.0 END) - P * (P + 1) / 2.0) / (P * N)
+  FROM (SELECT label, rank() OVER (ORDER BY {score}) AS lo, count(*) OVER (PARTITION BY {score}) AS ties,
+               sum(CASE WHEN label > 0.5 THEN 1 ELSE 0 END) OVER () AS P,
+               sum(CASE WHEN label > 0.5 THEN 0 ELSE 1 END) OVER () AS N FROM scored) GROUP BY P, N)"""
+
+
+def _pr_sql(score: str) -> str:
+    return f"""(SELECT sum((rec - coalesce(prev_rec, 0)) * (prec + coalesce(prev_prec, prec)) / 2) FROM (
+  SELECT tp / (tp + fp) AS prec, tp / P AS rec,
+         lag(tp / (tp + fp)) OVER (ORDER BY s DESC) AS prev_prec, lag(tp / P) OVER (ORDER BY s DESC) AS prev_rec
+  FROM (SELECT s, sum(p) OVER (ORDER BY s DESC) AS tp, sum(n) OVER (ORDER BY s DESC) AS fp,
+               sum(p) OVER () AS P FROM (
+          SELECT {score} AS s, sum(CASE WHEN label > 0.5 THEN 1 ELSE 0 END) AS p,
+                 sum(CASE WHEN label > 0.5 THEN 0 ELSE 1 END) AS n FROM scored GROUP BY {score}))))"""
+
+
+@query("evl02_roc_auc", W(f"SELECT round({_roc_sql('score')}, 6) AS roc_auc", "labelled", "scored"))
+def roc_auc(spark, sf):
+    return rounded(ev.roc_auc(fx.scored(spark, sf), "score"))
+
+
+@query("evl03_pr_auc", W(f"SELECT round({_pr_sql('score')}, 6) AS pr_auc", "labelled", "scored"))
+def pr_auc(spark, sf):
+    return rounded(ev.pr_auc(fx.scored(spark, sf), "score"))
+
+
+@query("evl04_weighted_f1", W(f"""
+, pr AS (SELECT label, {_PRED_SQL} AS pred FROM scored)
+, st AS (SELECT k, (SELECT count(*) FROM pr WHERE label = k AND pred = k) AS tp,
+                (SELECT count(*) FROM pr WHERE pred = k) AS np, (SELECT count(*) FROM pr WHERE label = k) AS nl
+         FROM (SELECT DISTINCT label AS k FROM pr))
+, f AS (SELECT nl, CASE WHEN np > 0 THEN tp / np ELSE 0 END AS p, tp / nl AS r FROM st)
+SELECT round(sum(nl * CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END) / sum(nl), 6) AS weighted_f1
+FROM f""", "labelled", "scored"))
+def weighted_f1(spark, sf):
+    s = fx.scored(spark, sf).withColumn("predicted", sh.threshold("score", THRESHOLD))
+    return rounded(ev.weighted_f1(s, "predicted"))
+
+
+_MODEL_SCORES = {"chars": "n_chars", "words": "n_words", "toxic": "toxic"}
+
+
+@query("evl05_compare_models", W("\nUNION ALL ".join(
+    f"SELECT '{m}' AS model, round({_pr_sql(c)}, 6) AS pr_auc, round({_roc_sql(c)}, 6) AS roc_auc"
+    for m, c in _MODEL_SCORES.items()), "labelled", "scored"))
+def compare_models(spark, sf):
+    return rounded(ev.compare_models(fx.scored(spark, sf), _MODEL_SCORES))
+
+
+@query("fea01_standardise", W("""
+SELECT doc_id, round((n_chars - avg(n_chars) OVER ()) / stddev_samp(n_chars) OVER (), 6) AS n_chars,
+       round((n_words - avg(n_words) OVER ()) / stddev_samp(n_words) OVER (), 6) AS n_words,
+       round((toxic - avg(toxic) OVER ()) / stddev_samp(toxic) OVER (), 6) AS toxic FROM labelled""", "labelled"))
+def standardise(spark, sf):
+    cols = ["n_chars", "n_words", "toxic"]
+    return rounded(ev.standardise(fx.labelled(spark, sf), cols).select("doc_id", *cols))
+
+
+# --- classifiers (row checks) ------------------------------------------------------------------
+
+NUMS = ["n_chars", "n_words", "toxic"]
+
+
+def _split(spark, sf):
+    return rel.split_by_hash(fx.labelled(spark, sf), "doc_id", 0.6, 123)
+
+
+def _eval(spark, sf, name, estimator, stages):
+    train, test = _split(spark, sf)
+    model = cl.fit(train, estimator, stages)
+    return cl.evaluate_model(name, model.transform(test))
+
+
+@query("cls01_logistic")
+def logistic(spark, sf):
+    return _eval(spark, sf, "logistic", cl.logistic(10), cl.features_pipeline(NUMS))
+
+
+@query("cls02_logistic_sgd")
+def logistic_sgd(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    train, test = _split(spark, sf)
+    va = VectorAssembler(inputCols=NUMS, outputCol="features")
+    m = cl.fit_logistic_sgd(va.transform(train), iterations=10, step=1.0)
+    s = cl.sgd_scores(m, va.transform(test))
+    return ev.roc_auc(s, "score").select(F.lit("logistic_sgd").alias("model"), "roc_auc")
+
+
+@query("cls03_svm")
+def svm(spark, sf):
+    return _eval(spark, sf, "svm", cl.svm(10), cl.features_pipeline(NUMS, scale=True))
+
+
+@query("cls04_svm_raw_scores")
+def svm_raw(spark, sf):
+    """SVM (100 iterations) raw margins on held-out rows, threshold cleared."""
+    from pyspark.ml.functions import vector_to_array
+    train, test = _split(spark, sf)
+    model = cl.fit(train, cl.svm(100), cl.features_pipeline(NUMS, scale=True))
+    return model.transform(test).select("doc_id", "label", vector_to_array("rawPrediction")[1].alias("score"))
+
+
+@query("cls05_bayes")
+def bayes(spark, sf):
+    return _eval(spark, sf, "bayes", cl.bayes(1.0), cl.features_pipeline(NUMS))
+
+
+@query("cls06_tree")
+def tree(spark, sf):
+    return _eval(spark, sf, "tree", cl.tree(5, "entropy"), cl.features_pipeline(NUMS))
+
+
+@query("cls07_predict")
+def predict(spark, sf):
+    train, test = _split(spark, sf)
+    model = cl.fit(train, cl.logistic(10), cl.features_pipeline(NUMS))
+    return model.transform(test).select("doc_id", "label", "prediction")
+
+
+@query("fea02_scaled_vs_unscaled")
+def scaled_vs_unscaled(spark, sf):
+    a = _eval(spark, sf, "unscaled", cl.logistic(10), cl.features_pipeline(NUMS))
+    b = _eval(spark, sf, "scaled", cl.logistic(10), cl.features_pipeline(NUMS, scale=True))
+    return rel.union_all([a, b])
+
+
+@query("fea03_category_model")
+def category_model(spark, sf):
+    return _eval(spark, sf, "category+numbers", cl.logistic(10),
+                 cl.features_pipeline(NUMS, category="lang", scale=True))
+
+
+@query("fea04_category_bayes")
+def category_bayes(spark, sf):
+    return _eval(spark, sf, "category bayes", cl.bayes(1.0), cl.features_pipeline([], category="lang"))
+
+
+def _sweep(spark, sf, make, values, param, stages):
+    train, test = _split(spark, sf)
+    return cl.sweep(train, test, make, values, param, stages)
+
+
+@query("tun01_iterations")
+def sweep_iterations(spark, sf):
+    return _sweep(spark, sf, lambda v: cl.logistic(v), [1, 5, 10, 50], "maxIter",
+                  cl.features_pipeline(NUMS, "lang", scale=True))
+
+
+@query("tun02_step_size")
+def sweep_step(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    train, test = _split(spark, sf)
+    va = VectorAssembler(inputCols=NUMS, outputCol="features")
+    tr, te = va.transform(train).persist(), va.transform(test)
+    rows = []
+    for step in (0.001, 0.01, 0.1, 1.0, 10.0):
+        m = cl.fit_logistic_sgd(tr, iterations=10, step=step, reg=0.0, reg_type=None)
+        rows.append(ev.roc_auc(cl.sgd_scores(m, te), "score").select(F.lit(str(step)).alias("step"), "roc_auc"))
+    return rel.union_all(rows)
+
+
+@query("tun03_l2")
+def sweep_l2(spark, sf):
+    return _sweep(spark, sf, lambda v: cl.logistic(10, v), [0.001, 0.01, 0.1, 1.0, 10.0], "regParam",
+                  cl.features_pipeline(NUMS, "lang", scale=True))
+
+
+@query("tun04_depth")
+def sweep_depth(spark, sf):
+    return _sweep(spark, sf, lambda v: cl.tree(v, "entropy"), [1, 2, 3, 4, 5, 10, 20], "maxDepth",
+                  cl.features_pipeline(NUMS))
+
+
+@query("tun05_smoothing")
+def sweep_smoothing(spark, sf):
+    return _sweep(spark, sf, lambda v: cl.bayes(v), [0.001, 0.01, 0.1, 1.0, 10.0], "smoothing",
+                  cl.features_pipeline([], category="lang"))
+
+
+@query("tun06_holdout")
+def sweep_holdout(spark, sf):
+    return cl.holdout_sweep(fx.labelled(spark, sf), lambda v: cl.logistic(10, v), [0.0, 0.001, 0.0025, 0.005, 0.01],
+                            "regParam", stages=cl.features_pipeline(NUMS, "lang", scale=True))
+
+
+# --- clustering: exact pieces on label centroids ----------------------------------------------
+
+_KM_SQL = CENTROIDS_SQL + """
+, cidx AS (SELECT label AS clabel, row_number() OVER (ORDER BY label) - 1 AS cluster, center FROM centroids)
+, v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS a FROM embeddings)
+, d AS (SELECT vec_id, label, cluster,
+               list_sum(list_transform(list_zip(a, center), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS dist
+        FROM v, cidx)
+, best AS (SELECT vec_id, label, cluster::INTEGER AS cluster, dist AS distance FROM (
+             SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, cluster) AS r FROM d) WHERE r = 1)
+"""
+
+
+def _assigned(spark, sf):
+    _, centers = km.collect_centers(label_centroids(spark, sf), "label")  # k x d model numbers
+    return km.assign(fx.vectors(spark, sf), "embedding", centers)
+
+
+@query("km02_centroids", "WITH dummy AS (SELECT 1)" + CENTROIDS_SQL + """
+SELECT label, (dim - 1)::INTEGER AS dim, round(x, 6) AS value FROM m""")
+def centroids(spark, sf):
+    c = label_centroids(spark, sf)
+    return rounded(c.select("label", F.posexplode("center").alias("dim", "value")))
+
+
+@query("km03_assign", "WITH dummy AS (SELECT 1)" + _KM_SQL + "SELECT vec_id, cluster FROM best")
+def assign(spark, sf):
+    return _assigned(spark, sf).select("vec_id", "cluster")
+
+
+@query("km04_wcss", "WITH dummy AS (SELECT 1)" + _KM_SQL + "SELECT round(sum(distance), 6) AS wcss FROM best")
+def wcss(spark, sf):
+    _, centers = km.collect_centers(label_centroids(spark, sf), "label")
+    return rounded(km.wcss(fx.vectors(spark, sf), "embedding", centers))
+
+
+@query("km05_assign_report", "WITH dummy AS (SELECT 1)" + _KM_SQL + """
+SELECT vec_id, label, cluster, round(distance, 6) AS distance FROM best""")
+def assign_report(spark, sf):
+    return rounded(_assigned(spark, sf).select("vec_id", "label", "cluster", "distance"))
+
+
+@query("km06_closest_per_cluster", "WITH dummy AS (SELECT 1)" + _KM_SQL + """
+SELECT cluster, vec_id, round(distance, 6) AS distance, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY distance, vec_id) AS rank FROM best) WHERE rank <= 20""")
+def closest_per_cluster(spark, sf):
+    a = _assigned(spark, sf)
+    top = rel.top_n_per_group(a, "cluster", ["distance", "vec_id"], 20)
+    return rounded(top.select("cluster", "vec_id", "distance", F.col("rank").cast("long")))
+
+
+@query("prj11_annotate_line", "WITH dummy AS (SELECT 1)" + _KM_SQL + """
+SELECT vec_id, concat_ws(' ', vec_id, cluster) AS line FROM best""")
+def annotate_line(spark, sf):
+    a = _assigned(spark, sf)
+    return a.select("vec_id", sh.annotate_line(F.col("vec_id").cast("string"), "cluster").alias("line"))
+
+
+# --- clustering / reduction with fitted models (row checks) ---------------------------------------
+
+
+def _vectors_ml(spark, sf):
+    return rd.to_vectors(fx.vectors(spark, sf), "embedding")
+
+
+@query("km01_fit_kmeans")
+def fit_kmeans(spark, sf):
+    """k=5, 10 iterations, best of 3 restarts; one row per centre."""
+    m, _ = km.fit_kmeans(fx.vectors(spark, sf), "embedding", 5, 10, runs=3)
+    centers = km.model_centers(m)
+    return spark.createDataFrame([(i, len(c)) for i, c in enumerate(centers)], "cluster int, dim int")
+
+
+@query("km07_sweep_k")
+def sweep_k(spark, sf):
+    train, test = rel.split_by_hash(fx.vectors(spark, sf), "vec_id", 0.6, 123)
+    return km.sweep_k(train, test, "embedding", [2, 3, 4, 5, 10, 20], 10, 1)
+
+
+@query("dim02_pca")
+def pca(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    _, proj = rd.pca(rd.centre(_vectors_ml(spark, sf), "features", "centred"), 10, "centred")
+    return proj.select("vec_id", vector_to_array("pca")[0].alias("pc1"))
+
+
+@query("dim02_covariance")
+def covariance(spark, sf):
+    return rd.covariance(_vectors_ml(spark, sf))
+
+
+@query("dim03_svd")
+def svd(spark, sf):
+    _, s, _ = rd.svd(rd.centre(_vectors_ml(spark, sf), "features", "centred"), 10, "centred", compute_u=False)
+    return spark.createDataFrame([(i + 1, x) for i, x in enumerate(s)], "i int, value double")
+
+
+@query("dim04_project")
+def project(spark, sf):
+    u, s, _ = rd.svd(rd.centre(_vectors_ml(spark, sf), "features", "centred"), 10, "centred")
+    return rd.project(u, s).select(F.col("projected")[0].alias("first"))
+
+
+@query("dim05_singular_values")
+def singular_values(spark, sf):
+    v = _vectors_ml(spark, sf)
+    d = len(v.select("embedding").first()[0])
+    return rd.singular_values(rd.centre(v, "features", "centred"), min(300, d), "centred")
