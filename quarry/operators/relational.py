@@ -163,11 +163,14 @@ def top_k(df: DataFrame, order: list, k: int, offset: int = 0) -> DataFrame:
 def most_popular(df: DataFrame, key: str, group: list[str] | None = None) -> DataFrame:
     """SRT-4: the most frequent ``key`` (ties -> smallest key) per group;
     counts are combined map-side, then one ``max_by`` per group."""
-    group = group or []
+    whole = not group
+    if whole:  # a constant key: empty input gives no row (a global agg gives a NULL row)
+        df, group = df.withColumn("_all", F.lit(0)), ["_all"]
     per = df.groupBy(*group, key).agg(F.count("*").alias("_n"))
-    return (per.groupBy(*group)
-            .agg(F.min_by(F.col(key), F.struct(-F.col("_n"), F.col(key))).alias(key),
-                 F.max("_n").alias("n")))
+    out = (per.groupBy(*group)
+           .agg(F.min_by(F.col(key), F.struct(-F.col("_n"), F.col(key))).alias(key),
+                F.max("_n").alias("n")))
+    return out.drop("_all") if whole else out
 
 
 # --- set / sampling -------------------------------------------------------------

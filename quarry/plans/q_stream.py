@@ -26,3 +26,47 @@ FROM tot JOIN top ON tot.w = top.w""", "purchases")
 @query("str03_purchase_summary", PURCHASE_SUMMARY_SQL)
 def purchase_summary(spark, sf):
     return rounded(st.purchase_summary(fx.purchases(spark, sf), "ts", "1 day"))
+
+
+# STR-1: token counts per tumbling interval (batch twin of the per-batch count).
+@query("str01_token_counts", W("""
+SELECT strftime(time_bucket(INTERVAL 1 hour, ts), '%Y-%m-%d %H:%M:%S') AS batch_start, token, count(*) AS n
+FROM (SELECT ts, unnest(string_split(product, ' ')) AS token FROM purchases) GROUP BY 1, 2""", "purchases"))
+def token_counts(spark, sf):
+    return st.stream_token_counts(fx.purchases(spark, sf), "product", "ts", "1 hour", "word")
+
+
+@query("str01_char_counts", W("""
+SELECT strftime(time_bucket(INTERVAL 1 hour, ts), '%Y-%m-%d %H:%M:%S') AS batch_start, token, count(*) AS n
+FROM (SELECT ts, unnest(string_split(product, '')) AS token FROM purchases) GROUP BY 1, 2""", "purchases"))
+def char_counts(spark, sf):
+    """What the per-second program computes as written: character counts."""
+    return st.stream_token_counts(fx.purchases(spark, sf), "product", "ts", "1 hour", "char")
+
+
+# STR-2: 10 s windows sliding every 2 s; a row falls into the 5 windows whose
+# start is one of the five 2-second marks at or before it.
+@query("str02_sliding_counts", W("""
+, b AS (SELECT epoch_us(ts) AS us, product AS token FROM purchases)
+, w AS (SELECT token, (us // 2000000 - k) * 2000000 AS start_us FROM b, range(0, 5) t(k))
+SELECT strftime(make_timestamp(start_us), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(make_timestamp(start_us + 10000000), '%Y-%m-%d %H:%M:%S') AS window_end, token, count(*) AS n
+FROM w GROUP BY start_us, token""", "purchases"))
+def sliding_counts(spark, sf):
+    return st.sliding_counts(fx.purchases(spark, sf), "product", "ts", "10 seconds", "2 seconds", "word")
+
+
+@query("str04_running_totals", W("""
+SELECT "user", count(*) AS purchases, round(sum(price), 6) AS revenue FROM purchases GROUP BY "user\"""",
+                                 "purchases"))
+def running_totals(spark, sf):
+    return rounded(st.running_totals(fx.purchases(spark, sf)))
+
+
+@query("str06_parse_events", W("""
+, l AS (SELECT concat_ws(',', "user"::VARCHAR, product, price::VARCHAR) AS value FROM purchases)
+SELECT string_split(value, ',')[1] AS "user", string_split(value, ',')[2] AS product,
+       round(TRY_CAST(string_split(value, ',')[3] AS DOUBLE), 6) AS price FROM l""", "purchases"))
+def parse_events(spark, sf):
+    lines = st.event_lines(fx.purchases(spark, sf)).select("value")
+    return rounded(st.parse_events(lines))
