@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 DIGITS = 6
+# Values are first rounded to 9 digits so that last-bit noise from a different
+# summation order collapses onto the same decimal before the final rounding
+# (a value within 1e-15 of a 6-digit tie would otherwise round both ways).
+NOISE_DIGITS = 9
 
 
 def query(name: str, sql: str | None = None):
@@ -24,15 +28,53 @@ def query(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = _two_step_round(sql)
         return fn
     return deco
 
 
+def _two_step_round(sql: str) -> str:
+    """Rewrite every ``round(x, 6)`` of the oracle SQL as
+    ``round(round(x, 9), 6)`` (the same two steps ``rounded`` applies)."""
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        last_comma = -1
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                last_comma = k
+            k += 1
+        inner = sql[j + len(key):k - 1]
+        digits = sql[last_comma + 1:k - 1].strip() if last_comma >= 0 else ""
+        out.append(sql[i:j])
+        if digits == str(DIGITS):
+            arg = _two_step_round(sql[j + len(key):last_comma])
+            out.append(f"round(round({arg}, {NOISE_DIGITS}), {DIGITS})")
+        else:
+            out.append(key + _two_step_round(inner) + ")")
+        i = k
+
+
+def _round_like_sql(c, digits: int):
+    """``round(x * 10^d) / 10^d`` in double arithmetic (ties away from zero),
+    the way the SQL engine rounds a DOUBLE, so equal inputs give equal bits."""
+    m = float(10 ** digits)
+    return F.round(c * F.lit(m)) / F.lit(m)
+
+
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every double/float column (the oracle SQL rounds the same ones)."""
-    return df.select(*[F.round(F.col(c), digits).alias(c) if t in ("double", "float") else F.col(c)
-                       for c, t in df.dtypes])
+    return df.select(*[_round_like_sql(_round_like_sql(F.col(c).cast("double"), NOISE_DIGITS), digits).alias(c)
+                       if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
 
 
 def _load_modules() -> None:
