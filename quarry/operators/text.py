@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import relational as rel
 from quarry.operators import shape as sh
+from quarry.session import cut_lineage
 
 NO_DIGITS = "[^0-9]*"
 HASH_DIM = 1 << 18
@@ -69,6 +70,24 @@ def term_frequencies(tokens: DataFrame, doc: str = "doc_id", tok: str = "tok") -
     return tokens.groupBy(doc, tok).agg(F.count("*").alias("tf"))
 
 
+def term_stats(tokens: DataFrame, stopwords: list[str] = sh.STOPWORDS, rare_below: int = 2, min_len: int = 2,
+               doc: str = "doc_id", tok: str = "tok") -> DataFrame:
+    """TXT-3 in one pass over the text, aggregated: (doc, tok, tf, df) for the
+    tokens ``tokenize`` keeps.
+
+    The stop-word and length filters drop whole token types and never change
+    a kept token's corpus count, so "rare" (count below ``rare_below`` after
+    the digit filter) is decided from the per-token totals of the filtered
+    (doc, tok) counts: one partial aggregate and one join on the term, no
+    second tokenizing pass and no anti join against the raw stream."""
+    t = sh.filter_matches(tokens, tok, NO_DIGITS)
+    t = sh.min_length(sh.drop_stopwords(t, tok, stopwords), tok, min_len)
+    tf = term_frequencies(t, doc, tok)
+    stats = tf.groupBy(tok).agg(F.sum("tf").alias("_total"), F.count("*").alias("df"))
+    return (tf.join(stats.where(F.col("_total") >= rare_below), tok)
+            .select(doc, tok, "tf", "df"))
+
+
 def idf_table(tf: DataFrame, n_docs: int, tok: str = "tok") -> DataFrame:
     """(tok, df, idf) with idf = ln((N + 1) / (df + 1)) (the library's formula)."""
     return (tf.groupBy(tok).agg(F.count("*").alias("df"))
@@ -76,10 +95,11 @@ def idf_table(tf: DataFrame, n_docs: int, tok: str = "tok") -> DataFrame:
 
 
 def tfidf_exact(tokens: DataFrame, n_docs: int, doc: str = "doc_id", tok: str = "tok") -> DataFrame:
-    """TXT-7 (exact, long form): (doc, tok, tf, idf, tfidf)."""
-    tf = term_frequencies(tokens, doc, tok)
-    idf = idf_table(tf, n_docs, tok)
-    return tf.join(idf.select(tok, "idf"), tok).withColumn("tfidf", F.col("tf") * F.col("idf"))
+    """TXT-7 (exact, long form): (doc, tok, tf, idf, tfidf) of the tokens kept
+    by the full tokenizer."""
+    st = term_stats(tokens, doc=doc, tok=tok)
+    idf = F.log((F.lit(n_docs) + 1) / (F.col("df") + 1))
+    return st.select(doc, tok, "tf", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))
 
 
 def weigh_terms(word_lists: DataFrame, idf: DataFrame, n_docs: int, tok: str = "tok") -> DataFrame:
@@ -94,10 +114,16 @@ def sparse_cosine(weights: DataFrame, pairs: DataFrame, doc: str = "doc_id", tok
                   w: str = "tfidf") -> DataFrame:
     """FN-12: cosine of long-form sparse vectors for the given (doc_a, doc_b)
     pairs: dot by an equi-join on (pair, term), norms by aggregation."""
+    p = pairs.select("doc_a", "doc_b").distinct()
+    # only documents that take part in a pair (a semi join against a list
+    # bounded by the number of pairs) are normed and joined
+    used = p.select(F.col("doc_a").alias(doc)).union(p.select(F.col("doc_b").alias(doc))).distinct()
+    # bounded by the paired documents: materialise once (reliable checkpoint)
+    # so the norm and both join sides do not each recompute the corpus TF-IDF
+    weights = cut_lineage(weights.join(used, doc, "left_semi"))
     norms = weights.groupBy(doc).agg(F.sqrt(F.sum(F.col(w) * F.col(w))).alias("_norm"))
     a = weights.select(F.col(doc).alias("doc_a"), tok, F.col(w).alias("_wa"))
     b = weights.select(F.col(doc).alias("doc_b"), tok, F.col(w).alias("_wb"))
-    p = pairs.select("doc_a", "doc_b").distinct()
     dots = (p.join(a, "doc_a").join(b, ["doc_b", tok])
             .groupBy("doc_a", "doc_b").agg(F.sum(F.col("_wa") * F.col("_wb")).alias("_dot")))
     na = norms.select(F.col(doc).alias("doc_a"), F.col("_norm").alias("_na"))
@@ -127,11 +153,14 @@ def topic_similarity(docs: DataFrame, weights: DataFrame, anchor_topic: str, see
     return pairs.join(sims, ["doc_a", "doc_b"], "left").select("topic_a", "doc_a", "topic_b", "doc_b", "cosine")
 
 
-def doc_token_arrays(tokens: DataFrame, doc: str = "doc_id", tok: str = "tok", keep: list[str] | None = None
+def doc_token_arrays(stats: DataFrame, doc: str = "doc_id", tok: str = "tok", keep: list[str] | None = None
                      ) -> DataFrame:
-    """Per-document token arrays (bounded by the document) for ``pyspark.ml``."""
+    """Per-document token arrays (bounded by the document) for ``pyspark.ml``,
+    rebuilt from (doc, tok, tf) counts (order does not matter to term
+    frequency models)."""
     keep = keep or []
-    return tokens.groupBy(doc, *keep).agg(F.collect_list(tok).alias("tokens"))
+    return stats.groupBy(doc, *keep).agg(
+        F.flatten(F.collect_list(F.array_repeat(F.col(tok), F.col("tf").cast("int")))).alias("tokens"))
 
 
 def hashed_tf(arrays: DataFrame, dim: int = HASH_DIM, col: str = "tokens", out: str = "tf") -> DataFrame:

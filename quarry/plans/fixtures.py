@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.shape import index_values
-from quarry.session import read_table
+from quarry.session import read_table, sized_broadcast, spread
 
 TAB = "\t"
 
@@ -37,7 +37,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = genres(spark, sf_dir)
     n = g.count()  # one scalar: the flag width
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    return (part.join(F.broadcast(g), part.p_type == g.name)  # g: one row per type
+    return (part.join(sized_broadcast(g), part.p_type == g.name)  # g: one row per type
             .select(F.col("p_partkey").cast("int").alias("id"),
                     F.col("p_name").alias("title"),
                     F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
@@ -75,7 +75,8 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("topic"), "text")
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("topic"), "text")
+    return spread(d)
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +100,7 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = read_table(spark, sf_dir, "conversations").select("text")
     dc = read_table(spark, sf_dir, "documents").select("text")
-    both = conv.unionByName(dc)
+    both = spread(conv.unionByName(dc))
     return both.select(F.explode(F.split("text", "\n")).alias("value"))
 
 

@@ -37,9 +37,14 @@ def full_tokens(spark, sf):
     return tx.tokenize(fx.tokens(spark, sf))
 
 
+def kept_stats(spark, sf):
+    """(doc_id, tok, tf, df) of the tokens the full tokenizer keeps."""
+    return tx.term_stats(fx.tokens(spark, sf))
+
+
 def exact_tfidf(spark, sf):
     n = fx.docs(spark, sf).count()  # corpus size: one scalar
-    return tx.tfidf_exact(full_tokens(spark, sf), n), n
+    return tx.tfidf_exact(fx.tokens(spark, sf), n), n
 
 
 @query("txt01_tokens_space", """
@@ -58,7 +63,7 @@ def tokens_word(spark, sf):
 @query("txt03_tokenize", W(_TOKENIZE_SQL + """
 SELECT doc_id, tok, count(*) AS tf FROM tk GROUP BY doc_id, tok""", "tokens"))
 def tokenize(spark, sf):
-    return tx.term_frequencies(full_tokens(spark, sf))
+    return kept_stats(spark, sf).select("doc_id", "tok", "tf")
 
 
 @query("txt04_token_report", W(f"""
@@ -102,8 +107,7 @@ SELECT w.list, w.tok, round(ln(((SELECT n FROM nd) + 1) / (coalesce(df.df, 0) +
 FROM words w LEFT JOIN df ON w.tok = df.tok""", "tokens"))
 def weigh_terms(spark, sf):
     n = fx.docs(spark, sf).count()
-    tf = tx.term_frequencies(full_tokens(spark, sf))
-    idf = tx.idf_table(tf, n)
+    idf = kept_stats(spark, sf).select("tok", "df").distinct()
     words = spark.createDataFrame(WORD_LISTS, "list string, tok string")
     return rounded(tx.weigh_terms(words, idf, n))
 
@@ -135,14 +139,22 @@ def topic_similarity(spark, sf):
 
 
 def token_arrays(spark, sf):
-    return tx.doc_token_arrays(full_tokens(spark, sf), keep=["topic"])
+    topics = fx.docs(spark, sf).select("doc_id", "topic")
+    return tx.doc_token_arrays(kept_stats(spark, sf).join(topics, "doc_id"), keep=["topic"])
 
 
 # Small per-row helpers reading a sparse vector's stored entries (O(nnz);
 # densifying a 2^18-wide vector per document would cost 2 MB per row).
-_nnz = F.udf(lambda v: int(v.numNonzeros()), "int", useArrow=True)
-_stored_min = F.udf(lambda v: float(v.values.min()) if len(v.values) else None, "double", useArrow=True)
-_stored_max = F.udf(lambda v: float(v.values.max()) if len(v.values) else None, "double", useArrow=True)
+def _nnz(c):
+    return F.udf(lambda v: int(v.numNonzeros()), "int", useArrow=True)(c)
+
+
+def _stored_min(c):
+    return F.udf(lambda v: float(v.values.min()) if len(v.values) else None, "double", useArrow=True)(c)
+
+
+def _stored_max(c):
+    return F.udf(lambda v: float(v.values.max()) if len(v.values) else None, "double", useArrow=True)(c)
 
 
 @query("txt06_hashed_tf")
@@ -194,5 +206,6 @@ def nearest_words(spark, sf):
     """20 nearest words to the most frequent kept token."""
     arrays = token_arrays(spark, sf)
     m = tx.word_vectors(arrays, size=50)
-    top = rel.top_k(rel.count_by(full_tokens(spark, sf), "tok"), [F.desc("n"), F.asc("tok")], 1).first()
+    counts = kept_stats(spark, sf).groupBy("tok").agg(F.sum("tf").alias("n"))
+    top = rel.top_k(counts, [F.desc("n"), F.asc("tok")], 1).first()
     return tx.nearest_words(m, top["tok"], 20)

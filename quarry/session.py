@@ -102,6 +102,19 @@ def sized_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFr
     return df
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over the cores when the source has fewer splits than the
+    cluster has task slots (e.g. one large row group), before CPU-heavy
+    per-row work such as tokenizing. On a real input of many files the split
+    count already exceeds the slots and this is a no-op (no extra shuffle)."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover
+        return df
+    return df.repartition(want) if have < want else df
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
