@@ -92,9 +92,12 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user, product, price, ts). ``ts`` stays a wall-clock timestamp
+    (timestamp_ntz): windows and formatting then do not depend on the session
+    time zone. Streams cast it to ``timestamp`` for watermarks."""
     e = read_table(spark, sf_dir, "events")
     return e.select(F.col("user_id").alias("user"), F.col("event_type").alias("product"),
-                    F.col("value").alias("price"), F.col("ts").cast("timestamp").alias("ts"))
+                    F.col("value").alias("price"), "ts")
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 
 
 def _event_files(spark, folder, days=None):
-    ev = fx.purchases(spark, SF_SMALL)
+    ev = fx.purchases(spark, SF_SMALL).withColumn("ts", F.col("ts").cast("timestamp"))
     days = days or sorted(r[0] for r in ev.select(F.to_date("ts").alias("d")).distinct().collect())
     for i, d in enumerate(days):
         (ev.where(F.to_date("ts") == F.lit(d)).coalesce(1)
@@ -88,7 +88,7 @@ def test_sliding_counts_stream_equals_batch(spark, tmp_dir):
 
 def test_text_stream_parse(spark, tmp_dir):
     src = os.path.join(tmp_dir, "txt")
-    ev = fx.purchases(spark, SF_SMALL)
+    ev = fx.purchases(spark, SF_SMALL).withColumn("ts", F.col("ts").cast("timestamp"))
     st.event_lines(ev).select("value").coalesce(2).write.text(src)
     s = st.parse_events(st.stream_source(spark, "text", src))
     w = st.stream_sink(s, os.path.join(tmp_dir, "ck"), fmt="memory", query_name="parsed",
