@@ -47,7 +47,7 @@ def norm2(a) -> Column:
 def cosine(a, b) -> Column:
     """FN-11: cosine similarity; NULL when either norm is 0."""
     den = norm2(a) * norm2(b)
-    return F.when(den != 0, dot(a, b) / den)
+    return F.when(den != 0, F.try_divide(dot(a, b), den))
 
 
 def sq_distance(a, b) -> Column:

@@ -30,7 +30,7 @@ def roc_auc(df: DataFrame, score: str, label: str = "label", name: str = "roc_au
     cum = prefix_sums(per, ["_s"], ["_n"], prefix="_below", inclusive=False)
     agg = cum.agg(F.sum(F.col("_p") * (F.col("_below_n") + 0.5 * F.col("_n"))).alias("_u"),
                   F.sum("_p").alias("_pos_total"), F.sum("_n").alias("_neg_total"))
-    return agg.select((F.col("_u") / (F.col("_pos_total") * F.col("_neg_total"))).alias(name))
+    return agg.select(F.try_divide(F.col("_u"), F.col("_pos_total") * F.col("_neg_total")).alias(name))
 
 
 def pr_auc(df: DataFrame, score: str, label: str = "label", name: str = "pr_auc") -> DataFrame:
@@ -43,8 +43,8 @@ def pr_auc(df: DataFrame, score: str, label: str = "label", name: str = "pr_auc"
     tp, fp = F.col("_tp_p"), F.col("_tp_n")
     ptp, pfp = tp - F.col("_p"), fp - F.col("_n")
     prec = tp / (tp + fp)
-    prev_prec = F.when(ptp + pfp == 0, prec).otherwise(ptp / (ptp + pfp))
-    area = (tp - ptp) / F.col("_total_pos") * (prec + prev_prec) / 2
+    prev_prec = F.when(ptp + pfp == 0, prec).otherwise(F.try_divide(ptp, ptp + pfp))
+    area = F.try_divide(tp - ptp, F.col("_total_pos")) * (prec + prev_prec) / 2
     return c.agg(F.sum(area).alias(name))
 
 
@@ -60,10 +60,10 @@ def weighted_f1(df: DataFrame, pred: str, label: str = "label", name: str = "wei
     lab = cm.groupBy(F.col("_l").alias("_k")).agg(F.sum("_c").alias("_lab"))
     prd = cm.groupBy(F.col("_p").alias("_k")).agg(F.sum("_c").alias("_prd"))
     per = lab.join(tp, "_k", "left").join(prd, "_k", "left").fillna(0, ["_tp", "_prd"])
-    p = F.when(F.col("_prd") > 0, F.col("_tp") / F.col("_prd")).otherwise(0.0)
-    r = F.col("_tp") / F.col("_lab")
-    f1 = F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0)
-    return per.agg((F.sum(f1 * F.col("_lab")) / F.sum("_lab")).alias(name))
+    p = F.when(F.col("_prd") > 0, F.try_divide(F.col("_tp"), F.col("_prd"))).otherwise(0.0)
+    r = F.try_divide(F.col("_tp"), F.col("_lab"))
+    f1 = F.when(p + r > 0, F.try_divide(2 * p * r, p + r)).otherwise(0.0)
+    return per.agg(F.try_divide(F.sum(f1 * F.col("_lab")), F.sum("_lab")).alias(name))
 
 
 def compare_models(df: DataFrame, scores: dict[str, str], label: str = "label") -> DataFrame:
@@ -114,7 +114,7 @@ def average_precision(predicted: DataFrame, actual: DataFrame, k: int, user: str
     pop = (users if users is not None else predicted.select(user)).distinct()
     out = pop.join(sizes, user, "left").join(per_user, user, "left")
     ap = (F.when(F.coalesce(F.col("_na"), F.lit(0)) == 0, F.lit(empty_actual))
-          .otherwise(F.coalesce(F.col("_score"), F.lit(0.0)) / F.least(F.col("_na"), F.lit(k))))
+          .otherwise(F.try_divide(F.coalesce(F.col("_score"), F.lit(0.0)), F.least(F.col("_na"), F.lit(k)))))
     return out.select(user, ap.alias("ap"))
 
 

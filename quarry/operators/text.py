@@ -130,7 +130,7 @@ def sparse_cosine(weights: DataFrame, pairs: DataFrame, doc: str = "doc_id", tok
     nb = norms.select(F.col(doc).alias("doc_b"), F.col("_norm").alias("_nb"))
     out = p.join(dots, ["doc_a", "doc_b"], "left").join(na, "doc_a", "left").join(nb, "doc_b", "left")
     cos = F.when(F.col("_na") * F.col("_nb") != 0,
-                 F.coalesce(F.col("_dot"), F.lit(0.0)) / (F.col("_na") * F.col("_nb")))
+                 F.try_divide(F.coalesce(F.col("_dot"), F.lit(0.0)), F.col("_na") * F.col("_nb")))
     return out.select("doc_a", "doc_b", cos.alias("cosine"))
 
 

@@ -209,3 +209,12 @@ def nearest_words(spark, sf):
     counts = kept_stats(spark, sf).groupBy("tok").agg(F.sum("tf").alias("n"))
     top = rel.top_k(counts, [F.desc("n"), F.asc("tok")], 1).first()
     return tx.nearest_words(m, top["tok"], 20)
+
+
+@query("agg06_group_lists", W(_TOKENIZE_SQL + """
+SELECT doc_id, string_agg(DISTINCT tok, ' ' ORDER BY tok) AS tokens FROM tk GROUP BY doc_id""", "tokens"))
+def group_lists(spark, sf):
+    """AGG-6 on a group bounded by construction: each document's sorted
+    distinct kept tokens (never a list per user or per key of unbounded size)."""
+    lists = rel.group_lists(kept_stats(spark, sf), "doc_id", "tok", "values")
+    return lists.select("doc_id", F.array_join("values", " ").alias("tokens"))

@@ -149,6 +149,19 @@ def purchase_summary(df: DataFrame, ts: str | None = "ts", every: str = "1 day")
     return out.withColumn("batch_start", fmt_batch_time(F.col("_w"))).drop("_w")
 
 
+def purchase_windows(df: DataFrame, ts: str = "ts", every: str = "10 seconds",
+                     watermark: str | None = "1 minute") -> DataFrame:
+    """STR-3, continuous form: per event-time window purchases, revenue and
+    approximate unique users (exact distinct counts are not allowed on a
+    stream; the per-batch exact form is ``purchase_summary_batches``). The
+    watermark closes windows so their state is dropped."""
+    src = df.withWatermark(ts, watermark) if (watermark and df.isStreaming) else df
+    return (src.groupBy(F.window(ts, every).alias("w"))
+            .agg(F.count("*").alias("purchases"), F.approx_count_distinct("user").alias("unique_users"),
+                 F.sum("price").alias("revenue"))
+            .select(fmt_batch_time(F.col("w.start")).alias("batch_start"), "purchases", "unique_users", "revenue"))
+
+
 def purchase_summary_batches(spark: SparkSession, source: DataFrame, sink_table: str,
                              checkpoint: str | None = None, trigger: dict | None = None):
     """STR-3 on a stream: each micro-batch is summarised exactly (distinct

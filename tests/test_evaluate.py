@@ -92,3 +92,19 @@ def test_compare_models_rows(spark):
     df = _scored(spark).withColumn("neg", -F.col("score"))
     out = {r["model"]: r for r in ev.compare_models(df, {"s": "score", "n": "neg"}).collect()}
     assert math.isclose(out["s"]["roc_auc"] + out["n"]["roc_auc"], 1.0)
+
+
+def test_edge_cases_do_not_fail(spark):
+    one_class = spark.createDataFrame([(0.3, 1.0), (0.7, 1.0)], "score double, label double")
+    assert ev.roc_auc(one_class, "score").first()[0] is None
+    no_pos = spark.createDataFrame([(0.3, 0.0), (0.7, 0.0)], "score double, label double")
+    assert ev.pr_auc(no_pos, "score").first()[0] is None
+    empty = spark.createDataFrame([], "prediction double, label double")
+    assert ev.weighted_f1(empty, "prediction").first()[0] is None
+    assert ev.accuracy(empty, "prediction").first()[0] is None
+
+
+def test_empty_actual_scores_one(spark):
+    p = spark.createDataFrame([(1, 10, 1)], "user int, item int, pos int")
+    a = spark.createDataFrame([], "user int, item int")
+    assert ev.average_precision(p, a, 10).first()["ap"] == 1.0
