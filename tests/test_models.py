@@ -60,3 +60,37 @@ def test_similar_items_skips_self(spark):
                               "id int, features array<double>")
     got = [r["id"] for r in rc.similar_items(v, 1, 2, 1).collect()]
     assert got == [4, 2]
+
+
+def test_libsvm_svm_raw_scores_auc(spark, tmp_dir):
+    """SRC-4 + CLS-4: vectors written as LibSVM, read back, 60/40 split,
+    linear SVM (100 iterations) raw margins, area under ROC."""
+    import os
+
+    from quarry.operators import classify as cl
+    from quarry.operators.evaluate import roc_auc
+    from quarry.operators.relational import split_rows
+    from quarry.sources.readers import read_libsvm
+    v = rd.to_vectors(fx.vectors(spark, SF_SMALL), "embedding")
+    data = v.select((F.col("label") >= 5).cast("double").alias("label"), "features")
+    out = os.path.join(tmp_dir, "libsvm")
+    data.write.format("libsvm").save(out)
+    back = read_libsvm(spark, out, 64)
+    assert back.count() == data.count()
+    train, test = split_rows(back, [0.6, 0.4], 11)
+    model = cl.fit(train, cl.svm(100))
+    from pyspark.ml.functions import vector_to_array
+    scores = model.transform(test).select("label", vector_to_array("rawPrediction")[1].alias("score"))
+    auc = roc_auc(scores, "score").first()[0]
+    assert 0.0 <= auc <= 1.0
+
+
+def test_nearest_words_exact_matches_library(spark):
+    from quarry.operators import text as tx
+    toks = tx.term_stats(fx.tokens(spark, SF_SMALL))
+    arrays = tx.doc_token_arrays(toks)
+    m = tx.word_vectors(arrays, size=20, min_count=2)
+    word = m.getVectors().orderBy("word").first()["word"]
+    lib = {r["word"] for r in tx.nearest_words(m, word, 5).collect()}
+    exact = {r["word"] for r in tx.nearest_words_exact(m.getVectors(), word, 5).collect()}
+    assert len(lib & exact) >= 4
