@@ -187,8 +187,11 @@ def sample_rows(df: DataFrame, fraction: float, seed: int, with_replacement: boo
 def hash_unit(key, seed: int) -> Column:
     """Deterministic pseudo-random number in [0, 1) from an integer key
     (multiplicative hashing; reproducible in any SQL engine)."""
+    # h = (k * 2654435761 + seed) mod p with p = 1000003, reduced first so no
+    # intermediate leaves the long range for any key (2654435761 mod p = 427799)
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(k.cast("long") * F.lit(2654435761) + F.lit(seed), F.lit(1000003)) / F.lit(1000003.0)
+    r = F.pmod(k.cast("long"), F.lit(1000003))
+    return F.pmod(r * F.lit(427799) + F.lit(seed), F.lit(1000003)) / F.lit(1000003.0)
 
 
 def pick_by_hash(df: DataFrame, key: str, seed: int, group: list[str] | None = None) -> DataFrame:

@@ -118,9 +118,7 @@ def sparse_cosine(weights: DataFrame, pairs: DataFrame, doc: str = "doc_id", tok
     # only documents that take part in a pair (a semi join against a list
     # bounded by the number of pairs) are normed and joined
     used = p.select(F.col("doc_a").alias(doc)).union(p.select(F.col("doc_b").alias(doc))).distinct()
-    # bounded by the paired documents: materialise once (reliable checkpoint)
-    # so the norm and both join sides do not each recompute the corpus TF-IDF
-    weights = cut_lineage(weights.join(used, doc, "left_semi"))
+    weights = weights.join(used, doc, "left_semi")
     norms = weights.groupBy(doc).agg(F.sqrt(F.sum(F.col(w) * F.col(w))).alias("_norm"))
     a = weights.select(F.col(doc).alias("doc_a"), tok, F.col(w).alias("_wa"))
     b = weights.select(F.col(doc).alias("doc_b"), tok, F.col(w).alias("_wb"))
@@ -138,18 +136,26 @@ def topic_similarity(docs: DataFrame, weights: DataFrame, anchor_topic: str, see
                      second_seed: int = 43, doc: str = "doc_id", topic: str = "topic") -> DataFrame:
     """TXT-10: one document per topic picked by hash; the anchor topic's pick
     compared with a second pick of its own topic and with every other topic's
-    pick."""
-    picks = rel.pick_by_hash(docs.select(doc, topic), doc, seed, [topic])
-    second = rel.pick_by_hash(docs.where(F.col(topic) == anchor_topic).select(doc, topic), doc, second_seed,
-                              [topic])
-    anchor = picks.where(F.col(topic) == anchor_topic).first()  # the one anchor document id
-    if anchor is None:
-        return docs.sparkSession.createDataFrame(
-            [], "topic_a string, doc_a long, topic_b string, doc_b long, cosine double")
-    others = picks.where(F.col(topic) != anchor_topic).unionByName(second)
-    pairs = others.select(F.lit(anchor_topic).alias("topic_a"), F.lit(anchor[doc]).alias("doc_a"),
-                          F.col(topic).alias("topic_b"), F.col(doc).alias("doc_b"))
-    sims = sparse_cosine(weights, pairs, doc)
+    pick.
+
+    The picks are one row per topic (bounded by the topic count), so they are
+    read once; the weights are then restricted to the picked documents with an
+    IN list that the optimizer pushes into the term-frequency side (the
+    document-frequency side still covers the whole corpus), and materialised
+    once for the norm and both join sides."""
+    spark = docs.sparkSession
+    ids = docs.select(doc, topic)
+    picks = {r[topic]: r[doc] for r in rel.pick_by_hash(ids, doc, seed, [topic]).collect()}
+    schema = f"topic_a string, doc_a long, topic_b string, doc_b long"
+    if anchor_topic not in picks:
+        return spark.createDataFrame([], schema + ", cosine double")
+    second = rel.pick_by_hash(ids.where(F.col(topic) == anchor_topic), doc, second_seed, [topic]).first()
+    others = [(t, d) for t, d in sorted(picks.items()) if t != anchor_topic] + [(anchor_topic, second[doc])]
+    anchor = picks[anchor_topic]
+    pairs = spark.createDataFrame([(anchor_topic, anchor, t, d) for t, d in others], schema)
+    used = sorted({anchor, *[d for _, d in others]})
+    picked = cut_lineage(weights.where(F.col(doc).isin(used)))
+    sims = sparse_cosine(picked, pairs, doc)
     return pairs.join(sims, ["doc_a", "doc_b"], "left").select("topic_a", "doc_a", "topic_b", "doc_b", "cosine")
 
 

@@ -356,7 +356,7 @@ def preview(spark, sf):
 
 # --- sampling ---------------------------------------------------------------------------------
 
-_HASH = "((doc_id * 2654435761 + {seed}) % 1000003) / 1000003.0"
+_HASH = "(((doc_id % 1000003) * 427799 + {seed}) % 1000003) / 1000003.0"
 
 
 @query("smp01_sample_rows")

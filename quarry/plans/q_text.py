@@ -112,7 +112,7 @@ def weigh_terms(spark, sf):
     return rounded(tx.weigh_terms(words, idf, n))
 
 
-_PICK = "((doc_id * 2654435761 + {seed}) % 1000003) / 1000003.0"
+_PICK = "(((doc_id % 1000003) * 427799 + {seed}) % 1000003) / 1000003.0"
 
 
 @query("txt10_topic_similarity", W(_TFIDF_SQL + f"""

@@ -94,3 +94,22 @@ def test_nearest_words_exact_matches_library(spark):
     lib = {r["word"] for r in tx.nearest_words(m, word, 5).collect()}
     exact = {r["word"] for r in tx.nearest_words_exact(m.getVectors(), word, 5).collect()}
     assert len(lib & exact) >= 4
+
+
+def test_dense_ids_for_64bit_keys(spark):
+    big = 10 ** 12
+    r = spark.createDataFrame([(big + u, big * 2 + i, float(u + i)) for u in range(5) for i in range(4)],
+                              "user long, item long, rating double")
+    r1, users = rc.dense_ids(r, "user", "u")
+    r2, items = rc.dense_ids(r1, "item", "i")
+    assert sorted(x["u"] for x in users.collect()) == list(range(5))
+    m = rc.fit_als(r2.select("u", "i", "rating"), rank=2, max_iter=3, user="u", item="i")
+    assert m.userFactors.count() == 5
+
+
+def test_hash_unit_no_overflow(spark):
+    from quarry.operators.relational import hash_unit
+    df = spark.createDataFrame([(9_000_000_000_000_000,), (7,)], "k long")
+    vals = [r[0] for r in df.select(hash_unit("k", 42)).collect()]
+    assert all(0.0 <= v < 1.0 for v in vals)
+    assert vals[1] == ((7 * 2654435761 + 42) % 1000003) / 1000003.0
