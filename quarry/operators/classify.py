@@ -63,6 +63,31 @@ def tree(max_depth: int = 5, impurity: str = "entropy"):
     return DecisionTreeClassifier(maxDepth=max_depth, impurity=impurity, labelCol="label", featuresCol="features")
 
 
+def fit_logistic(df: DataFrame, max_iter: int = 10, reg: float = 0.0, stages: list | None = None):
+    """CLS-1: fitted logistic-regression pipeline."""
+    return fit(df, logistic(max_iter, reg), stages)
+
+
+def fit_svm(df: DataFrame, max_iter: int = 10, reg: float = 0.0, stages: list | None = None):
+    """CLS-3: fitted linear SVM pipeline (its ``rawPrediction`` is the CLS-4 margin)."""
+    return fit(df, svm(max_iter, reg), stages)
+
+
+def fit_bayes(df: DataFrame, smoothing: float = 1.0, stages: list | None = None):
+    """CLS-5: fitted naive Bayes pipeline."""
+    return fit(df, bayes(smoothing), stages)
+
+
+def fit_tree(df: DataFrame, max_depth: int = 5, impurity: str = "entropy", stages: list | None = None):
+    """CLS-6: fitted decision-tree pipeline."""
+    return fit(df, tree(max_depth, impurity), stages)
+
+
+def predict(model, df: DataFrame) -> DataFrame:
+    """CLS-7: batch prediction (adds ``prediction`` and the score columns)."""
+    return model.transform(df)
+
+
 def fit_logistic_sgd(df: DataFrame, iterations: int = 10, step: float = 1.0, reg: float = 0.0,
                      reg_type: str | None = "l2", features: str = "features", label: str = "label"):
     """CLS-2: logistic regression by mini-batch SGD with a step size (the

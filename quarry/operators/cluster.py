@@ -50,6 +50,12 @@ def wcss(df: DataFrame, vec: str, centers: list[list[float]], name: str = "wcss"
     return a.agg(F.sum("_dist").alias(name))
 
 
+def assign_report(df: DataFrame, vec: str, centers: list[list[float]], keep: list[str]) -> DataFrame:
+    """KM-5: the kept columns (id, title, genres, ...) with the nearest centre
+    and the squared distance to it."""
+    return assign(df, vec, centers, "cluster", "distance").select(*keep, "cluster", "distance")
+
+
 def collect_centers(cent: DataFrame, key: str, col: str = "center") -> tuple[list, list[list[float]]]:
     """Centres of a fitted/exact model to the driver (k rows of d numbers)."""
     rows = cent.orderBy(key).collect()

@@ -160,6 +160,11 @@ def top_k(df: DataFrame, order: list, k: int, offset: int = 0) -> DataFrame:
     return out.limit(k)
 
 
+def preview(df: DataFrame, order: list, n: int = 5) -> DataFrame:
+    """SRT-6: the first ``n`` rows in an explicit order (``first`` / ``take``)."""
+    return top_k(df, order, n)
+
+
 def most_popular(df: DataFrame, key: str, group: list[str] | None = None) -> DataFrame:
     """SRT-4: the most frequent ``key`` (ties -> smallest key) per group;
     counts are combined map-side, then one ``max_by`` per group."""

@@ -351,7 +351,7 @@ def most_popular(spark, sf):
 @query("srt06_preview", W("""
 SELECT "user", item, round(rating, 6) AS rating FROM ratings ORDER BY "user", item LIMIT 5""", "ratings"))
 def preview(spark, sf):
-    return rounded(rel.top_k(fx.ratings(spark, sf), ["user", "item"], 5))
+    return rounded(rel.preview(fx.ratings(spark, sf), ["user", "item"], 5))
 
 
 # --- sampling ---------------------------------------------------------------------------------

@@ -134,7 +134,8 @@ def map_full(spark, sf):
 
 
 def _als(spark, sf):
-    return _cached(("als", sf), lambda: rc.fit_als(fx.ratings(spark, sf), rank=50, max_iter=10, reg=0.01))
+    key = ("als", spark.sparkContext.applicationId, sf)  # never reuse a model of another session
+    return _cached(key, lambda: rc.fit_als(fx.ratings(spark, sf), rank=50, max_iter=10, reg=0.01))
 
 
 @query("rec01_fit_als")
@@ -158,7 +159,8 @@ def recommend(spark, sf):
 
 @query("rec05_recommend_all")
 def recommend_all(spark, sf):
-    return rc.recommend_all(_als(spark, sf), K)
+    """REC-5 / JN-4: top-K of every user from the blocked all-pairs scoring."""
+    return rc.score_all_pairs(_als(spark, sf), K)
 
 
 @query("rec13_factor_tables")
@@ -308,8 +310,8 @@ def tree(spark, sf):
 @query("cls07_predict")
 def predict(spark, sf):
     train, test = _split(spark, sf)
-    model = cl.fit(train, cl.logistic(10), cl.features_pipeline(NUMS))
-    return model.transform(test).select("doc_id", "label", "prediction")
+    model = cl.fit_logistic(train, 10, stages=cl.features_pipeline(NUMS))
+    return cl.predict(model, test).select("doc_id", "label", "prediction")
 
 
 @query("fea02_scaled_vs_unscaled")
@@ -417,7 +419,8 @@ def wcss(spark, sf):
 @query("km05_assign_report", "WITH dummy AS (SELECT 1)" + _KM_SQL + """
 SELECT vec_id, label, cluster, round(distance, 6) AS distance FROM best""")
 def assign_report(spark, sf):
-    return rounded(_assigned(spark, sf).select("vec_id", "label", "cluster", "distance"))
+    _, centers = km.collect_centers(label_centroids(spark, sf), "label")
+    return rounded(km.assign_report(fx.vectors(spark, sf), "embedding", centers, ["vec_id", "label"]))
 
 
 @query("km06_closest_per_cluster", "WITH dummy AS (SELECT 1)" + _KM_SQL + """
