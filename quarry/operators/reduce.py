@@ -28,15 +28,17 @@ def _pixels(height: pd.Series, width: pd.Series, channels: pd.Series, data: pd.S
             g = a[:, :, 0] * LUMA_BGR[0] + a[:, :, 1] * LUMA_BGR[1] + a[:, :, 2] * LUMA_BGR[2]
         else:
             g = a[:, :, 0]
-        # area-average resize: mean of the source cells each target pixel covers
-        ys = np.linspace(0, h, out_h + 1)
-        xs = np.linspace(0, w, out_w + 1)
-        out = np.empty((out_h, out_w))
-        for i in range(out_h):
-            y0, y1 = int(ys[i]), max(int(np.ceil(ys[i + 1])), int(ys[i]) + 1)
-            for j in range(out_w):
-                x0, x1 = int(xs[j]), max(int(np.ceil(xs[j + 1])), int(xs[j]) + 1)
-                out[i, j] = g[y0:y1, x0:x1].mean()
+        # area-average resize: mean of the source cells each target pixel
+        # covers, as box sums over an integral image (no per-pixel loop)
+        y0 = np.floor(np.linspace(0, h, out_h + 1)[:-1]).astype(int)
+        y1 = np.maximum(np.ceil(np.linspace(0, h, out_h + 1)[1:]).astype(int), y0 + 1)
+        x0 = np.floor(np.linspace(0, w, out_w + 1)[:-1]).astype(int)
+        x1 = np.maximum(np.ceil(np.linspace(0, w, out_w + 1)[1:]).astype(int), x0 + 1)
+        integral = np.zeros((int(h) + 1, int(w) + 1))
+        integral[1:, 1:] = g.cumsum(0).cumsum(1)
+        box = (integral[np.ix_(y1, x1)] - integral[np.ix_(y0, x1)]
+               - integral[np.ix_(y1, x0)] + integral[np.ix_(y0, x0)])
+        out = box / np.outer(y1 - y0, x1 - x0)
         res.append(np.rint(out).ravel().tolist())
     return pd.Series(res)
 

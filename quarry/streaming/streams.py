@@ -69,14 +69,19 @@ def stream_sink(df: DataFrame, checkpoint: str | None = None, fmt: str = "consol
     return w
 
 
-def run_until_idle(writer: DataStreamWriter, timeout_s: float = 300.0):
-    """STR-9 for tests/batch back-fills: start, drain every available input, stop."""
+def run_until_idle(writer: DataStreamWriter, timeout_s: float = 300.0, available_now: bool = True):
+    """STR-9 for tests/back-fills: start and wait until the input present at
+    start is processed. An ``availableNow`` query ends by itself (waiting on
+    it, not on "no new data", also works when timeouts keep scheduling
+    no-data batches); other triggers are drained with processAllAvailable."""
     q = writer.start()
     try:
-        q.processAllAvailable()
+        if available_now:
+            q.awaitTermination(timeout_s)
+        else:
+            q.processAllAvailable()
     finally:
         q.stop()
-    q.awaitTermination(timeout_s)
     return q
 
 
@@ -184,17 +189,27 @@ STATE_OUT = "user string, purchases long, revenue double"
 STATE_SCHEMA = "purchases long, revenue double"
 
 
-def _fold(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    n, total = state.get if state.exists else (0, 0.0)
-    for pdf in pdfs:
-        n += int(len(pdf))
-        total += float(pdf["price"].sum())
-    state.update((n, total))
-    yield pd.DataFrame({"user": [str(key[0])], "purchases": [n], "revenue": [total]})
+def _make_fold(ttl_ms: int | None):
+    def fold(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:  # idle longer than the TTL: forget the key
+            state.remove()
+            return
+        n, total = state.get if state.exists else (0, 0.0)
+        for pdf in pdfs:
+            n += int(len(pdf))
+            total += float(pdf["price"].sum())
+        state.update((n, total))
+        if ttl_ms:
+            state.setTimeoutDuration(ttl_ms)
+        yield pd.DataFrame({"user": [str(key[0])], "purchases": [n], "revenue": [total]})
+    return fold
 
 
-def stateful_fold(df: DataFrame, key: str = "user", timeout: str = GroupStateTimeout.NoTimeout) -> DataFrame:
+def stateful_fold(df: DataFrame, key: str = "user", ttl_ms: int | None = None) -> DataFrame:
     """STR-5: a user-written state update (count and sum carried per key
-    across micro-batches) with ``applyInPandasWithState``."""
+    across micro-batches) with ``applyInPandasWithState``. The state is two
+    numbers per key; ``ttl_ms`` drops keys idle for that long (the reference
+    keeps every key for ever)."""
     src = df.select(F.col(key).cast("string").alias("user"), F.col("price").cast("double"))
-    return src.groupBy("user").applyInPandasWithState(_fold, STATE_OUT, STATE_SCHEMA, "update", timeout)
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
+    return src.groupBy("user").applyInPandasWithState(_make_fold(ttl_ms), STATE_OUT, STATE_SCHEMA, "update", timeout)

@@ -1,6 +1,7 @@
 """Stream = batch: file streams driven to completion, compared with the
 batch twins; restart from the checkpoint with one more file."""
 import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -116,3 +117,24 @@ def test_purchase_windows_append_with_watermark(spark, tmp_dir):
     # window is final and equal to the batch twin; only the newest may be open
     assert got and all(exp[k] == v for k, v in got.items())
     assert len(exp) - len(got) <= 2
+
+
+def test_stateful_fold_with_ttl_runs(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    ev, _ = _event_files(spark, src)
+    # processing-time timeouts schedule no-data batches; without them the
+    # availableNow query ends as soon as the files are processed
+    conf = "spark.sql.streaming.noDataMicroBatches.enabled"
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        w = st.stream_sink(st.stateful_fold(_stream(spark, src), ttl_ms=3_600_000), os.path.join(tmp_dir, "ck"),
+                           fmt="memory", output_mode="update", query_name="fold_ttl",
+                           trigger={"availableNow": True})
+        t0 = time.time()
+        st.run_until_idle(w, timeout_s=120)
+        assert time.time() - t0 < 100
+    finally:
+        spark.conf.set(conf, old)
+    last = spark.table("fold_ttl").groupBy("user").agg(F.max("purchases").alias("p"))
+    assert last.agg(F.sum("p")).first()[0] == ev.count()
