@@ -84,7 +84,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer's size estimate for ``df`` (None if it cannot be read)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        # py4j hands a Scala BigInt over as a Python int (or as an object)
+        return int(size) if isinstance(size, int) else int(size.toString())
     except Exception:  # pragma: no cover - depends on the JVM bridge
         return None
 
