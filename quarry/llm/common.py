@@ -146,3 +146,65 @@ def map_pandas(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd
     """``mapInPandas`` with small text batches."""
     text_batches(df.sparkSession)
     return df.mapInPandas(fn, schema)
+
+
+def free_name(taken: Iterable[str], name: str) -> str:
+    """``name``, or a longer one that no column has (names compare without case)."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name = "_" + name
+    return name
+
+
+def with_results(df: DataFrame, text: str, fn: Callable[[list], dict[str, np.ndarray]], fields: str,
+                 budget: int = 4_000_000) -> tuple[DataFrame, dict[str, str]]:
+    """Append what ``fn(texts)`` computes for each row to all columns of ``df``.
+
+    Arrow batches are joined up to ``budget`` bytes, ``fn`` gets their texts as a
+    list of ``str`` or ``None`` and returns one array per field. Rows keep their
+    other columns untouched, so nothing is joined back by an id. Returns the
+    frame and the names the fields got (never a clash with the input's names).
+    """
+    import pyarrow as pa
+    from pyspark.sql.types import StructField, StructType
+
+    text_batches(df.sparkSession)
+    out = StructType.fromDDL(fields)
+    names, taken = {}, list(df.columns)
+    for f in out.fields:
+        names[f.name] = free_name(taken, f"__{f.name}")
+        taken.append(names[f.name])
+    at = df.columns.index(text)
+    # Every column gets a plain unique name on the way through Python, so inputs
+    # with equal or odd names pass.
+    inner = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    text_name = f"c{at}"
+    schema = StructType([*inner.schema.fields, *[StructField(names[f.name], f.dataType) for f in out.fields]])
+    kinds = [(f.name, names[f.name]) for f in out.fields]
+
+    def run(batches):
+        for held in regroup_arrow(batches, text_name, budget):
+            got = fn(held.column(text_name).to_pylist())
+            cols = [held.column(i) for i in range(held.num_columns)]
+            cols += [pa.array(got[f]) for f, _ in kinds]
+            yield from pa.Table.from_arrays(cols, names=[*held.column_names, *[n for _, n in kinds]]).to_batches()
+
+    res = inner.withColumn(text_name, F.col(text_name).cast("string")).mapInArrow(run, schema)
+    return res.toDF(*df.columns, *[n for _, n in kinds]), names
+
+
+def regroup_arrow(batches, text_name: str, budget: int):
+    """Join record batches until their text bytes reach ``budget``."""
+    import pyarrow as pa
+
+    held, size = [], 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        size += b.column(text_name).nbytes + 64 * b.num_rows
+        if size >= budget:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)

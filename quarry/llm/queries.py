@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import chat, licenses, sharding
+from quarry.llm import chat, licenses, repetition, sharding, suffix_dedup
 from quarry.llm.common import table
 
 
@@ -23,8 +23,17 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding, op7_chat_formatting, op8_license_scan)}
+    return {f.__name__: f for f in (
+        op3_sharding, op7_chat_formatting, op8_license_scan, op9_quality_rules, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
