@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import chat, jaccard_join, licenses, repetition, sharding, suffix_dedup
+from quarry.llm import chat, jaccard_join, language_crf, licenses, repetition, sharding, suffix_dedup
 from quarry.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_crf.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.rendezvous_shards(table(spark, sf_dir, "documents"))
 
@@ -37,7 +41,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_ngram_jaccard_join, op3_sharding, op7_chat_formatting, op8_license_scan, op9_quality_rules, op10_suffix_dedup)}
+        op1_ngram_jaccard_join, op2_language_id, op3_sharding, op7_chat_formatting, op8_license_scan, op9_quality_rules, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
