@@ -166,6 +166,7 @@ def with_results(df: DataFrame, text: str, fn: Callable[[list], dict[str, np.nda
     frame and the names the fields got (never a clash with the input's names).
     """
     import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import StructField, StructType
 
     text_batches(df.sparkSession)
@@ -180,17 +181,17 @@ def with_results(df: DataFrame, text: str, fn: Callable[[list], dict[str, np.nda
     inner = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     text_name = f"c{at}"
     schema = StructType([*inner.schema.fields, *[StructField(names[f.name], f.dataType) for f in out.fields]])
-    kinds = [(f.name, names[f.name]) for f in out.fields]
+    kinds = [(f.name, names[f.name], to_arrow_type(f.dataType)) for f in out.fields]
 
     def run(batches):
         for held in regroup_arrow(batches, text_name, budget):
             got = fn(held.column(text_name).to_pylist())
             cols = [held.column(i) for i in range(held.num_columns)]
-            cols += [pa.array(got[f]) for f, _ in kinds]
-            yield from pa.Table.from_arrays(cols, names=[*held.column_names, *[n for _, n in kinds]]).to_batches()
+            cols += [pa.array(got[f], type=kind) for f, _, kind in kinds]
+            yield from pa.Table.from_arrays(cols, names=[*held.column_names, *[n for _, n, _ in kinds]]).to_batches()
 
     res = inner.withColumn(text_name, F.col(text_name).cast("string")).mapInArrow(run, schema)
-    return res.toDF(*df.columns, *[n for _, n in kinds]), names
+    return res.toDF(*df.columns, *[n for _, n, _ in kinds]), names
 
 
 def regroup_arrow(batches, text_name: str, budget: int):

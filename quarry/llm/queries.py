@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import chat, jaccard_join, language_crf, licenses, repetition, sharding, suffix_dedup
+import corpus_pipeline
+from quarry.llm import (chat, jaccard_join, language_crf, licenses, packing, pieces, repetition, sharding,
+                        suffix_dedup)
 from quarry.llm.common import table
 
 
@@ -22,6 +24,14 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.rendezvous_shards(table(spark, sf_dir, "documents"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_report(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = chat.message_events(chat.with_probe(table(spark, sf_dir, "conversations")))
     return chat.read_back(chat.format_chats(log))
@@ -39,9 +49,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_ngram_jaccard_join, op2_language_id, op3_sharding, op7_chat_formatting, op8_license_scan, op9_quality_rules, op10_suffix_dedup)}
+        op1_ngram_jaccard_join, op2_language_id, op3_sharding, op5_best_fit_packing, op6_sentencepiece,
+        op7_chat_formatting, op8_license_scan, op9_quality_rules, op10_suffix_dedup, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
