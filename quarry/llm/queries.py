@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from quarry.llm import (chat, jaccard_join, language_crf, licenses, packing, pieces, repetition, sharding,
+from quarry.llm import (chat, grid_order_join, jaccard_join, language_crf, licenses, packing, pieces, repetition, sharding,
                         suffix_dedup)
 from quarry.llm.common import table
 
@@ -24,6 +24,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.rendezvous_shards(table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_order_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_ngram_jaccard_join, op2_language_id, op3_sharding, op5_best_fit_packing, op6_sentencepiece,
+        op1_ngram_jaccard_join, op2_language_id, op3_sharding, op4_embedding_near_dedup,
+        op5_best_fit_packing, op6_sentencepiece,
         op7_chat_formatting, op8_license_scan, op9_quality_rules, op10_suffix_dedup, pipeline)}
 
 
