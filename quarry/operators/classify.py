@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.evaluate import accuracy, pr_auc, roc_auc
+from quarry.operators.evaluate import ranking_metrics
+from quarry.operators.relational import union_all
+from quarry.session import cut_lineage
 
 
 def features_pipeline(numeric: list[str], category: str | None = None, scale: bool = False,
@@ -68,63 +70,18 @@ def fit_logistic(df: DataFrame, max_iter: int = 10, reg: float = 0.0, stages: li
     return fit(df, logistic(max_iter, reg), stages)
 
 
-def fit_svm(df: DataFrame, max_iter: int = 10, reg: float = 0.0, stages: list | None = None):
-    """CLS-3: fitted linear SVM pipeline (its ``rawPrediction`` is the CLS-4 margin)."""
-    return fit(df, svm(max_iter, reg), stages)
-
-
-def fit_bayes(df: DataFrame, smoothing: float = 1.0, stages: list | None = None):
-    """CLS-5: fitted naive Bayes pipeline."""
-    return fit(df, bayes(smoothing), stages)
-
-
-def fit_tree(df: DataFrame, max_depth: int = 5, impurity: str = "entropy", stages: list | None = None):
-    """CLS-6: fitted decision-tree pipeline."""
-    return fit(df, tree(max_depth, impurity), stages)
-
-
 def predict(model, df: DataFrame) -> DataFrame:
     """CLS-7: batch prediction (adds ``prediction`` and the score columns)."""
     return model.transform(df)
 
 
-def fit_logistic_sgd(df: DataFrame, iterations: int = 10, step: float = 1.0, reg: float = 0.0,
-                     reg_type: str | None = "l2", features: str = "features", label: str = "label"):
-    """CLS-2: logistic regression by mini-batch SGD with a step size (the
-    only estimator with one). Needs the RDD-based entry point."""
-    from pyspark.ml.linalg import DenseVector as MLDense
-    from pyspark.mllib.classification import LogisticRegressionWithSGD
-    from pyspark.mllib.linalg import Vectors as MLlibVectors
-    from pyspark.mllib.regression import LabeledPoint
-
-    def to_lp(r):
-        v = r[features]
-        arr = v.toArray() if isinstance(v, MLDense) or hasattr(v, "toArray") else v
-        return LabeledPoint(float(r[label]), MLlibVectors.dense(arr))
-
-    rdd = df.select(label, features).rdd.map(to_lp).cache()
-    try:
-        return LogisticRegressionWithSGD.train(rdd, iterations=iterations, step=step, regParam=reg,
-                                               regType=reg_type)
-    finally:
-        rdd.unpersist()
-
-
-def sgd_scores(model, df: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
-    """CLS-7 for the SGD model: margin score per row as a pandas UDF (the
-    coefficients are a d-vector shipped in the closure)."""
-    import numpy as np
-    import pandas as pd
-    from pyspark.ml.functions import vector_to_array
-    w = np.asarray(model.weights.toArray(), dtype=float)
-    b = float(model.intercept)
-
-    @F.pandas_udf("double")
-    def margin(x: pd.Series) -> pd.Series:
-        m = np.stack(x.to_numpy()) if len(x) else np.zeros((0, len(w)))
-        return pd.Series(m @ w + b)
-
-    return df.select(label, margin(vector_to_array(features)).alias("score"))
+def logistic_gd(n_features: int, max_iter: int = 10, step: float = 1.0, seed: int = 7):
+    """CLS-2: logistic regression by gradient descent with a step size: a network
+    without hidden layer (softmax of one linear layer), solved by ``gd`` in the
+    JVM. The only estimator here whose step size can be varied."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    return MultilayerPerceptronClassifier(layers=[n_features, 2], solver="gd", stepSize=step, maxIter=max_iter, seed=seed,
+                                          labelCol="label", featuresCol="features")
 
 
 def positive_score(pred: DataFrame, out: str = "score") -> DataFrame:
@@ -134,46 +91,36 @@ def positive_score(pred: DataFrame, out: str = "score") -> DataFrame:
     return pred.withColumn(out, vector_to_array(col)[1])
 
 
-def evaluate_model(name: str, pred: DataFrame, label: str = "label") -> DataFrame:
-    """EVL-5 row for one model: accuracy, PR AUC, ROC AUC."""
-    s = positive_score(pred).persist()
-    acc = accuracy(s, "prediction", label).withColumn("model", F.lit(name))
-    pr = pr_auc(s, "score", label).withColumn("model", F.lit(name))
-    roc = roc_auc(s, "score", label).withColumn("model", F.lit(name))
-    return acc.join(pr, "model").join(roc, "model")
+def scored_models(preds: dict[str, DataFrame], label: str = "label", name: str = "model") -> DataFrame:
+    """(name, label, prediction, score) rows of several models' predictions."""
+    return union_all([positive_score(p).select(F.lit(n).alias(name), F.col(label).alias("label"), "prediction", "score")
+                      for n, p in preds.items()])
+
+
+def evaluate_models(preds: dict[str, DataFrame], label: str = "label", name: str = "model") -> DataFrame:
+    """EVL-5 / SET-1: accuracy, PR AUC and ROC AUC of each model's predictions, in
+    one pass over all of them."""
+    return ranking_metrics(scored_models(preds, label, name), "score", "label", [name], pred="prediction")
+
+
+def fit_features(train: DataFrame, test: DataFrame, stages: list) -> tuple[DataFrame, DataFrame]:
+    """The feature stages fitted once on ``train`` and applied to both sides."""
+    from pyspark.ml import Pipeline
+    model = Pipeline(stages=stages).fit(train)
+    return model.transform(train), model.transform(test)
 
 
 def sweep(train: DataFrame, test: DataFrame, make: Callable[[object], object], values: list,
           param: str, stages: list | None = None, label: str = "label") -> DataFrame:
-    """TUN-1..6: one fit per parameter value; ROC AUC on ``test``."""
-    from quarry.operators.relational import union_all
-    train = train.persist()
-    rows = []
+    """TUN-1..6: one fit per parameter value on features fitted once; the scores
+    of all values are evaluated together: (param, accuracy, pr_auc, roc_auc).
+    ``train`` is a share of the rows and ``test`` the rest."""
+    tr, te = fit_features(train, test, stages or [])
+    tr, te = tr.persist(), te.persist()
     try:
-        for v in values:
-            model = fit(train, make(v), stages)
-            s = positive_score(model.transform(test))
-            rows.append(roc_auc(s, "score", label).select(F.lit(str(v)).alias(param), "roc_auc"))
-        return union_all(rows).persist()
+        preds = {str(v): make(v).fit(tr).transform(te) for v in values}
+        rows = cut_lineage(scored_models(preds, label, param))
     finally:
-        train.unpersist()
-
-
-def holdout_sweep(df: DataFrame, make: Callable[[object], object], values: list, param: str,
-                  train_ratio: float = 0.6, seed: int = 123, stages: list | None = None):
-    """TUN-6: train on a share of the rows, score on the rest (pyspark.ml's
-    TrainValidationSplit with ROC AUC)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-    proto = make(values[0])
-    grid = ParamGridBuilder().addGrid(proto.getParam(param), values).build()
-    pipe = Pipeline(stages=[*(stages or []), proto])
-    grid = [{**{proto.getParam(param): m[proto.getParam(param)]}} for m in grid]
-    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid,
-                               evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
-                               trainRatio=train_ratio, seed=seed)
-    model = tvs.fit(df)
-    spark = df.sparkSession
-    return spark.createDataFrame([(str(v), float(m)) for v, m in zip(values, model.validationMetrics)],
-                                 f"{param} string, roc_auc double")
+        tr.unpersist()
+        te.unpersist()
+    return ranking_metrics(rows, "score", "label", [param], pred="prediction")

@@ -90,11 +90,17 @@ def model_centers(model) -> list[list[float]]:
 
 def sweep_k(train: DataFrame, test: DataFrame, vec: str, ks: list[int], max_iter: int = 10,
             runs: int = 1, seed: int = 1) -> DataFrame:
-    """KM-7: WCSS on held-out rows for several k (one fit per k)."""
+    """KM-7: (k, wcss on held-out rows, training cost) for several k; the best of
+    ``runs`` restarts each."""
     spark = train.sparkSession
     rows = []
-    for k in ks:
-        m, _ = fit_kmeans(train, vec, k, max_iter, runs, seed)
-        cost = wcss(test, vec, model_centers(m)).first()["wcss"]
-        rows.append((k, float(cost) if cost is not None else None))
-    return spark.createDataFrame(rows, "k int, wcss double")
+    train, test = train.persist(), test.persist()
+    try:
+        for k in ks:
+            m, fitted = fit_kmeans(train, vec, k, max_iter, runs, seed)
+            cost = wcss(test, vec, model_centers(m)).first()["wcss"]
+            rows.append((k, float(cost) if cost is not None else None, float(fitted)))
+    finally:
+        train.unpersist()
+        test.unpersist()
+    return spark.createDataFrame(rows, "k int, wcss double, train_cost double")

@@ -23,29 +23,47 @@ def _is_pos(label: str) -> Column:
     return (F.col(label) > 0.5).cast("long")
 
 
+def ranking_metrics(df: DataFrame, score: str, label: str = "label", by: list[str] | None = None,
+                    pred: str | None = None) -> DataFrame:
+    """EVL-2/3 (and EVL-1 with ``pred``): ``roc_auc`` and ``pr_auc`` of each group
+    of ``by`` (few: one per model or parameter value), in one pass.
+
+    Rows are counted per distinct score; one distributed running sum over
+    (group, score) gives the positives and negatives below each score. Ties count
+    one half in ROC; PR is the trapezoid over distinct scores with the first
+    precision extended to recall 0. Counts enter products as doubles, so
+    billions of rows do not overflow."""
+    by = by or []
+    key = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
+    hit = (F.col(pred) == F.col(label)).cast("long") if pred else F.lit(0).cast("long")
+    pos = _is_pos(label)
+    per = (df.groupBy(key.alias("_g"), F.col(score).alias("_s"))
+           .agg(F.sum(pos).alias("_p"), F.sum(1 - pos).alias("_n"), F.sum(hit).alias("_hit"), F.count("*").alias("_rows")))
+    cum = prefix_sums(per, ["_g", "_s"], ["_p", "_n"], prefix="_below", inclusive=False)
+    whole = cum.groupBy("_g").agg(F.sum("_p").alias("_all_p"), F.sum("_n").alias("_all_n"), F.min("_below_p").alias("_p0"),
+                                  F.min("_below_n").alias("_n0"))
+    c = cum.join(F.broadcast(whole), "_g")  # one row per group
+    p, n = F.col("_p").cast("double"), F.col("_n").cast("double")
+    below = (F.col("_below_n") - F.col("_n0")).cast("double")
+    tp, fp = (F.col("_all_p") - F.col("_below_p") + F.col("_p0")).cast("double"), F.col("_all_n") - below
+    prec = F.try_divide(tp, tp + fp)
+    before = F.when(tp - p + fp - n == 0, prec).otherwise(F.try_divide(tp - p, tp - p + fp - n))
+    total_p, total_n = F.col("_all_p").cast("double"), F.col("_all_n").cast("double")
+    out = c.groupBy("_g").agg(
+        F.sum(F.try_divide(p * (below + 0.5 * n), total_p * total_n)).alias("roc_auc"),
+        F.sum(F.try_divide(p, total_p) * (prec + before) / 2).alias("pr_auc"),
+        (F.sum("_hit") / F.sum("_rows")).alias("accuracy"))
+    return out.select(*[F.col("_g")[b].alias(b) for b in by], *(["accuracy"] if pred else []), "pr_auc", "roc_auc")
+
+
 def roc_auc(df: DataFrame, score: str, label: str = "label", name: str = "roc_auc") -> DataFrame:
-    """EVL-2: area under ROC; ties count one half."""
-    per = df.groupBy(F.col(score).alias("_s")).agg(F.sum(_is_pos(label)).alias("_p"),
-                                                    F.sum(1 - _is_pos(label)).alias("_n"))
-    cum = prefix_sums(per, ["_s"], ["_n"], prefix="_below", inclusive=False)
-    agg = cum.agg(F.sum(F.col("_p") * (F.col("_below_n") + 0.5 * F.col("_n"))).alias("_u"),
-                  F.sum("_p").alias("_pos_total"), F.sum("_n").alias("_neg_total"))
-    return agg.select(F.try_divide(F.col("_u"), F.col("_pos_total") * F.col("_neg_total")).alias(name))
+    """EVL-2: area under ROC; ties count one half (one row, NULL without rows)."""
+    return ranking_metrics(df, score, label).agg(F.max("roc_auc").alias(name))
 
 
 def pr_auc(df: DataFrame, score: str, label: str = "label", name: str = "pr_auc") -> DataFrame:
     """EVL-3: area under the precision-recall curve."""
-    per = df.groupBy(F.col(score).alias("_s")).agg(F.sum(_is_pos(label)).alias("_p"),
-                                                    F.sum(1 - _is_pos(label)).alias("_n"))
-    cum = prefix_sums(per, [F.desc("_s")], ["_p", "_n"], prefix="_tp")  # _tp_p = TP, _tp_n = FP
-    total_pos = per.agg(F.sum("_p")).first()[0] or 0  # one scalar
-    c = cum.withColumn("_total_pos", F.lit(total_pos))
-    tp, fp = F.col("_tp_p"), F.col("_tp_n")
-    ptp, pfp = tp - F.col("_p"), fp - F.col("_n")
-    prec = tp / (tp + fp)
-    prev_prec = F.when(ptp + pfp == 0, prec).otherwise(F.try_divide(ptp, ptp + pfp))
-    area = F.try_divide(tp - ptp, F.col("_total_pos")) * (prec + prev_prec) / 2
-    return c.agg(F.sum(area).alias(name))
+    return ranking_metrics(df, score, label).agg(F.max("pr_auc").alias(name))
 
 
 def accuracy(df: DataFrame, pred: str, label: str = "label", name: str = "accuracy") -> DataFrame:
@@ -67,14 +85,11 @@ def weighted_f1(df: DataFrame, pred: str, label: str = "label", name: str = "wei
 
 
 def compare_models(df: DataFrame, scores: dict[str, str], label: str = "label") -> DataFrame:
-    """EVL-5 / SET-1: one (model, pr_auc, roc_auc) row per score column."""
-    from quarry.operators.relational import union_all
-    rows = []
-    for model, col in scores.items():
-        pr = pr_auc(df, col, label).withColumn("model", F.lit(model))
-        roc = roc_auc(df, col, label).withColumn("model", F.lit(model))
-        rows.append(pr.join(roc, "model").select("model", "pr_auc", "roc_auc"))
-    return union_all(rows)
+    """EVL-5 / SET-1: one (model, pr_auc, roc_auc) row per score column, from one
+    pass over the molten (model, score, label) rows."""
+    rows = F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("score"), F.col(label).alias("label"))
+                     for m, c in scores.items()])
+    return ranking_metrics(df.select(F.inline(rows)), "score", "label", ["model"])
 
 
 def squared_error(predicted: Column, actual: Column) -> Column:
@@ -136,6 +151,22 @@ def average_precision_shared_list(actual: DataFrame, ranked: DataFrame, k: int,
     return average_precision(predicted, actual, k, user, item, pos, users=users)
 
 
+def mean_average_precision(actual: DataFrame, ranked: DataFrame, ks: list[int], user: str = "user",
+                           item: str = "item", pos: str = "pos") -> DataFrame:
+    """REC-11 for several cut-offs at once when every user gets the same ranked
+    list: (k, map). The pairs are joined and the hits numbered once, at the
+    largest cut-off; a hit's number does not depend on the cut-off."""
+    hits = actual.join(sized_broadcast(ranked.where(F.col(pos) <= max(ks))), item).select(user, pos)
+    w = Window.partitionBy(user).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    share = F.count("*").over(w) / F.col(pos)  # <= max(ks) rows per user
+    per = hits.withColumn("_share", share).groupBy(user).agg(
+        *[F.sum(F.when(F.col(pos) <= k, F.col("_share"))).alias(f"_s{k}") for k in ks])
+    sizes = actual.groupBy(user).agg(F.count("*").alias("_n"))
+    aps = [F.avg(F.coalesce(F.col(f"_s{k}"), F.lit(0.0)) / F.least(F.col("_n"), F.lit(k))).alias(f"_m{k}") for k in ks]
+    one = sizes.join(per, user, "left").agg(*aps)
+    return one.select(F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_m{k}").alias("map")) for k in ks])))
+
+
 def map_at_k(ap: DataFrame, name: str = "map") -> DataFrame:
     """REC-11: mean of per-user AP (denominator: users with recommendations)."""
     return ap.agg(F.avg("ap").alias(name))

@@ -17,6 +17,8 @@ so both branches read identical partitions even if a task is retried.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,22 +62,50 @@ def prefix_sums(df: DataFrame, order_cols: list, sum_cols: list[str],
 def global_index(df: DataFrame, order_cols: list, name: str = "pos",
                  num_partitions: int | None = None) -> DataFrame:
     """0-based position of each row in the global order (rows must be totally
-    ordered by ``order_cols``)."""
-    one = df.withColumn("_one", F.lit(1).cast("long"))
-    out = prefix_sums(one, order_cols, ["_one"], prefix="_cum", num_partitions=num_partitions)
-    return out.withColumn(name, F.col("_cum_one") - 1).drop("_one", "_cum_one")
+    ordered by ``order_cols``).
 
+    Rows are sorted inside their range partition, so a row's place there is the
+    low part of its generated id and no window (and no second shuffle) is
+    needed; the partitions' sizes give the offsets."""
+    n = _partitions(df, num_partitions)
+    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    ranged = cut_lineage(ranged)
+    sizes = ranged.groupBy("_pid").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # offsets holds one row per range partition: bounded, so broadcast it.
+    return (ranged.join(F.broadcast(offsets), "_pid")
+            .withColumn(name, F.col("_at") + F.col("_off")).drop("_pid", "_at", "_off"))
 
-def rank_within_groups(df: DataFrame, group_cols: list[str], order_cols: list,
-                       name: str = "rank", num_partitions: int | None = None) -> DataFrame:
-    """1-based row number inside each group without putting a group in one task.
 
-    Rows are numbered globally in (group, order) order, so a hot group is
-    spread over several range partitions; the group's first position comes
-    from a partial aggregate and is joined back.
+# A group of more rows is ranked over several tasks.
+HOT_GROUP_ROWS = 1_000_000
+
+
+def rank_within_groups(df: DataFrame, group_cols: list[str], order_cols: list,
+                       name: str = "rank", num_partitions: int | None = None,
+                       hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """1-based row number inside each group without putting a hot group in one task.
+
+    Groups of up to ``hot_rows`` rows are numbered by an ordinary window. Larger
+    ones are at most rows / ``hot_rows`` many: their rows are numbered globally in
+    (group, order) order, which spreads each over several range partitions, and
+    the group's first position is subtracted. NULL groups are groups.
     """
-    idx = global_index(df, [*group_cols, *order_cols], "_gpos", num_partitions)
-    first = idx.groupBy(*group_cols).agg(F.min("_gpos").alias("_gfirst"))
-    return (idx.join(first, group_cols)
-            .withColumn(name, F.col("_gpos") - F.col("_gfirst") + 1)
-            .drop("_gpos", "_gfirst"))
+    base = cut_lineage(df)
+    small = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    heavy = base.groupBy(*group_cols).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
+    heavy = cut_lineage(heavy.select(*[F.col(c).alias(f"_hot_{c}") for c in group_cols]))
+    if heavy.isEmpty():
+        return base.withColumn(name, F.row_number().over(small).cast("long"))
+    same = lambda side: reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{side}{c}")) for c in group_cols])
+    # rows / hot_rows groups at most, so their names can be broadcast
+    light = base.join(F.broadcast(heavy), same("_hot_"), "left_anti").withColumn(name, F.row_number().over(small).cast("long"))
+    idx = global_index(base.join(F.broadcast(heavy), same("_hot_"), "left_semi"), [*group_cols, *order_cols], "_gpos",
+                       num_partitions)
+    first = idx.groupBy(*[F.col(c).alias(f"_first_{c}") for c in group_cols]).agg(F.min("_gpos").alias("_gfirst"))
+    ranked = (idx.join(F.broadcast(first), same("_first_"))
+              .withColumn(name, F.col("_gpos") - F.col("_gfirst") + 1).select(*base.columns, name))
+    return light.unionByName(ranked)

@@ -1,7 +1,7 @@
 """Dimension reduction (SURVEY DIM-*).
 
-PCA is ``pyspark.ml.feature.PCA``; SVD with U is the distributed
-``RowMatrix.computeSVD`` (the one place the RDD entry point is required).
+PCA is ``pyspark.ml.feature.PCA``; SVD is the distributed
+``RowMatrix.computeSVD`` fed with a DataFrame, so no row passes through Python.
 The image-to-pixels step is an Arrow-batched pandas UDF over the image
 source's struct (numpy only, no imaging library).
 """
@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.scalar import dot
 
 # FIXED VALUES: ITU-R BT.601 luma weights for B, G, R channel order.
 LUMA_BGR = (0.114, 0.587, 0.299)
@@ -75,9 +76,10 @@ def pca(df: DataFrame, k: int = 10, vec: str = "features", out: str = "pca"):
 
 
 def _row_matrix(df: DataFrame, vec: str):
-    from pyspark.mllib.linalg import Vectors as MLlibVectors
+    """The rows as a distributed matrix; vectors are converted in the JVM."""
     from pyspark.mllib.linalg.distributed import RowMatrix
-    return RowMatrix(df.select(vec).rdd.map(lambda r: MLlibVectors.dense(r[0].toArray())))
+    from pyspark.mllib.util import MLUtils
+    return RowMatrix(MLUtils.convertVectorColumnsFromML(df.select(vec), vec))
 
 
 def covariance(df: DataFrame, vec: str = "features") -> DataFrame:
@@ -89,28 +91,24 @@ def covariance(df: DataFrame, vec: str = "features") -> DataFrame:
                                  "i int, j int, value double")
 
 
-def svd(df: DataFrame, k: int, vec: str = "features", compute_u: bool = True):
-    """DIM-3: truncated SVD -> (U rows DataFrame or None, s list, V d x k ndarray).
-    U keeps the input's row order (row i of U is row i of the input)."""
-    spark = df.sparkSession
-    res = _row_matrix(df, vec).computeSVD(k, computeU=compute_u)
-    s = [float(x) for x in res.s.toArray()]
-    v = res.V.toArray()
-    u = None
-    if compute_u:
-        u = spark.createDataFrame(res.U.rows.map(lambda r: (r.toArray().tolist(),)), "u array<double>")
-    return u, s, v
+def svd(df: DataFrame, k: int, vec: str = "features") -> tuple[list[float], np.ndarray]:
+    """DIM-3: truncated SVD -> (singular values, V as d x k). The left vectors are
+    not built: ``project`` gives U x diag(s) row by row, with the rows' ids."""
+    res = _row_matrix(df, vec).computeSVD(k, computeU=False)
+    return [float(x) for x in res.s.toArray()], res.V.toArray()
 
 
-def project(u: DataFrame, s: list[float], col: str = "u", out: str = "projected") -> DataFrame:
-    """DIM-4: U rows scaled element-wise by the singular values (U x diag(s))."""
-    sv = F.array(*[F.lit(float(x)) for x in s])
-    return u.select(F.zip_with(col, sv, lambda a, b: a * b).alias(out))
+def project(df: DataFrame, v: np.ndarray, vec: str = "features", out: str = "projected") -> DataFrame:
+    """DIM-4: each row times V (equal to its row of U x diag(s)) as
+    array<double>, next to the row's own columns. V is d x k model numbers."""
+    from pyspark.ml.functions import vector_to_array
+    cols = F.array(*[F.array(*[F.lit(float(x)) for x in v[:, j]]) for j in range(v.shape[1])])
+    x = vector_to_array(vec)
+    return df.withColumn(out, F.transform(cols, lambda c: dot(x, c)))
 
 
 def singular_values(df: DataFrame, k_max: int, vec: str = "features") -> DataFrame:
     """DIM-5: the top singular values for k = 1..k_max come from one SVD at
     k_max (the leading values do not depend on k)."""
-    spark = df.sparkSession
-    _, s, _ = svd(df, k_max, vec, compute_u=False)
-    return spark.createDataFrame([(i + 1, x) for i, x in enumerate(s)], "i int, value double")
+    s, _ = svd(df, k_max, vec)
+    return df.sparkSession.createDataFrame([(i + 1, x) for i, x in enumerate(s)], "i int, value double")

@@ -9,6 +9,7 @@ placed on a side with a checked size (``sized_broadcast``).
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,13 +39,9 @@ def count_less_than_pairs(df: DataFrame, col: str, as_type: str = "int") -> Data
     per = (df.select(F.col(col).try_cast(as_type).alias("_v")).where(F.col("_v").isNotNull())
            .groupBy("_v").agg(F.count("*").alias("_n")))
     cum = prefix_sums(per, ["_v"], ["_n"], prefix="_before", inclusive=False)
-    return cum.agg(F.coalesce(F.sum(F.col("_n") * F.col("_before_n")), F.lit(0)).cast("long").alias("num"))
-
-
-def count_less_than_pairs_sql(spark, view: str, col: str) -> DataFrame:
-    """JN-5 as written (nested-loop join); only for small inputs and tests."""
-    return spark.sql(f"SELECT count(a.{col}) AS num FROM {view} a JOIN {view} b "
-                     f"ON try_cast(a.{col} AS int) < try_cast(b.{col} AS int)")
+    # The number of pairs outgrows a long at a few billion rows: add up as decimals.
+    wide = F.col("_n").cast("decimal(19,0)") * F.col("_before_n").cast("decimal(19,0)")
+    return cum.agg(F.coalesce(F.sum(wide), F.lit(0)).cast("decimal(38,0)").alias("num"))
 
 
 # --- aggregates ----------------------------------------------------------------
@@ -111,11 +108,13 @@ def fraction_where(df: DataFrame, pred: Column, scale: float = 1.0, name: str =
     return df.agg((F.avg(F.when(pred, 1.0).otherwise(0.0)) * scale).alias(name))
 
 
-def join_values(df: DataFrame, value: str, by: list[str] | None = None, sep: str = ",",
+def join_values(df: DataFrame, value: str, by: list[str], sep: str = ",",
                 name: str = "ids") -> DataFrame:
     """AGG-11: sorted values joined by ``sep`` per group (``by``), e.g. per
-    source file; the list size is bounded by the group, never the whole table."""
-    by = by or []
+    source file; the list size is bounded by the group, never the whole table,
+    so there must be a group."""
+    if not by:
+        raise ValueError("join_values needs a group; the whole table would become one value")
     return df.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_list(F.col(value).cast("string"))), sep)
                                .alias(name))
 
@@ -184,9 +183,33 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int, with_replacement: bool = True) -> DataFrame:
-    """SMP-1: Spark's seeded (Poisson / Bernoulli) sampler."""
-    return df.sample(with_replacement, fraction, seed)
+def sample_rows(df: DataFrame, fraction: float, seed: int, key: str, with_replacement: bool = True) -> DataFrame:
+    """SMP-1: a seeded sample that depends on the key alone, not on partitions
+    or cores (the built-in sampler draws per partition). Without replacement a
+    row is taken if its hash is below ``fraction``; with replacement it is taken
+    as often as the Poisson quantile of its hash says."""
+    u = hash_unit(key, seed)
+    if not with_replacement:
+        return df.where(u < fraction)
+    return (df.withColumn("_times", poisson_quantile(u, fraction)).where("_times > 0")
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times", "_copy"))
+
+
+def poisson_steps(mean: float) -> list[float]:
+    """Cumulative probabilities of 0, 1, 2, ... events, as far as a hash in a
+    million can tell them apart."""
+    out, p, total, k = [], math.exp(-mean), 0.0, 0
+    while total < 1 - 1e-7 and k < 1000:
+        total += p
+        out.append(total)
+        k += 1
+        p *= mean / k
+    return out
+
+
+def poisson_quantile(u: Column, mean: float) -> Column:
+    """The number of Poisson events whose cumulative probability first exceeds ``u``."""
+    return sum((F.when(u >= F.lit(c), 1).otherwise(0) for c in poisson_steps(mean)), F.lit(0))
 
 
 def hash_unit(key, seed: int) -> Column:
@@ -202,14 +225,23 @@ def hash_unit(key, seed: int) -> Column:
 def pick_by_hash(df: DataFrame, key: str, seed: int, group: list[str] | None = None) -> DataFrame:
     """SMP-1 (reproducible): one row per group, the one with the smallest hash."""
     group = group or []
-    h = hash_unit(key, seed)
-    picked = df.withColumn("_h", h).groupBy(*group).agg(F.min_by(F.col(key), F.struct("_h", key)).alias(key))
-    return df.join(picked, [*group, key], "left_semi")
-
-
-def split_rows(df: DataFrame, weights: list[float], seed: int) -> list[DataFrame]:
-    """SMP-2: Spark's weighted random split."""
-    return df.randomSplit(weights, seed)
+    rest = [c for c in df.columns if c not in group]
+    row = F.struct(hash_unit(key, seed).alias("_h"), F.col(key).alias("_k"), F.struct(*rest).alias("_row"))
+    picked = df.groupBy(*group).agg(F.min(row).alias("_p"))  # a NULL group is a group too
+    return picked.where(F.col("_p").isNotNull()).select(
+        *[F.col(c) if c in group else F.col("_p._row")[c].alias(c) for c in df.columns])
+
+
+def split_rows(df: DataFrame, weights: list[float], seed: int, key: str) -> list[DataFrame]:
+    """SMP-2: weighted split by the hash of the key: every row is in one part,
+    the same one whatever the partitions."""
+    u, total, parts, lo = hash_unit(key, seed), sum(weights), [], 0.0
+    for i, w in enumerate(weights):
+        hi = lo + w / total
+        inside = u >= lo if i == len(weights) - 1 else (u >= lo) & (u < hi)
+        parts.append(df.where(inside))
+        lo = hi
+    return parts
 
 
 def split_by_hash(df: DataFrame, key: str, train_fraction: float, seed: int) -> tuple[DataFrame, DataFrame]:

@@ -54,12 +54,11 @@ def parse_labelled(df: DataFrame, col: str = "value", sep: str = "\t", first_num
     Fields are split, quotes stripped; fields ``first_num`` .. n-2 are numbers
     (``?`` = 0.0, optionally clamped at 0) and the last field is the label.
     """
-    f = F.transform(F.split(F.col(col), sep), lambda x: F.translate(x, '"', ""))
+    f = F.transform(F.split(F.col(col), sep), lambda x: strip_quotes(x))
     n = F.size(f)
-    nums = F.transform(F.slice(f, first_num + 1, n - first_num - 1),
-                       lambda x: F.when(x == "?", F.lit(0.0)).otherwise(x.try_cast("double")))
+    nums = F.transform(F.slice(f, first_num + 1, n - first_num - 1), lambda x: fill_marker(x))
     if clamp:
-        nums = F.transform(nums, lambda x: F.greatest(x, F.lit(0.0)))
+        nums = F.transform(nums, lambda x: clamp_min(x))
     return df.select(F.element_at(f, 1).alias("id"),
                      F.element_at(f, category_at + 1).alias("category"),
                      nums.alias("nums"),
@@ -92,21 +91,14 @@ def decode_flags(items: DataFrame, lookup: DataFrame, flags: str = "flags",
                  name: str = "name", idx: str = "idx", out: str = "genres") -> DataFrame:
     """PRJ-12/13: 0/1 flag array -> space-joined names of the set flags.
 
-    The flag array has one entry per lookup row, so the per-item list is
-    bounded by the lookup size (not by the data); ``lookup`` is joined with a
-    size-checked broadcast.
-    """
-    from quarry.session import sized_broadcast
-    keys = [c for c in items.columns if c != flags]
-    set_flags = (items.select(*keys, F.posexplode(flags).alias("_pos", "_flag"))
-                 .where(F.col("_flag") == "1"))
-    named = set_flags.join(sized_broadcast(lookup.select(F.col(idx).alias("_pos"), F.col(name).alias("_name"))),
-                           "_pos")
-    decoded = (named.groupBy(*keys)
-               .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_name"))),
-                                             lambda s: s["_name"]), " ").alias(out)))
-    # items without any set flag keep an empty list
-    return items.select(*keys).join(decoded, keys, "left").fillna({out: ""})
+    The lookup has one row per flag position (as many as the array is wide); its
+    names become a literal array and each row is decoded in place: no join, no
+    shuffle, and no other column takes part."""
+    rows = {r[idx]: r[name] for r in lookup.select(idx, name).collect()}  # the flag width
+    names = F.array(*[F.lit(rows.get(i)) for i in range(max(rows, default=-1) + 1)]) if rows else F.array().cast("array<string>")
+    hits = F.filter(F.zip_with(flags, names, lambda f, n: F.when(f == "1", n)), lambda x: x.isNotNull())
+    return items.select(*[c for c in items.columns if c != flags],
+                        F.coalesce(F.array_join(hits, " "), F.lit("")).alias(out))
 
 
 def one_hot(idx, n: int) -> Column:

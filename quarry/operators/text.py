@@ -9,7 +9,7 @@ per-document token arrays, whose size is bounded by the document.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators import relational as rel
@@ -88,12 +88,6 @@ def term_stats(tokens: DataFrame, stopwords: list[str] = sh.STOPWORDS, rare_belo
             .select(doc, tok, "tf", "df"))
 
 
-def idf_table(tf: DataFrame, n_docs: int, tok: str = "tok") -> DataFrame:
-    """(tok, df, idf) with idf = ln((N + 1) / (df + 1)) (the library's formula)."""
-    return (tf.groupBy(tok).agg(F.count("*").alias("df"))
-            .withColumn("idf", F.log((F.lit(n_docs) + 1) / (F.col("df") + 1))))
-
-
 def tfidf_exact(tokens: DataFrame, n_docs: int, doc: str = "doc_id", tok: str = "tok") -> DataFrame:
     """TXT-7 (exact, long form): (doc, tok, tf, idf, tfidf) of the tokens kept
     by the full tokenizer."""
@@ -159,14 +153,21 @@ def topic_similarity(docs: DataFrame, weights: DataFrame, anchor_topic: str, see
     return pairs.join(sims, ["doc_a", "doc_b"], "left").select("topic_a", "doc_a", "topic_b", "doc_b", "cosine")
 
 
-def doc_token_arrays(stats: DataFrame, doc: str = "doc_id", tok: str = "tok", keep: list[str] | None = None
-                     ) -> DataFrame:
-    """Per-document token arrays (bounded by the document) for ``pyspark.ml``,
-    rebuilt from (doc, tok, tf) counts (order does not matter to term
-    frequency models)."""
+def doc_token_arrays(docs: DataFrame, kept: DataFrame, doc: str = "doc_id", text: str = "text", tok: str = "tok",
+                     keep: list[str] | None = None) -> DataFrame:
+    """Per-document token arrays in the order of the text (bounded by the
+    document): the words of ``text`` that are in ``kept``, one row per word.
+
+    Words carry their position through the join with the kept ones and each
+    document's array is sorted by it, so word windows mean what they meant in the
+    text and the result does not depend on the shuffle. A document without a kept
+    word has no row."""
     keep = keep or []
-    return stats.groupBy(doc, *keep).agg(
-        F.flatten(F.collect_list(F.array_repeat(F.col(tok), F.col("tf").cast("int")))).alias("tokens"))
+    words = (docs.select(doc, *keep, F.posexplode(F.split(text, r"\W+")).alias("_pos", tok))
+             .where(F.col(tok) != "").withColumn(tok, F.lower(tok)))
+    rows = words.join(kept.select(tok).distinct(), tok).groupBy(doc, *keep).agg(
+        F.array_sort(F.collect_list(F.struct("_pos", tok))).alias("_t"))
+    return rows.select(doc, *keep, F.transform("_t", lambda x: x[tok]).alias("tokens"))
 
 
 def hashed_tf(arrays: DataFrame, dim: int = HASH_DIM, col: str = "tokens", out: str = "tf") -> DataFrame:
@@ -203,10 +204,13 @@ def topic_classifier(train: DataFrame, test: DataFrame, label_col: str = "topic"
     return model.transform(test)
 
 
-def word_vectors(arrays: DataFrame, col: str = "tokens", size: int = 100, seed: int = 42, min_count: int = 5):
-    """TXT-13: Word2Vec model."""
+def word_vectors(arrays: DataFrame, col: str = "tokens", size: int = 100, seed: int = 42, min_count: int = 5,
+                 partitions: int = 8):
+    """TXT-13: Word2Vec model, trained in ``partitions`` tasks whose vectors are
+    averaged after each pass."""
     from pyspark.ml.feature import Word2Vec
-    return Word2Vec(inputCol=col, outputCol="w2v", vectorSize=size, seed=seed, minCount=min_count).fit(arrays)
+    return Word2Vec(inputCol=col, outputCol="w2v", vectorSize=size, seed=seed, minCount=min_count,
+                    numPartitions=partitions).fit(arrays)
 
 
 def nearest_words(model, word: str, k: int = 20) -> DataFrame:
@@ -228,6 +232,3 @@ def nearest_words_exact(vectors: DataFrame, word: str, k: int = 20) -> DataFrame
     sims = v.where(F.col("word") != word).select("word", cosine("v", qv).alias("similarity"))
     return rel.top_k(sims, [F.desc("similarity"), F.asc("word")], k)
 
-
-def n_docs(spark: SparkSession, docs: DataFrame) -> int:
-    return docs.count()

@@ -17,12 +17,12 @@ TAB = "\t"
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user int, item int, rating double): mean quantity a customer bought of a part."""
+    """(user long, item long, rating double): mean quantity a customer bought of a part."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .groupBy(F.col("o_custkey").cast("int").alias("user"),
-                     F.col("l_partkey").cast("int").alias("item"))
+            .groupBy(F.col("o_custkey").cast("long").alias("user"),
+                     F.col("l_partkey").cast("long").alias("item"))
             .agg(F.avg("l_quantity").alias("rating")))
 
 
@@ -32,13 +32,18 @@ def genres(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_values(types, "name", "idx").select("name", F.col("idx").cast("int"))
 
 
+def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id long, title string), for lookups that need no genres."""
+    return read_table(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("id"), F.col("p_name").alias("title"))
+
+
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id int, title string, flags array<string>): a 0/1 flag per genre."""
+    """(id long, title string, flags array<string>): a 0/1 flag per genre."""
     g = genres(spark, sf_dir)
     n = g.count()  # one scalar: the flag width
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     return (part.join(sized_broadcast(g), part.p_type == g.name)  # g: one row per type
-            .select(F.col("p_partkey").cast("int").alias("id"),
+            .select(F.col("p_partkey").cast("long").alias("id"),
                     F.col("p_name").alias("title"),
                     F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
                                 lambda i: F.when(i == F.col("idx"), "1").otherwise("0")).alias("flags")))
@@ -117,7 +122,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- the same fixtures in DuckDB SQL (CTE bodies) ---------------------------
 SQL = {
-    "ratings": """SELECT o.o_custkey::INTEGER AS "user", l.l_partkey::INTEGER AS item,
+    "ratings": """SELECT o.o_custkey::BIGINT AS "user", l.l_partkey::BIGINT AS item,
                          avg(l.l_quantity) AS rating
                   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
                   GROUP BY 1, 2""",
@@ -135,7 +140,7 @@ SQL = {
     "paths": "SELECT page_id, url FROM pages",
     "pairs": "SELECT p_size::VARCHAR AS ID FROM part",
 }
-SQL["items"] = f"""SELECT p.p_partkey::INTEGER AS id, p.p_name AS title,
+SQL["items"] = f"""SELECT p.p_partkey::BIGINT AS id, p.p_name AS title,
        list_transform(range(0, (SELECT count(*) FROM ({SQL['genres']}))),
                       lambda i: CASE WHEN i = g.idx THEN '1' ELSE '0' END) AS flags
 FROM part p JOIN ({SQL['genres']}) g ON p.p_type = g.name"""

@@ -9,7 +9,7 @@ from quarry.operators import relational as rel
 from quarry.operators import shape as sh
 from quarry.plans import fixtures as fx
 from quarry.plans.registry import query, rounded
-from quarry.session import read_table
+from quarry.session import cut_lineage, read_table
 
 W = fx.with_fixtures
 USER = 789  # the user the recommender program inspects
@@ -168,8 +168,11 @@ def rare_keys(spark, sf):
 , rare AS (SELECT tok FROM tokens GROUP BY tok HAVING count(*) < 2)
 SELECT topic, count(*) AS n FROM tokens t WHERE tok NOT IN (SELECT tok FROM rare) GROUP BY topic""", "tokens"))
 def drop_keys(spark, sf):
-    t = fx.tokens(spark, sf)
-    return rel.count_by(sh.drop_keys(t, sh.rare_keys(t, "tok", 2), "tok"), "topic")
+    """Tokens are counted per (topic, token) first, so the text is read once and
+    the anti join sees one row per topic and token."""
+    per = cut_lineage(rel.count_by(fx.tokens(spark, sf), ["topic", "tok"], "c"))
+    rare = per.groupBy("tok").agg(F.sum("c").alias("n")).where("n < 2").select("tok")
+    return sh.drop_keys(per, rare, "tok").groupBy("topic").agg(F.sum("c").alias("n"))
 
 
 # FIXED VALUES: the text the reference tests tokens against is the printed set.
@@ -198,7 +201,7 @@ def lookup_top_k(spark, sf):
     """FLT-11 + SRT-5 + JN-3: one user's 10 best-rated items with titles."""
     r = sh.lookup(fx.ratings(spark, sf), "user", USER)
     best = rel.top_k(r, [F.desc("rating"), F.asc("item")], 10)
-    titles = fx.items(spark, sf).select(F.col("id").alias("item"), "title")
+    titles = fx.titles(spark, sf).withColumnRenamed("id", "item")
     return rounded(rel.join_lookup(best, titles, "item").select("item", "rating", "title"))
 
 
@@ -212,28 +215,29 @@ _BASELINE_SQL = """
 """
 
 
-def baseline_predictions(spark, sf):
+def baseline_predictions(r):
     """A deterministic (user, item) -> predicted rating: mean of the user's
-    and the item's average rating. Used where an exact oracle is needed."""
-    r = fx.ratings(spark, sf)
+    and the item's average rating, next to the rating itself. ``r`` is a
+    materialised ratings table. Used where an exact oracle is needed."""
     um = r.groupBy("user").agg(F.avg("rating").alias("um"))
     im = r.groupBy("item").agg(F.avg("rating").alias("im"))
     return (r.join(um, "user").join(im, "item")
-            .select("user", "item", ((F.col("um") + F.col("im")) / 2).alias("predicted")))
+            .select("user", "item", "rating", ((F.col("um") + F.col("im")) / 2).alias("predicted")))
 
 
 @query("jn01_join_composite", W(_BASELINE_SQL + """
 SELECT r."user", r.item, round(r.rating, 6) AS rating, round(p.predicted, 6) AS predicted
 FROM ratings r JOIN pred p ON r."user" = p."user" AND r.item = p.item""", "ratings"))
 def join_composite(spark, sf):
-    return rounded(rel.join_inner(fx.ratings(spark, sf), baseline_predictions(spark, sf), ["user", "item"]))
+    r = cut_lineage(fx.ratings(spark, sf))  # the base tables are read once
+    return rounded(rel.join_inner(r, baseline_predictions(r).drop("rating"), ["user", "item"]))
 
 
 @query("jn02_join_single", W("""
 SELECT r.item, i.title, count(*) AS n, round(avg(r.rating), 6) AS mean_rating
 FROM ratings r JOIN items i ON r.item = i.id GROUP BY r.item, i.title""", "genres", "ratings", "items"))
 def join_single(spark, sf):
-    it = fx.items(spark, sf).select(F.col("id").alias("item"), "title")
+    it = fx.titles(spark, sf).withColumnRenamed("id", "item")
     j = rel.join_inner(fx.ratings(spark, sf), it, "item")
     return rounded(j.groupBy("item", "title").agg(F.count("*").alias("n"), F.avg("rating").alias("mean_rating")))
 
@@ -359,10 +363,16 @@ def preview(spark, sf):
 _HASH = "(((doc_id % 1000003) * 427799 + {seed}) % 1000003) / 1000003.0"
 
 
-@query("smp01_sample_rows")
+_POISSON_SQL = " + ".join(f"(CASE WHEN u >= {c!r}::DOUBLE THEN 1 ELSE 0 END)" for c in rel.poisson_steps(0.1))
+
+
+@query("smp01_sample_rows", f"""
+SELECT doc_id, topic FROM (SELECT *, unnest(range(0, {_POISSON_SQL})) AS copy FROM (
+  SELECT doc_id, lang AS topic, {_HASH.format(seed=42)} AS u FROM documents))""")
 def sample_rows(spark, sf):
-    """Spark's seeded sampler with replacement (row count only)."""
-    return rel.sample_rows(fx.docs(spark, sf).select("doc_id", "topic"), 0.1, 42)
+    """Seeded Poisson sample with replacement, the same on any cluster."""
+    d = read_table(spark, sf, "documents").select("doc_id", F.col("lang").alias("topic"))
+    return rel.sample_rows(d, 0.1, 42, "doc_id")
 
 
 @query("smp01_pick_by_hash", f"""
@@ -371,10 +381,11 @@ def pick_by_hash(spark, sf):
     return rel.pick_by_hash(fx.docs(spark, sf).select("doc_id", "topic"), "doc_id", 42, ["topic"])
 
 
-@query("smp02_split_rows")
+@query("smp02_split_rows", f"""
+SELECT CASE WHEN {_HASH.format(seed=123)} < 0.6 THEN 'train' ELSE 'test' END AS part, doc_id FROM documents""")
 def split_rows(spark, sf):
-    """Spark's weighted random split (row counts only)."""
-    a, b = rel.split_rows(fx.docs(spark, sf).select("doc_id"), [0.6, 0.4], 123)
+    """Weighted split by key hash, the same on any cluster."""
+    a, b = rel.split_rows(read_table(spark, sf, "documents").select("doc_id"), [0.6, 0.4], 123, "doc_id")
     return a.select(F.lit("train").alias("part"), "doc_id").unionByName(
         b.select(F.lit("test").alias("part"), "doc_id"))
 

@@ -1,4 +1,5 @@
-"""Batch twins of the streaming operators (STR-*), checked against SQL."""
+"""Streaming operators (STR-*): running file streams over the given events, and
+their batch twins, both checked against SQL."""
 
 from __future__ import annotations
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.plans import fixtures as fx
 from quarry.plans.registry import query, rounded
+from quarry.session import scratch_path
 from quarry.streaming import streams as st
 
 W = fx.with_fixtures
@@ -23,6 +25,28 @@ SELECT strftime(tot.w, '%Y-%m-%d %H:%M:%S') AS batch_start, purchases, unique_us
 FROM tot JOIN top ON tot.w = top.w""", "purchases")
 
 
+def _event_stream(spark, sf, files: int = 4):
+    """``events`` as a file stream: written as ``files`` files into the shared
+    folder and read from there, two files per trigger."""
+    path = scratch_path(spark, "events")
+    src = fx.purchases(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    src.repartition(files).write.parquet(path)
+    return spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+
+def _ran(df, output_mode: str, spark):
+    """Run a streaming frame to the end of its input and return its last result.
+    Each batch overwrites the result folder (complete mode) or its own (update)."""
+    out = scratch_path(df.sparkSession, "stream-out")
+    whole = output_mode == "complete"
+
+    def per_batch(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/{'all' if whole else f'batch_id={batch_id}'}")
+
+    st.run_until_idle(st.stream_sink(df, output_mode=output_mode, foreach_batch=per_batch, trigger={"availableNow": True}))
+    return spark.read.parquet(f"{out}/all" if whole else out)
+
+
 @query("str03_purchase_summary", PURCHASE_SUMMARY_SQL)
 def purchase_summary(spark, sf):
     return rounded(st.purchase_summary(fx.purchases(spark, sf), "ts", "1 day"))
@@ -63,6 +87,60 @@ def running_totals(spark, sf):
     return rounded(st.running_totals(fx.purchases(spark, sf)))
 
 
+@query("str01_stream_counts", W("""
+SELECT strftime(time_bucket(INTERVAL 1 hour, ts), '%Y-%m-%d %H:%M:%S') AS batch_start, token, count(*) AS n
+FROM (SELECT ts, unnest(string_split(product, ' ')) AS token FROM purchases) GROUP BY 1, 2""", "purchases"))
+def stream_counts(spark, sf):
+    """STR-1 / STR-7 on a running stream with a watermark."""
+    return _ran(st.stream_token_counts(_event_stream(spark, sf), "product", "ts", "1 hour", "word"), "complete", spark)
+
+
+@query("str02_stream_sliding", W("""
+, b AS (SELECT epoch_us(ts) AS us, product AS token FROM purchases)
+, w AS (SELECT token, (us // 2000000 - k) * 2000000 AS start_us FROM b, range(0, 5) t(k))
+SELECT strftime(make_timestamp(start_us), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(make_timestamp(start_us + 10000000), '%Y-%m-%d %H:%M:%S') AS window_end, token, count(*) AS n
+FROM w GROUP BY start_us, token""", "purchases"))
+def stream_sliding(spark, sf):
+    """STR-2 on a running stream."""
+    return _ran(st.sliding_counts(_event_stream(spark, sf), "product", "ts", "10 seconds", "2 seconds", "word"),
+                "complete", spark)
+
+
+@query("str03_stream_summary", PURCHASE_SUMMARY_SQL)
+def stream_summary(spark, sf):
+    """STR-3 on a running stream: exact daily summaries inside ``foreachBatch``.
+    One trigger takes the whole back-fill, so a day is in one batch."""
+    src = scratch_path(spark, "events")
+    rows = fx.purchases(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows.repartition(4).write.parquet(src)
+    out = scratch_path(spark, "purchase-summary")
+    stream = st.stream_source(spark, "parquet", src, rows.schema)
+    st.run_until_idle(st.purchase_summary_batches(spark, stream, out, trigger={"availableNow": True}, ts="ts"))
+    return rounded(spark.read.parquet(out).drop("batch_id"))
+
+
+_TOTALS_SQL = W("""
+SELECT "user"::VARCHAR AS "user", count(*) AS purchases, round(sum(price), 6) AS revenue FROM purchases GROUP BY "user\"""",
+                "purchases")
+
+
+@query("str04_stream_totals", _TOTALS_SQL)
+def stream_totals(spark, sf):
+    """STR-4 on a running stream (complete mode, several triggers)."""
+    totals = _ran(st.running_totals(_event_stream(spark, sf)), "complete", spark)
+    return rounded(totals.withColumn("user", F.col("user").cast("string")))
+
+
+@query("str05_stream_fold", _TOTALS_SQL)
+def stream_fold(spark, sf):
+    """STR-5 on a running stream: the user-written state carried over the
+    triggers; the last update of each user is its total."""
+    updates = _ran(st.stateful_fold(_event_stream(spark, sf)), "update", spark)
+    last = updates.groupBy("user").agg(F.max(F.struct("batch_id", "purchases", "revenue")).alias("s"))
+    return rounded(last.select("user", "s.purchases", "s.revenue"))
+
+
 @query("str06_parse_events", W("""
 , l AS (SELECT concat_ws(',', "user"::VARCHAR, product, price::VARCHAR) AS value FROM purchases)
 SELECT string_split(value, ',')[1] AS "user", string_split(value, ',')[2] AS product,

@@ -77,9 +77,26 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
                        if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
 
 
+_MODELS: dict = {}
+
+
+def cached_model(spark: SparkSession, key: tuple, build: Callable[[], object]):
+    """A fitted model shared by the queries that need it. It is kept for one
+    session and one state of the data (the newest file times under the path), so
+    changed data is fitted anew."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(key[-1])
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    state = tuple(sorted((str(f.getPath()), f.getModificationTime()) for f in fs.listStatus(path)))
+    full = (spark.sparkContext.applicationId, *key, state)
+    if full not in _MODELS:
+        _MODELS[full] = build()
+    return _MODELS[full]
+
+
 def _load_modules() -> None:
     # Importing the query modules fills QUERIES / ORACLE.
-    from quarry.plans import (q_core, q_text, q_models, q_stream)  # noqa: F401
+    from quarry.plans import (q_core, q_files, q_models, q_stream, q_text)  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -60,10 +60,11 @@ def read_part_files(spark: SparkSession, path: str, n_fields: int = 10) -> DataF
     return df.withColumn("file_path", F.col("_metadata.file_path"))
 
 
-def read_images(spark: SparkSession, path: str) -> DataFrame:
+def read_images(spark: SparkSession, path: str, drop_invalid: bool = False) -> DataFrame:
     """SRC-6: image files -> ``image`` struct (origin, height, width,
-    nChannels, mode, data)."""
-    return spark.read.format("image").option("dropInvalid", True).load(path)
+    nChannels, mode, data). A file that is no image gives a row with size -1,
+    so unreadable inputs can be counted; ``drop_invalid`` leaves them out."""
+    return spark.read.format("image").option("dropInvalid", drop_invalid).load(path)
 
 
 def from_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:

@@ -69,17 +69,25 @@ def stream_sink(df: DataFrame, checkpoint: str | None = None, fmt: str = "consol
     return w
 
 
-def run_until_idle(writer: DataStreamWriter, timeout_s: float = 300.0, available_now: bool = True):
+def run_until_idle(writer: DataStreamWriter, timeout_s: float | None = None, available_now: bool = True):
     """STR-9 for tests/back-fills: start and wait until the input present at
     start is processed. An ``availableNow`` query ends by itself (waiting on
     it, not on "no new data", also works when timeouts keep scheduling
-    no-data batches); other triggers are drained with processAllAvailable."""
+    no-data batches); other triggers are drained with processAllAvailable.
+
+    There is no time limit unless one is given. A query that has not ended by
+    then is stopped and raises ``TimeoutError``: its input was not all read. A
+    failed query raises its own error."""
     q = writer.start()
     try:
         if available_now:
-            q.awaitTermination(timeout_s)
+            ended = q.awaitTermination(timeout_s) if timeout_s is not None else (q.awaitTermination() or True)
+            if not ended:
+                raise TimeoutError(f"the stream was still running after {timeout_s} s; part of its input is unread")
         else:
             q.processAllAvailable()
+        if q.exception() is not None:
+            raise q.exception()
     finally:
         q.stop()
     return q
@@ -110,23 +118,26 @@ def tokens_of(df: DataFrame, col: str, by: str = "word") -> DataFrame:
     return df.select(*keep, F.explode(F.split(F.col(col), sep)).alias("token"))
 
 
+def _timed(df: DataFrame, ts: str, watermark: str | None) -> DataFrame:
+    """A stream's event-time column gets its watermark (batches need none)."""
+    return df.withWatermark(ts, watermark) if watermark and df.isStreaming else df
+
+
 def stream_token_counts(df: DataFrame, col: str, ts: str, every: str = "1 second",
-                        by: str = "word") -> DataFrame:
-    """STR-1: token counts per tumbling interval."""
-    t = tokens_of(df.select(col, ts), col, by)
+                        by: str = "word", watermark: str | None = "1 minute") -> DataFrame:
+    """STR-1: token counts per tumbling interval. On a stream the watermark
+    closes intervals, so their state is dropped and append mode works."""
+    t = tokens_of(_timed(df.select(col, ts), ts, watermark), col, by)
     return (t.groupBy(F.window(ts, every).alias("w"), "token")
             .agg(F.count("*").alias("n"))
             .select(fmt_batch_time(F.col("w.start")).alias("batch_start"), "token", "n"))
 
 
 def sliding_counts(df: DataFrame, col: str, ts: str, length: str = "10 seconds",
-                   slide: str = "2 seconds", by: str = "word", watermark: str | None = None) -> DataFrame:
+                   slide: str = "2 seconds", by: str = "word", watermark: str | None = "1 minute") -> DataFrame:
     """STR-2: counts over a sliding window (each row adds to length/slide
     windows). Windows whose count would be 0 never appear."""
-    src = df.select(col, ts)
-    if watermark and df.isStreaming:
-        src = src.withWatermark(ts, watermark)
-    t = tokens_of(src, col, by)
+    t = tokens_of(_timed(df.select(col, ts), ts, watermark), col, by)
     return (t.groupBy(F.window(ts, length, slide).alias("w"), "token")
             .agg(F.count("*").alias("n"))
             .select(fmt_batch_time(F.col("w.start")).alias("window_start"),
@@ -160,21 +171,27 @@ def purchase_windows(df: DataFrame, ts: str = "ts", every: str = "10 seconds",
     approximate unique users (exact distinct counts are not allowed on a
     stream; the per-batch exact form is ``purchase_summary_batches``). The
     watermark closes windows so their state is dropped."""
-    src = df.withWatermark(ts, watermark) if (watermark and df.isStreaming) else df
+    src = _timed(df, ts, watermark)
     return (src.groupBy(F.window(ts, every).alias("w"))
             .agg(F.count("*").alias("purchases"), F.approx_count_distinct("user").alias("unique_users"),
                  F.sum("price").alias("revenue"))
             .select(fmt_batch_time(F.col("w.start")).alias("batch_start"), "purchases", "unique_users", "revenue"))
 
 
-def purchase_summary_batches(spark: SparkSession, source: DataFrame, sink_table: str,
-                             checkpoint: str | None = None, trigger: dict | None = None):
+def purchase_summary_batches(spark: SparkSession, source: DataFrame, path: str,
+                             checkpoint: str | None = None, trigger: dict | None = None,
+                             ts: str | None = None, every: str = "1 day"):
     """STR-3 on a stream: each micro-batch is summarised exactly (distinct
-    users need the whole batch) inside ``foreachBatch`` and appended to a
-    table, with the batch id as the batch time key."""
+    users need the whole batch) inside ``foreachBatch`` into the Parquet folder
+    ``path``, which all executors share. A batch overwrites its own folder
+    ``batch_id=<id>``, so a batch that runs again is not counted twice. With
+    ``ts`` the batch is summarised per interval."""
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        s = purchase_summary(batch, ts=None).withColumn("batch_id", F.lit(batch_id))
-        s.write.mode("append").saveAsTable(sink_table)
+        batch = batch.persist()  # read for the totals and for the top product
+        try:
+            purchase_summary(batch, ts=ts, every=every).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return stream_sink(source, checkpoint, foreach_batch=per_batch, trigger=trigger)
 

@@ -36,17 +36,14 @@ def test_weighted_f1_matches_library(spark):
     assert math.isclose(ev.accuracy(df, "prediction").first()[0], 5 / 8)
 
 
-def _ap(actual, predicted, k):
-    # the reference definition, on plain lists
-    score, hits = 0.0, 0.0
-    for i, p in enumerate(predicted[:k]):
-        if p in actual:
-            hits += 1
-            score += hits / (i + 1)
-    return 1.0 if not actual else score / min(len(actual), k)
+# Worked by hand: user 1 has hits at places 2 and 5, user 2 nothing to find,
+# user 3 hits at places 1 and 2.
+HAND_AP = {2: {1: (1 / 2) / 2, 2: 1.0, 3: (1 / 1 + 2 / 2) / 2},
+           3: {1: (1 / 2) / 3, 2: 1.0, 3: (1 / 1 + 2 / 2) / 3},
+           10: {1: (1 / 2 + 2 / 5) / 3, 2: 1.0, 3: (1 / 1 + 2 / 2) / 4}}
 
 
-def test_average_precision_matches_definition(spark):
+def test_average_precision_by_hand(spark):
     predicted = {1: [5, 3, 9, 1, 7], 2: [2, 4, 6], 3: [8, 1]}
     actual = {1: [3, 7, 11], 2: [], 3: [8, 1, 2, 4]}
     prows = [(u, it, i + 1) for u, lst in predicted.items() for i, it in enumerate(lst)]
@@ -56,7 +53,24 @@ def test_average_precision_matches_definition(spark):
     for k in (2, 3, 10):
         got = {r["user"]: r["ap"] for r in ev.average_precision(p, a, k).collect()}
         for u in predicted:
-            assert math.isclose(got[u], _ap(actual[u], predicted[u], k)), (u, k)
+            assert math.isclose(got[u], HAND_AP[k][u]), (u, k)
+
+
+def test_map_at_several_cuts_equals_one_by_one(spark):
+    ranked = spark.createDataFrame([(it, i + 1) for i, it in enumerate([4, 2, 9, 1, 3, 7, 5])], "item int, pos long")
+    a = spark.createDataFrame([(1, 2), (1, 5), (2, 9), (2, 4), (2, 1), (3, 99)], "user int, item int")
+    got = {r["k"]: r["map"] for r in ev.mean_average_precision(a, ranked, [2, 6]).collect()}
+    for k in (2, 6):
+        one = ev.map_at_k(ev.average_precision_shared_list(a, ranked, k)).first()[0]
+        assert math.isclose(got[k], one)
+
+
+def test_auc_with_counts_beyond_a_long_product(spark):
+    df = spark.createDataFrame([(1.0, 0.0), (2.0, 1.0)], "score double, label double")
+    per = ev.ranking_metrics(df, "score").first()
+    assert per["roc_auc"] == 1.0 and per["pr_auc"] == 1.0
+    big = spark.sql("SELECT 6000000000L AS n").select((F.col("n").cast("double") * F.col("n").cast("double")).alias("x"))
+    assert big.first()[0] > 2 ** 63
 
 
 def test_map_full_matches_ranking_evaluator(spark):

@@ -31,35 +31,36 @@ def test_wcss_falls_with_k(spark):
 
 def test_svd_and_pca(spark):
     v = rd.centre(rd.to_vectors(fx.vectors(spark, SF_SMALL), "embedding"), "features", "c")
-    u, s, vt = rd.svd(v, 5, "c")
+    s, vt = rd.svd(v, 5, "c")
     assert all(a >= b for a, b in zip(s, s[1:]))
     assert np.allclose(vt.T @ vt, np.eye(5), atol=1e-8)
     model, proj = rd.pca(v, 5, "c")
     from pyspark.ml.functions import vector_to_array
-    p = proj.select(vector_to_array("pca").alias("p")).collect()
-    q = rd.project(u, s).collect()
-    pairs = spark.createDataFrame([(list(a["p"]), list(b["projected"])) for a, b in zip(p, q)],
-                                  "a array<double>, b array<double>")
+    pairs = rd.project(proj, vt, "c").select("vec_id", vector_to_array("pca").alias("a"), F.col("projected").alias("b"))
+    assert pairs.select("vec_id").distinct().count() == v.count()
     assert pairs.where(~approx_equal("a", "b", 1e-6)).count() == 0
 
 
 def test_als_beats_mean_baseline(spark):
     r = fx.ratings(spark, SF_SMALL)
-    m = rc.fit_als(r, rank=10, max_iter=10, reg=0.1)
-    pred = rc.predict_pairs(m, r)
+    m = rc.Recommender(r, rank=10, max_iter=10, reg=0.1)
+    pred = m.predict(r)
     rmse = math.sqrt(pred.agg(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2))).first()[0])
     mean = r.agg(F.avg("rating")).first()[0]
     base = math.sqrt(r.agg(F.avg(F.pow(F.col("rating") - F.lit(mean), 2))).first()[0])
     assert rmse < base
-    recs = rc.recommend_all(m, 5)
+    recs = m.top_all(5)
     assert recs.groupBy("user").count().where("count > 5").count() == 0
 
 
 def test_similar_items_skips_self(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, [0.0, 1.0]), (4, [1.0, 0.05])],
                               "id int, features array<double>")
-    got = [r["id"] for r in rc.similar_items(v, 1, 2, 1).collect()]
+    got = [r["id"] for r in rc.similar_items(v, 1, 2).collect()]
     assert got == [4, 2]
+    # an equal vector of another item is the best neighbour, never the item itself
+    twin = v.union(spark.createDataFrame([(0, [0.9, 0.1])], "id int, features array<double>"))
+    assert [r["id"] for r in rc.similar_items(twin, 2, 2).collect()] == [0, 4]
 
 
 def test_libsvm_svm_raw_scores_auc(spark, tmp_dir):
@@ -77,7 +78,7 @@ def test_libsvm_svm_raw_scores_auc(spark, tmp_dir):
     data.write.format("libsvm").save(out)
     back = read_libsvm(spark, out, 64)
     assert back.count() == data.count()
-    train, test = split_rows(back, [0.6, 0.4], 11)
+    train, test = split_rows(back.withColumn("key", F.monotonically_increasing_id()), [0.6, 0.4], 11, "key")
     model = cl.fit(train, cl.svm(100))
     from pyspark.ml.functions import vector_to_array
     scores = model.transform(test).select("label", vector_to_array("rawPrediction")[1].alias("score"))
@@ -87,8 +88,7 @@ def test_libsvm_svm_raw_scores_auc(spark, tmp_dir):
 
 def test_nearest_words_exact_matches_library(spark):
     from quarry.operators import text as tx
-    toks = tx.term_stats(fx.tokens(spark, SF_SMALL))
-    arrays = tx.doc_token_arrays(toks)
+    arrays = tx.doc_token_arrays(fx.docs(spark, SF_SMALL), tx.term_stats(fx.tokens(spark, SF_SMALL)))
     m = tx.word_vectors(arrays, size=20, min_count=2)
     word = m.getVectors().orderBy("word").first()["word"]
     lib = {r["word"] for r in tx.nearest_words(m, word, 5).collect()}
@@ -96,6 +96,29 @@ def test_nearest_words_exact_matches_library(spark):
     assert len(lib & exact) >= 4
 
 
+def test_token_arrays_keep_text_order(spark):
+    """The tokens fed to the model are the filtered text, in order."""
+    from quarry.operators import text as tx
+    docs = spark.createDataFrame([(1, "alpha beta gamma Alpha the beta, gamma alpha"), (2, "beta x9 gamma delta alpha")],
+                                 "doc_id long, text string").repartition(2)
+    kept = tx.term_stats(tx.tokens_word(docs))
+    got = {r["doc_id"]: r["tokens"] for r in tx.doc_token_arrays(docs, kept).collect()}
+    assert got == {1: "alpha beta gamma alpha beta gamma alpha".split(), 2: "beta gamma alpha".split()}
+
+
+def test_recommender_keeps_64bit_ids(spark):
+    big = 10 ** 12
+    r = spark.createDataFrame([(big + u, 2 * big + i, float((u * i) % 5 + 1)) for u in range(6) for i in range(5)],
+                              "user long, item long, rating double")
+    m = rc.Recommender(r, rank=2, max_iter=3, reg=0.1)
+    users, items = m.factors()
+    assert {x["id"] for x in users.collect()} == {big + u for u in range(6)}
+    assert {x["id"] for x in items.collect()} == {2 * big + i for i in range(5)}
+    assert m.predict(r).count() == 30
+    top = m.top(spark.createDataFrame([(big + 1,)], "user long"), 3).collect()
+    assert len(top) == 3 and all(x["item"] >= 2 * big for x in top)
+
+
 def test_dense_ids_for_64bit_keys(spark):
     big = 10 ** 12
     r = spark.createDataFrame([(big + u, big * 2 + i, float(u + i)) for u in range(5) for i in range(4)],

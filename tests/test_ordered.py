@@ -28,13 +28,24 @@ def test_rank_within_groups_hot_key(spark):
     # group 0 holds a third of the rows
     rows = [(0 if i % 3 == 0 else i % 17, i, (i * 31) % 101) for i in range(3000)]
     df = spark.createDataFrame(rows, "g int, id int, s int")
-    out = rank_within_groups(df, ["g"], [F.desc("s"), F.asc("id")], "r", num_partitions=8).toPandas()
+    out = rank_within_groups(df, ["g"], [F.desc("s"), F.asc("id")], "r", num_partitions=8, hot_rows=500).toPandas()
+    plain = rank_within_groups(df, ["g"], [F.desc("s"), F.asc("id")], "r").toPandas()
+    key = ["g", "id"]
+    assert out.sort_values(key)["r"].tolist() == plain.sort_values(key)["r"].tolist()
     p = pd.DataFrame(rows, columns=["g", "id", "s"]).sort_values(["g", "s", "id"], ascending=[True, False, True])
     p["r"] = p.groupby("g").cumcount() + 1
     m = out.merge(p, on=["g", "id", "s"], suffixes=("", "_exp"))
     assert len(m) == 3000 and (m["r"] == m["r_exp"]).all()
 
 
+def test_rank_keeps_a_hot_null_group(spark):
+    df = spark.createDataFrame([(None if i % 2 else i % 5, i) for i in range(400)], "g int, id int")
+    out = rank_within_groups(df, ["g"], ["id"], "r", num_partitions=6, hot_rows=100).toPandas()
+    assert len(out) == 400
+    hot = out[out["g"].isna()].sort_values("id")
+    assert hot["r"].tolist() == list(range(1, 201))
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "k int, w int")
     assert prefix_sums(df, ["k"], ["w"]).count() == 0

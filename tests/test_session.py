@@ -7,6 +7,29 @@ def _has_hint(df):
     return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
 
 
+class _Cluster:
+    """Just enough of a session: a cluster master without a checkpoint folder."""
+    class sparkContext:  # noqa: N801
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class conf:  # noqa: N801
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+
+def test_checkpoint_folder_is_required_off_local():
+    import pytest
+
+    from quarry.session import ensure_checkpoint_dir
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(_Cluster)
+
+
 def test_sized_broadcast_only_below_limit(spark):
     small = spark.range(0, 10)
     assert estimated_bytes(small) is not None

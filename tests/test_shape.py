@@ -52,6 +52,8 @@ def test_decode_flags_in_flag_order(spark):
     look = spark.createDataFrame([("Action", 0), ("Comedy", 1), ("Drama", 2)], "name string, idx int")
     got = {r["id"]: r["genres"] for r in sh.decode_flags(items, look).collect()}
     assert got == {1: "Comedy Drama", 2: ""}
+    untitled = spark.createDataFrame([(3, None, ["1", "0", "1"]), (4, "t", None)], items.schema)
+    assert {r["id"]: r["genres"] for r in sh.decode_flags(untitled, look).collect()} == {3: "Action Drama", 4: ""}
 
 
 def test_vector_functions(spark):

@@ -67,7 +67,10 @@ def test_images_to_pixels(spark, tmp_dir):
     os.makedirs(os.path.join(tmp_dir, "p1"))
     _png(os.path.join(tmp_dir, "p1", "a.png"), 8, 6, 200)
     _png(os.path.join(tmp_dir, "p1", "b.png"), 4, 4, 10)
-    imgs = rd.read_images(spark, tmp_dir + "/*/*")
+    with open(os.path.join(tmp_dir, "p1", "broken.png"), "wb") as f:
+        f.write(b"no image")
+    assert rd.read_images(spark, tmp_dir + "/*/*").where(F.col("image.height") < 0).count() == 1
+    imgs = rd.read_images(spark, tmp_dir + "/*/*", drop_invalid=True)
     px = {os.path.basename(r["origin"]): r["pixels"] for r in pixel_vectors(imgs, 5, 5).collect()}
     assert len(px["a.png"]) == 25 and set(px["a.png"]) == {200.0} and set(px["b.png"]) == {10.0}
 

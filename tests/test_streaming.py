@@ -52,14 +52,18 @@ def test_running_totals_complete_and_restart(spark, tmp_dir):
 def test_purchase_summary_per_batch(spark, tmp_dir):
     src = os.path.join(tmp_dir, "in")
     ev, days = _event_files(spark, src)
-    table = "summary_" + os.path.basename(tmp_dir).replace("-", "_")
-    w = st.purchase_summary_batches(spark, _stream(spark, src), table, os.path.join(tmp_dir, "ck"),
+    path = os.path.join(tmp_dir, "summary")
+    w = st.purchase_summary_batches(spark, _stream(spark, src), path, os.path.join(tmp_dir, "ck"),
                                     trigger={"availableNow": True})
     st.run_until_idle(w)
-    out = spark.table(table)
+    out = spark.read.parquet(path)
     assert out.agg(F.sum("purchases")).first()[0] == ev.count()
     assert out.where(F.col("top_count") > F.col("purchases")).count() == 0
     assert out.count() >= 1
+    # the same input once more under a fresh checkpoint: batches overwrite themselves
+    st.run_until_idle(st.purchase_summary_batches(spark, _stream(spark, src), path, os.path.join(tmp_dir, "ck2"),
+                                                  trigger={"availableNow": True}))
+    assert spark.read.parquet(path).agg(F.sum("purchases")).first()[0] == ev.count()
 
 
 def test_stateful_fold_equals_totals(spark, tmp_dir):
@@ -99,6 +103,29 @@ def test_text_stream_parse(spark, tmp_dir):
     assert spark.table("parsed").where(F.col("price").isNull()).count() == 0
 
 
+def test_slow_stream_raises(spark, tmp_dir):
+    import pytest
+    src = os.path.join(tmp_dir, "in")
+    _event_files(spark, src)
+
+    def slow(batch, batch_id):
+        time.sleep(6)
+
+    w = st.stream_sink(_stream(spark, src), os.path.join(tmp_dir, "ck"), foreach_batch=slow, trigger={"availableNow": True})
+    with pytest.raises(TimeoutError):
+        st.run_until_idle(w, timeout_s=1)
+
+
+def test_token_counts_append_with_default_watermark(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    ev, _ = _event_files(spark, src)
+    q = st.stream_token_counts(_stream(spark, src), "product", "ts", "1 hour")
+    w = st.stream_sink(q, os.path.join(tmp_dir, "ck"), fmt="memory", output_mode="append", query_name="tc",
+                       trigger={"availableNow": True})
+    st.run_until_idle(w)
+    assert spark.table("tc").count() > 0
+
+
 def test_kafka_options_shape():
     o = st.kafka_options("host:9092", ["a", "b"])
     assert o == {"kafka.bootstrap.servers": "host:9092", "subscribe": "a,b"}
