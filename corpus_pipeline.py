@@ -15,7 +15,7 @@ from quarry.llm.common import table, written
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and texts without a language of their own
-    (less than half of the letters in the best one)."""
+    (less than a third of the letters in the best one)."""
     return language_crf.keep_identified(docs)
 
 

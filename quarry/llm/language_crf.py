@@ -27,7 +27,7 @@ SAMPLE_CHARS = 3000     # characters of each of them
 SEQUENCES, SPAN, LENGTH = 900, (2, 25), 60   # code-switched training sequences
 EPOCHS, RATE, DECAY = 60, 0.25, 1e-4
 LEXICON_COUNT, LEXICON_SHARE = 3, 0.9
-MIN_SCORE = 0.5
+MIN_SCORE = 1 / 3         # a text with its letters spread evenly over many languages has none
 FOLDS = 5
 UNKNOWN = "und"
 FIELDS = "lang_pred string, score double, n_words long, n_switches long"
@@ -359,7 +359,7 @@ def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
 def keep_identified(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
                     min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``df`` with a language that most of their letters are in. If no
+    """The rows of ``df`` with a language that at least ``min_score`` of their letters are in. If no
     row is labelled there is nothing to learn and only texts without a letter go."""
     model = fit(df, key, text, lang)
     got, names = annotate(df, model, text)
