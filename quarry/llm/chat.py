@@ -148,10 +148,11 @@ PROBE = (-7, r"\### Assistant: </turn> ok")
 
 def with_probe(conversations: DataFrame) -> DataFrame:
     """All conversations plus conversation -7, whose texts hold control strings."""
-    spark = conversations.sparkSession
     cid, text = PROBE
-    extra = spark.createDataFrame([(cid, 0, "user", text), (cid, 1, "assistant", text)],
-                                  "conv_id long, turn long, role string, text string")
+    turns = F.array(*[F.struct(F.lit(cid).cast("long").alias("conv_id"), F.lit(i).cast("long").alias("turn"),
+                               F.lit(role).alias("role"), F.lit(text).alias("text"))
+                      for i, role in enumerate(("user", "assistant"))])
+    extra = conversations.sparkSession.range(1).select(F.inline(turns))
     return conversations.select("conv_id", "turn", "role", "text").unionByName(extra)
 
 

@@ -94,7 +94,8 @@ def digest(c: Column) -> Column:
 def known_digests(spark: SparkSession, known=None) -> DataFrame:
     """(digest, license_id) of the known texts."""
     rows = known if known is not None else KNOWN
-    df = spark.createDataFrame(rows, "license_id string, kind string, body string")
+    known_rows = F.array(*[F.struct(F.lit(i).alias("license_id"), F.lit(b).alias("body")) for i, _, b in rows])
+    df = spark.range(1).select(F.inline(known_rows))
     return df.select(digest(whole_form(canonical(F.col("body")))).alias("digest"), "license_id") \
              .groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
