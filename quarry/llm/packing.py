@@ -8,6 +8,7 @@ one node is left.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import zlib
@@ -28,22 +29,46 @@ ITEMS = 50_000                    # pieces of a first-round partition
 FAN_IN = 4                        # partitions merged by a node
 CARRY = 4096                      # underfull bins a node hands on; fuller ones beyond are emitted
 CACHE = 1_000_000                 # words remembered by a worker
-
-# White space and the split before the merges, as the byte-level tokenizer defines them.
-_BLANK = r"\t-\r \x85\xa0  -     　"
-_SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?{letter}+| ?{digit}+| ?[^{blank}{inside}]+|[{blank}]+(?![^{blank}])|[{blank}]+")
-SPLIT_ANY = regex.compile(_SPLIT.format(letter=r"\p{L}", digit=r"\p{N}", blank=_BLANK, inside=r"\p{L}\p{N}"))
-SPLIT_ASCII = re.compile(_SPLIT.format(letter="[A-Za-z]", digit="[0-9]", blank=r"\t-\r ", inside="A-Za-z0-9"))
+JOINED = 2000                     # new words encoded as one text
+BLANK_BYTE = "\u0120"             # how a byte-level vocabulary writes a blank
+
+# White space and the split before the merges, as the byte-level tokenizer defines
+# them. The commonest alternative (letters) comes first; it shares no first
+# character with the contractions, so the order of the two is free. Texts of
+# plain ASCII or of Latin-1 characters take a pattern with the classes spelled out.
+_SPLIT = r" ?[{letter}]+|'(?:[stmd]|re|ve|ll)| ?[{digit}]+| ?[^{blank}{letter}{digit}]+|[{blank}]+(?![^{blank}])|[{blank}]+"
+_BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPLIT_ANY = regex.compile(_SPLIT.format(letter=r"\p{L}", digit=r"\p{N}", blank=_BLANK))
+SPLIT_LATIN = re.compile(_SPLIT.format(letter=r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff",
+                                       digit=r"0-9\xb2\xb3\xb9\xbc-\xbe", blank=r"\t-\r \x85\xa0"))
+SPLIT_ASCII = re.compile(_SPLIT.format(letter="A-Za-z", digit="0-9", blank=r"\t-\r "))
 
 _loaded: dict[str, "WordEncoder"] = {}
 
 
+def _flat(encodings: list) -> np.ndarray:
+    return np.fromiter(itertools.chain.from_iterable(e.ids for e in encodings), dtype=np.uint32)
+
+
+class _Codes(dict):
+    """Word -> running number; words asked for the first time are listed."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = len(self)
+        self.new.append(word)
+        return code
+
+
 class WordEncoder:
     """The tokenizer's ids, computed once per distinct word.
 
     A byte-level BPE merges within the words its pattern splits off, so a text's
     ids are its words' ids. Texts that name a special token go through the
-    tokenizer whole."""
+    tokenizer whole. The ids of all known words lie in one table."""
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
@@ -54,13 +79,55 @@ class WordEncoder:
             path = public_tokenizers.path(tokenizer)
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.known: dict[str, np.ndarray] = {}
+        vocab = self.tok.get_vocab()
+        self.opens = np.zeros(max(vocab.values()) + 1, dtype=bool)  # ids that begin with a blank
+        self.opens[[i for t, i in vocab.items() if t.startswith(BLANK_BYTE)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes = _Codes()
+        self.table = np.zeros(0, dtype=np.uint32)
+        self.first = np.zeros(0, dtype=np.int64)
+        self.size = np.zeros(0, dtype=np.int64)
+
+    def _learn(self) -> None:
+        """Ids of the new words. Words of a blank and letters are encoded many at a
+        time, one after the other: the pattern splits exactly these words off
+        again, and an id that begins with a blank begins the next word."""
+        new, self.codes.new = self.codes.new, []
+        if not new:
+            return
+        plain = [i for i, w in enumerate(new) if w[0] == " " and w[1:].isalpha()]
+        is_plain = np.zeros(len(new), dtype=bool)
+        is_plain[plain] = True
+        rest = np.flatnonzero(~is_plain).tolist()
+        texts = ["".join([new[i] for i in plain[k:k + JOINED]]) for k in range(0, len(plain), JOINED)]
+        size = np.zeros(len(new), dtype=np.int64)
+        flat = _flat(self.tok.encode_batch_fast(texts, add_special_tokens=False))
+        heads = np.flatnonzero(self.opens[flat])
+        size[is_plain] = np.diff(np.append(heads, len(flat)))
+        single = self.tok.encode_batch_fast([new[i] for i in rest], add_special_tokens=False)
+        size[rest] = [len(e) for e in single]
+        first = np.empty(len(new), dtype=np.int64)
+        first[is_plain] = heads
+        first[rest] = len(flat) + np.cumsum(size[rest]) - size[rest]
+        self.first = np.concatenate([self.first, len(self.table) + first])
+        self.size = np.concatenate([self.size, size])
+        self.table = np.concatenate([self.table, flat, _flat(single)])
 
     def words(self, t: str) -> list[str]:
-        return (SPLIT_ASCII if t.isascii() else SPLIT_ANY).findall(t)
+        if t.isascii():
+            return SPLIT_ASCII.findall(t)
+        try:
+            t.encode("latin-1")
+        except UnicodeEncodeError:
+            return SPLIT_ANY.findall(t)
+        return SPLIT_LATIN.findall(t)
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and their number per text."""
+        if len(self.codes) > CACHE:
+            self._forget()
         words: list[str] = []
         count = np.zeros(len(texts), dtype=np.int64)
         whole: dict[int, np.ndarray] = {}
@@ -73,19 +140,11 @@ class WordEncoder:
             w = self.words(t)
             words += w
             count[i] = len(w)
-        code, uniq = pd.factorize(np.array([*words, None], dtype=object)[:-1])
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = [w for w in uniq if w not in self.known]
-        for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, dtype=np.uint32)
-        parts = [self.known[w] for w in uniq]
-        size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        table = np.concatenate([np.zeros(0, np.uint32), *parts])
-        first = np.cumsum(size) - size
-        length = size[code]
+        code = np.fromiter(map(self.codes.__getitem__, words), dtype=np.int64, count=len(words))
+        self._learn()
+        length = self.size[code]
         at = np.cumsum(length) - length
-        ids = table[np.arange(int(length.sum())) + np.repeat(first[code] - at, length)]
+        ids = self.table[np.arange(int(length.sum())) + np.repeat(self.first[code] - at, length)]
         doc = np.repeat(np.arange(len(texts)), count)
         n = np.bincount(doc, weights=length, minlength=len(texts)).astype(np.int64)
         if whole:
