@@ -1,5 +1,5 @@
-"""Scalar column functions (SURVEY FN-*): all JVM-side expressions, so they
-stay inside whole-stage codegen. Vectors are ``array<double>`` columns; use
+"""Scalar column functions (SURVEY FN-*): all JVM-side expressions, which
+keep rows inside the JVM (array lambdas are interpreted, not part of whole-stage codegen). Vectors are ``array<double>`` columns; use
 ``pyspark.ml.functions.array_to_vector`` at the boundary to ``pyspark.ml``.
 """
 

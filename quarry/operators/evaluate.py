@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.ordered import prefix_sums, rank_within_groups
+from quarry.operators.relational import running_sum
 from quarry.session import sized_broadcast
 
 
@@ -122,8 +123,7 @@ def average_precision(predicted: DataFrame, actual: DataFrame, k: int, user: str
     """
     pred = predicted.where(F.col(pos) <= k).select(user, item, pos)
     hits = pred.join(actual.select(user, item), [user, item])
-    w = Window.partitionBy(user).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hits = hits.withColumn("_h", F.count("*").over(w))  # <= k rows per user
+    hits = running_sum(hits.withColumn("_one", F.lit(1)), user, [pos], "_one", "_h")  # <= k rows per user
     per_user = hits.groupBy(user).agg(F.sum(F.col("_h") / F.col(pos)).alias("_score"))
     sizes = actual.groupBy(user).agg(F.count("*").alias("_na"))
     pop = (users if users is not None else predicted.select(user)).distinct()

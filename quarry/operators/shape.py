@@ -27,7 +27,7 @@ def take_fields(df: DataFrame, col: str, sep: str, n: int, names: list[str] | No
 
 def cast_fields(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """PRJ-2: typed casts that give NULL instead of failing (ANSI mode)."""
-    return df.select(*[F.expr(f"try_cast(`{c}` AS {t})").alias(c) if c in types else F.col(c)
+    return df.select(*[F.expr(f"try_cast(`{c}` AS {types[c]})").alias(c) if c in types else F.col(c)
                        for c in df.columns])
 
 

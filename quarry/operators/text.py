@@ -23,14 +23,14 @@ HASH_DIM = 1 << 18
 def tokens_space(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """TXT-1: whitespace tokens, lower-cased (empties kept, as split gives them)."""
     keep = keep or ["doc_id"]
-    return docs.select(*keep, F.explode(F.split(text, " ")).alias("tok")).withColumn("tok", F.lower("tok"))
+    return sh.explode_tokens(docs, text, " ", "tok", keep).withColumn("tok", F.lower("tok"))
 
 
 def tokens_word(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """TXT-2: tokens between runs of non-word characters, lower-cased; the
     empty leading token of a split is dropped."""
     keep = keep or ["doc_id"]
-    t = docs.select(*keep, F.explode(F.split(text, r"\W+")).alias("tok")).where(F.col("tok") != "")
+    t = sh.explode_tokens(docs, text, r"\W+", "tok", keep).where(F.col("tok") != "")
     return t.withColumn("tok", F.lower("tok"))
 
 

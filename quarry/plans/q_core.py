@@ -38,8 +38,8 @@ _PARSE_SQL = """
 SELECT id::BIGINT AS doc_id, category, round(nums[1], 6) AS n_chars, round(nums[2], 6) AS n_words,
        round(nums[3], 6) AS toxic, len(nums)::BIGINT AS n_nums, label FROM p""", "labelled", "raw_rows"))
 def parse_labelled(spark, sf):
-    p = sh.parse_labelled(fx.raw_rows(spark, sf))
-    return rounded(p.select(F.col("id").cast("long").alias("doc_id"), "category",
+    p = sh.cast_fields(sh.parse_labelled(fx.raw_rows(spark, sf)), {"id": "long"})
+    return rounded(p.select(F.col("id").alias("doc_id"), "category",
                             F.col("nums")[0].alias("n_chars"), F.col("nums")[1].alias("n_words"),
                             F.col("nums")[2].alias("toxic"), F.size("nums").cast("long").alias("n_nums"),
                             "label"))

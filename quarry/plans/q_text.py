@@ -13,6 +13,7 @@ from quarry.plans import fixtures as fx
 from quarry.plans.q_core import _STOP_SQL
 from quarry.plans.registry import cached_model, query, rounded
 from quarry.session import cut_lineage
+from quarry.sources.readers import from_rows
 
 W = fx.with_fixtures
 ANCHOR = "en"
@@ -107,7 +108,7 @@ SELECT w.list, w.tok, round(ln(((SELECT n FROM nd) + 1) / (coalesce(df.df, 0) +
 FROM words w LEFT JOIN df ON w.tok = df.tok""", "tokens"))
 def weigh_terms(spark, sf):
     n = fx.docs(spark, sf).count()
-    words = spark.createDataFrame(WORD_LISTS, "list string, tok string")
+    words = from_rows(spark, WORD_LISTS, "list string, tok string")
     listed = fx.tokens(spark, sf).where(F.col("tok").isin([w for _, w in WORD_LISTS]))  # six words, before any shuffle
     df = tx.term_stats(listed).groupBy("tok").agg(F.max("df").alias("df"))
     return rounded(tx.weigh_terms(words, df, n))
