@@ -39,7 +39,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def regroup(batches: Iterable[pd.DataFrame], column: str, budget: int = 4_000_000) -> Iterator[pd.DataFrame]:
+def regroup(batches: Iterable[pd.DataFrame], column: str, budget: int = 1_000_000) -> Iterator[pd.DataFrame]:
     """Join consecutive batches until their texts reach ``budget`` characters."""
     held: list[pd.DataFrame] = []
     size = 0
@@ -157,7 +157,7 @@ def free_name(taken: Iterable[str], name: str) -> str:
 
 
 def with_results(df: DataFrame, text: str, fn: Callable[[list], dict[str, np.ndarray]], fields: str,
-                 budget: int = 4_000_000) -> tuple[DataFrame, dict[str, str]]:
+                 budget: int = 1_000_000) -> tuple[DataFrame, dict[str, str]]:
     """Append what ``fn(texts)`` computes for each row to all columns of ``df``.
 
     Arrow batches are joined up to ``budget`` bytes, ``fn`` gets their texts as a

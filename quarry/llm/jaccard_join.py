@@ -144,7 +144,7 @@ def _children(path: np.ndarray, sig: np.ndarray, similarity: float) -> tuple[np.
 def _digest_map(text: str, key: str, shingle: int):
     """Set digest, size and signature of each text."""
     def run(batches):
-        for pdf in regroup(batches, text, 2_000_000):
+        for pdf in regroup(batches, text):
             h, n = shingle_sets(pdf[text].tolist(), shingle)
             sig = signatures(h, n)
             row = np.cumsum(n > 0) - 1

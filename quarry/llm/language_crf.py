@@ -333,7 +333,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
 
 def annotate(df: DataFrame, model: Crf | None, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
     """All columns of ``df`` and the prediction for each text."""
-    return with_results(df, text, lambda texts: predict(model, texts), FIELDS, budget=3_000_000)
+    return with_results(df, text, lambda texts: predict(model, texts), FIELDS)
 
 
 def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",

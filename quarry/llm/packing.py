@@ -28,7 +28,7 @@ FULL = 8                          # a bin with no more free places is emitted at
 ITEMS = 50_000                    # pieces of a first-round partition
 FAN_IN = 4                        # partitions merged by a node
 CARRY = 4096                      # underfull bins a node hands on; fuller ones beyond are emitted
-CACHE = 1_000_000                 # words remembered by a worker
+CACHE = 400_000                   # words remembered by a worker
 JOINED = 2000                     # new words encoded as one text
 BLANK_BYTE = "\u0120"             # how a byte-level vocabulary writes a blank
 
@@ -163,7 +163,7 @@ def encoder(tokenizer: str) -> WordEncoder:
 def _pieces(tokenizer: str, capacity: int):
     def run(batches):
         enc = encoder(tokenizer)
-        for pdf in regroup(batches, "text", 2_000_000):
+        for pdf in regroup(batches, "text"):
             ids, n = enc.encode(pdf["text"].tolist())
             doc, piece, start, length, crc = [], [], [], [], []
             at = 0

@@ -21,7 +21,7 @@ from quarry.llm.common import with_results
 MODEL = "piece_bpe_32k.model"   # a file, or a name that public_tokenizers knows
 MARK = "▁"                      # stands for a blank
 THREADS = 2
-CACHE = 1_000_000               # units remembered by a worker
+CACHE = 300_000               # units remembered by a worker
 WHOLE_SHARE = 64                # one text in so many (by CRC) is also verified as a whole
 FIELDS = "n_ids long, ids_crc32 long, roundtrip boolean, parity boolean"
 
@@ -197,7 +197,7 @@ def piece_report(df: DataFrame, key: str = "doc_id", text: str = "text", model:
     ignored.
     """
     got, names = with_results(df.select(F.col(key).alias("__key"), F.col(text).alias("__text")), "__text",
-                              _report(model), FIELDS, budget=3_000_000)
+                              _report(model), FIELDS)
     return got.select(F.col("__key").alias(key), *[F.col(names[c]).alias(c) for c in names])
 
 

@@ -219,15 +219,24 @@ _BASE = U(0x2545F4914F6CDD1D)
 _BACK = U(pow(0x2545F4914F6CDD1D, -1, 2**64))
 
 
+_POWER = np.cumprod(np.concatenate([[U(1)], np.full(PIECE + MAX_RUN + LENGTH, _BASE)]), dtype=U)
+_POWER_BACK = np.cumprod(np.concatenate([[U(1)], np.full(PIECE + MAX_RUN + LENGTH, _BACK)]), dtype=U)
+
+
 def _run_hashes(b: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """64-bit polynomial hashes of b[start:start+length], from prefix sums."""
-    if not len(start):
-        return np.zeros(0, dtype=U)
-    lo, hi = int(start.min()), int((start + length).max())
-    power = np.cumprod(np.concatenate([[U(1)], np.full(hi - lo, _BASE)]), dtype=U)
-    back = np.cumprod(np.concatenate([[U(1)], np.full(hi - lo, _BACK)]), dtype=U)
-    total = np.concatenate([[U(0)], np.cumsum(_TABLE[b[lo:hi]] * power[:-1], dtype=U)])
-    return (total[start - lo + length] - total[start - lo]) * back[start - lo] ^ (length.astype(U) * MIX[2])
+    """64-bit polynomial hashes of b[start:start+length], from prefix sums over a
+    piece at a time. ``start`` ascends."""
+    out = np.empty(len(start), dtype=U)
+    i = 0
+    while i < len(start):
+        lo = int(start[i])
+        j = int(np.searchsorted(start, lo + PIECE))
+        at, n = start[i:j] - lo, length[i:j]
+        part = _TABLE[b[lo:lo + int((at + n).max())]]
+        total = np.concatenate([[U(0)], np.cumsum(part * _POWER[:len(part)], dtype=U)])
+        out[i:j] = (total[at + n] - total[at]) * _POWER_BACK[at] ^ (n.astype(U) * MIX[2])
+        i = j
+    return out
 
 
 def _gather(b: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -501,7 +510,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text",
     text_batches(spark)
     total = df.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
     blocks = max(64, total // block_bytes)
-    parts, run_parts = max(32, total // (16 << 20)), max(64, total // (4 << 20))
+    parts, run_parts = max(32, total // (8 << 20)), max(64, total // (2 << 20))
     names, taken = {}, list(df.columns)
     for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"):
         names[c] = free_name(taken, f"__{c}")
