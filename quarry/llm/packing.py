@@ -25,7 +25,7 @@ CAPACITY = 2048
 TOKENIZER = "byte_bpe_50k.json"   # a file, or a name that public_tokenizers knows
 SEPARATOR = 0                     # id that ends a document
 FULL = 8                          # a bin with no more free places is emitted at once
-ITEMS = 50_000                    # pieces of a first-round partition
+ITEMS = 10_000                    # pieces of a first-round partition
 FAN_IN = 4                        # partitions merged by a node
 CARRY = 4096                      # underfull bins a node hands on; fuller ones beyond are emitted
 CACHE = 400_000                   # words remembered by a worker
@@ -247,7 +247,7 @@ def pack_items(items: DataFrame, capacity: int = CAPACITY, per_node: int = ITEMS
     """``(item, sequence_id, offset)`` for ``items(item, size)`` with sizes 1..capacity."""
     whole = items.where(F.col("size") == capacity)
     rest = items.where(F.col("size") < capacity)
-    nodes = max(16, -(-rest.count() // per_node))
+    nodes = max(1, -(-rest.count() // per_node))
     todo = rest.select("item", "size", F.pmod(F.xxhash64("item"), F.lit(nodes)).alias("node"))
     placed, level = None, 1
     while True:
