@@ -19,7 +19,8 @@ suffixes that share these bytes must meet and others need not:
    all documents reaches a partition at most once per block.
 3. Each partition drops equal runs, orders the suffixes of what is left by the
    difference-cover algorithm, compares adjacent 50-byte prefixes, and sends
-   covered intervals back to the blocks, which cut the texts.
+   covered intervals back to the blocks, which cut the texts. (A run that is left
+   alone with its minimiser shares no string with any other and is not sorted.)
 
 All three steps use one shuffle of the texts by block (the exchange is reused);
 everything else that moves is packed numpy arrays. Blocks and partitions grow in
@@ -403,47 +404,62 @@ def _resolve(t: pa.Table) -> pa.Table:
             spans.append(x)
             owner.append(block[which])
 
-        later = o[m["id"] > least[group]]
-        emit(later, np.zeros(len(later), np.int64), size[later])
-        # Distinct runs, each for its smallest document; 0 closes a run.
-        rep = o[heads]
-        n, ln = size[rep], length[rep]
-        text = _gather(body, at[rep], ln)
-        first = np.cumsum(ln + 1) - (ln + 1)
-        closed = np.zeros(int((ln + 1).sum()), dtype=np.int64)
-        inside = np.arange(len(text)) + np.repeat(np.arange(len(rep)), ln)
-        closed[inside] = text.astype(np.int64) + 2
-        closed[closed == 0] = 1
-        starts = np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)
-        run_of = np.repeat(np.arange(len(rep)), n)
-        by = np.argsort(suffix_ranks(closed)[starts])
-        pos = starts[by]
-        x8 = _words8(np.where(closed > 1, closed - 2, 0).astype(np.uint8))
-        equal = np.ones(max(len(pos) - 1, 0), dtype=bool)
-        for off in (0, 8, 16, 24, 32, 40, LENGTH - 8):
-            equal &= x8[pos[1:] + off] == x8[pos[:-1] + off]
-        new = np.concatenate([[True], ~equal])
-        who = least[run_of[by]]
-        lows = np.minimum.reduceat(who, np.flatnonzero(new))
-        hit = np.zeros(len(pos), dtype=bool)
-        hit[by] = lows[np.cumsum(new) - 1] < who
-        # Neighbouring covered starts of a run as intervals, for each place of the run.
-        edge = hit.copy()
-        edge[1:] &= ~hit[:-1] | (run_of[1:] != run_of[:-1])
-        last = hit.copy()
-        last[:-1] &= ~hit[1:] | (run_of[1:] != run_of[:-1])
-        lo, hi = np.flatnonzero(edge), np.flatnonzero(last) + 1
-        if len(lo):
+        def order_runs(chosen: np.ndarray) -> None:
+            """Covered strings of the chosen distinct runs, each taken for its
+            smallest document."""
+            if not len(chosen):
+                return
+            rep, lowest = o[heads[chosen]], least[chosen]
+            n, ln = size[rep], length[rep]
+            text = _gather(body, at[rep], ln)
+            first = np.cumsum(ln + 1) - (ln + 1)
+            closed = np.zeros(int((ln + 1).sum()), dtype=np.int64)  # 1 closes a run
+            inside = np.arange(len(text)) + np.repeat(np.arange(len(rep)), ln)
+            closed[inside] = text.astype(np.int64) + 2
+            closed[closed == 0] = 1
+            starts = np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)
+            run_of = np.repeat(np.arange(len(rep)), n)
+            by = np.argsort(suffix_ranks(closed)[starts])
+            pos = starts[by]
+            x8 = _words8(np.where(closed > 1, closed - 2, 0).astype(np.uint8))
+            equal = np.ones(max(len(pos) - 1, 0), dtype=bool)
+            for off in (0, 8, 16, 24, 32, 40, LENGTH - 8):
+                equal &= x8[pos[1:] + off] == x8[pos[:-1] + off]
+            new = np.concatenate([[True], ~equal])
+            who = lowest[run_of[by]]
+            lows = np.minimum.reduceat(who, np.flatnonzero(new))
+            hit = np.zeros(len(pos), dtype=bool)
+            hit[by] = lows[np.cumsum(new) - 1] < who
+            # Neighbouring covered starts of a run as intervals, for each place of the run.
+            edge = hit.copy()
+            edge[1:] &= ~hit[:-1] | (run_of[1:] != run_of[:-1])
+            last = hit.copy()
+            last[:-1] &= ~hit[1:] | (run_of[1:] != run_of[:-1])
+            lo, hi = np.flatnonzero(edge), np.flatnonzero(last) + 1
+            if not len(lo):
+                return
             base = np.cumsum(n) - n
             r = run_of[lo]
-            places = o[m["id"] == least[group]]  # the run may be more than once in its smallest document
-            g_of = group[m["id"] == least[group]]
+            number = np.full(len(heads), -1)
+            number[chosen] = np.arange(len(chosen))
+            mine = (m["id"] == least[group]) & (number[group] >= 0)
+            places, g_of = o[mine], number[group[mine]]  # a run may be more than once in its smallest document
             count = np.bincount(g_of, minlength=len(rep))
             begin = np.cumsum(count) - count
             times = count[r]
             nth = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-            which = places[np.repeat(begin[r], times) + nth]
-            emit(which, np.repeat(lo - base[r], times), np.repeat(hi - base[r], times))
+            emit(places[np.repeat(begin[r], times) + nth], np.repeat(lo - base[r], times), np.repeat(hi - base[r], times))
+
+        later = o[m["id"] > least[group]]
+        emit(later, np.zeros(len(later), np.int64), size[later])
+        # Equal strings have equal minimisers: a run that is the only one of its
+        # minimiser shares no string with another run, so its smallest document
+        # keeps it. The others are ordered.
+        alone = np.ones(len(heads), dtype=bool)
+        twin = m["min"][heads][1:] == m["min"][heads][:-1]
+        alone[1:] &= ~twin
+        alone[:-1] &= ~twin
+        order_runs(np.flatnonzero(~alone))
         every, own = np.concatenate(spans), np.concatenate(owner)
         o2 = np.argsort(own, kind="stable")
         every, own = every[o2], own[o2]
