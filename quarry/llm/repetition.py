@@ -17,8 +17,9 @@ from quarry.llm.common import with_results
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MIN_REPEAT = 10          # words of a repeat that counts as covered
-MAX_COVERED = 0.50       # of the words
-MAX_LONGEST = 100        # words of the longest repeat
+MAX_COVERED = 0.20       # of the words; the base rule ends every text over 0.50, so the limit lies well below
+FREE_COVERED = 30        # words that may be covered in any text: one line and its copy
+MAX_LONGEST = 50         # words of the longest repeat
 WINDOW = 3
 
 FIELDS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -129,7 +130,7 @@ def measure(texts: list, min_repeat: int = MIN_REPEAT, max_covered: float = MAX_
     longest = np.zeros(m, dtype=np.int64)
     np.maximum.at(longest, doc, best)
     failed = (count < MIN_WORDS) | (100 * repeat > 50 * count)
-    kept = ~failed & (covered <= max_covered * count) & (longest <= max_longest)
+    kept = ~failed & (covered <= np.maximum(max_covered * count, FREE_COVERED)) & (longest <= max_longest)
     return {"n_words": count, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": dup,
             "n_repeat_words": repeat, "covered_words": covered, "longest_repeat": longest,
             "base_failed": failed, "kept": kept}
@@ -153,7 +154,8 @@ def quality_rules(df: DataFrame, key: str = "doc_id", text: str = "text", min_re
     ``covered_words`` (words inside a repeated sequence of ``min_repeat`` words or
     more); ``longest_repeat`` (words). ``base_failed``: under 50 words, or over
     half of them in repeated windows. ``kept``: not failed, at most
-    ``max_covered`` of the words covered and no repeat over ``max_longest`` words.
+    ``max_covered`` of the words covered (or ``FREE_COVERED`` words, so that one
+    line and its copy end no short text) and no repeat over ``max_longest`` words.
 
     Each row is judged on its own text, so copies, ties and hot sources move
     nothing between tasks. A null or empty text has no words and fails; repeated

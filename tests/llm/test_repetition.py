@@ -65,3 +65,24 @@ def test_verdicts(spark):
 @pytest.mark.parametrize("n", [1, 2, 5])
 def test_short_inputs(n):
     assert R.measure(["w"] * n)["n_words"].tolist() == [1] * n
+
+
+def spaced(part, times, total):
+    """A text of ``total`` words in which ``part`` stands ``times`` times, new words between."""
+    new = iter(f"v{k}" for k in range(total))
+    gap = (total - times * len(part)) // times
+    return " ".join(w for _ in range(times) for w in [*part, *(next(new) for _ in range(gap))])
+
+
+@pytest.mark.parametrize("size,times,total,covered,longest", [
+    (90, 5, 1000, True, True),      # the paragraph of the finding
+    (20, 15, 1000, True, False),    # only over the covered limit
+    (60, 2, 1000, False, True),     # only over the longest limit
+    (13, 2, 64, False, False),      # one line and its copy in a clean short text
+])
+def test_each_limit_rejects_alone(size, times, total, covered, longest):
+    got = {c: v[0] for c, v in R.measure([spaced([f"u{k}" for k in range(size)], times, total)]).items()}
+    assert not got["base_failed"] and got["covered_words"] == size * times and got["longest_repeat"] == size
+    assert (got["covered_words"] > max(R.MAX_COVERED * got["n_words"], R.FREE_COVERED)) == covered
+    assert (got["longest_repeat"] > R.MAX_LONGEST) == longest
+    assert got["kept"] == (not covered and not longest)
