@@ -14,8 +14,9 @@ from quarry.llm.common import table, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and texts without a language of their own
-    (less than a third of the letters in the best one)."""
+    """Drops texts without a letter, texts in none of the learned languages
+    (judged by n-grams) and texts spread over many of them (less than a third of
+    the letters in the best one)."""
     return language_crf.keep_identified(docs)
 
 

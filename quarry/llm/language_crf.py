@@ -5,6 +5,10 @@ character n-grams, the word itself and word lists learned from the training
 sample; transitions between languages are learned too. Forward-backward gives
 the probability of each language at each word, so texts that switch language are
 labelled word by word; a text's language is the one with most letters.
+
+The field knows only the languages it learned. Whether a text is in any of them
+is judged by its n-grams: the share seen in training of the language each word
+got, against the share that unseen text of that language has.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ SEQUENCES, SPAN, LENGTH = 900, (2, 25), 60   # code-switched training sequences
 EPOCHS, RATE, DECAY = 60, 0.25, 1e-4
 LEXICON_COUNT, LEXICON_SHARE = 3, 0.9
 MIN_SCORE = 1 / 3         # a text with its letters spread evenly over many languages has none
+SEEN_GRAM, SEEN_BITS = 5, 20   # n-grams, word boundaries included, remembered as bits of a table
+MIN_SEEN = 0.6            # of the share seen in unseen text of the learned languages
 FOLDS = 5
 UNKNOWN = "und"
 FIELDS = "lang_pred string, score double, n_words long, n_switches long"
@@ -98,6 +104,51 @@ def _chunks(words: list[str], cells: int = 400_000):
         i = j
 
 
+def gram_places(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The word and the table place of every SEEN_GRAM-gram (a shorter word has one)."""
+    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    width = np.maximum(size + 2, SEEN_GRAM)
+    at = np.cumsum(width) - width
+    code = np.zeros(int(width.sum()), dtype=U)
+    flat = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
+    code[at], code[at + size + 1] = 1, 2
+    code[np.arange(len(flat)) + np.repeat(at + 1 - (np.cumsum(size) - size), size)] = flat
+    grams = width - SEEN_GRAM + 1
+    row = np.repeat(np.arange(len(words)), grams)
+    pos = np.arange(len(row)) + np.repeat(at - (np.cumsum(grams) - grams), grams)
+    h = np.zeros(len(row), dtype=U)
+    for i in range(SEEN_GRAM):
+        h = (h ^ code[pos + i]) * U(0xBF58476D1CE4E5B9)
+        h ^= h >> U(29)
+    return row, (h >> U(64 - SEEN_BITS)).astype(np.int64)
+
+
+def gram_table(words: list[str]) -> np.ndarray:
+    bits = np.zeros(1 << SEEN_BITS, dtype=np.uint8)
+    bits[gram_places(words)[1]] = 1
+    return np.packbits(bits, bitorder="little")
+
+
+def seen_shares(words: list[str], tables: np.ndarray) -> np.ndarray:
+    """For each word and table, the share of the word's n-grams that the table holds."""
+    row, place = gram_places(words)
+    n = np.bincount(row, minlength=len(words))
+    out = np.empty((len(words), len(tables)))
+    for j, table in enumerate(tables):
+        out[:, j] = np.bincount(row, weights=(table[place >> 3] >> (place & 7)) & 1, minlength=len(words)) / n
+    return out
+
+
+def usual_share(docs: list[list[str]]) -> float:
+    """Share of letters whose n-grams are seen in half of the texts, over the other half."""
+    known, other = docs[::2], [w for d in docs[1::2] for w in d]
+    if not other:
+        return 0.0
+    letters = np.fromiter(map(len, other), dtype=np.float64, count=len(other))
+    shares = seen_shares(other, gram_table([w for d in known for w in set(d)])[None])[:, 0]
+    return float(letters @ shares / letters.sum())
+
+
 @dataclass
 class Crf:
     langs: list[str]
@@ -106,6 +157,8 @@ class Crf:
     lexicon_weight: np.ndarray   # language of the list x language
     move: np.ndarray             # from x to
     start: np.ndarray
+    seen: np.ndarray             # language x packed bits of the n-grams in its sample
+    usual: np.ndarray            # share of n-grams seen that unseen text of the language has
 
     def emissions(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.langs)))
@@ -223,7 +276,8 @@ def train(rows: list[tuple[str, str]], seed: int = 5) -> Crf | None:
     truth = np.eye(k)[y]
     is_first = np.array(first)
     inner = np.flatnonzero(~is_first)
-    model = Crf(langs, np.zeros((BUCKETS, k)), lexicon, np.zeros((k, k)), np.zeros((k, k)), np.zeros(k))
+    model = Crf(langs, np.zeros((BUCKETS, k)), lexicon, np.zeros((k, k)), np.zeros((k, k)), np.zeros(k),
+                np.stack([gram_table(list(c)) for c in counts]), np.array([usual_share(by_lang[g]) for g in langs]))
     grad_sum = [np.full(x.shape, 1e-8) for x in (model.weights, model.lexicon_weight, model.move, model.start)]
     for _ in range(EPOCHS):
         e = np.zeros((len(uniq), k))
@@ -289,6 +343,10 @@ def predict(model: Crf | None, texts: list) -> dict[str, np.ndarray]:
                           for j in range(len(model.langs))], axis=1)
         some = count > 0
         share[some] /= share[some].sum(axis=1, keepdims=True)
+        ids, uniq = pd.factorize(np.array([*words, None], dtype=object)[:-1])
+        seen = (post * seen_shares(list(uniq), model.seen)[ids]).sum(axis=1) * letters
+        seen = np.bincount(doc, weights=seen, minlength=m) / np.maximum(np.bincount(doc, weights=letters, minlength=m), 1)
+        some &= seen >= MIN_SEEN * (share @ model.usual)
         best = share.argmax(axis=1)
         pred[some] = np.array(model.langs, dtype=object)[best[some]]
         score[some] = np.clip(share[some, best[some]], 0.0, 1.0)
@@ -346,8 +404,10 @@ def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     letters in ``lang_pred``; ``n_switches`` counts neighbouring words of
     different languages.
 
-    A null text or one without a letter is ``und`` with score 0, as is every text
-    if no row is labelled. Each row is judged alone: repeated rows each get a
+    A null text or one without a letter is ``und`` with score 0, as is a text in
+    none of the learned languages (its words' n-grams seen in training are under
+    ``MIN_SEEN`` of what unseen text of these languages has) and every text if no
+    row is labelled. Each row is judged alone: repeated rows each get a
     row, ties between languages go to the first by name, an empty table gives no
     rows, other columns are ignored. A null key counts as held out.
     """
@@ -359,8 +419,8 @@ def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
 def keep_identified(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
                     min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``df`` with a language that at least ``min_score`` of their letters are in. If no
-    row is labelled there is nothing to learn and only texts without a letter go."""
+    """The rows of ``df`` in learned languages (see ``identify``), one of which at least
+    ``min_score`` of their letters are in. If no row is labelled there is nothing to learn and only texts without a letter go."""
     model = fit(df, key, text, lang)
     got, names = annotate(df, model, text)
     good = F.col(names["n_words"]) > 0

@@ -59,3 +59,24 @@ def test_labels_words_of_mixed_text_and_edge_rows(spark):
     assert L.identify(df.limit(0), model=model).count() == 0
     kept = L.keep_identified(df.where("lang is null"))
     assert kept.columns == df.columns and kept.count() == 2
+
+
+def test_texts_in_no_learned_language_are_und(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text", "lang").toPandas()
+    held = docs["doc_id"].map(lambda d: zlib.crc32(str(d).encode()) % 5 == 0)
+    taught = docs[~held & (docs["lang"] != "fr")].groupby("lang").head(100)
+    model = L.train([(t[:3000], g) for t, g in zip(taught["text"], taught["lang"])])
+    assert len(model.langs) == 3  # the largest share of three is never under a third
+    out = docs[held]
+    r = np.random.default_rng(1)
+    words = lambda t: L.split_words([t])[0]
+    known = out.loc[out["lang"] != "fr", "text"].tolist()
+    unseen = out.loc[out["lang"] == "fr", "text"].tolist()
+    scrambled = [" ".join("".join(r.permutation(list(w))) for w in words(t)[:200]) for t in known]
+    random = [" ".join("".join(map(chr, r.integers(97, 123, 7))) for _ in range(100)) for _ in range(20)]
+    mixed = [f"{a[:500]} {b[:500]}" for a, b in zip(out.loc[out["lang"] == "de", "text"], out.loc[out["lang"] == "es", "text"])]
+    for texts, good in ((known, True), (mixed, True), (unseen, False), (scrambled, False), (random, False)):
+        p = L.predict(model, texts)
+        right = (p["lang_pred"] != L.UNKNOWN) == good
+        assert right.mean() > 0.97
+        assert ((p["score"] >= L.MIN_SCORE) == (p["lang_pred"] != L.UNKNOWN)).all()
