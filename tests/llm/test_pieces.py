@@ -75,3 +75,15 @@ def test_report_and_round_trip(spark):
     c = P.codec(P.MODEL)
     assert [r[names["ids"]] for r in text] == [c.normalise(r["text"] or "") for r in text]
     assert P.piece_report(df.limit(0)).count() == 0
+
+
+def test_parity_compares_every_whole_text(monkeypatch):
+    with open(public_tokenizers.path(P.MODEL), "rb") as f:
+        wrong = P.PieceCodec(f.read())
+    wrong.squeeze = not wrong.squeeze  # units are encoded as before, but blanks are treated wrongly
+    monkeypatch.setitem(P._loaded, "wrong", wrong)
+    spaced = [f"text  {k}   of   many" for k in range(200)]
+    plain = [f"text {k} of many" for k in range(200)]
+    assert wrong.encode(spaced)[2].all()  # the units alone do not show it
+    assert not P._report("wrong")(spaced)["parity"].any()
+    assert P._report("wrong")([*plain, "", None])["parity"].all()
