@@ -17,6 +17,10 @@ suffixes that share these bytes must meet and others need not:
    minimiser and sends them to the partition of the minimiser. Equal runs of a
    block are sent once, for the smallest document, so a passage in a third of
    all documents reaches a partition at most once per block.
+   Runs of a minimiser whose runs exceed a bound over all blocks do not go to
+   one partition: each 50-byte string in them is sent as its two hashes to the
+   partition of one of these, once per block. Equal strings still meet, and a
+   frequent phrase with ever new neighbours fills no single group.
 3. Each partition drops equal runs, orders the suffixes of what is left by the
    difference-cover algorithm, compares adjacent 50-byte prefixes, and sends
    covered intervals back to the blocks, which cut the texts. (A run that is left
@@ -45,6 +49,7 @@ SPREAD = LENGTH - GRAM + 1
 MAX_RUN = 2048         # starts in one run; longer ones are cut (equal strings still meet)
 PIECE = 1 << 20        # bytes hashed at a time
 BLOCK_BYTES = 4 << 20  # text of a block of documents
+SPLIT_BYTES = 1 << 20  # bytes of the runs of one minimiser, above which its strings are sent one by one
 NO_ID = np.iinfo(np.int64).max
 
 U = np.uint64
@@ -134,8 +139,8 @@ def _texts(t: pa.Table, key: str, text: str):
 
 # ---- step 1: which minimisers occur in several documents ----
 
-FOUND = "part int, block int, hashes binary, local binary, digests binary, ids binary, rows binary"
-HITS = "block int, part int, hits binary, copies binary"
+FOUND = "part int, block int, hashes binary, local binary, weights binary, digests binary, ids binary, rows binary"
+HITS = "block int, part int, hits binary, heavy binary, copies binary"
 
 
 def _send_minimisers(key: str, text: str, parts: int):
@@ -143,19 +148,21 @@ def _send_minimisers(key: str, text: str, parts: int):
         block = t.column("__block")[0].as_py()
         ids, raw, offsets, _, dig = _texts(t, key, text)
         b = np.frombuffer(raw, dtype=np.uint8)
-        mins, doc, _, _ = _runs(b, offsets)
+        mins, doc, _, n = _runs(b, offsets)
         g = _spread(mins)
         code = ((g >> U(32)) % U(parts)) << U(32) | (g & U(0xFFFFFFFF))
         o = np.lexsort((ids[doc], code))
-        code, who = code[o], ids[doc][o]
+        code, who, n = code[o], ids[doc][o], n[o] + LENGTH - 1
         head = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
         tail = np.append(head[1:], len(code)) - 1 if len(head) else head
         local = who[head] != who[tail]
         uniq = code[head]
+        # Bytes of the runs of each minimiser, rounded up to a power of two.
+        weight = np.ceil(np.log2(np.add.reduceat(n, head))).astype(np.uint8) if len(head) else np.zeros(0, np.uint8)
         cut = np.searchsorted(uniq, np.arange(parts + 1, dtype=U) << U(32))
         d16 = np.frombuffer(b"".join(dig), dtype=np.uint64).reshape(-1, 2)
         dpart = (d16[:, 0] % U(parts)).astype(np.int64)
-        rows: dict[str, list] = {c: [] for c in ("part", "block", "hashes", "local", "digests", "ids", "rows")}
+        rows: dict[str, list] = {c: [] for c in ("part", "block", "hashes", "local", "weights", "digests", "ids", "rows")}
         for p in range(parts):
             x, y = cut[p], cut[p + 1]
             mine = np.flatnonzero(dpart == p)
@@ -165,15 +172,20 @@ def _send_minimisers(key: str, text: str, parts: int):
             rows["block"].append(block)
             rows["hashes"].append((uniq[x:y] & U(0xFFFFFFFF)).astype(np.uint32).tobytes())
             rows["local"].append(np.packbits(local[x:y]).tobytes())
+            rows["weights"].append(weight[x:y].tobytes())
             rows["digests"].append(np.ascontiguousarray(d16[mine]).tobytes())
             rows["ids"].append(ids[mine].tobytes())
             rows["rows"].append(mine.astype(np.int32).tobytes())
-        kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 5
+        kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 6
         return pa.table({c: pa.array(v, type=k) for (c, v), k in zip(rows.items(), kinds)})
     return run
 
 
-def _find_repeated(t: pa.Table) -> pa.Table:
+def _find_repeated(split_bytes: int):
+    return lambda t: _repeated(t, split_bytes)
+
+
+def _repeated(t: pa.Table, split_bytes: int) -> pa.Table:
     part = t.column("part")[0].as_py()
     blocks = t.column("block").to_pylist()
     get = lambda c, d: [np.frombuffer(x, dtype=d) for x in t.column(c).to_pylist()]
@@ -190,24 +202,31 @@ def _find_repeated(t: pa.Table) -> pa.Table:
         hit |= np.logical_or.reduceat(np.concatenate(local)[o], start)
     flag = np.empty(len(s), dtype=bool)
     flag[o] = np.repeat(hit, size)
+    heavy = np.zeros(len(s), dtype=bool)
+    if len(start):
+        weights = np.concatenate(get("weights", np.uint8))[o]
+        heavy[o] = np.repeat(np.add.reduceat(np.exp2(weights.astype(np.float64)), start) > split_bytes, size)
     dig = np.frombuffer(b"".join(t.column("digests").to_pylist()), dtype="V16")
     all_ids = np.concatenate(ids)
     _, same = np.unique(dig, return_inverse=True) if len(dig) else (None, np.zeros(0, np.int64))
     least = np.full(int(same.max()) + 1 if len(same) else 0, NO_ID)
     np.minimum.at(least, same, all_ids)
     copy = least[same] < all_ids
-    out: dict[str, list] = {"block": [], "part": [], "hits": [], "copies": []}
+    out: dict[str, list] = {"block": [], "part": [], "hits": [], "heavy": [], "copies": []}
     x = y = 0
     for i, blk in enumerate(blocks):
         f, c = flag[x:x + len(hashes[i])], copy[y:y + len(ids[i])]
+        many = heavy[x:x + len(hashes[i])][f]
         x, y = x + len(hashes[i]), y + len(ids[i])
         if f.any() or c.any():
             out["block"].append(blk)
             out["part"].append(part)
             out["hits"].append(hashes[i][f].tobytes())
+            out["heavy"].append(np.packbits(many).tobytes())
             out["copies"].append(rows[i][c].tobytes())
     return pa.table({"block": pa.array(out["block"], pa.int32()), "part": pa.array(out["part"], pa.int32()),
-                     "hits": pa.array(out["hits"], pa.binary()), "copies": pa.array(out["copies"], pa.binary())})
+                     "hits": pa.array(out["hits"], pa.binary()), "heavy": pa.array(out["heavy"], pa.binary()),
+                     "copies": pa.array(out["copies"], pa.binary())})
 
 
 # ---- step 2: runs of repeated minimisers, by partition ----
@@ -240,6 +259,37 @@ def _run_hashes(b: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndar
     return out
 
 
+def _start_hashes(b: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the LENGTH-byte strings at ``start`` (ascending), of another
+    kind than ``_run_hashes``."""
+    out = np.empty(len(start), dtype=U)
+    i = 0
+    while i < len(start):
+        lo = int(start[i])
+        j = int(np.searchsorted(start, lo + PIECE))
+        at = start[i:j] - lo
+        x8 = _words8(b[lo:lo + int(at[-1]) + LENGTH])
+        h = np.full(len(at), MIX[2])
+        for off in (0, 8, 16, 24, 32, 40, LENGTH - 8):
+            h = (h ^ x8[at + off]) * MIX[3]
+            h ^= h >> U(31)
+        out[i:j] = h
+        i = j
+    return out
+
+
+def _join_spans(spans: np.ndarray) -> np.ndarray:
+    """The spans of single strings, those that touch as one."""
+    if not len(spans):
+        return spans
+    spans = spans[np.lexsort((spans["start"], spans["row"]))]
+    head = np.flatnonzero(np.concatenate([[True], (spans["row"][1:] != spans["row"][:-1])
+                                          | (spans["start"][1:] > spans["end"][:-1])]))
+    out = spans[head].copy()
+    out["end"] = spans["end"][np.append(head[1:], len(spans)) - 1]
+    return out
+
+
 def _gather(b: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The given pieces of b, one after the other."""
     at = np.cumsum(length) - length
@@ -255,9 +305,13 @@ def _send_runs(key: str, text: str, parts: int, run_parts: int):
             block = docs.column("__block")[0].as_py()
             ids, raw, offsets, _, _ = _texts(docs, key, text)
             b = np.frombuffer(raw, dtype=np.uint8)
-            wanted = np.sort(np.concatenate([
-                (U(p) << U(32)) | np.frombuffer(h, dtype=np.uint32).astype(U)
-                for p, h in zip(hits.column("part").to_pylist(), hits.column("hits").to_pylist())]))
+            found = [(U(p) << U(32)) | np.frombuffer(h, dtype=np.uint32).astype(U)
+                     for p, h in zip(hits.column("part").to_pylist(), hits.column("hits").to_pylist())]
+            wanted = np.concatenate(found)
+            heavy = np.concatenate([np.unpackbits(np.frombuffer(x, dtype=np.uint8), count=len(f)).astype(bool)
+                                    for x, f in zip(hits.column("heavy").to_pylist(), found)])
+            by = np.argsort(wanted, kind="stable")
+            wanted, heavy = wanted[by], heavy[by]
             copies = np.concatenate([np.frombuffer(c, dtype=np.int32) for c in hits.column("copies").to_pylist()])
             size = np.diff(offsets)
             whole = copies[size[copies] >= LENGTH]
@@ -271,21 +325,32 @@ def _send_runs(key: str, text: str, parts: int, run_parts: int):
             code = ((g >> U(32)) % U(parts)) << U(32) | (g & U(0xFFFFFFFF))
             at = np.minimum(np.searchsorted(wanted, code), max(len(wanted) - 1, 0))
             ok = (wanted[at] == code if len(wanted) else np.zeros(len(code), bool)) & ~is_copy[doc]
-            mins, doc, start, n, g = mins[ok], doc[ok], start[ok], n[ok], g[ok]
-            h = _run_hashes(b, start, n + LENGTH - 1)
+            mins, doc, start, n, at = mins[ok], doc[ok], start[ok], n[ok], at[ok]
+            many = heavy[at] if len(heavy) else np.zeros(len(at), bool)
+            # Strings of heavy minimisers stand for themselves, with a hash in place of the minimiser.
+            times = n[many]
+            ones = np.repeat(start[many], times) + np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+            mins = np.concatenate([mins[~many], _start_hashes(b, ones)])
+            h = np.concatenate([_run_hashes(b, start[~many], n[~many] + LENGTH - 1),
+                                _run_hashes(b, ones, np.full(len(ones), LENGTH))])
+            doc, start = np.concatenate([doc[~many], np.repeat(doc[many], times)]), np.concatenate([start[~many], ones])
+            n = np.concatenate([n[~many], np.ones(len(ones), dtype=n.dtype)])
+            single = np.arange(len(n)) >= len(n) - len(ones)
+            g = _spread(mins)
             who = ids[doc]
-            o = np.lexsort((who, h, mins))
+            o = np.lexsort((who, h, mins, single))
             same = np.zeros(len(o), dtype=bool)
-            same[1:] = (mins[o][1:] == mins[o][:-1]) & (h[o][1:] == h[o][:-1])
+            same[1:] = (mins[o][1:] == mins[o][:-1]) & (h[o][1:] == h[o][:-1]) & (single[o][1:] == single[o][:-1])
             least = who[o][np.maximum.accumulate(np.where(same, 0, np.arange(len(o))))] if len(o) else who
             later = np.zeros(len(o), dtype=bool)
             later[o] = who[o] > least  # the same string is in a smaller document of this block
             mine = np.zeros(int(later.sum()), dtype=SPAN)
             mine["row"], mine["start"] = doc[later], start[later] - offsets[doc[later]]
             mine["end"] = mine["start"] + n[later] + LENGTH - 1
-            spans.append(mine)
+            spans += [mine[~single[later]], _join_spans(mine[single[later]])]
             send = np.flatnonzero(~later)
             to = ((g[send] * MIX[2]) >> U(33)).astype(np.int64) % run_parts
+            to = 2 * to + single[send]
             send = send[np.argsort(to, kind="stable")]
             to = np.sort(to)
             meta = np.zeros(len(send), dtype=META)
@@ -294,10 +359,11 @@ def _send_runs(key: str, text: str, parts: int, run_parts: int):
             cuts = np.concatenate([[0], np.flatnonzero(to[1:] != to[:-1]) + 1, [len(to)]]) if len(to) else [0]
             done = np.concatenate(spans).tobytes()
             for x, y in zip(cuts[:-1], cuts[1:]):
-                rows["part"].append(int(to[x]))
+                rows["part"].append(int(to[x]) // 2)
                 rows["block"].append(block)
                 rows["meta"].append(meta[x:y].tobytes())
-                rows["body"].append(_gather(b, start[send[x:y]], n[send[x:y]] + LENGTH - 1).tobytes())
+                # Single strings go without their bytes: both hashes decide.
+                rows["body"].append(b"" if to[x] % 2 else _gather(b, start[send[x:y]], n[send[x:y]] + LENGTH - 1).tobytes())
                 rows["covered"].append(b"")
             if done:
                 rows["part"].append(block % run_parts)
@@ -378,18 +444,20 @@ def _resolve(t: pa.Table) -> pa.Table:
     body = np.frombuffer(b"".join(t.column("body").to_pylist()), dtype=np.uint8)
     meta = np.concatenate(metas)
     block = np.repeat(blocks, [len(m) for m in metas])
+    single = np.repeat(np.array([not x for x in t.column("body").to_pylist()], dtype=bool), [len(m) for m in metas])
     out: dict[int, list[bytes]] = {}
     for blk, c in zip(blocks.tolist(), t.column("covered").to_pylist()):
         if c:
             out.setdefault(blk, []).append(c)
     if len(meta):
         size = meta["size"].astype(np.int64)
-        length = size + LENGTH - 1
+        length = np.where(single, 0, size + LENGTH - 1)
         at = np.cumsum(length) - length
-        o = np.lexsort((meta["id"], meta["hash"], meta["min"]))
+        o = np.lexsort((meta["id"], meta["hash"], meta["min"], single))
         m = meta[o]
         same = np.zeros(len(o), dtype=bool)
-        same[1:] = (m["min"][1:] == m["min"][:-1]) & (m["hash"][1:] == m["hash"][:-1])
+        same[1:] = (m["min"][1:] == m["min"][:-1]) & (m["hash"][1:] == m["hash"][:-1]) \
+            & (single[o][1:] == single[o][:-1])
         group = np.cumsum(~same) - 1
         heads = np.flatnonzero(~same)
         least = m["id"][heads]
@@ -454,11 +522,12 @@ def _resolve(t: pa.Table) -> pa.Table:
         emit(later, np.zeros(len(later), np.int64), size[later])
         # Equal strings have equal minimisers: a run that is the only one of its
         # minimiser shares no string with another run, so its smallest document
-        # keeps it. The others are ordered.
+        # keeps it, as it does a single string. The others are ordered.
         alone = np.ones(len(heads), dtype=bool)
         twin = m["min"][heads][1:] == m["min"][heads][:-1]
         alone[1:] &= ~twin
         alone[:-1] &= ~twin
+        alone |= single[o][heads]
         order_runs(np.flatnonzero(~alone))
         every, own = np.concatenate(spans), np.concatenate(owner)
         o2 = np.argsort(own, kind="stable")
@@ -507,8 +576,15 @@ def _cut_texts(key: str, text: str, schema: pa.Schema):
     return run
 
 
-def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text",
-                   block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, dict[str, str]]:
+def _sent_runs(base: DataFrame, k: str, t: str, parts: int, run_parts: int, split_bytes: int) -> DataFrame:
+    """Steps 1 and 2: the runs of repeated minimisers by partition."""
+    found = base.groupBy("__block").applyInArrow(_send_minimisers(k, t, parts), FOUND)
+    hits = found.groupBy("part").applyInArrow(_find_repeated(split_bytes), HITS)
+    return base.groupBy("__block").cogroup(hits.groupBy("block")).applyInArrow(_send_runs(k, t, parts, run_parts), RUNS)
+
+
+def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES,
+                   split_bytes: int = SPLIT_BYTES) -> tuple[DataFrame, dict[str, str]]:
     """All columns of ``df`` plus ``n_bytes, n_removed, n_spans, kept_sha256, kept_text``
     (returned with the names they got, which never clash).
 
@@ -535,10 +611,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text",
     k, t = f"c{df.columns.index(key)}", f"c{df.columns.index(text)}"
     inner = inner.withColumn(k, F.col(k).cast("long")).withColumn(t, F.col(t).cast("string"))
     base = inner.withColumn("__block", F.pmod(F.xxhash64(k), F.lit(blocks)).cast("int"))
-    found = base.groupBy("__block").applyInArrow(_send_minimisers(k, t, parts), FOUND)
-    hits = found.groupBy("part").applyInArrow(_find_repeated, HITS)
-    runs = base.groupBy("__block").cogroup(hits.groupBy("block")).applyInArrow(_send_runs(k, t, parts, run_parts), RUNS)
-    covered = runs.groupBy("part").applyInArrow(_resolve, COVERED)
+    covered = _sent_runs(base, k, t, parts, run_parts, split_bytes).groupBy("part").applyInArrow(_resolve, COVERED)
     extra = [StructField(names["n_bytes"], _t("long")), StructField(names["n_removed"], _t("long")),
              StructField(names["n_spans"], _t("long")), StructField(names["kept_sha256"], _t("string")),
              StructField(names["kept_text"], _t("string"))]

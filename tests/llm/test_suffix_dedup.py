@@ -73,3 +73,27 @@ def test_empty_and_clashing_columns(spark):
     out = S.without_repeats(df)
     assert out.columns == df.columns
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: "z" * 80, 2: ""}
+
+
+@pytest.mark.parametrize("split_bytes", [0, 300, 5000])
+def test_split_minimisers_match_brute_force(spark, split_bytes):
+    rows = make_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got, names = S.remove_repeats(df, split_bytes=split_bytes)
+    got = got.select("doc_id", *[names[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute(rows)
+
+
+def test_frequent_phrase_with_new_neighbours_fills_no_group(spark):
+    from pyspark.sql import functions as F
+    r = np.random.default_rng(11)
+    new = lambda n: "".join(map(chr, r.integers(97, 123, n)))
+    rows = [(d, new(60) + " this line stands in all documents " + new(60)) for d in range(3000)]
+    base = spark.createDataFrame(rows, "c0 long, c1 string").withColumn("__block", (F.col("c0") % 64).cast("int"))
+
+    def largest_share(split_bytes):
+        runs = S._sent_runs(base, "c0", "c1", 32, 64, split_bytes)
+        size = [x[1] for x in runs.groupBy("part").agg(F.sum(F.length("meta") + F.length("body"))).collect()]
+        return max(size) / sum(size)
+    assert largest_share(1 << 40) > 0.2   # by minimiser alone: a few groups hold all
+    assert largest_share(10_000) < 0.05
