@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from quarry.llm import (chat, grid_order_join, jaccard_join, language_crf, licenses, packing, pieces, repetition, sharding,
-                        suffix_dedup)
+from quarry.llm import (chat, collocations, differencing, grid_order_join, jaccard_join, language_crf, licenses, packing,
+                        pieces, repetition, sharding, suffix_dedup, whitening)
 from quarry.llm.common import table
 
 
@@ -53,6 +53,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))
 
 
+def op11_karmarkar_karp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return differencing.window_report(table(spark, sf_dir, "documents"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -61,8 +73,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_ngram_jaccard_join, op2_language_id, op3_sharding, op4_embedding_near_dedup,
         op5_best_fit_packing, op6_sentencepiece,
-        op7_chat_formatting, op8_license_scan, op9_quality_rules, op10_suffix_dedup, pipeline)}
+        op7_chat_formatting, op8_license_scan, op9_quality_rules, op10_suffix_dedup,
+        op11_karmarkar_karp_packing, op12_phrase_collocations, op13_embedding_whitening, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_chat_formatting": chat.ORACLE_SQL, "op8_license_scan": licenses.oracle_sql()}
+    return {"op7_chat_formatting": chat.ORACLE_SQL, "op8_license_scan": licenses.oracle_sql(),
+            "op12_phrase_collocations": collocations.ORACLE_SQL}
