@@ -28,8 +28,9 @@ TOP = 2000              # phrases reported per language
 INSIDE = 80             # a phrase is dropped if this share (%) of it lies in a longer candidate
 SCALE = 2_000_000       # score of a phrase whose parts never occur without it, halved
 NO_LANG = "und"
-SHARD = 16_000_000      # bytes of text a shard counts
+SHARD = 4_000_000       # bytes of text of a shard
 CHUNK = 1_000_000       # bytes cut into words at a time
+COUNTED = 2_000_000     # words counted in one filter (shards of a task are counted together up to that)
 FAN = 64                # filters merged by one task
 LEAST_BITS = 16         # per word id
 
@@ -83,19 +84,24 @@ def _shards(batches):
         for lang, t in zip(langs, held.column("text").to_pylist()):
             if t:
                 texts.setdefault(lang, []).append(t.encode())
-        codes, lang_of, words, counts = [], [], [], []
+        codes, lang_of, words = [], [], []
         for lang in sorted(texts):
             own, found = word_codes(texts.pop(lang))
-            n = np.bincount(own, minlength=len(found) + 1)[1:]
-            codes.append(np.where(own, own + len(words), 0).astype("<i4"))
+            codes.append(np.where(own, own + len(words), 0))
             lang_of += [lang] * len(found)
             words += [w.decode() for w in found]
-            counts += n.tolist()
         if words:
+            every = np.concatenate(codes)
+            n = np.bincount(every, minlength=len(words) + 1)[1:]
+            # the commonest words get the smallest numbers: they pack best
+            order = np.argsort(-n, kind="stable")
+            number = np.zeros(len(words) + 1, dtype="<i4")
+            number[order + 1] = np.arange(1, len(words) + 1)
+            lang_of, words = [lang_of[i] for i in order.tolist()], [words[i] for i in order.tolist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([base + at], pa.int64()), pa.array([np.concatenate(codes).tobytes()], pa.binary()),
+                [pa.array([base + at], pa.int64()), pa.array([number[every].tobytes()], pa.binary()),
                  pa.array([lang_of], pa.list_(pa.string())), pa.array([words], pa.list_(pa.string())),
-                 pa.array([counts], pa.list_(pa.int64()))], names=["shard", "codes", "langs", "words", "counts"])
+                 pa.array([n[order]], pa.list_(pa.int64()))], names=["shard", "codes", "langs", "words", "counts"])
             at += 1
 
 
@@ -105,7 +111,7 @@ def word_shards(df: DataFrame, lang: str, text: str) -> DataFrame:
     src = df.select(F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANG)).alias("lang"),
                     F.col(text).cast("string").alias("text"))
     return written(src.mapInArrow(_shards, "shard long, codes binary, langs array<string>, words array<string>, "
-                                           "counts array<long>"), "phrase-shards")
+                                           "counts array<long>"), "phrase-shards", "zstd")
 
 
 def frequent_words(shards: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
@@ -123,36 +129,43 @@ def frequent_words(shards: DataFrame, least: int) -> tuple[DataFrame, DataFrame]
 
 def packed_grams(ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """All runs of 2 to 4 ids without a 0, as two halves of two ids each."""
-    wide = np.concatenate([ids, np.zeros(3, ids.dtype)]).astype(U)
-    n = len(ids)
-    a, b, c, d = (wide[i:i + n] for i in range(4))
-    two = np.flatnonzero((a > 0) & (b > 0))
-    three = two[c[two] > 0]
-    four = three[d[three] > 0]
-    b_ = U(bits)
-    hi = (a[two] << b_) | b[two]
-    lo3 = c[three] << b_
-    in3, in4 = np.searchsorted(two, three), np.searchsorted(two, four)
-    return (np.concatenate([hi, hi[in3], hi[in4]]),
-            np.concatenate([np.zeros(len(two), U), lo3, (c[four] << b_) | d[four]]))
+    n, step = len(ids), U(bits)
+    wide = np.concatenate([ids, np.zeros(3, ids.dtype)])
+    some = wide > 0
+    two = np.flatnonzero(some[:n] & some[1:n + 1])
+    three = two[some[two + 2]]
+    four = three[some[three + 3]]
+    pair = lambda at: (wide[at].astype(U) << step) | wide[at + 1]
+    return (np.concatenate([pair(two), pair(three), pair(four)]),
+            np.concatenate([np.zeros(len(two), U), wide[three + 2].astype(U) << step, pair(four + 2)]))
 
 
 def _filters(bits: int, cut: int):
-    """The quotient filter of every shard, cut by the first ``cut`` bits."""
+    """Quotient filters of the shards, cut by the first ``cut`` bits."""
+    def emit(held: list[np.ndarray], place: int) -> pa.RecordBatch:
+        parts = QuotientFilter.of(*packed_grams(np.concatenate(held), bits), 2 * bits).split(cut)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([v for v, _ in parts], pa.int64()), pa.array([place] * len(parts), pa.int64()),
+             pa.array([f.to_bytes() for _, f in parts], pa.binary())], names=["block", "place", "filter"])
+
     def run(batches):
+        held, size, place = [], 0, 0
         for b in batches:
             cols = {n: b.column(i) for i, n in enumerate(b.schema.names)}
             for i in range(b.num_rows):
                 codes = np.frombuffer(cols["codes"][i].as_buffer(), dtype="<i4")
                 known = cols["known"].slice(i, 1).flatten()
                 local, ids = (x.to_numpy(zero_copy_only=False) for x in known.flatten())
-                table = np.zeros(int(codes.max(initial=0)) + 1, dtype=np.int64)
+                table = np.zeros(int(codes.max(initial=0)) + 1, dtype=np.uint32)
                 table[local] = ids
-                parts = QuotientFilter.of(*packed_grams(table[codes], bits), 2 * bits).split(cut)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([v for v, _ in parts], pa.int64()),
-                     pa.array([cols["place"][i].as_py()] * len(parts), pa.int64()),
-                     pa.array([f.to_bytes() for _, f in parts], pa.binary())], names=["block", "place", "filter"])
+                place = place if held else cols["place"][i].as_py()
+                held += [table[codes], np.zeros(1, np.uint32)]
+                size += len(codes)
+                if size >= COUNTED:
+                    yield emit(held, place)
+                    held, size = [], 0
+        if held:
+            yield emit(held, place)
     return run
 
 
@@ -198,13 +211,13 @@ def frequent_phrases(shards: DataFrame, vocabulary: DataFrame, least: int, fan:
                   .select("codes", "known", F.pmod(F.xxhash64("shard"), F.lit(count)).alias("place"))
     # `count` filters, then `count / fan` groups of them, and so on down to one
     cut = min(fan.bit_length() - 1, (count - 1).bit_length())
-    with arrow_rows(spark, 4):
-        now = written(ready.mapInArrow(_filters(bits, cut), "block long, place long, filter binary"), "phrase-filters")
+    with arrow_rows(spark, 2):
+        now = ready.mapInArrow(_filters(bits, cut), "block long, place long, filter binary")
         count = -(-count // fan)
         while count > 1:
             cut = min(fan.bit_length() - 1, (count - 1).bit_length())
             grouped = now.withColumn("place", F.expr(f"place div {fan}")).groupBy("block", "place")
-            now = written(grouped.applyInArrow(_merge_and_cut(cut), "block long, place long, filter binary"), "phrase-filters")
+            now = grouped.applyInArrow(_merge_and_cut(cut), "block long, place long, filter binary")
             count = -(-count // fan)
         return written(now.withColumn("place", F.lit(0).cast("long")).groupBy("block", "place")
                        .applyInArrow(_merge_and_read(bits, least), "w1 long, w2 long, w3 long, w4 long, a long"),
@@ -264,8 +277,8 @@ def mine_collocations(df: DataFrame, lang: str = "lang", text: str = "text", lea
     cover all texts; products run in decimals of 38 digits. Equal scores rank by
     count, then by the phrase's UTF-8 bytes. ``n``: all words of the language.
 
-    Memory: a shard's words (about 16 MB of text, or one longer text), or ``fan``
-    slices of filters. Null language is ``und``, null or empty text has no words,
+    Memory: the words of some shards (about ``COUNTED``, or one longer text), or
+    ``fan`` slices of filters. Null language is ``und``, null or empty text has no words,
     repeated rows count each, an empty table gives no rows; other columns are
     ignored.
     """

@@ -30,12 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` into the shared checkpoint folder and read it back: lineage
     is cut, rows are computed once, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -122,8 +122,12 @@ class QuotientFilter:
         unary[quotient + np.arange(n)] = 1
         large = self.count >= MANY
         head = np.array([n, q, self.half, self.prefix, int(large.sum())], dtype="<i8")
-        return b"".join([head.tobytes(), np.packbits(unary).tobytes(), _narrow(self.hi & _mask(rest), rest),
-                         _narrow(self.lo, self.half), np.minimum(self.count, MANY).astype(np.uint8).tobytes(),
+        tail = self.hi & _mask(rest)
+        if rest + self.half <= 64:      # both parts of the remainder in one number
+            remainder = _narrow((tail << U(self.half)) | self.lo if self.half < 64 else self.lo, rest + self.half)
+        else:
+            remainder = _narrow(tail, rest) + _narrow(self.lo, self.half)
+        return b"".join([head.tobytes(), np.packbits(unary).tobytes(), remainder, np.minimum(self.count, MANY).astype(np.uint8).tobytes(),
                          self.count[large].astype("<i8").tobytes()])
 
     @staticmethod
@@ -136,9 +140,14 @@ class QuotientFilter:
         quotient = (at - np.arange(n)).astype(U)
         view = view[-(-slots // 8):]
         rest = half - prefix - q
-        hi, used = _wide(view, n, rest)
-        lo, more = _wide(view[used:], n, half)
-        view = view[used + more:]
+        if rest + half <= 64:
+            both, used = _wide(view, n, rest + half)
+            hi, lo = (both >> U(half), both & _mask(half)) if half < 64 else (np.zeros(n, dtype=U), both)
+            view = view[used:]
+        else:
+            hi, used = _wide(view, n, rest)
+            lo, more = _wide(view[used:], n, half)
+            view = view[used + more:]
         count = np.frombuffer(view, dtype=np.uint8, count=n).astype(np.int64)
         count[count == MANY] = np.frombuffer(view[n:], dtype="<i8", count=large)
         return QuotientFilter(half, prefix, hi | (quotient << U(rest)) if rest < 64 else hi, lo, count)
