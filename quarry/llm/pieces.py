@@ -7,6 +7,7 @@ library's own threads, and the result is verified against SentencePiece itself.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import zlib
@@ -45,13 +46,41 @@ def bpe_merges(pieces: list[tuple[str, float, int]]) -> list[tuple[str, str]]:
     return [(p[:k], p[k:]) for _, _, p in order for k in range(1, len(p)) if p[:k] in known and p[k:] in known]
 
 
+class _Codes(dict):
+    """Unit -> running number; units asked for the first time are listed."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        code = self[unit] = len(self)
+        self.new.append(unit)
+        return code
+
+
+def flat_ids(encoded: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids one after the other, and their number per text."""
+    n = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
+    return np.fromiter(itertools.chain.from_iterable(encoded), dtype=np.int32, count=int(n.sum())), n
+
+
+def equal_parts(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Whether the i-th part of ``a`` (``na[i]`` numbers) equals that of ``b``."""
+    if (na == nb).all():
+        row = np.repeat(np.arange(len(na)), na)
+        return np.bincount(row[a != b], minlength=len(na)) == 0
+    ea, eb = np.cumsum(na), np.cumsum(nb)
+    return np.array([x == y and np.array_equal(a[i - x:i], b[j - y:j]) for x, i, y, j in zip(na, ea, nb, eb)], dtype=bool)
+
+
 class PieceCodec:
     """A SentencePiece model rebuilt for the tokenizers library.
 
     A text is normalised, marked and split into units: runs of marks with what
     follows. No piece of such a model crosses into the next unit (checked), so a
     unit's ids do not depend on its text, and each distinct unit is encoded and
-    verified once per worker."""
+    decoded once per worker."""
 
     def __init__(self, blob: bytes):
         import sentencepiece
@@ -88,7 +117,14 @@ class PieceCodec:
         size = np.fromiter(map(len, surface), dtype=np.int64, count=len(surface))
         self.surface = np.frombuffer(b"".join(surface), dtype=np.uint8)
         self.surface_size, self.surface_at = size, np.cumsum(size) - size
-        self.known: dict[str, tuple[np.ndarray, bool]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes = _Codes()
+        self.table = np.zeros(0, dtype=np.int32)   # ids of all known units
+        self.first = np.zeros(0, dtype=np.int64)
+        self.size = np.zeros(0, dtype=np.int64)
+        self.back = np.zeros(0, dtype=bool)        # does decoding give the unit again
 
     def normalise(self, t: str) -> str:
         if self.charsmap is not None:
@@ -102,23 +138,24 @@ class PieceCodec:
             return []
         return UNIT.findall((MARK if self.prefix else "") + normal.replace(" ", MARK))
 
-    def _learn(self, new: list[str]) -> None:
-        """Encode new units in one multithreaded batch and compare with SentencePiece."""
-        if len(self.known) > CACHE:
-            self.known.clear()
-        mine = [e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
-        drop = 1 if self.prefix else 0
-        # A unit without its first mark is what SentencePiece puts its own mark before.
-        plain = [u[drop:].replace(MARK, " ") for u in new]
-        theirs = self.sp.encode(plain, num_threads=THREADS)
-        for u, p, a, b in zip(new, plain, mine, theirs):
-            ok = a == b or not p  # a lone mark is the empty text there
-            if not p and drop:
-                ok = a == [self.sp.piece_to_id(MARK)]
-            self.known[u] = (np.array(a, dtype=np.int32), ok)
+    def _learn(self) -> None:
+        """Encode the new units in one multithreaded batch and decode them again."""
+        new, self.codes.new = self.codes.new, []
+        if not new:
+            return
+        ids, n = flat_ids([e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)])
+        body, cut = self._surfaces(ids, n)
+        back = [body[x:y] == u.replace(MARK, " ").encode() for u, x, y in zip(new, cut[:-1].tolist(), cut[1:].tolist())]
+        self.first = np.concatenate([self.first, len(self.table) + np.cumsum(n) - n])
+        self.size = np.concatenate([self.size, n])
+        self.table = np.concatenate([self.table, ids])
+        self.back = np.concatenate([self.back, np.array(back, dtype=bool)])
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts one after the other, their number and the parity per text."""
+        """Ids of all texts one after the other, their number and, per text, whether
+        decoding gives the normalised text again."""
+        if len(self.codes) > CACHE:
+            self._forget()
         every: list[str] = []
         count = np.zeros(len(texts), dtype=np.int64)
         for i, t in enumerate(texts):
@@ -126,29 +163,29 @@ class PieceCodec:
                 u = self.units(self.normalise(t))
                 every += u
                 count[i] = len(u)
-        code, uniq = pd.factorize(np.array([*every, None], dtype=object)[:-1])
-        self.known = self.known if len(self.known) <= CACHE else {}
-        new = [u for u in uniq if u not in self.known]
-        if new:
-            self._learn(new)
-        parts = [self.known[u] for u in uniq]
-        size = np.fromiter((len(p[0]) for p in parts), dtype=np.int64, count=len(parts))
-        ok = np.fromiter((p[1] for p in parts), dtype=bool, count=len(parts))
-        table = np.concatenate([np.zeros(0, np.int32), *[p[0] for p in parts]])
-        first, length = np.cumsum(size) - size, size[code]
+        code = np.fromiter(map(self.codes.__getitem__, every), dtype=np.int64, count=len(every))
+        self._learn()
+        length = self.size[code]
         at = np.cumsum(length) - length
-        ids = table[np.arange(int(length.sum())) + np.repeat(first[code] - at, length)]
+        ids = self.table[np.arange(int(length.sum())) + np.repeat(self.first[code] - at, length)]
         doc = np.repeat(np.arange(len(texts)), count)
         n = np.bincount(doc, weights=length, minlength=len(texts)).astype(np.int64)
-        bad = np.bincount(doc, weights=~ok[code], minlength=len(texts)) > 0
-        return ids, n, ~bad
+        return ids, n, np.bincount(doc[~self.back[code]], minlength=len(texts)) == 0
 
-    def decode(self, ids: np.ndarray, n: np.ndarray) -> list[str]:
-        """Texts of id sequences that lie one after the other."""
+    def parity(self, texts: list, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Whether SentencePiece gives the same ids for each text as a whole."""
+        return equal_parts(ids, n, *flat_ids(self.sp.encode([t or "" for t in texts], num_threads=THREADS)))
+
+    def _surfaces(self, ids: np.ndarray, n: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """Bytes of id sequences that lie one after the other, and where each begins."""
         length = self.surface_size[ids]
         at = np.cumsum(length) - length
         body = self.surface[np.arange(int(length.sum())) + np.repeat(self.surface_at[ids] - at, length)].tobytes()
-        cut = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(n)])]
+        return body, np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(n)])]
+
+    def decode(self, ids: np.ndarray, n: np.ndarray) -> list[str]:
+        """Texts of id sequences that lie one after the other."""
+        body, cut = self._surfaces(ids, n)
         out = [body[x:y].decode("utf-8", "replace") for x, y in zip(cut[:-1], cut[1:])]
         return [t[1:] if self.prefix and t.startswith(" ") else t for t in out]
 
@@ -169,18 +206,14 @@ def codec(model: str) -> PieceCodec:
 def _report(model: str):
     def run(texts: list) -> dict:
         c = codec(model)
-        ids, n, _ = c.encode(texts)
-        theirs = c.sp.encode([t or "" for t in texts], num_threads=THREADS)
-        parity = np.zeros(len(texts), dtype=bool)
-        back = c.decode(ids, n)
-        cut = np.cumsum(n)
-        crc, same = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts), dtype=bool)
-        for i, t in enumerate(texts):
-            own = ids[cut[i] - n[i]:cut[i]]
-            crc[i] = zlib.crc32(own.astype("<u4").tobytes())
-            same[i] = back[i] == c.normalise(t or "")
-            parity[i] = theirs[i] == own.tolist()
-        return {"n_ids": n, "ids_crc32": crc, "roundtrip": same, "parity": parity}
+        # each distinct text of the batch once
+        at, distinct = pd.factorize(np.array([*(t or "" for t in texts), None], dtype=object)[:-1])
+        distinct = list(distinct)
+        ids, n, back = c.encode(distinct)
+        same = c.parity(distinct, ids, n)
+        raw, end = ids.astype("<u4").tobytes(), np.cumsum(n)
+        crc = np.array([zlib.crc32(raw[4 * (e - m):4 * e]) for e, m in zip(end.tolist(), n.tolist())], dtype=np.int64)
+        return {"n_ids": n[at], "ids_crc32": crc[at], "roundtrip": back[at], "parity": same[at]}
     return run
 
 
@@ -188,9 +221,9 @@ def piece_report(df: DataFrame, key: str = "doc_id", text: str = "text", model:
     """One row per input row: ``key, n_ids, ids_crc32, roundtrip, parity``.
 
     ``ids_crc32`` is the CRC of the ids as little-endian unsigned 32-bit numbers.
-    ``roundtrip``: decoding the ids gives the normalised text. ``parity``:
-    SentencePiece gives the same ids for the text as a whole, checked for every
-    text.
+    ``roundtrip``: decoding the ids gives the normalised text, unit by unit.
+    ``parity``: SentencePiece gives the same ids for the text as a whole, checked
+    for every text.
 
     Null or empty text has no ids and passes both; each row stands alone, so
     repeated rows each get a row; an empty table gives none; other columns are

@@ -13,7 +13,9 @@ ODD = ["", " ", "   ", "a", " a", "a ", "the  cat   sat    on     it", "x" * 300
 def test_parity_and_decode_with_the_library():
     sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(P.MODEL))
     c = P.codec(P.MODEL)
-    ids, n, parity = c.encode(ODD)
+    ids, n, whole = c.encode(ODD)
+    parity = c.parity(ODD, ids, n)
+    assert whole.all()
     cut = n.cumsum()
     for i, t in enumerate(ODD):
         own = ids[cut[i] - n[i]:cut[i]].tolist()
@@ -45,7 +47,8 @@ def test_unigram_scores_and_byte_fallback():
     sp = sentencepiece.SentencePieceProcessor(model_proto=blob)
     c = P.PieceCodec(blob)
     texts = ["ab", "abab ba", "  aab   b ", "aéb", "ba ba ab"]
-    ids, n, parity = c.encode(texts)
+    ids, n, _ = c.encode(texts)
+    parity = c.parity(texts, ids, n)
     cut = n.cumsum()
     for i, t in enumerate(texts):
         assert ids[cut[i] - n[i]:cut[i]].tolist() == sp.encode(t), t
@@ -84,6 +87,33 @@ def test_parity_compares_every_whole_text(monkeypatch):
     monkeypatch.setitem(P._loaded, "wrong", wrong)
     spaced = [f"text  {k}   of   many" for k in range(200)]
     plain = [f"text {k} of many" for k in range(200)]
-    assert wrong.encode(spaced)[2].all()  # the units alone do not show it
+    assert wrong.encode(spaced)[2].all()  # decoding the units does not show it
     assert not P._report("wrong")(spaced)["parity"].any()
     assert P._report("wrong")([*plain, "", None])["parity"].all()
+
+
+def test_parts_compare_with_equal_and_unequal_lengths():
+    import numpy as np
+    a, b = np.array([1, 2, 3, 4, 5]), np.array([1, 2, 3, 9, 5])
+    assert P.equal_parts(a, np.array([2, 0, 3]), b, np.array([2, 0, 3])).tolist() == [True, True, False]
+    assert P.equal_parts(a, np.array([2, 1, 2]), a, np.array([2, 2, 1])).tolist() == [True, False, False]
+
+
+def test_copies_and_very_long_texts(spark):
+    long = "word and ïmage\n" * 40_000
+    rows = [(i, t) for i, t in enumerate([long, "same text", "same text", None, ""] + ["same text"] * 50)]
+    out = {r["doc_id"]: r for r in P.piece_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(out) == len(rows) and all(r["parity"] and r["roundtrip"] for r in out.values())
+    assert len({(out[i]["n_ids"], out[i]["ids_crc32"]) for i, t in rows if t == "same text"}) == 1
+    assert out[0]["n_ids"] > 100_000
+
+
+def test_an_unknown_character_without_fallback_is_no_round_trip():
+    m = sentencepiece_model_pb2.ModelProto()
+    m.ParseFromString(unigram_model())
+    m.trainer_spec.byte_fallback = False
+    for p in list(m.pieces):
+        if p.type == 6:
+            p.type = 1
+    c = P.PieceCodec(m.SerializeToString())
+    assert c.encode(["ab ba", "a\u4e2db"])[2].tolist() == [True, False]
