@@ -6,9 +6,10 @@ sample; transitions between languages are learned too. Forward-backward gives
 the probability of each language at each word, so texts that switch language are
 labelled word by word; a text's language is the one with most letters.
 
-The field knows only the languages it learned. Whether a text is in any of them
-is judged by its n-grams: the share seen in training of the language each word
-got, against the share that unseen text of that language has.
+The field knows only the languages it learned and answers one of them for every
+text with a letter. Whether a text is in any of them at all is judged apart from
+that, by its n-grams: the share seen in training of the language each word got,
+against the share that unseen text of that language has.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ WORD = re.compile(r"[^\W\d_]+")   # runs of letters
 BUCKETS = 1 << 16
 SAMPLE_DOCS = 300       # training documents per language (the bound of what the driver reads)
 SAMPLE_CHARS = 3000     # characters of each of them
+MAX_LANGS = 200         # languages learned: the commonest ones
 SEQUENCES, SPAN, LENGTH = 900, (2, 25), 60   # code-switched training sequences
 EPOCHS, RATE, DECAY = 60, 0.25, 1e-4
 LEXICON_COUNT, LEXICON_SHARE = 3, 0.9
@@ -37,6 +39,7 @@ MIN_SEEN = 0.6            # of the share seen in unseen text of the learned lang
 FOLDS = 5
 UNKNOWN = "und"
 FIELDS = "lang_pred string, score double, n_words long, n_switches long"
+JUDGED = FIELDS + ", in_learned boolean"
 
 U = np.uint64
 
@@ -81,7 +84,7 @@ def feature_columns(words: list[str]):
                 inside &= (i > 0) & (i <= size)
             if inside.any():
                 yield _bucket(h[:, i], k), np.where(inside, gram * 2, 0.0)
-        if k >= 2:
+        if k >= 2 and h.shape[1]:                         # (no word here may be that long)
             yield _bucket(h[:, 0], 10 + k), np.where(size + 1 >= k, one, 0.0)                     # prefix
             at = np.clip(size + 2 - k, 0, width + 2 - k)
             yield _bucket(h[np.arange(n), at], 20 + k), np.where(size + 1 >= k, one, 0.0)         # suffix
@@ -327,33 +330,48 @@ def label_words(model: Crf, texts: list) -> tuple[list[str], np.ndarray, np.ndar
     return words, count, model.marginals(model.emissions(list(uniq))[ids], first)
 
 
-def predict(model: Crf | None, texts: list) -> dict[str, np.ndarray]:
-    """Language, score, words and language switches of each text."""
+def count_letters(words: list[str]) -> np.ndarray:
+    """Letters of each word (a run may also hold signs such as fractions)."""
+    return np.fromiter((len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in words), dtype=np.float64, count=len(words))
+
+
+def predict(model: Crf | None, texts: list, judge: bool = False) -> dict[str, np.ndarray]:
+    """Language, score, words and language switches of each text; with ``judge`` also
+    whether the text is in a learned language at all."""
     m = len(texts)
     pred = np.full(m, UNKNOWN, dtype=object)
     score = np.zeros(m)
     switches = np.zeros(m, dtype=np.int64)
+    inside = np.zeros(m, dtype=bool)
     if model is None:
-        return {"lang_pred": pred, "score": score, "n_words": split_words(texts)[1], "n_switches": switches}
-    words, count, post = label_words(model, texts)
+        out = {"lang_pred": pred, "score": score, "n_words": split_words(texts)[1], "n_switches": switches}
+        return {**out, "in_learned": inside} if judge else out
+    words, count = split_words(texts)
     if words:
+        ids, uniq = pd.factorize(np.array([*words, None], dtype=object)[:-1])
+        uniq = list(uniq)
+        first = np.zeros(len(words), dtype=bool)
+        first[(np.cumsum(count) - count)[count > 0]] = True
+        post = model.marginals(model.emissions(uniq)[ids], first)
         doc = np.repeat(np.arange(m), count)
-        letters = np.fromiter(map(len, words), dtype=np.float64, count=len(words))
+        letters = count_letters(uniq)[ids]
+        total = np.bincount(doc, weights=letters, minlength=m)
+        some = total > 0
         share = np.stack([np.bincount(doc, weights=post[:, j] * letters, minlength=m)
                           for j in range(len(model.langs))], axis=1)
-        some = count > 0
         share[some] /= share[some].sum(axis=1, keepdims=True)
-        ids, uniq = pd.factorize(np.array([*words, None], dtype=object)[:-1])
-        seen = (post * seen_shares(list(uniq), model.seen)[ids]).sum(axis=1) * letters
-        seen = np.bincount(doc, weights=seen, minlength=m) / np.maximum(np.bincount(doc, weights=letters, minlength=m), 1)
-        some &= seen >= MIN_SEEN * (share @ model.usual)
         best = share.argmax(axis=1)
         pred[some] = np.array(model.langs, dtype=object)[best[some]]
         score[some] = np.clip(share[some, best[some]], 0.0, 1.0)
         lab = post.argmax(axis=1)
         change = (lab[1:] != lab[:-1]) & (doc[1:] == doc[:-1])
         switches = np.bincount(doc[1:][change], minlength=m).astype(np.int64)
-    return {"lang_pred": pred, "score": score, "n_words": count, "n_switches": switches}
+        if judge:
+            seen = (post * seen_shares(uniq, model.seen)[ids]).sum(axis=1) * letters
+            seen = np.bincount(doc, weights=seen, minlength=m) / np.maximum(total, 1)
+            inside = some & (seen >= MIN_SEEN * (share @ model.usual))
+    out = {"lang_pred": pred, "score": score, "n_words": count, "n_switches": switches}
+    return {**out, "in_learned": inside} if judge else out
 
 
 def held_out(key: str):
@@ -361,14 +379,16 @@ def held_out(key: str):
 
 
 def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-        sample_docs: int = SAMPLE_DOCS) -> Crf | None:
+        sample_docs: int = SAMPLE_DOCS, max_langs: int = MAX_LANGS) -> Crf | None:
     """Train on a bounded sample of labelled rows that are not held out.
 
     Of each language about ``sample_docs`` rows, picked by a hash of the key, and
-    ``SAMPLE_CHARS`` characters of each, are read by the driver."""
+    ``SAMPLE_CHARS`` characters of each, are read by the driver; of more than
+    ``max_langs`` languages the commonest (ties by name) are learned."""
     rows = df.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("g")) \
              .where(F.col("g").isNotNull() & F.col("t").isNotNull()).where(~held_out("k"))
-    counts = {r["g"]: r["n"] for r in rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r["g"]: r["n"] for r in rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.desc("n"), "g").limit(max_langs).collect()}
     if not counts:
         return None
     million = 1_000_000
@@ -377,7 +397,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
     place = F.pmod(F.xxhash64("k", F.lit(41)), F.lit(million))
     # Whole rows are filtered by hash before anything moves; the cut to the exact
     # number happens on the few that are left.
-    picked = rows.withColumn("h", place).where(F.col("h") < F.element_at(limits, F.col("g"))) \
+    picked = rows.withColumn("h", place).where(F.col("h") < F.try_element_at(limits, F.col("g"))) \
                  .select("h", "k", "g", F.substring("t", 1, SAMPLE_CHARS).alias("t")) \
                  .orderBy("h", "k").limit(2 * sample_docs * len(counts)).collect()
     taken: Counter = Counter()
@@ -389,9 +409,9 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
     return train(sample)
 
 
-def annotate(df: DataFrame, model: Crf | None, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
+def annotate(df: DataFrame, model: Crf | None, text: str = "text", judge: bool = False) -> tuple[DataFrame, dict[str, str]]:
     """All columns of ``df`` and the prediction for each text."""
-    return with_results(df, text, lambda texts: predict(model, texts), FIELDS)
+    return with_results(df, text, lambda texts: predict(model, texts, judge), JUDGED if judge else FIELDS)
 
 
 def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -404,10 +424,9 @@ def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     letters in ``lang_pred``; ``n_switches`` counts neighbouring words of
     different languages.
 
-    A null text or one without a letter is ``und`` with score 0, as is a text in
-    none of the learned languages (its words' n-grams seen in training are under
-    ``MIN_SEEN`` of what unseen text of these languages has) and every text if no
-    row is labelled. Each row is judged alone: repeated rows each get a
+    A null text or one without a letter is ``und`` with score 0, as is every text if
+    no row is labelled; every other text, however short or foreign, gets the best
+    of the learned languages. Each row is judged alone: repeated rows each get a
     row, ties between languages go to the first by name, an empty table gives no
     rows, other columns are ignored. A null key counts as held out.
     """
@@ -419,11 +438,15 @@ def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
 def keep_identified(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
                     min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``df`` in learned languages (see ``identify``), one of which at least
-    ``min_score`` of their letters are in. If no row is labelled there is nothing to learn and only texts without a letter go."""
+    """The rows of ``df`` in learned languages, with at least ``min_score`` of their
+    letters in one of them.
+
+    A text is in none of them if its words' n-grams that were seen in training are
+    under ``MIN_SEEN`` of the share that unseen text of these languages has. If no
+    row is labelled there is nothing to learn and only texts without a letter go."""
     model = fit(df, key, text, lang)
-    got, names = annotate(df, model, text)
+    got, names = annotate(df, model, text, judge=True)
     good = F.col(names["n_words"]) > 0
     if model is not None:
-        good = good & (F.col(names["score"]) >= min_score)
+        good = F.col(names["in_learned"]) & (F.col(names["score"]) >= min_score)
     return got.where(good).select(*got.columns[:len(df.columns)])

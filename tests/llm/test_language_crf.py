@@ -61,13 +61,26 @@ def test_labels_words_of_mixed_text_and_edge_rows(spark):
     assert kept.columns == df.columns and kept.count() == 2
 
 
-def test_texts_in_no_learned_language_are_und(spark):
-    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text", "lang").toPandas()
+def without_french():
+    from pyspark.sql import SparkSession
+    docs = SparkSession.getActiveSession().read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text", "lang").toPandas()
     held = docs["doc_id"].map(lambda d: zlib.crc32(str(d).encode()) % 5 == 0)
     taught = docs[~held & (docs["lang"] != "fr")].groupby("lang").head(100)
-    model = L.train([(t[:3000], g) for t, g in zip(taught["text"], taught["lang"])])
+    return L.train([(t[:3000], g) for t, g in zip(taught["text"], taught["lang"])]), docs[held]
+
+
+def test_every_text_with_a_letter_gets_a_learned_language(spark):
+    model, out = without_french()
+    short = ["OK", "a", "Ceci", "Dr. Smith", "x1", "1a2", "Tämä on suomea ja vain suomea", "これは日本語です", "\U0001f600 ñ", "Ⅷ no"]
+    p = L.predict(model, short + out["text"].tolist())
+    assert set(p["lang_pred"]) <= set(model.langs) and (p["score"] > 0).all() and (p["score"] <= 1).all()
+    none = L.predict(model, [None, "", "  ", "123 ... !?", "½ ²", "_ _", "\U0001f600"])
+    assert set(none["lang_pred"]) == {"und"} and not none["score"].any()
+
+
+def test_texts_in_no_learned_language_are_judged_so(spark):
+    model, out = without_french()
     assert len(model.langs) == 3  # the largest share of three is never under a third
-    out = docs[held]
     r = np.random.default_rng(1)
     words = lambda t: L.split_words([t])[0]
     known = out.loc[out["lang"] != "fr", "text"].tolist()
@@ -76,7 +89,25 @@ def test_texts_in_no_learned_language_are_und(spark):
     random = [" ".join("".join(map(chr, r.integers(97, 123, 7))) for _ in range(100)) for _ in range(20)]
     mixed = [f"{a[:500]} {b[:500]}" for a, b in zip(out.loc[out["lang"] == "de", "text"], out.loc[out["lang"] == "es", "text"])]
     for texts, good in ((known, True), (mixed, True), (unseen, False), (scrambled, False), (random, False)):
-        p = L.predict(model, texts)
-        right = (p["lang_pred"] != L.UNKNOWN) == good
-        assert right.mean() > 0.97
-        assert ((p["score"] >= L.MIN_SCORE) == (p["lang_pred"] != L.UNKNOWN)).all()
+        assert (L.predict(model, texts, judge=True)["in_learned"] == good).mean() > 0.97
+
+
+def test_the_stage_keeps_texts_of_its_languages_and_drops_others(spark):
+    # which rows must go is known from how they were made, not from the rule
+    _, out = without_french()
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").where("lang <> 'fr'").select("doc_id", "text", "lang")
+    r = np.random.default_rng(2)
+    junk = [(10_000_000 + i, " ".join("".join(map(chr, r.integers(97, 123, 8))) for _ in range(60)), None) for i in range(30)]
+    foreign = [(20_000_000 + i, t, None) for i, t in enumerate(out.loc[out["lang"] == "fr", "text"].tolist())]
+    plain = [(30_000_000, "12 34", None), (30_000_001, None, None)]
+    df = docs.unionByName(spark.createDataFrame(junk + foreign + plain, docs.schema))
+    kept = {row["doc_id"] for row in L.keep_identified(df).collect()}
+    good = {row["doc_id"] for row in docs.collect()}
+    assert len(kept & good) >= 0.97 * len(good)
+    assert len(kept - good) <= 0.03 * len(junk + foreign) and not kept & {30_000_000, 30_000_001}
+
+
+def test_more_labels_than_can_be_learned(spark):
+    rows = [(i, "the king and the house " * 3, f"l{i % 50:02d}" if i < 100 else "en") for i in range(400)]
+    model = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_langs=3)
+    assert len(model.langs) == 3 and "en" in model.langs

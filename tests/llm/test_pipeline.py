@@ -18,8 +18,8 @@ def test_each_stage_against_its_brute_force(spark):
 
     model = language_crf.fit(docs)
     a = written(stages["language_id"](spark, docs, SF_SMALL), "t1")
-    p = language_crf.predict(model, [r["text"] for r in docs.collect()])
-    want = {r["doc_id"] for r, s, n in zip(docs.collect(), p["score"], p["n_words"]) if n and s >= language_crf.MIN_SCORE}
+    p = language_crf.predict(model, [r["text"] for r in docs.collect()], judge=True)
+    want = {r["doc_id"] for r, s, n in zip(docs.collect(), p["score"], p["in_learned"]) if n and s >= language_crf.MIN_SCORE}
     assert a.columns == docs.columns and set(rows(a)) == want
 
     b = written(stages["quality_rules"](spark, a, SF_SMALL), "t2")
