@@ -17,18 +17,22 @@ suffixes that share these bytes must meet and others need not:
    minimiser and sends them to the partition of the minimiser. Equal runs of a
    block are sent once, for the smallest document, so a passage in a third of
    all documents reaches a partition at most once per block.
-   Runs of a minimiser whose runs exceed a bound over all blocks do not go to
-   one partition: each 50-byte string in them is sent as its two hashes to the
-   partition of one of these, once per block. Equal strings still meet, and a
-   frequent phrase with ever new neighbours fills no single group.
+   Runs of a minimiser whose runs exceed a bound over all blocks (a frequent phrase
+   with ever new neighbours) would fill one partition. Of these, blocks first
+   exchange the hashes of the 50-byte strings themselves, as in step 1; each string
+   that occurs in several documents is then a run of its own, sent with its bytes,
+   once per block, to the partition of its own hash.
 3. Each partition drops equal runs, orders the suffixes of what is left by the
    difference-cover algorithm, compares adjacent 50-byte prefixes, and sends
    covered intervals back to the blocks, which cut the texts. (A run that is left
    alone with its minimiser shares no string with any other and is not sorted.)
 
-All three steps use one shuffle of the texts by block (the exchange is reused);
+All steps use one shuffle of the texts by block (the exchange is reused);
 everything else that moves is packed numpy arrays. Blocks and partitions grow in
-number with the input, not in size.
+number with the input, not in size. A block sends at most ``FAN`` rows whatever
+the number of partitions: beyond that hashes travel in two hops, from blocks to
+bands of blocks and from there to partitions, and back the same way. Hashes only
+bring strings together; that two are equal is decided by their bytes.
 """
 
 from __future__ import annotations
@@ -49,7 +53,8 @@ SPREAD = LENGTH - GRAM + 1
 MAX_RUN = 2048         # starts in one run; longer ones are cut (equal strings still meet)
 PIECE = 1 << 20        # bytes hashed at a time
 BLOCK_BYTES = 4 << 20  # text of a block of documents
-SPLIT_BYTES = 1 << 20  # bytes of the runs of one minimiser, above which its strings are sent one by one
+SPLIT_BYTES = 1 << 20  # bytes of the runs of one minimiser, above which its strings go to partitions of their own
+FAN = 512              # rows a block (or a band of blocks) sends in one exchange
 NO_ID = np.iinfo(np.int64).max
 
 U = np.uint64
@@ -139,94 +144,163 @@ def _texts(t: pa.Table, key: str, text: str):
 
 # ---- step 1: which minimisers occur in several documents ----
 
-FOUND = "part int, block int, hashes binary, local binary, weights binary, digests binary, ids binary, rows binary"
-HITS = "block int, part int, hits binary, heavy binary, copies binary"
+# Entries of one or more blocks: per block ``sizes`` codes (partition and hash), whether
+# a code is in several documents of its block, the bytes behind it as a power of two,
+# and ``dsizes`` whole-text digests with their ids and row numbers.
+FOUND = ("part int, band int, blocks binary, sizes binary, codes binary, local binary, weights binary, "
+         "dsizes binary, digests binary, ids binary, rows binary")
+# The answers: per block ``sizes`` codes that occur in several documents, which of them
+# are heavy, and ``dsizes`` rows that are copies of a text with a smaller id.
+HITS = "part int, band int, blocks binary, sizes binary, codes binary, heavy binary, dsizes binary, copies binary"
+BY_BLOCK = "block int, codes binary, heavy binary, copies binary"
 
 
-def _send_minimisers(key: str, text: str, parts: int):
+def _table_of(ddl: str, rows: list[dict]) -> pa.Table:
+    names = [x.split() for x in ddl.split(", ")]
+    return pa.table({n: pa.array([r[n] for r in rows], pa.int32() if k == "int" else pa.binary()) for n, k in names})
+
+
+def _column(t: pa.Table, name: str, dtype) -> np.ndarray:
+    """A packed column of all rows, one after the other."""
+    return np.frombuffer(b"".join(t.column(name).to_pylist()), dtype=dtype)
+
+
+def _codes(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return ((hashes >> U(32)) % U(parts)) << U(32) | (hashes & U(0xFFFFFFFF))
+
+
+def _digest_parts(digests: np.ndarray, parts: int) -> np.ndarray:
+    return (digests[:, 0] % U(parts)).astype(np.int64)
+
+
+def _cuts(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct sorted keys and where their runs begin and end."""
+    key, first = np.unique(sorted_keys, return_index=True)
+    return key, first, np.append(first[1:], len(sorted_keys))
+
+
+def _found_rows(block: int, band: int, wide: int, parts: int, code, local, weight, digests, ids, rows) -> list[dict]:
+    """One row per group of ``wide`` partitions that has entries; ``code`` ascends."""
+    to, dto = (code >> U(32)).astype(np.int64) // wide, _digest_parts(digests, parts) // wide
+    by = np.argsort(dto, kind="stable")
+    dto, digests, ids, rows = dto[by], digests[by], ids[by], rows[by]
+    out = []
+    for p in np.union1d(to, dto).tolist():
+        x, y = np.searchsorted(to, [p, p + 1])
+        u, v = np.searchsorted(dto, [p, p + 1])
+        own = code[x:y] & U(0xFFFFFFFF) if wide == 1 else code[x:y]
+        out.append({"part": p, "band": band, "blocks": np.int32(block).tobytes(), "sizes": np.int32(y - x).tobytes(),
+                    "codes": own.astype(np.uint32 if wide == 1 else U).tobytes(), "local": local[x:y].astype(np.uint8).tobytes(),
+                    "weights": weight[x:y].tobytes(), "dsizes": np.int32(v - u).tobytes(),
+                    "digests": np.ascontiguousarray(digests[u:v]).tobytes(), "ids": ids[u:v].tobytes(),
+                    "rows": rows[u:v].astype(np.int32).tobytes()})
+    return out
+
+
+def _send_minimisers(key: str, text: str, parts: int, wide: int = 1):
     def run(t: pa.Table) -> pa.Table:
         block = t.column("__block")[0].as_py()
         ids, raw, offsets, _, dig = _texts(t, key, text)
         b = np.frombuffer(raw, dtype=np.uint8)
         mins, doc, _, n = _runs(b, offsets)
-        g = _spread(mins)
-        code = ((g >> U(32)) % U(parts)) << U(32) | (g & U(0xFFFFFFFF))
+        code = _codes(_spread(mins), parts)
         o = np.lexsort((ids[doc], code))
         code, who, n = code[o], ids[doc][o], n[o] + LENGTH - 1
-        head = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
-        tail = np.append(head[1:], len(code)) - 1 if len(head) else head
-        local = who[head] != who[tail]
-        uniq = code[head]
+        _, head, end = _cuts(code)
         # Bytes of the runs of each minimiser, rounded up to a power of two.
         weight = np.ceil(np.log2(np.add.reduceat(n, head))).astype(np.uint8) if len(head) else np.zeros(0, np.uint8)
-        cut = np.searchsorted(uniq, np.arange(parts + 1, dtype=U) << U(32))
-        d16 = np.frombuffer(b"".join(dig), dtype=np.uint64).reshape(-1, 2)
-        dpart = (d16[:, 0] % U(parts)).astype(np.int64)
-        rows: dict[str, list] = {c: [] for c in ("part", "block", "hashes", "local", "weights", "digests", "ids", "rows")}
-        for p in range(parts):
-            x, y = cut[p], cut[p + 1]
-            mine = np.flatnonzero(dpart == p)
-            if x == y and not len(mine):
-                continue
-            rows["part"].append(p)
-            rows["block"].append(block)
-            rows["hashes"].append((uniq[x:y] & U(0xFFFFFFFF)).astype(np.uint32).tobytes())
-            rows["local"].append(np.packbits(local[x:y]).tobytes())
-            rows["weights"].append(weight[x:y].tobytes())
-            rows["digests"].append(np.ascontiguousarray(d16[mine]).tobytes())
-            rows["ids"].append(ids[mine].tobytes())
-            rows["rows"].append(mine.astype(np.int32).tobytes())
-        kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 6
-        return pa.table({c: pa.array(v, type=k) for (c, v), k in zip(rows.items(), kinds)})
+        d16 = np.frombuffer(b"".join(dig), dtype=U).reshape(-1, 2)
+        return _table_of(FOUND, _found_rows(block, block // wide, wide, parts, code[head], who[head] != who[end - 1], weight, d16, ids,
+                                            np.arange(len(ids))))
+    return run
+
+
+def _to_parts(parts: int):
+    """Second hop: the entries of a band of blocks, by partition."""
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("blocks")
+        band = t.column("band")[0].as_py()
+        blocks, sizes, dsizes = (_column(t, c, np.int32) for c in ("blocks", "sizes", "dsizes"))
+        code, local, weight = _column(t, "codes", U), _column(t, "local", np.uint8), _column(t, "weights", np.uint8)
+        digests, ids, rows = _column(t, "digests", U).reshape(-1, 2), _column(t, "ids", np.int64), _column(t, "rows", np.int32)
+        owner, downer = np.repeat(np.arange(len(blocks)), sizes), np.repeat(np.arange(len(blocks)), dsizes)
+        to, dto = (code >> U(32)).astype(np.int64), _digest_parts(digests, parts)
+        by, dby = np.argsort(to, kind="stable"), np.argsort(dto, kind="stable")
+        to, dto = to[by], dto[dby]
+        out = []
+        for p in np.union1d(to, dto).tolist():
+            e, d = by[slice(*np.searchsorted(to, [p, p + 1]))], dby[slice(*np.searchsorted(dto, [p, p + 1]))]
+            who = np.union1d(owner[e], downer[d])
+            out.append({"part": p, "band": band, "blocks": blocks[who].tobytes(),
+                        "sizes": np.bincount(np.searchsorted(who, owner[e]), minlength=len(who)).astype(np.int32).tobytes(),
+                        "codes": code[e].tobytes(), "local": local[e].tobytes(), "weights": weight[e].tobytes(),
+                        "dsizes": np.bincount(np.searchsorted(who, downer[d]), minlength=len(who)).astype(np.int32).tobytes(),
+                        "digests": np.ascontiguousarray(digests[d]).tobytes(), "ids": ids[d].tobytes(), "rows": rows[d].tobytes()})
+        return _table_of(FOUND, out)
     return run
 
 
-def _find_repeated(split_bytes: int):
-    return lambda t: _repeated(t, split_bytes)
+def _find_repeated(split_bytes: int, wide: int = 1):
+    return lambda t: _repeated(t, split_bytes, wide)
 
 
-def _repeated(t: pa.Table, split_bytes: int) -> pa.Table:
+def _repeated(t: pa.Table, split_bytes: int, wide: int) -> pa.Table:
     part = t.column("part")[0].as_py()
-    blocks = t.column("block").to_pylist()
-    get = lambda c, d: [np.frombuffer(x, dtype=d) for x in t.column(c).to_pylist()]
-    hashes, ids, rows = get("hashes", np.uint32), get("ids", np.int64), get("rows", np.int32)
-    local = [np.unpackbits(x, count=len(h)).astype(bool) for x, h in zip(get("local", np.uint8), hashes)]
-    every = np.concatenate(hashes)
-    o = np.argsort(every, kind="stable")
-    s = every[o]
-    head = np.concatenate([[True], s[1:] != s[:-1]]) if len(s) else np.zeros(0, bool)
-    start = np.flatnonzero(head)
-    size = np.diff(np.append(start, len(s)))
-    hit = size > 1
+    code = _column(t, "codes", np.uint32 if wide == 1 else U).astype(U)
+    if wide == 1:
+        code = code | (U(part) << U(32))
+    o = np.argsort(code, kind="stable")
+    _, start, end = _cuts(code[o])
+    flag, heavy = np.zeros(len(code), dtype=bool), np.zeros(len(code), dtype=bool)
     if len(start):
-        hit |= np.logical_or.reduceat(np.concatenate(local)[o], start)
-    flag = np.empty(len(s), dtype=bool)
-    flag[o] = np.repeat(hit, size)
-    heavy = np.zeros(len(s), dtype=bool)
-    if len(start):
-        weights = np.concatenate(get("weights", np.uint8))[o]
-        heavy[o] = np.repeat(np.add.reduceat(np.exp2(weights.astype(np.float64)), start) > split_bytes, size)
-    dig = np.frombuffer(b"".join(t.column("digests").to_pylist()), dtype="V16")
-    all_ids = np.concatenate(ids)
+        size = end - start
+        hit = (size > 1) | np.logical_or.reduceat(_column(t, "local", np.uint8)[o].astype(bool), start)
+        flag[o] = np.repeat(hit, size)
+        bytes_ = np.exp2(_column(t, "weights", np.uint8)[o].astype(np.float64))
+        heavy[o] = np.repeat(np.add.reduceat(bytes_, start) > split_bytes, size)
+    dig, ids, rows = _column(t, "digests", "V16"), _column(t, "ids", np.int64), _column(t, "rows", np.int32)
     _, same = np.unique(dig, return_inverse=True) if len(dig) else (None, np.zeros(0, np.int64))
     least = np.full(int(same.max()) + 1 if len(same) else 0, NO_ID)
-    np.minimum.at(least, same, all_ids)
-    copy = least[same] < all_ids
-    out: dict[str, list] = {"block": [], "part": [], "hits": [], "heavy": [], "copies": []}
-    x = y = 0
-    for i, blk in enumerate(blocks):
-        f, c = flag[x:x + len(hashes[i])], copy[y:y + len(ids[i])]
-        many = heavy[x:x + len(hashes[i])][f]
-        x, y = x + len(hashes[i]), y + len(ids[i])
+    np.minimum.at(least, same, ids)
+    copy = least[same] < ids
+    # The answers go back the way the entries came: by band, or by block if there is one hop.
+    out, x, y = [], 0, 0
+    lists = zip(*(t.column(c).to_pylist() for c in ("band", "blocks", "sizes", "dsizes")))
+    for band, *packed in lists:
+        blocks, sizes, dsizes = (np.frombuffer(v, dtype=np.int32) for v in packed)
+        n, m = int(sizes.sum()), int(dsizes.sum())
+        f, c = flag[x:x + n], copy[y:y + m]
         if f.any() or c.any():
-            out["block"].append(blk)
-            out["part"].append(part)
-            out["hits"].append(hashes[i][f].tobytes())
-            out["heavy"].append(np.packbits(many).tobytes())
-            out["copies"].append(rows[i][c].tobytes())
-    return pa.table({"block": pa.array(out["block"], pa.int32()), "part": pa.array(out["part"], pa.int32()),
-                     "hits": pa.array(out["hits"], pa.binary()), "heavy": pa.array(out["heavy"], pa.binary()),
-                     "copies": pa.array(out["copies"], pa.binary())})
+            count = lambda sz, ok: np.bincount(np.repeat(np.arange(len(sz)), sz)[ok], minlength=len(sz)).astype(np.int32)
+            out.append({"part": part // wide, "band": band, "blocks": blocks.tobytes(), "sizes": count(sizes, f).tobytes(),
+                        "codes": code[x:x + n][f].tobytes(), "heavy": heavy[x:x + n][f].astype(np.uint8).tobytes(),
+                        "dsizes": count(dsizes, c).tobytes(), "copies": rows[y:y + m][c].tobytes()})
+        x, y = x + n, y + m
+    return _table_of(HITS, out)
+
+
+def _to_blocks(t: pa.Table) -> pa.Table:
+    """The answers of several partitions, by block."""
+    blocks, sizes, dsizes = (_column(t, c, np.int32) for c in ("blocks", "sizes", "dsizes"))
+    code, heavy, copies = _column(t, "codes", U), _column(t, "heavy", np.uint8), _column(t, "copies", np.int32)
+    owner, downer = np.repeat(blocks, sizes), np.repeat(blocks, dsizes)
+    by, dby = np.argsort(owner, kind="stable"), np.argsort(downer, kind="stable")
+    owner, downer, out = owner[by], downer[dby], []
+    for k in np.unique(blocks).tolist():
+        e, d = by[slice(*np.searchsorted(owner, [k, k + 1]))], dby[slice(*np.searchsorted(downer, [k, k + 1]))]
+        if len(e) or len(d):
+            out.append({"block": k, "codes": code[e].tobytes(), "heavy": heavy[e].tobytes(), "copies": copies[d].tobytes()})
+    return _table_of(BY_BLOCK, out)
+
+
+def _answers(found: DataFrame, parts: int, wide: int, split_bytes: float) -> DataFrame:
+    """Which of the entries occur in several documents, by block."""
+    if wide > 1:
+        found = found.groupBy("part", "band").applyInArrow(_to_parts(parts), FOUND)
+    hits = found.groupBy("part").applyInArrow(_find_repeated(split_bytes, wide), HITS)
+    if wide == 1:       # a band is a block
+        return hits.select(F.col("band").alias("block"), "codes", "heavy", "copies")
+    return hits.groupBy("part", "band").applyInArrow(_to_blocks, BY_BLOCK)
 
 
 # ---- step 2: runs of repeated minimisers, by partition ----
@@ -296,51 +370,109 @@ def _gather(b: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return b[np.arange(int(length.sum())) + np.repeat(start - at, length)]
 
 
+def _verified(b: np.ndarray, at: np.ndarray, length: np.ndarray, o: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """``same`` (the run ``o[i]`` has the hashes of ``o[i - 1]``) where the bytes agree, too."""
+    out = same.copy()
+    idx = np.flatnonzero(same)
+    i = 0
+    while i < len(idx):
+        j = i + max(1, int(np.searchsorted(np.cumsum(length[o[idx[i:]]]), PIECE)))
+        one, two = o[idx[i:j]], o[idx[i:j] - 1]
+        equal = length[one] == length[two]
+        out[idx[i:j][~equal]] = False
+        one, two, n = one[equal], two[equal], length[one][equal]
+        if len(one):
+            wrong = np.add.reduceat(_gather(b, at[one], n) != _gather(b, at[two], n), np.cumsum(n) - n) > 0
+            out[idx[i:j][equal][wrong]] = False
+        i = j
+    return out
+
+
+def _wanted(hits: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted codes that a block was told to occur elsewhere, which are heavy, and its copies."""
+    code, heavy = _column(hits, "codes", U), _column(hits, "heavy", np.uint8).astype(bool)
+    by = np.argsort(code, kind="stable")
+    return code[by], heavy[by], _column(hits, "copies", np.int32)
+
+
+def _is_in(code: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(wanted, code), max(len(wanted) - 1, 0))
+    return at, wanted[at] == code if len(wanted) else np.zeros(len(code), bool)
+
+
+def _repeated_runs(b, ids, offsets, hits: pa.Table, parts: int):
+    """The runs of a block whose minimiser occurs elsewhere, in texts that are no
+    copies: (minimiser, text, start, starts, heavy), and the copies."""
+    wanted, heavy, copies = _wanted(hits)
+    is_copy = np.zeros(len(ids), dtype=bool)
+    is_copy[copies] = True
+    mins, doc, start, n = _runs(b, offsets)
+    at, ok = _is_in(_codes(_spread(mins), parts), wanted)
+    ok &= ~is_copy[doc]
+    many = heavy[at[ok]] if len(heavy) else np.zeros(int(ok.sum()), bool)
+    return mins[ok], doc[ok], start[ok], n[ok], many, copies
+
+
+def _single_starts(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.repeat(start, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _send_heavy(key: str, text: str, parts: int, wide: int):
+    """Hashes of the 50-byte strings of heavy minimisers (step 1 once more, for strings)."""
+    def run(docs: pa.Table, hits: pa.Table) -> pa.Table:
+        rows: list[dict] = []
+        if docs.num_rows and hits.num_rows and _column(hits, "heavy", np.uint8).any():
+            block = docs.column("__block")[0].as_py()
+            ids, raw, offsets, _, _ = _texts(docs, key, text)
+            b = np.frombuffer(raw, dtype=np.uint8)
+            _, doc, start, n, many, _ = _repeated_runs(b, ids, offsets, hits, parts)
+            ones = _single_starts(start[many], n[many])
+            who = ids[np.repeat(doc[many], n[many])]
+            code = _codes(_start_hashes(b, ones), parts)
+            o = np.lexsort((who, code))
+            code, who = code[o], who[o]
+            _, head, end = _cuts(code)
+            none = np.zeros(0, np.int64)
+            rows = _found_rows(block, block // wide, wide, parts, code[head], who[head] != who[end - 1],
+                               np.zeros(len(head), np.uint8), np.zeros((0, 2), U), none, none)
+        return _table_of(FOUND, rows)
+    return run
+
+
 def _send_runs(key: str, text: str, parts: int, run_parts: int):
     kinds = {"part": pa.int32(), "block": pa.int32(), "meta": pa.binary(), "body": pa.binary(), "covered": pa.binary()}
 
     def run(docs: pa.Table, hits: pa.Table) -> pa.Table:
         rows: dict[str, list] = {c: [] for c in kinds}
-        if docs.num_rows and hits.num_rows:
+        of_strings = np.array(hits.column("strings").to_pylist(), dtype=bool)
+        first, second = hits.filter(pa.array(~of_strings)), hits.filter(pa.array(of_strings))
+        if docs.num_rows and first.num_rows:
             block = docs.column("__block")[0].as_py()
             ids, raw, offsets, _, _ = _texts(docs, key, text)
             b = np.frombuffer(raw, dtype=np.uint8)
-            found = [(U(p) << U(32)) | np.frombuffer(h, dtype=np.uint32).astype(U)
-                     for p, h in zip(hits.column("part").to_pylist(), hits.column("hits").to_pylist())]
-            wanted = np.concatenate(found)
-            heavy = np.concatenate([np.unpackbits(np.frombuffer(x, dtype=np.uint8), count=len(f)).astype(bool)
-                                    for x, f in zip(hits.column("heavy").to_pylist(), found)])
-            by = np.argsort(wanted, kind="stable")
-            wanted, heavy = wanted[by], heavy[by]
-            copies = np.concatenate([np.frombuffer(c, dtype=np.int32) for c in hits.column("copies").to_pylist()])
+            mins, doc, start, n, many, copies = _repeated_runs(b, ids, offsets, first, parts)
             size = np.diff(offsets)
             whole = copies[size[copies] >= LENGTH]
             covered = np.zeros(len(whole), dtype=SPAN)
             covered["row"], covered["end"] = whole, size[whole]
             spans = [covered]
-            is_copy = np.zeros(len(ids), dtype=bool)
-            is_copy[copies] = True
-            mins, doc, start, n = _runs(b, offsets)
-            g = _spread(mins)
-            code = ((g >> U(32)) % U(parts)) << U(32) | (g & U(0xFFFFFFFF))
-            at = np.minimum(np.searchsorted(wanted, code), max(len(wanted) - 1, 0))
-            ok = (wanted[at] == code if len(wanted) else np.zeros(len(code), bool)) & ~is_copy[doc]
-            mins, doc, start, n, at = mins[ok], doc[ok], start[ok], n[ok], at[ok]
-            many = heavy[at] if len(heavy) else np.zeros(len(at), bool)
-            # Strings of heavy minimisers stand for themselves, with a hash in place of the minimiser.
-            times = n[many]
-            ones = np.repeat(start[many], times) + np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-            mins = np.concatenate([mins[~many], _start_hashes(b, ones)])
+            # Of heavy minimisers, each repeated string is a run of its own, with its
+            # hash in place of the minimiser.
+            ones, one_doc = _single_starts(start[many], n[many]), np.repeat(doc[many], n[many])
+            one_min = _start_hashes(b, ones)
+            here = _is_in(_codes(one_min, parts), _wanted(second)[0])[1]
+            ones, one_doc, one_min = ones[here], one_doc[here], one_min[here]
             h = np.concatenate([_run_hashes(b, start[~many], n[~many] + LENGTH - 1),
                                 _run_hashes(b, ones, np.full(len(ones), LENGTH))])
-            doc, start = np.concatenate([doc[~many], np.repeat(doc[many], times)]), np.concatenate([start[~many], ones])
+            mins, doc = np.concatenate([mins[~many], one_min]), np.concatenate([doc[~many], one_doc])
+            start = np.concatenate([start[~many], ones])
             n = np.concatenate([n[~many], np.ones(len(ones), dtype=n.dtype)])
             single = np.arange(len(n)) >= len(n) - len(ones)
-            g = _spread(mins)
             who = ids[doc]
             o = np.lexsort((who, h, mins, single))
             same = np.zeros(len(o), dtype=bool)
             same[1:] = (mins[o][1:] == mins[o][:-1]) & (h[o][1:] == h[o][:-1]) & (single[o][1:] == single[o][:-1])
+            same = _verified(b, start, n + LENGTH - 1, o, same)
             least = who[o][np.maximum.accumulate(np.where(same, 0, np.arange(len(o))))] if len(o) else who
             later = np.zeros(len(o), dtype=bool)
             later[o] = who[o] > least  # the same string is in a smaller document of this block
@@ -349,21 +481,19 @@ def _send_runs(key: str, text: str, parts: int, run_parts: int):
             mine["end"] = mine["start"] + n[later] + LENGTH - 1
             spans += [mine[~single[later]], _join_spans(mine[single[later]])]
             send = np.flatnonzero(~later)
-            to = ((g[send] * MIX[2]) >> U(33)).astype(np.int64) % run_parts
-            to = 2 * to + single[send]
+            to = ((_spread(mins[send]) * MIX[2]) >> U(33)).astype(np.int64) % run_parts
             send = send[np.argsort(to, kind="stable")]
+            _, begin, end = _cuts(np.sort(to))
             to = np.sort(to)
             meta = np.zeros(len(send), dtype=META)
             meta["min"], meta["hash"], meta["id"], meta["row"] = mins[send], h[send], who[send], doc[send]
             meta["start"], meta["size"] = start[send] - offsets[doc[send]], n[send]
-            cuts = np.concatenate([[0], np.flatnonzero(to[1:] != to[:-1]) + 1, [len(to)]]) if len(to) else [0]
             done = np.concatenate(spans).tobytes()
-            for x, y in zip(cuts[:-1], cuts[1:]):
-                rows["part"].append(int(to[x]) // 2)
+            for x, y in zip(begin, end):
+                rows["part"].append(int(to[x]))
                 rows["block"].append(block)
                 rows["meta"].append(meta[x:y].tobytes())
-                # Single strings go without their bytes: both hashes decide.
-                rows["body"].append(b"" if to[x] % 2 else _gather(b, start[send[x:y]], n[send[x:y]] + LENGTH - 1).tobytes())
+                rows["body"].append(_gather(b, start[send[x:y]], n[send[x:y]] + LENGTH - 1).tobytes())
                 rows["covered"].append(b"")
             if done:
                 rows["part"].append(block % run_parts)
@@ -444,20 +574,20 @@ def _resolve(t: pa.Table) -> pa.Table:
     body = np.frombuffer(b"".join(t.column("body").to_pylist()), dtype=np.uint8)
     meta = np.concatenate(metas)
     block = np.repeat(blocks, [len(m) for m in metas])
-    single = np.repeat(np.array([not x for x in t.column("body").to_pylist()], dtype=bool), [len(m) for m in metas])
     out: dict[int, list[bytes]] = {}
     for blk, c in zip(blocks.tolist(), t.column("covered").to_pylist()):
         if c:
             out.setdefault(blk, []).append(c)
     if len(meta):
         size = meta["size"].astype(np.int64)
-        length = np.where(single, 0, size + LENGTH - 1)
+        length = size + LENGTH - 1
         at = np.cumsum(length) - length
-        o = np.lexsort((meta["id"], meta["hash"], meta["min"], single))
+        o = np.lexsort((meta["id"], meta["hash"], meta["size"], meta["min"]))
         m = meta[o]
         same = np.zeros(len(o), dtype=bool)
-        same[1:] = (m["min"][1:] == m["min"][:-1]) & (m["hash"][1:] == m["hash"][:-1]) \
-            & (single[o][1:] == single[o][:-1])
+        same[1:] = (m["min"][1:] == m["min"][:-1]) & (m["hash"][1:] == m["hash"][:-1]) & (m["size"][1:] == m["size"][:-1])
+        # Runs that only share their hashes stay apart; they are ordered like any others.
+        same = _verified(body, at, length, o, same)
         group = np.cumsum(~same) - 1
         heads = np.flatnonzero(~same)
         least = m["id"][heads]
@@ -522,12 +652,11 @@ def _resolve(t: pa.Table) -> pa.Table:
         emit(later, np.zeros(len(later), np.int64), size[later])
         # Equal strings have equal minimisers: a run that is the only one of its
         # minimiser shares no string with another run, so its smallest document
-        # keeps it, as it does a single string. The others are ordered.
+        # keeps it. The others are ordered.
         alone = np.ones(len(heads), dtype=bool)
         twin = m["min"][heads][1:] == m["min"][heads][:-1]
         alone[1:] &= ~twin
         alone[:-1] &= ~twin
-        alone |= single[o][heads]
         order_runs(np.flatnonzero(~alone))
         every, own = np.concatenate(spans), np.concatenate(owner)
         o2 = np.argsort(own, kind="stable")
@@ -576,15 +705,19 @@ def _cut_texts(key: str, text: str, schema: pa.Schema):
     return run
 
 
-def _sent_runs(base: DataFrame, k: str, t: str, parts: int, run_parts: int, split_bytes: int) -> DataFrame:
+def _sent_runs(base: DataFrame, k: str, t: str, parts: int, run_parts: int, split_bytes: int, fan: int = FAN) -> DataFrame:
     """Steps 1 and 2: the runs of repeated minimisers by partition."""
-    found = base.groupBy("__block").applyInArrow(_send_minimisers(k, t, parts), FOUND)
-    hits = found.groupBy("part").applyInArrow(_find_repeated(split_bytes), HITS)
-    return base.groupBy("__block").cogroup(hits.groupBy("block")).applyInArrow(_send_runs(k, t, parts, run_parts), RUNS)
+    wide = -(-parts // fan)     # partitions that share a row of the first hop, and blocks in a band
+    docs = base.groupBy("__block")
+    hits = _answers(docs.applyInArrow(_send_minimisers(k, t, parts, wide), FOUND), parts, wide, split_bytes)
+    heavy = docs.cogroup(hits.groupBy("block")).applyInArrow(_send_heavy(k, t, parts, wide), FOUND)
+    strings = _answers(heavy, parts, wide, float("inf"))
+    both = hits.withColumn("strings", F.lit(False)).unionByName(strings.withColumn("strings", F.lit(True)))
+    return docs.cogroup(both.groupBy("block")).applyInArrow(_send_runs(k, t, parts, run_parts), RUNS)
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES,
-                   split_bytes: int = SPLIT_BYTES) -> tuple[DataFrame, dict[str, str]]:
+                   split_bytes: int = SPLIT_BYTES, fan: int = FAN) -> tuple[DataFrame, dict[str, str]]:
     """All columns of ``df`` plus ``n_bytes, n_removed, n_spans, kept_sha256, kept_text``
     (returned with the names they got, which never clash).
 
@@ -611,7 +744,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", block
     k, t = f"c{df.columns.index(key)}", f"c{df.columns.index(text)}"
     inner = inner.withColumn(k, F.col(k).cast("long")).withColumn(t, F.col(t).cast("string"))
     base = inner.withColumn("__block", F.pmod(F.xxhash64(k), F.lit(blocks)).cast("int"))
-    covered = _sent_runs(base, k, t, parts, run_parts, split_bytes).groupBy("part").applyInArrow(_resolve, COVERED)
+    covered = _sent_runs(base, k, t, parts, run_parts, split_bytes, fan).groupBy("part").applyInArrow(_resolve, COVERED)
     extra = [StructField(names["n_bytes"], _t("long")), StructField(names["n_removed"], _t("long")),
              StructField(names["n_spans"], _t("long")), StructField(names["kept_sha256"], _t("string")),
              StructField(names["kept_text"], _t("string"))]
