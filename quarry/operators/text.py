@@ -34,6 +34,12 @@ def tokens_word(docs: DataFrame, text: str = "text", keep: list[str] | None = No
     return t.withColumn("tok", F.lower("tok"))
 
 
+def clean_tokens(tokens: DataFrame, stopwords: list[str] = sh.STOPWORDS, min_len: int = 2, tok: str = "tok") -> DataFrame:
+    """The filters of TXT-3 that look at the token alone: no digit, no stop word,
+    at least ``min_len`` long."""
+    return sh.min_length(sh.drop_stopwords(sh.filter_matches(tokens, tok, NO_DIGITS), tok, stopwords), tok, min_len)
+
+
 def tokenize(tokens: DataFrame, stopwords: list[str] = sh.STOPWORDS, rare_below: int = 2,
              min_len: int = 2, tok: str = "tok") -> DataFrame:
     """TXT-3: digits-free, not a stop word, not rare (corpus count below
@@ -80,9 +86,7 @@ def term_stats(tokens: DataFrame, stopwords: list[str] = sh.STOPWORDS, rare_belo
     the digit filter) is decided from the per-token totals of the filtered
     (doc, tok) counts: one partial aggregate and one join on the term, no
     second tokenizing pass and no anti join against the raw stream."""
-    t = sh.filter_matches(tokens, tok, NO_DIGITS)
-    t = sh.min_length(sh.drop_stopwords(t, tok, stopwords), tok, min_len)
-    tf = term_frequencies(t, doc, tok)
+    tf = term_frequencies(clean_tokens(tokens, stopwords, min_len, tok), doc, tok)
     stats = tf.groupBy(tok).agg(F.sum("tf").alias("_total"), F.count("*").alias("df"))
     return (tf.join(stats.where(F.col("_total") >= rare_below), tok)
             .select(doc, tok, "tf", "df"))

@@ -96,7 +96,7 @@ def cached_model(spark: SparkSession, key: tuple, build: Callable[[], object]):
 
 def _load_modules() -> None:
     # Importing the query modules fills QUERIES / ORACLE.
-    from quarry.plans import (q_core, q_files, q_models, q_stream, q_text)  # noqa: F401
+    from quarry.plans import (q_core, q_files, q_models, q_solvers, q_stream, q_text)  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
