@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import regroup_arrow, text_batches, written
-from quarry.llm.quotient_filter import QuotientFilter, U
+from quarry.llm.quotient_filter import QuotientFilter, U, ones
 from quarry.operators.ordered import global_index
 
 LEAST = 30              # occurrences of a candidate
@@ -28,10 +28,10 @@ TOP = 2000              # phrases reported per language
 INSIDE = 80             # a phrase is dropped if this share (%) of it lies in a longer candidate
 SCALE = 2_000_000       # score of a phrase whose parts never occur without it, halved
 NO_LANG = "und"
-SHARD = 4_000_000       # bytes of text of a shard
+SHARD = 8_000_000       # bytes of text of a shard
 CHUNK = 1_000_000       # bytes cut into words at a time
 COUNTED = 2_000_000     # words counted in one filter (shards of a task are counted together up to that)
-FAN = 64                # filters merged by one task
+FAN = 256               # filters merged by one task
 LEAST_BITS = 16         # per word id
 
 # What ends a piece becomes a line end, the tab a blank, A-Z are lower-cased.
@@ -60,6 +60,15 @@ class _Codes(dict):
         return code
 
 
+def to_planes(x: np.ndarray) -> bytes:
+    """All lowest bytes, then all second ones and so on: small numbers pack well."""
+    return x.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(raw) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T).reshape(-1).view("<i4")
+
+
 def word_codes(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     """Word numbers of all texts from 1 on, 0 where a piece or text ends, and the words."""
     codes = _Codes({b"\n": 0})
@@ -99,7 +108,7 @@ def _shards(batches):
             number[order + 1] = np.arange(1, len(words) + 1)
             lang_of, words = [lang_of[i] for i in order.tolist()], [words[i] for i in order.tolist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([base + at], pa.int64()), pa.array([number[every].tobytes()], pa.binary()),
+                [pa.array([base + at], pa.int64()), pa.array([to_planes(number[every])], pa.binary()),
                  pa.array([lang_of], pa.list_(pa.string())), pa.array([words], pa.list_(pa.string())),
                  pa.array([n[order]], pa.list_(pa.int64()))], names=["shard", "codes", "langs", "words", "counts"])
             at += 1
@@ -127,33 +136,58 @@ def frequent_words(shards: DataFrame, least: int) -> tuple[DataFrame, DataFrame]
 
 # --- n-grams --------------------------------------------------------------------
 
-def packed_grams(ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """All runs of 2 to 4 ids without a 0, as two halves of two ids each."""
+def half_bits(words: int, bits: int) -> int:
+    """Bits of each half of a packed n-gram."""
+    return -(-words * bits // 2)
+
+
+def packed_grams(ids: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """All runs of 2, 3 and 4 ids without a 0, packed into two halves."""
     n, step = len(ids), U(bits)
     wide = np.concatenate([ids, np.zeros(3, ids.dtype)])
     some = wide > 0
-    two = np.flatnonzero(some[:n] & some[1:n + 1])
-    three = two[some[two + 2]]
-    four = three[some[three + 3]]
     pair = lambda at: (wide[at].astype(U) << step) | wide[at + 1]
-    return (np.concatenate([pair(two), pair(three), pair(four)]),
-            np.concatenate([np.zeros(len(two), U), wide[three + 2].astype(U) << step, pair(four + 2)]))
+    at = np.flatnonzero(some[:n] & some[1:n + 1])
+    yield 2, wide[at].astype(U), wide[at + 1].astype(U)
+    at = at[some[at + 2]]
+    half, last = U(half_bits(3, bits)), pair(at + 1)
+    yield 3, (wide[at].astype(U) << (U(2 * bits) - half)) | (last >> half), last & ones(int(half))
+    at = at[some[at + 3]]
+    yield 4, pair(at), pair(at + 2)
+
+
+def unpacked_grams(words: int, hi: np.ndarray, lo: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The word ids, 0 behind the last."""
+    b, mask, none = U(bits), ones(bits), np.zeros(len(hi), U)
+    if words == 2:
+        return [hi, lo, none, none]
+    if words == 4:
+        return [hi >> b, hi & mask, lo >> b, lo & mask]
+    half = U(half_bits(3, bits))
+    rest = U(2 * bits) - half
+    last = ((hi & ones(int(rest))) << half) | lo
+    return [hi >> rest, last >> b, last & mask, none]
+
+
+FILTERS = "words int, block long, place long, filter binary"
 
 
 def _filters(bits: int, cut: int):
     """Quotient filters of the shards, cut by the first ``cut`` bits."""
-    def emit(held: list[np.ndarray], place: int) -> pa.RecordBatch:
-        parts = QuotientFilter.of(*packed_grams(np.concatenate(held), bits), 2 * bits).split(cut)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([v for v, _ in parts], pa.int64()), pa.array([place] * len(parts), pa.int64()),
-             pa.array([f.to_bytes() for _, f in parts], pa.binary())], names=["block", "place", "filter"])
+    def emit(held: list[np.ndarray], place: int) -> Iterator[pa.RecordBatch]:
+        for words, hi, lo in packed_grams(np.concatenate(held), bits):
+            parts = QuotientFilter.of(hi, lo, half_bits(words, bits)).split(cut)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([words] * len(parts), pa.int32()), pa.array([v for v, _ in parts], pa.int64()),
+                 pa.array([place] * len(parts), pa.int64()), pa.array([f.to_bytes() for _, f in parts], pa.binary())],
+                names=["words", "block", "place", "filter"])
 
     def run(batches):
         held, size, place = [], 0, 0
         for b in batches:
             cols = {n: b.column(i) for i, n in enumerate(b.schema.names)}
             for i in range(b.num_rows):
-                codes = np.frombuffer(cols["codes"][i].as_buffer(), dtype="<i4")
+                codes = from_planes(cols["codes"][i].as_buffer())
                 known = cols["known"].slice(i, 1).flatten()
                 local, ids = (x.to_numpy(zero_copy_only=False) for x in known.flatten())
                 table = np.zeros(int(codes.max(initial=0)) + 1, dtype=np.uint32)
@@ -162,23 +196,24 @@ def _filters(bits: int, cut: int):
                 held += [table[codes], np.zeros(1, np.uint32)]
                 size += len(codes)
                 if size >= COUNTED:
-                    yield emit(held, place)
+                    yield from emit(held, place)
                     held, size = [], 0
         if held:
-            yield emit(held, place)
+            yield from emit(held, place)
     return run
 
 
-def _merged(table: pa.Table) -> tuple[int, int, QuotientFilter]:
+def _merged(table: pa.Table) -> tuple[int, int, int, QuotientFilter]:
     f = QuotientFilter.merge([QuotientFilter.from_bytes(x) for x in table.column("filter").to_pylist()])
-    return table.column("block")[0].as_py(), table.column("place")[0].as_py(), f
+    return (*(table.column(c)[0].as_py() for c in ("words", "block", "place")), f)
 
 
 def _merge_and_cut(cut: int):
     def run(table: pa.Table) -> pa.Table:
-        block, place, f = _merged(table)
+        words, block, place, f = _merged(table)
         parts = f.split(cut)
-        return pa.table({"block": pa.array([(block << cut) | v for v, _ in parts], pa.int64()),
+        return pa.table({"words": pa.array([words] * len(parts), pa.int32()),
+                         "block": pa.array([(block << (p.prefix - f.prefix)) | v for v, p in parts], pa.int64()),
                          "place": pa.array([place] * len(parts), pa.int64()),
                          "filter": pa.array([p.to_bytes() for _, p in parts], pa.binary())})
     return run
@@ -186,10 +221,9 @@ def _merge_and_cut(cut: int):
 
 def _merge_and_read(bits: int, least: int):
     def run(table: pa.Table) -> pa.Table:
-        block, _, f = _merged(table)
+        words, block, _, f = _merged(table)
         hi, lo, n = f.at_least(least).entries(block)
-        mask, b = U((1 << bits) - 1), U(bits)
-        ids = [hi >> b, hi & mask, lo >> b, lo & mask]
+        ids = unpacked_grams(words, hi, lo, bits)
         return pa.table({**{w: pa.array(x.astype(np.int64)) for w, x in zip(WORDS, ids)}, "a": pa.array(n, pa.int64())})
     return run
 
@@ -212,14 +246,14 @@ def frequent_phrases(shards: DataFrame, vocabulary: DataFrame, least: int, fan:
     # `count` filters, then `count / fan` groups of them, and so on down to one
     cut = min(fan.bit_length() - 1, (count - 1).bit_length())
     with arrow_rows(spark, 2):
-        now = ready.mapInArrow(_filters(bits, cut), "block long, place long, filter binary")
+        now = ready.mapInArrow(_filters(bits, cut), FILTERS)
         count = -(-count // fan)
         while count > 1:
             cut = min(fan.bit_length() - 1, (count - 1).bit_length())
-            grouped = now.withColumn("place", F.expr(f"place div {fan}")).groupBy("block", "place")
-            now = grouped.applyInArrow(_merge_and_cut(cut), "block long, place long, filter binary")
+            grouped = now.withColumn("place", F.expr(f"place div {fan}")).groupBy("words", "block", "place")
+            now = grouped.applyInArrow(_merge_and_cut(cut), FILTERS)
             count = -(-count // fan)
-        return written(now.withColumn("place", F.lit(0).cast("long")).groupBy("block", "place")
+        return written(now.withColumn("place", F.lit(0).cast("long")).groupBy("words", "block", "place")
                        .applyInArrow(_merge_and_read(bits, least), "w1 long, w2 long, w3 long, w4 long, a long"),
                        "phrase-candidates")
 

@@ -25,20 +25,20 @@ def _mix(x: np.ndarray, key: np.uint64) -> np.ndarray:
     return x ^ (x >> U(29))
 
 
-def _mask(bits: int) -> np.uint64:
+def ones(bits: int) -> np.uint64:
     return U((1 << bits) - 1)
 
 
 def permute(hi: np.ndarray, lo: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
     """A Feistel network over two halves of ``half`` bits."""
-    mask = _mask(half)
+    mask = ones(half)
     for key in ROUNDS:
         hi, lo = lo, hi ^ (_mix(lo, key) & mask)
     return hi, lo
 
 
 def restore(hi: np.ndarray, lo: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = _mask(half)
+    mask = ones(half)
     for key in reversed(ROUNDS):
         hi, lo = lo ^ (_mix(hi, key) & mask), hi
     return hi, lo
@@ -92,13 +92,15 @@ class QuotientFilter:
         return _counted(parts[0].half, parts[0].prefix, hi, lo, count)
 
     def split(self, bits: int) -> list[tuple[int, "QuotientFilter"]]:
-        """Cut by the next ``bits`` bits: ``(value of the bits, filter)``, empty ones left out."""
+        """Cut by the next ``bits`` bits (or those there are): ``(value of the bits,
+        filter)``, empty ones left out."""
+        bits = min(bits, self.half - self.prefix)
         rest = U(self.half - self.prefix - bits)
         head = self.hi >> rest
         at = np.flatnonzero(np.append(True, head[1:] != head[:-1])) if len(head) else np.zeros(0, np.int64)
         out = []
         for a, b in zip(at, np.append(at[1:], len(head))):
-            part = QuotientFilter(self.half, self.prefix + bits, self.hi[a:b] & _mask(int(rest)), self.lo[a:b], self.count[a:b])
+            part = QuotientFilter(self.half, self.prefix + bits, self.hi[a:b] & ones(int(rest)), self.lo[a:b], self.count[a:b])
             out.append((int(head[a]), part))
         return out
 
@@ -122,7 +124,7 @@ class QuotientFilter:
         unary[quotient + np.arange(n)] = 1
         large = self.count >= MANY
         head = np.array([n, q, self.half, self.prefix, int(large.sum())], dtype="<i8")
-        tail = self.hi & _mask(rest)
+        tail = self.hi & ones(rest)
         if rest + self.half <= 64:      # both parts of the remainder in one number
             remainder = _narrow((tail << U(self.half)) | self.lo if self.half < 64 else self.lo, rest + self.half)
         else:
@@ -142,7 +144,7 @@ class QuotientFilter:
         rest = half - prefix - q
         if rest + half <= 64:
             both, used = _wide(view, n, rest + half)
-            hi, lo = (both >> U(half), both & _mask(half)) if half < 64 else (np.zeros(n, dtype=U), both)
+            hi, lo = (both >> U(half), both & ones(half)) if half < 64 else (np.zeros(n, dtype=U), both)
             view = view[used:]
         else:
             hi, used = _wide(view, n, rest)

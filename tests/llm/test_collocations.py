@@ -54,6 +54,25 @@ def test_filters_lose_nothing(half):
     assert got == {k: n for k, n in want.items() if n >= 2}
 
 
+@pytest.mark.parametrize("bits", [16, 17, 21, 31, 32])
+def test_packing_of_ids_is_lossless(bits):
+    rng = np.random.default_rng(bits)
+    ids = rng.integers(0, 1 << bits, 400, dtype=np.uint64)
+    ids[rng.random(400) < 0.2] = 0
+    want = {k: Counter(tuple(map(int, ids[i:i + k])) + (0,) * (4 - k) for i in range(401 - k) if ids[i:i + k].all()) for k in (2, 3, 4)}
+    for k, hi, lo in C.packed_grams(ids.astype(np.uint32), bits):
+        half = C.half_bits(k, bits)
+        assert not len(hi) or max(int(hi.max()), int(lo.max())) < 1 << half
+        x, y, n = QuotientFilter.of(hi, lo, half).entries()
+        got = {tuple(map(int, t)): int(c) for *t, c in zip(*C.unpacked_grams(k, x, y, bits), n)}
+        assert got == dict(want[k])
+
+
+def test_planes():
+    x = np.array([0, 1, 255, 256, 70_000, 2 ** 31 - 1], dtype=np.int32)
+    assert C.from_planes(C.to_planes(x)).tolist() == x.tolist() and C.from_planes(C.to_planes(x[:0])).tolist() == []
+
+
 def test_empty_filter():
     f = QuotientFilter.of(np.zeros(0, U), np.zeros(0, U), 32)
     assert f.split(4) == [] and len(QuotientFilter.from_bytes(f.to_bytes()).hi) == 0
