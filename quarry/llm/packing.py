@@ -9,6 +9,7 @@ one node is left.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import re
 import zlib
@@ -25,9 +26,8 @@ CAPACITY = 2048
 TOKENIZER = "byte_bpe_50k.json"   # a file, or a name that public_tokenizers knows
 SEPARATOR = 0                     # id that ends a document
 FULL = 8                          # a bin with no more free places is emitted at once
-ITEMS = 10_000                    # pieces of a first-round partition
-FAN_IN = 4                        # partitions merged by a node
-CARRY = 4096                      # underfull bins a node hands on; fuller ones beyond are emitted
+ITEMS = 10_000                    # items (pieces, then underfull bins) of a node
+LITTLE = 0.002                    # a round that merges a smaller share of its bins has found what it can
 CACHE = 400_000                   # words remembered by a worker
 JOINED = 2000                     # new words encoded as one text
 BLANK_BYTE = "\u0120"             # how a byte-level vocabulary writes a blank
@@ -79,6 +79,13 @@ class WordEncoder:
             path = public_tokenizers.path(tokenizer)
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        split = spec.get("pre_tokenizer") or {}
+        # What the shortcut assumes of the file; any other tokenizer encodes whole texts.
+        self.by_word = (spec["model"].get("type") == "BPE" and not spec.get("normalizer") and split.get("type") == "ByteLevel"
+                        and split.get("use_regex", True) and not split.get("add_prefix_space")
+                        and not spec["model"].get("end_of_word_suffix") and not spec["model"].get("continuing_subword_prefix"))
         vocab = self.tok.get_vocab()
         self.opens = np.zeros(max(vocab.values()) + 1, dtype=bool)  # ids that begin with a blank
         self.opens[[i for t, i in vocab.items() if t.startswith(BLANK_BYTE)]] = True
@@ -126,6 +133,9 @@ class WordEncoder:
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and their number per text."""
+        if not self.by_word:
+            got = self.tok.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+            return _flat(got), np.array([len(e) for e in got], dtype=np.int64)
         if len(self.codes) > CACHE:
             self._forget()
         words: list[str] = []
@@ -215,7 +225,7 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     return where, offset, np.array(fill, dtype=np.int64)
 
 
-ROUND = "item long, bin long, offset long, fill long, done boolean, node long"
+ROUND = "item long, bin long, offset long, fill long, done boolean"
 
 
 def _pack_node(level: int, last: bool, capacity: int):
@@ -224,15 +234,36 @@ def _pack_node(level: int, last: bool, capacity: int):
         pdf = pdf.sort_values(["size", "item"], ascending=[False, True], kind="stable")
         where, offset, fill = best_fit(pdf["size"].to_numpy(), capacity)
         done = (capacity - fill <= FULL) | last
-        hand_on = np.flatnonzero(~done)
-        if len(hand_on) > CARRY:
-            done[hand_on[np.argsort(fill[hand_on], kind="stable")[CARRY:]]] = True
         base = (level << 58) + (node << 26)
         return pd.DataFrame({"item": pdf["item"].to_numpy(), "bin": base + where, "offset": offset,
-                             "fill": fill[where], "done": done[where], "node": node // FAN_IN})
+                             "fill": fill[where], "done": done[where]})
     return run
 
 
+def mergeable(sizes: dict[int, int], capacity: int, before: int) -> tuple[int, int]:
+    """Which underfull bins can still be merged: ``(largest fill, how many)``, from the
+    number of bins of each fill.
+
+    A bin fuller than what the emptiest one needs can take nothing. Two bins of at
+    most half the capacity always merge, so once a round leaves nearly as many bins
+    as it got (``before``), few such halves are left, and each needs one host: the
+    halves and as many of the emptiest others decide all that is left."""
+    total = sum(sizes.values())
+    if total < 2:
+        return 0, 0
+    most = capacity - min(sizes)
+    if before and before - total < LITTLE * before:
+        halves = sum(n for s, n in sizes.items() if 2 * s <= capacity)
+        seen = 0
+        for s in sorted(sizes):
+            seen += sizes[s]
+            if seen >= 2 * halves:
+                most = min(most, s)
+                break
+    kept = sum(n for s, n in sizes.items() if s <= most)
+    return (most, kept) if kept > 1 else (0, 0)
+
+
 def token_pieces(df: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER,
                  capacity: int = CAPACITY) -> DataFrame:
     """Pieces of every document: ``item, doc, piece, start, length, ids_crc32``,
@@ -244,15 +275,20 @@ def token_pieces(df: DataFrame, key: str = "doc_id", text: str = "text", tokeniz
 
 
 def pack_items(items: DataFrame, capacity: int = CAPACITY, per_node: int = ITEMS) -> DataFrame:
-    """``(item, sequence_id, offset)`` for ``items(item, size)`` with sizes 1..capacity."""
+    """``(item, sequence_id, offset)`` for ``items(item, size)`` with sizes 1..capacity.
+
+    A round deals what is left by hash to nodes of about ``per_node`` items, packs
+    each by best fit and hands every bin on that another one could still fill or be
+    filled by (``mergeable``; the fills are counted, at most ``capacity`` numbers).
+    As bins are fewer than what they hold, the nodes become fewer; the last round
+    has one. Rounds of several nodes go on while they merge bins."""
     whole = items.where(F.col("size") == capacity)
-    rest = items.where(F.col("size") < capacity)
-    nodes = max(1, -(-rest.count() // per_node))
-    todo = rest.select("item", "size", F.pmod(F.xxhash64("item"), F.lit(nodes)).alias("node"))
-    placed, level = None, 1
-    while True:
-        last = nodes == 1
-        now = written(todo.groupBy("node").applyInPandas(_pack_node(level, last, capacity), ROUND), f"pack-round{level}")
+    rest = items.where(F.col("size") < capacity).select("item", "size")
+    placed, level, left, todo, idle = None, 1, rest.count(), rest, 0
+    while left and idle < 2:        # (two rounds that merge nothing end it, too)
+        nodes = -(-left // per_node)
+        dealt = todo.withColumn("node", F.pmod(F.xxhash64("item", F.lit(level)), F.lit(nodes)))
+        now = written(dealt.groupBy("node").applyInPandas(_pack_node(level, nodes == 1, capacity), ROUND), f"pack-round{level}")
         if placed is None:
             placed = now.select("item", F.col("bin").alias("sequence_id"), "offset")
         else:
@@ -260,12 +296,15 @@ def pack_items(items: DataFrame, capacity: int = CAPACITY, per_node: int = ITEMS
             placed = placed.join(step, "sequence_id", "left").select(
                 "item", F.coalesce("to", "sequence_id").alias("sequence_id"),
                 (F.col("offset") + F.coalesce("by", F.lit(0))).alias("offset"))
-        if last:
+        if nodes == 1:
             break
-        todo = now.where(~F.col("done") & (F.col("offset") == 0)) \
-                  .select(F.col("bin").alias("item"), F.col("fill").alias("size"), "node")
-        nodes, level = -(-nodes // FAN_IN), level + 1
-    return placed.unionByName(whole.select("item", F.col("item").alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
+        bins = now.where(~F.col("done") & (F.col("offset") == 0)).select(F.col("bin").alias("item"), F.col("fill").alias("size"))
+        sizes = {r["size"]: r["n"] for r in bins.groupBy("size").agg(F.count("*").alias("n")).collect()}
+        idle = idle + 1 if sum(sizes.values()) >= left else 0
+        most, left = mergeable(sizes, capacity, left)
+        todo, level = bins.where(F.col("size") <= most), level + 1
+    full = whole.select("item", F.col("item").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return full if placed is None else placed.unionByName(full)
 
 
 def pack_documents(df: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER,
@@ -276,11 +315,9 @@ def pack_documents(df: DataFrame, key: str = "doc_id", text: str = "text", token
     document longer than ``capacity`` is cut; its first piece takes what whole
     sequences leave over. Pieces of a sequence lie without gaps from 0.
 
-    First-round partitions hold about ``ITEMS`` pieces each, dealt by hash; a node
-    of the merge tree gets at most ``FAN_IN * CARRY`` bins, whatever the input, so
-    the last node is bounded. A node's bins beyond ``CARRY`` are emitted as they
-    are (the fullest ones). Order within a node is by size and item number, so a
-    task that runs again packs alike.
+    Nodes hold about ``ITEMS`` items each, dealt by hash, whatever the input. Order
+    within a node is by size and item number, so a task that runs again packs
+    alike.
 
     Null or empty text is the single id 0; repeated rows are packed each; a null
     key is kept; an empty table gives no rows; other columns are ignored.
