@@ -7,8 +7,9 @@ recursively: two intervals whose bounding boxes are further apart than epsilon
 are skipped, others are split, down to small blocks that are compared in full.
 
 Intervals of blocks are Spark rows and each level of the recursion is one join;
-the last levels run inside the task that got a pair of blocks. Equal vectors are
-one record, and only link counts and a spanning forest leave a pair of blocks.
+the last levels run inside a task, which gets a tile: the near pairs between two
+rows of neighbouring blocks, each block once. Equal vectors are one record, and
+only link counts and a spanning forest leave a pair of blocks.
 """
 
 from __future__ import annotations
@@ -28,11 +29,13 @@ CELL_AXES = 3      # axes of the grid order
 BOX_AXES = 8       # axes of a bounding box
 BLOCK = 2048       # vectors of a block
 LEAF = 256         # vectors compared at once inside a task
+TILE = 8           # neighbouring blocks on each side of a tile
+CLOSE = 1e-12      # cosines so near the threshold are summed exactly
 FAN_OUT = 8        # children of an interval
 TOLERANCE = 1e-9   # boxes are widened by this against rounding
 
 
-def _unit(raw, dim: int) -> np.ndarray:
+def _unit(raw, dim: int) -> tuple[np.ndarray, np.ndarray]:
     x = np.frombuffer(b"".join(raw), dtype=np.float64).reshape(-1, dim)
     return x, x / np.sqrt((x * x).sum(axis=1))[:, None]
 
@@ -88,6 +91,17 @@ def _boxes(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo, hi
 
 
+def _packed(raw: bytes) -> bytes:
+    """The numbers of a block as 32-bit floats where that loses nothing."""
+    x = np.frombuffer(raw, dtype=np.float64)
+    y = x.astype(np.float32)
+    return y.tobytes() if (y == x).all() else raw
+
+
+def _unpacked(raw: bytes, n: int, dim: int) -> bytes:
+    return raw if len(raw) == 8 * n * dim else np.frombuffer(raw, dtype=np.float32).astype(np.float64).tobytes()
+
+
 BLOCKS = "block long, dim int, nodes binary, copies binary, raw binary, lo array<double>, hi array<double>"
 
 
@@ -99,7 +113,7 @@ def _make_block(axes: np.ndarray):
         return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "dim": [dim],
                              "nodes": [pdf["node"].to_numpy(np.int64).tobytes()],
                              "copies": [pdf["copies"].to_numpy(np.int64).tobytes()],
-                             "raw": [b"".join(pdf["raw"])], "lo": [lo.tolist()], "hi": [hi.tolist()]})
+                             "raw": [_packed(b"".join(pdf["raw"]))], "lo": [lo.tolist()], "hi": [hi.tolist()]})
     return run
 
 
@@ -128,41 +142,64 @@ def join_intervals(a: tuple[int, int], b: tuple[int, int], ya: np.ndarray, yb: n
     return out
 
 
-def _compare(axes: np.ndarray, threshold: float, epsilon: float, leaf: int):
-    """Link weights (b = -1) and spanning edges (weight 0) of pairs of blocks."""
-    def run(batches):
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                dim, same = int(r.dim), r.block == r.other
-                xa, ua = _unit([r.raw], dim)
-                xb, ub = (xa, ua) if same else _unit([r.raw_b], dim)
-                ya = _rotate(ua, axes)
-                yb = ya if same else _rotate(ub, axes)
-                na, ca = np.frombuffer(r.nodes, np.int64), np.frombuffer(r.copies, np.int64)
-                nb, cb = (na, ca) if same else (np.frombuffer(r.nodes_b, np.int64), np.frombuffer(r.copies_b, np.int64))
-                la, lb = np.sqrt((xa * xa).sum(axis=1)), np.sqrt((xb * xb).sum(axis=1))
-                wa, wb = np.zeros(len(na), np.int64), np.zeros(len(nb), np.int64)
-                left, right = [], []
-                for i, j, k, m in join_intervals((0, len(na)), (0, len(nb)), ya, yb, epsilon, leaf):
-                    link = (xa[i:j] @ xb[k:m].T) / (la[i:j, None] * lb[None, k:m]) >= threshold
-                    if same and i == k:
-                        link &= np.triu(np.ones_like(link), 1)
-                    p, q = np.nonzero(link)
-                    if len(p):
-                        np.add.at(wa, p + i, cb[q + k])
-                        np.add.at(wb, q + k, ca[p + i])
-                        for u, v in spanning_edges(j - i + m - k, p, q + (j - i)):
-                            left.append(na[i + u])
-                            right.append(nb[k + v - (j - i)])
-                if same:
-                    wa, wb = wa + wb, np.zeros(0, np.int64)
-                node = np.concatenate([na, nb[:len(wb)]])
-                w = np.concatenate([wa, wb])
-                some = w > 0
-                yield pd.DataFrame({
-                    "a": np.concatenate([node[some], np.array(left, np.int64)]),
-                    "b": np.concatenate([np.full(int(some.sum()), -1), np.array(right, np.int64)]),
-                    "weight": np.concatenate([w[some], np.zeros(len(left), np.int64)])})
+def _exactly(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
+    """The same sum whatever block the pair is compared in."""
+    dot = math.fsum(p * q for p, q in zip(x.tolist(), y.tolist()))
+    return dot / math.sqrt(math.fsum(p * p for p in x.tolist()) * math.fsum(q * q for q in y.tolist())) >= threshold
+
+
+def _links(xa: np.ndarray, xb: np.ndarray, la: np.ndarray, lb: np.ndarray, threshold: float) -> np.ndarray:
+    cosine = (xa @ xb.T) / (la[:, None] * lb[None, :])
+    link = cosine >= threshold
+    for p, q in zip(*np.nonzero(np.abs(cosine - threshold) < CLOSE)):
+        link[p, q] = _exactly(xa[p], xb[q], threshold)
+    return link
+
+
+class _Block:
+    def __init__(self, r, axes: np.ndarray):
+        self.node, self.copies = np.frombuffer(r.nodes, np.int64), np.frombuffer(r.copies, np.int64)
+        dim = int(r.dim)
+        self.x, unit = _unit([_unpacked(r.raw, len(self.node), dim)], dim)
+        self.y = _rotate(unit, axes)
+        self.length = np.sqrt((self.x * self.x).sum(axis=1))
+
+
+def _compare_blocks(a: _Block, b: _Block, threshold: float, epsilon: float, leaf: int) -> pd.DataFrame:
+    """Link weights (b = -1) and spanning edges (weight 0) of a pair of blocks."""
+    same = a is b
+    wa, wb = np.zeros(len(a.node), np.int64), np.zeros(len(b.node), np.int64)
+    left, right = [], []
+    for i, j, k, m in join_intervals((0, len(a.node)), (0, len(b.node)), a.y, b.y, epsilon, leaf):
+        link = _links(a.x[i:j], b.x[k:m], a.length[i:j], b.length[k:m], threshold)
+        if same and i == k:
+            link &= np.triu(np.ones_like(link), 1)
+        p, q = np.nonzero(link)
+        if len(p):
+            np.add.at(wa, p + i, b.copies[q + k])
+            np.add.at(wb, q + k, a.copies[p + i])
+            for u, v in spanning_edges(j - i + m - k, p, q + (j - i)):
+                left.append(a.node[i + u])
+                right.append(b.node[k + v - (j - i)])
+    if same:
+        wa, wb = wa + wb, np.zeros(0, np.int64)
+    node, w = np.concatenate([a.node, b.node[:len(wb)]]), np.concatenate([wa, wb])
+    some = w > 0
+    return pd.DataFrame({
+        "a": np.concatenate([node[some], np.array(left, np.int64)]),
+        "b": np.concatenate([np.full(int(some.sum()), -1), np.array(right, np.int64)]),
+        "weight": np.concatenate([w[some], np.zeros(len(left), np.int64)])})
+
+
+def _compare_tile(axes: np.ndarray, threshold: float, epsilon: float, leaf: int):
+    def run(pairs: pd.DataFrame, body: pd.DataFrame) -> pd.DataFrame:
+        blocks = {int(r.block): _Block(r, axes) for r in body.itertuples(index=False)}
+        parts = [_compare_blocks(blocks[a], blocks[b], threshold, epsilon, leaf)
+                 for a, b in sorted(zip(pairs["block"].tolist(), pairs["other"].tolist()))]
+        out = pd.concat(parts, ignore_index=True)
+        # one row per vector of the tile
+        counted = out[out["b"] < 0].groupby("a", as_index=False)["weight"].sum().assign(b=-1)
+        return pd.concat([counted, out[out["b"] >= 0]], ignore_index=True)[["a", "b", "weight"]]
     return run
 
 
@@ -207,7 +244,7 @@ def _bytes(batches):
 
 
 def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD,
-                 block: int = BLOCK, leaf: int = LEAF) -> DataFrame:
+                 block: int = BLOCK, leaf: int = LEAF, tile: int = TILE) -> DataFrame:
     """One row per input row: ``key, n_links, component_id, kept``.
 
     Two rows are linked if the cosine of their vectors, in double precision, is at
@@ -216,18 +253,25 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     component_id.
 
     Vectors that are null, empty, zero or hold a null or non-finite component link
-    with nothing; so do vectors of different dimension with each other. Equal
+    with nothing; so do vectors of different dimension with each other. Vectors are
+    scaled by a power of two first, so very large and very small ones count like
+    any others; a cosine within 1e-12 of ``threshold`` is summed exactly. Equal
     vectors (repeated rows too) are linked; a null key sorts first and equals
     itself; an empty table gives no rows; other columns are ignored.
     """
     spark = df.sparkSession
     epsilon = math.sqrt(max(0.0, 2 - 2 * threshold)) + TOLERANCE
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec"))
-    norm2 = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    fine = F.col("vec").isNotNull() & (F.size("vec") > 0) & ~bad & (norm2 > 0) & (norm2 < float("inf"))
+    largest = F.array_max(F.transform("vec", lambda x: F.abs(x)))
+    fine = F.col("vec").isNotNull() & (F.size("vec") > 0) & ~bad & (largest > 0)
     rows = rows.withColumn("ok", F.coalesce(fine, F.lit(False)))
-    usable = rows.where("ok")
+    # Scaled so that the largest component is about 1: an exact step, in two halves
+    # because the power itself may leave the range. Squares then stay in range.
+    power = -F.floor(F.log2(largest))
+    half = F.floor(power / 2)
+    usable = rows.where("ok").withColumn("vec", F.transform(
+        "vec", lambda x: x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), power - half)))
     classes = written(usable.groupBy("vec").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
                       .withColumn("node", F.monotonically_increasing_id()), "ego-classes")
     nodes = written(classes.select("node", "vec", "copies").mapInPandas(
@@ -256,11 +300,12 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     blocks = written(blocks.select("block", "dim", "node", "copies", "raw", "pos").groupBy("block")
                      .applyInPandas(_make_block(axes), BLOCKS), "ego-blocks")
     pairs = block_pairs(blocks.select("block", "dim", "lo", "hi"), epsilon)
-    body = blocks.select("block", "dim", "nodes", "copies", "raw")
-    far = body.select(*[F.col(c).alias("other" if c == "block" else f"{c}_b") for c in body.columns])
-    work = pairs.join(body, "block").join(far, "other").drop("dim_b") \
-        .repartition("block", "other")
-    found = written(work.mapInPandas(_compare(axes, threshold, epsilon, leaf), "a long, b long, weight long"), "ego-links")
+    tiles = pairs.select(F.expr(f"block div {tile}").alias("row"), F.expr(f"other div {tile}").alias("col"), "block", "other")
+    # a block travels once to each tile that has a pair of it
+    need = tiles.select(F.col("row").alias("to_row"), F.col("col").alias("to_col"), F.explode(F.array("block", "other")).alias("block")).distinct()
+    sent = need.join(blocks.select("block", "dim", "nodes", "copies", "raw"), "block")
+    found = written(tiles.groupBy("row", "col").cogroup(sent.groupBy("to_row", "to_col")).applyInPandas(
+        _compare_tile(axes, threshold, epsilon, leaf), "a long, b long, weight long"), "ego-links")
     links = found.where("b < 0").groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("near"))
     groups = components(found.where("b >= 0").select("a", "b"), "ego")
 

@@ -54,7 +54,8 @@ def make_rows():
 def test_matches_brute_force(spark):
     rows = make_rows()
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
-    got = sorted(tuple(r) for r in G.near_vectors(df, block=32, leaf=8).collect())
+    got = sorted(tuple(r) for r in G.near_vectors(df, block=32, leaf=8, tile=3).collect())
+    assert got == sorted(tuple(r) for r in G.near_vectors(df, block=16, leaf=16, tile=1).collect())
     exact = [(k, [float(np.float32(x)) if x is not None else None for x in v] if v is not None else None) for k, v in rows]
     assert got == brute(exact)
 
@@ -77,3 +78,27 @@ def test_empty_and_extra_columns(spark):
                                "vec_id long, embedding array<double>, kept int")
     assert sorted((tuple(r) for r in G.near_vectors(df).collect()), key=str) == sorted(
         [(3, 1, 3, True), (3, 1, 3, True), (None, 0, None, True)], key=str)
+
+
+def test_very_large_and_very_small_vectors(spark):
+    rows = [(1, [1e200, 1e200]), (2, [2e200, 2e200]), (3, [1e-200, 1e-200]), (4, [5e-170, 5e-170]), (5, [1.0, 1.0]), (6, [1e-320, 1e-320]),
+            (7, [1.7e308, 1.7e308]), (8, [1e200, -1e200]), (9, [1.0, 0.0]), (10, [0.0, 0.0])]
+    out = {r["vec_id"]: r for r in G.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert all(out[k]["component_id"] == 1 and out[k]["n_links"] == 6 for k in range(1, 8))
+    assert [out[k]["n_links"] for k in (8, 9, 10)] == [0, 0, 0]
+
+
+def test_cosines_at_the_threshold_do_not_depend_on_blocks(spark):
+    # 0.9 exactly: (9, ...) against the first axis, in many block shapes
+    v = [9.0, math.sqrt(19.0)] + [0.0] * 10
+    rows = [(i, [1.0] + [0.0] * 11) if i % 2 else (i, [x * (1 + i) for x in v]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    a, b = (sorted(tuple(r) for r in G.near_vectors(df, block=k, leaf=3).collect()) for k in (7, 64))
+    assert a == b
+
+
+def test_blocks_keep_their_precision():
+    x = np.array([0.1, 0.25, 3.0])
+    assert np.frombuffer(G._unpacked(G._packed(x.tobytes()), 1, 3)).tolist() == x.tolist()
+    y = np.array([0.5, 0.25, 3.0])
+    assert len(G._packed(y.tobytes())) == 12 and np.frombuffer(G._unpacked(G._packed(y.tobytes()), 1, 3)).tolist() == y.tolist()
