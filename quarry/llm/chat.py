@@ -35,21 +35,46 @@ def unescape(c: Column, pairs=ESCAPES) -> Column:
 
 
 def message_events(rows: DataFrame, conv: str = "conv_id", turn: str = "turn",
-                   role: str = "role", text: str = "text", chunk: int = CHUNK) -> DataFrame:
+                   role: str = "role", text: str = "text", chunk: int = CHUNK, revise: bool = False) -> DataFrame:
     """The event log of finished turns: each row is one message, streamed as deltas
     of at most ``chunk`` code points. Rows of a conversation are numbered by
     (turn, role, text); repeated rows stay messages of their own. A null text is
-    one empty delta, a null role is the empty role."""
+    one empty delta, a null role is the empty role.
+
+    With ``revise`` the log has a history that folds to the same turns. By a hash of
+    conversation and message, of eight messages one is drafted, then emptied by an
+    edit and streamed; one is drafted together with a reply that never stays, then
+    regenerated; one goes through both; one is streamed wrong and gets its text by
+    an edit at the end of the conversation; and one is delivered twice.
+    """
     base = rows.select(F.col(conv).alias("conv_id"), F.col(turn).alias("__turn"),
                        F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
     order = Window.partitionBy("conv_id").orderBy("__turn", "role", "__text")
-    pieces = F.regexp_extract_all("__text", F.lit("(?s).{1,%d}" % chunk), F.lit(0))
-    return base.withColumn("msg", F.row_number().over(order).cast("long")) \
-        .select("conv_id", "msg", "role",
-                F.posexplode(F.when(F.col("__text") == "", F.array(F.lit(""))).otherwise(pieces)).alias("__pos", "text")) \
-        .select("conv_id", (F.col("msg") * SEQ_STEP + F.col("__pos")).alias("seq"), "msg",
-                F.lit("delta").alias("kind"), "role", "text")
+    base = base.withColumn("msg", F.row_number().over(order).cast("long"))
+
+    def event(kind: str, body: Column, late: bool = False, msg: Column = F.col("msg"), who: Column = F.col("role")) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), msg.alias("to"), who.alias("by"), body.alias("text"), F.lit(late).alias("late"))
+
+    pieces = F.when(F.col("__text") == "", F.array(F.lit(""))).otherwise(
+        F.regexp_extract_all("__text", F.lit("(?s).{1,%d}" % chunk), F.lit(0)))
+    streamed = F.transform(pieces, lambda x: event("delta", x))
+    if revise:
+        case = F.pmod(F.xxhash64("conv_id", "msg"), F.lit(8))
+        draft = event("delta", F.concat(F.reverse("__text"), F.lit(" (draft)")))
+        emptied = F.array(draft, event("edit", F.lit("")))
+        again = F.array(draft, event("delta", F.lit("never mind"), msg=F.col("msg") + 1, who=F.lit("user")), event("regenerate", F.lit("")))
+        wrong = F.array(draft, event("edit", F.col("__text"), late=True))
+        streamed = F.when(case == 3, F.concat(emptied, streamed)).when(case == 4, F.concat(again, streamed)) \
+            .when(case == 5, F.concat(emptied, again, streamed)).when(case == 6, wrong).otherwise(streamed)
+    log = base.select("conv_id", "msg", F.posexplode(streamed).alias("__pos", "e"))
+    late = F.lit(1 << 62) + F.col("msg")        # after all other events of the conversation
+    log = log.select("conv_id", F.when(F.col("e.late"), late).otherwise(F.col("msg") * SEQ_STEP + F.col("__pos")).alias("seq"),
+                     F.col("e.to").alias("to"), F.col("e.kind").alias("kind"), F.col("e.by").alias("role"), F.col("e.text").alias("text"), "msg")
+    if revise:
+        times = F.when(F.pmod(F.xxhash64("conv_id", "msg"), F.lit(8)) == 7, 2).otherwise(1)
+        log = log.withColumn("__n", F.explode(F.sequence(F.lit(1), times)))
+    return log.select("conv_id", "seq", F.col("to").alias("msg"), "kind", "role", "text")
 
 
 def fold_events(events: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = chat.message_events(chat.with_probe(table(spark, sf_dir, "conversations")))
+    log = chat.message_events(chat.with_probe(table(spark, sf_dir, "conversations")), revise=True)
     return chat.read_back(chat.format_chats(log))
 
 

@@ -76,7 +76,21 @@ def test_conversations_become_events_and_back(spark):
     assert C.read_back(C.format_chats(whole)).count() > 0
 
 
+def test_a_revised_history_folds_to_the_same_turns(spark):
+    texts = ["", "short", "x" * 1300, None, "é\U0001f600 </turn> ### a: b", "x" * 1300]
+    rows = [(c, t, ["user", "assistant", None][t % 3], texts[(c + t) % 6]) for c in range(40) for t in range(c % 9)] + [(None, 0, "user", "n")] * 3
+    rows += [(99, t, "user", f"turn {t} " * 50) for t in range(600)]     # a very long conversation
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    plain, revised = C.message_events(df), C.message_events(df, revise=True)
+    kinds = {r["kind"]: r["n"] for r in revised.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert kinds["edit"] > 50 and kinds["regenerate"] > 50 and revised.count() > plain.count() + 200
+    same = lambda log: sorted(map(tuple, C.fold_events(log).select("conv_id", "msg", "role", "text").collect()), key=str)
+    assert same(plain) == same(revised) and len(same(plain)) == len(rows)
+    log = [tuple(r) for r in revised.where("conv_id is not null").select("conv_id", "seq", "msg", "kind", "role", "text").collect()]
+    assert [x for x in same(revised) if x[0] is not None] == sorted(by_hand(log), key=str)
+
+
 def test_plan_is_native(spark):
-    log = C.message_events(C.with_probe(spark.read.parquet(f"{SF_SMALL}/conversations.parquet")))
+    log = C.message_events(C.with_probe(spark.read.parquet(f"{SF_SMALL}/conversations.parquet")), revise=True)
     plan = C.read_back(C.format_chats(log))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
