@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import read_table, scratch_path
+from quarry.session import BROADCAST_LIMIT_BYTES, read_table, scratch_path
 
 # Rows Spark hands to Python at once. Texts are long, so the batch is kept small;
 # ``regroup`` joins small batches up to a byte budget.
@@ -39,6 +39,16 @@ def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(*frames: DataFrame) -> None:
+    """Delete tables that ``written`` made in this run and nothing reads any more."""
+    for df in frames:
+        for file in df.inputFiles()[:1]:
+            jvm = df.sparkSession.sparkContext._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+            fs = folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+            fs.delete(folder, True)
+
+
 def regroup(batches: Iterable[pd.DataFrame], column: str, budget: int = 1_000_000) -> Iterator[pd.DataFrame]:
     """Join consecutive batches until their texts reach ``budget`` characters."""
     held: list[pd.DataFrame] = []
@@ -107,6 +117,13 @@ def spanning_edges(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[in
     return out
 
 
+def counted_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Broadcast ``df`` if its rows of about ``row_bytes`` bytes fit the limit (the size
+    of a compressed file says little about that). ``df`` should be a written table,
+    whose rows are counted from its footers."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     """Connected components of ``edges(a, b)``: rows ``(node, label)`` for every
     node that occurs in an edge; the label is the smallest node of the component.
@@ -123,22 +140,30 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     labels = written(e.select(F.col("a").alias("node")).union(e.select("b")).distinct()
                      .select("node", F.col("node").alias("label")), f"{name}-labels")
     while not e.isEmpty():
+        old = [e, labels]
         both = e.union(e.select("b", "a"))
         point = both.groupBy(F.col("a").alias("x")).agg(F.min("b").alias("m")) \
             .select("x", F.least("x", "m").alias("y"))
         point = written(point, f"{name}-point")
+        old.append(point)
         for _ in range(2):
             nxt = point.select(F.col("x").alias("y"), F.col("y").alias("z"))
             point = point.join(nxt, "y", "left").select("x", F.coalesce("z", "y").alias("y"))
         point = written(point, f"{name}-jump")
+        old.append(point)
+        # A giant component is one label of very many rows; a small pointer table
+        # goes to them instead of all of them to one task.
+        small = counted_broadcast(point, 16)
         labels = written(
-            labels.join(point.withColumnRenamed("x", "label"), "label", "left")
+            labels.join(small.withColumnRenamed("x", "label"), "label", "left")
             .select("node", F.coalesce("y", "label").alias("label")), f"{name}-labels")
-        pa = point.select(F.col("x").alias("a"), F.col("y").alias("ya"))
-        pb = point.select(F.col("x").alias("b"), F.col("y").alias("yb"))
+        pa = small.select(F.col("x").alias("a"), F.col("y").alias("ya"))
+        pb = small.select(F.col("x").alias("b"), F.col("y").alias("yb"))
         e = written(e.join(pa, "a").join(pb, "b")
                     .select(F.least("ya", "yb").alias("a"), F.greatest("ya", "yb").alias("b"))
                     .where("a <> b").distinct(), f"{name}-edges")
+        forget(*old)        # every table of this round has been read
+    forget(e)
     return labels
 
 

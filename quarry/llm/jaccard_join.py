@@ -29,9 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import (complete_groups, components, free_name, map_pandas, regroup,
+from quarry.llm.common import (complete_groups, components, counted_broadcast, free_name, map_pandas, regroup,
                                spanning_edges, text_batches, written)
-from quarry.session import sized_broadcast
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -326,8 +325,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", simi
     level = written(sigs.mapInPandas(_first_level(runs, similarity), "path long, node long"), "jj-level")
     leaves, stars = [], None
     for depth in range(1, MAX_DEPTH + 1):
-        counts = level.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).where("n > 1")
-        sized = written(level.join(counts, "path"), "jj-sized")
+        # (written before the join, so that a hot path's rows can be dealt to several tasks)
+        counts = written(level.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least")).where("n > 1"), "jj-counts")
+        sized = written(level.join(counted_broadcast(counts, 24), "path"), "jj-sized")
         leaves.append(sized.where(F.col("n") <= bucket).select("path", "node"))
         large = sized.where(F.col("n") > bucket)
         if depth == MAX_DEPTH:
@@ -350,8 +350,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", simi
     size = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
     inside = written(clusters.join(size, "cluster").join(nodes.select("node", "first", "copies"), "node")
                      .select("cluster", "n", "node", "copies", "first.doc", "first.body"), "jj-inside")
-    wanted = sized_broadcast(inside.select(F.col("doc").alias("wdoc"), F.col("body").alias("wbody"),
-                                           "cluster", "n", "node", "copies"))
+    wanted = counted_broadcast(inside, 120).select(F.col("doc").alias("wdoc"), F.col("body").alias("wbody"),
+                                                   "cluster", "n", "node", "copies")
     members = src.withColumn("body", F.md5(F.coalesce("text", F.lit("")).cast("binary"))) \
         .join(wanted, F.col("doc").eqNullSafe(F.col("wdoc")) & (F.col("body") == F.col("wbody"))) \
         .select("cluster", "n", "node", "copies", "text") \
@@ -393,12 +393,13 @@ def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text")
     repeated with key and text, one stays. Rows without a word all stay."""
     found = written(near_duplicates(df, key, text), "jj-found")
     names = [free_name(df.columns, c) for c in ("__k", "__b")]
-    gone = found.where(~F.col("kept")).select(F.col(key).alias("gk"), F.col("body").alias("gb"))
+    gone = written(found.where(~F.col("kept")).select(F.col(key).alias("gk"), F.col("body").alias("gb")).distinct(), "jj-gone")
     stay = found.where("kept").select(F.col(key).alias("sk"), F.col("body").alias("sb"))
     both = gone.join(stay, F.col("gk").eqNullSafe(F.col("sk")) & (F.col("gb") == F.col("sb")), "left_semi").distinct()
+    both = written(both, "jj-both")
     tagged = df.withColumn(names[0], F.col(key).cast("long")) \
         .withColumn(names[1], F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")))
     match = lambda side: F.col(names[0]).eqNullSafe(F.col("gk")) & (F.col(names[1]) == F.col("gb"))
-    rest = tagged.join(sized_broadcast(gone.distinct()), match(gone), "left_anti")
-    repeated = tagged.join(sized_broadcast(both), match(both), "left_semi").dropDuplicates(names)
+    rest = tagged.join(counted_broadcast(gone, 80), match(gone), "left_anti")
+    repeated = tagged.join(counted_broadcast(both, 80), match(both), "left_semi").dropDuplicates(names)
     return rest.unionByName(repeated).drop(*names)
