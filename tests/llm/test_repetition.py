@@ -24,7 +24,7 @@ def brute(t, min_repeat=R.MIN_REPEAT):
     lines = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
     failed = n < 50 or 100 * len(rep) > 50 * n
     longest = max(best, default=0)
-    kept = not failed and len(cov) <= R.MAX_COVERED * n and longest <= R.MAX_LONGEST
+    kept = not failed and len(cov) <= max(R.MAX_COVERED * n, R.FREE_COVERED) and longest <= R.MAX_LONGEST
     return (n, sum(map(len, w)), sum((t or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)),
             len(rep), len(cov), longest, failed, kept)
 
@@ -39,7 +39,10 @@ def texts():
         out.append("".join(str(r.choice(vocab)) + str(r.choice([" ", "\n", "\t", "\x0b", "  "])) for _ in range(n)))
     long_ = " ".join(f"u{k}" for k in range(130))
     filler = " ".join(f"v{k}" for k in range(400))
-    return [*out, long_ + " " + filler + " " + long_, filler]
+    # a short text with a repeat of 12 words: over a fifth is covered, but under 30 words
+    few = " ".join([f"s{k}" for k in range(12)] + [f"t{k}" for k in range(40)] + [f"s{k}" for k in range(12)])
+    many = " ".join([f"s{k}" for k in range(16)] + [f"t{k}" for k in range(60)] + [f"s{k}" for k in range(16)])
+    return [*out, few, many, long_ + " " + filler + " " + long_, filler]
 
 
 def test_measure_matches_brute_force():

@@ -51,3 +51,32 @@ def test_edge_rows(spark):
 def test_plan_is_native(spark):
     plan = S.rendezvous_shards(spark.read.parquet(f"{SF_MID}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_the_winner_is_the_largest_score_recomputed(spark):
+    """Scores by an implementation of the hash outside Spark."""
+    import math
+    import struct
+
+    import xxhash
+
+    def score(key, shard, weight):
+        h = xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+        h = xxhash.xxh64_intdigest(struct.pack("<i", shard), h)
+        h = xxhash.xxh64_intdigest(struct.pack("<i", S.SALT), h)
+        return weight / -math.log(((h >> 11) + 0.5) / 2.0 ** 53)
+    weights = [1.0, 2.5, 0.5, 1.0, 3.0]
+    df = spark.range(-200, 800).selectExpr("id AS doc_id", "'x' AS text")
+    for r in S.rendezvous_shards(df, weights=weights, new_weight=2.0).collect():
+        scores = [score(r["doc_id"], i, w) for i, w in enumerate([*weights, 2.0])]
+        assert r["shard"] == max(range(5), key=lambda i: scores[i]) and r["grown_shard"] == max(range(6), key=lambda i: scores[i])
+
+
+def test_a_hot_key_is_numbered_without_gaps(spark):
+    df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS doc_id", "cast(id AS string) AS text")
+    rows = S.rendezvous_shards(df, weights=[1.0] * 4).collect()
+    slots = {}
+    for r in rows:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert len({r["shard"] for r in rows if r["doc_id"] == 7}) == 1
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and len(rows) == 3000
