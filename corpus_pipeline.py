@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import jaccard_join, language_crf, packing, repetition, suffix_dedup
-from quarry.llm.common import table, written
+from quarry.llm.common import forget, table, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, done = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        forget(*done)       # what this stage has read
+        done = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
