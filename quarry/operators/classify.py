@@ -97,12 +97,6 @@ def scored_models(preds: dict[str, DataFrame], label: str = "label", name: str =
                       for n, p in preds.items()])
 
 
-def evaluate_models(preds: dict[str, DataFrame], label: str = "label", name: str = "model") -> DataFrame:
-    """EVL-5 / SET-1: accuracy, PR AUC and ROC AUC of each model's predictions, in
-    one pass over all of them."""
-    return ranking_metrics(scored_models(preds, label, name), "score", "label", [name], pred="prediction")
-
-
 def fit_features(train: DataFrame, test: DataFrame, stages: list) -> tuple[DataFrame, DataFrame]:
     """The feature stages fitted once on ``train`` and applied to both sides."""
     from pyspark.ml import Pipeline

@@ -206,3 +206,24 @@ def standardise(df: DataFrame, cols: list[str], with_mean: bool = True, with_std
             x = x / F.lit(s) if s else F.lit(0.0)
         out = out.withColumn(c + suffix, x)
     return out
+
+
+def log_loss(df: DataFrame, score: str, label: str = "label", by: list[str] | None = None) -> DataFrame:
+    """Mean logistic loss of probabilities of class 1 and that of always answering the
+    share of positives: ``by.., log_loss, prior_loss``. Scores are kept 1e-15 away from
+    0 and 1."""
+    p = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), F.col(score)))
+    hit = _is_pos(label)
+    share = F.avg(hit.cast("double"))
+    part = lambda q: F.when(q > 0, -q * F.log(q)).otherwise(0.0)
+    return df.groupBy(*(by or [])).agg(F.avg(F.when(hit == 1, -F.log(p)).otherwise(-F.log(1 - p))).alias("log_loss"), share.alias("_q")) \
+             .select(*(by or []), "log_loss", (part(F.col("_q")) + part(1 - F.col("_q"))).alias("prior_loss"))
+
+
+def hinge_loss(df: DataFrame, margin: str, label: str = "label", by: list[str] | None = None) -> DataFrame:
+    """Mean hinge loss of margins for class 1 and that of the best constant margin:
+    ``by.., hinge_loss, prior_loss``."""
+    sign = F.when(_is_pos(label) == 1, 1.0).otherwise(-1.0)
+    share = F.avg(_is_pos(label).cast("double"))
+    return df.groupBy(*(by or [])).agg(F.avg(F.greatest(F.lit(0.0), 1 - sign * F.col(margin))).alias("hinge_loss"),
+                                       (2 * F.least(share, 1 - share)).alias("prior_loss"))

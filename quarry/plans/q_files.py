@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from quarry.operators import relational as rel
 from quarry.operators import shape as sh
-from quarry.operators.reduce import to_vectors
+from quarry.operators.reduce import pixel_vectors, to_vectors
 from quarry.plans import fixtures as fx
 from quarry.plans.q_models import _KM_SQL, _assigned
 from quarry.plans.registry import query, rounded
-from quarry.session import read_table, scratch_path
+from quarry.session import read_table, scratch_path, sized_broadcast
 from quarry.sources import readers, sinks
 
 W = fx.with_fixtures
@@ -106,3 +106,35 @@ def csv(spark, sf):
     path = scratch_path(spark, "csv")
     sinks.write_csv(rel.column_summary(fx.vectors(spark, sf), "embedding").select("dim", "mean"), path)
     return rounded(spark.read.schema("dim int, mean double").option("header", True).csv(path))
+
+
+# SRC-6 + DIM-1: a pixel is the vector's component in 256 grey steps.
+_GREY_SQL = "greatest(0, least(255, floor((x::DOUBLE + 1) * 127.5)))::INTEGER"
+
+
+@query("src06_images", f"""
+SELECT vec_id, len(embedding) AS n, array_to_string(list_transform(embedding, lambda x: {_GREY_SQL}), ' ') AS pixels
+FROM embeddings WHERE embedding IS NOT NULL""")
+def images(spark, sf):
+    """Vectors written as image files, read with the image source, turned into pixel
+    vectors again."""
+    v = fx.vectors(spark, sf).where("embedding is not null")
+    width = v.agg(F.max(F.size("embedding")).alias("d")).first()["d"]
+    grey = F.transform("embedding", lambda x: F.greatest(F.lit(0), F.least(F.lit(255), F.floor((x.cast("double") + 1) * 127.5))).cast("int"))
+    raw = F.unhex(F.array_join(F.transform(grey, lambda x: F.lpad(F.hex(x), 2, "0")), ""))
+    path = scratch_path(spark, "images")
+    sinks.write_images(v.select("vec_id", raw.alias("raw")), path, "vec_id", "raw", width, 1)
+    back = pixel_vectors(readers.read_images(spark, path), width, 1)
+    key = F.regexp_extract("origin", r"([0-9]+)\.png$", 1).cast("long")
+    return back.select(key.alias("vec_id"), F.size("pixels").cast("long").alias("n"),
+                       F.array_join(F.transform("pixels", lambda x: x.cast("int").cast("string")), " ").alias("pixels"))
+
+
+@query("src07_literal_rows", W("""
+SELECT w.word, w.weight, count(*) AS n FROM tokens t JOIN (VALUES ('the', 1.5::DOUBLE), ('de', 2.5), ('und', -1.0), ('nowhere', 0.0)) w(word, weight)
+ON t.tok = w.word GROUP BY 1, 2""", "tokens"))
+def literal_rows(spark, sf):
+    """A literal word list joined with the corpus' tokens."""
+    words = readers.from_rows(spark, [("the", 1.5), ("de", 2.5), ("und", -1.0), ("nowhere", 0.0)], "word string, weight double")
+    t = fx.tokens(spark, sf)
+    return t.join(sized_broadcast(words), t.tok == words.word).groupBy("word", "weight").agg(F.count("*").alias("n"))

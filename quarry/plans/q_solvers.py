@@ -5,8 +5,11 @@ return the fitted numbers, the predictions and the metrics themselves."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from quarry.functions.scalar import cosine
+from quarry.operators import classify as cl
 from quarry.operators import cluster as km
 from quarry.operators import evaluate as ev
 from quarry.operators import gradient as gd
@@ -20,7 +23,8 @@ from quarry.operators import term_bayes as tb
 from quarry.operators import text as tx
 from quarry.plans import fixtures as fx
 from quarry.plans.q_core import USER, _STOP_SQL
-from quarry.plans.q_models import ALS, DEPTHS, ITERATIONS, NUMS, PENALTIES, SMOOTHINGS, STEPS, _TEST_U, _als
+from quarry.plans.q_models import ALS, DEPTHS, HOLDOUT_PENALTIES, ITERATIONS, NUMS, PENALTIES, SMOOTHINGS, STEPS, _TEST_U, _als
+from quarry.plans.q_text import _TOKENIZE_SQL, _word2vec, token_arrays
 from quarry.plans.registry import cached_model, query, rounded
 from quarry.session import cut_lineage
 
@@ -676,3 +680,118 @@ def projected_rows(spark, sf):
     """Every vector's coordinates on the ten leading singular vectors."""
     v = fx.vectors(spark, sf)
     return ss.project_rows(v, "embedding", ss.leading_subspace(v, "embedding", 10), ["vec_id"])
+
+
+# --- the library's classifiers: predictions, metrics, and losses a wrong model misses ---------------------
+
+
+def _library_models():
+    plain, scaled = cl.features_pipeline(NUMS), cl.features_pipeline(NUMS, scale=True)
+    both = cl.features_pipeline(NUMS, category="lang", scale=True)
+    return {"logistic": (cl.logistic(10), plain), "scaled": (cl.logistic(10), scaled), "category": (cl.logistic(10), both),
+            "svm": (cl.svm(100), scaled), "tree": (cl.tree(5, "entropy"), plain)}
+
+
+def _library_scores(spark, sf):
+    """Every model's scores of all rows: ``model, doc_id, held_out, label, score, prediction``."""
+    def build():
+        train, test = _split(spark, sf)
+        parts = []
+        for name, (estimator, stages) in _library_models().items():
+            model = cl.fit(train, estimator, stages)
+            for held, side in ((False, train), (True, test)):
+                parts.append(cl.positive_score(model.transform(side)).select(
+                    F.lit(name).alias("model"), "doc_id", F.lit(held).alias("held_out"), "label", "score", "prediction"))
+        return cut_lineage(rel.union_all(parts))
+    return cached_model(spark, ("library-scores", sf), build)
+
+
+@query("cls07_model_predictions")
+def model_predictions(spark, sf):
+    """Held-out rows with the score and class each fitted model gives them."""
+    return _library_scores(spark, sf).where("held_out").drop("held_out")
+
+
+@query("evl05_model_metrics")
+def model_metrics(spark, sf):
+    """Accuracy and areas under both curves of each fitted model on held-out rows."""
+    return ev.ranking_metrics(_library_scores(spark, sf).where("held_out"), "score", "label", ["model"], pred="prediction")
+
+
+@query("cls01_training_losses", W(f"""
+SELECT model, count(*) AS n, true AS below_prior FROM labelled, (VALUES ('logistic'), ('scaled'), ('category'), ('svm'), ('tree')) m(model)
+WHERE {_TEST_U} < 0.6 GROUP BY 1""", "labelled"))
+def training_losses(spark, sf):
+    """On the rows a model was fitted on its own loss lies below that of the best
+    constant answer (flipped or constant scores do not pass)."""
+    return losses_below_prior(_library_scores(spark, sf).where("not held_out"))
+
+
+def losses_below_prior(rows):
+    logs = ev.log_loss(rows.where("model <> 'svm'"), "score", by=["model"]).withColumnRenamed("log_loss", "loss")
+    hinge = ev.hinge_loss(rows.where("model = 'svm'"), "score", by=["model"]).withColumnRenamed("hinge_loss", "loss")
+    size = rows.groupBy("model").agg(F.count("*").alias("n"))
+    return logs.unionByName(hinge).join(size, "model").select("model", "n", (F.col("loss") < F.col("prior_loss")).alias("below_prior"))
+
+
+def _sweep_losses(spark, sf, values, make):
+    """``(value, loss)``: training log-loss per parameter value, features fitted once."""
+    train, _ = _split(spark, sf)
+    tr, _ = cl.fit_features(train, train, cl.features_pipeline(NUMS, "lang", scale=True))
+    tr = cut_lineage(tr)
+    rows = cl.scored_models({str(i): make(v).fit(tr).transform(tr) for i, v in enumerate(values)}, name="i")
+    out = {int(r["i"]): r["log_loss"] for r in ev.log_loss(rows, "score", by=["i"]).collect()}
+    return [(float(v), float(out[i])) for i, v in enumerate(values)]
+
+
+_SWEEPS = {"iterations": (ITERATIONS, lambda v: cl.logistic(int(v)), -1), "penalty": (PENALTIES, lambda v: cl.logistic(100, v), 1),
+           "holdout penalty": (HOLDOUT_PENALTIES, lambda v: cl.logistic(100, v), 1)}
+
+
+@query("tun01_training_losses", " UNION ALL ".join(
+    f"SELECT '{name}' AS sweep, unnest({[float(v) for v in values]})::DOUBLE AS value, true AS in_order"
+    for name, (values, _, _) in _SWEEPS.items()))
+def sweep_losses(spark, sf):
+    """TUN-1, TUN-3, TUN-6: training loss falls with iterations and rises with the
+    penalty, value by value."""
+    out = []
+    for name, (values, make, sign) in _SWEEPS.items():
+        got = _sweep_losses(spark, sf, values, make)
+        out += [(name, v, i == 0 or sign * (loss - got[i - 1][1]) >= -1e-9) for i, (v, loss) in enumerate(got)]
+    return spark.createDataFrame(out, "sweep string, value double, in_order boolean")
+
+
+@query("tun03_library_metrics")
+def library_sweep_metrics(spark, sf):
+    """Held-out metrics of the library's logistic regression per penalty."""
+    train, test = _split(spark, sf)
+    return cl.sweep(train, test, lambda v: cl.logistic(100, v), sorted({*PENALTIES, *HOLDOUT_PENALTIES}), "penalty",
+                    cl.features_pipeline(NUMS, "lang", scale=True))
+
+
+@query("txt13_vectors")
+def vectors_of_words(spark, sf):
+    """The fitted vector of every word."""
+    return _word2vec(spark, sf).getVectors().select("word", vector_to_array("vector").alias("vector"))
+
+
+@query("txt13_neighbours_are_closer", W(_TOKENIZE_SQL + """
+SELECT count(*) > 0 AS any_words, true AS closer FROM tk""", "tokens"))
+def neighbours_are_closer(spark, sf):
+    """Words that often stand together are closer to each other than the same words
+    paired at random (the pairs shifted by one)."""
+    arrays = token_arrays(spark, sf)
+    pairs = arrays.select(F.explode(F.zip_with(F.slice("tokens", 1, F.greatest(F.size("tokens") - 1, F.lit(0))),
+                                               F.slice("tokens", 2, F.greatest(F.size("tokens") - 1, F.lit(0))),
+                                               lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("p")).select("p.a", "p.b").where("a <> b")
+    v = cut_lineage(_word2vec(spark, sf).getVectors().select("word", vector_to_array("vector").alias("v")))
+    known = rel.count_by(pairs, ["a", "b"]).join(v.select(F.col("word").alias("a")), "a", "left_semi") \
+               .join(v.select(F.col("word").alias("b")), "b", "left_semi")
+    top = rel.top_k(known, [F.desc("n"), "a", "b"], 200).collect()      # 200 rows
+    if len(top) < 2:
+        return spark.createDataFrame([(bool(top), True)], "any_words boolean, closer boolean")
+    rows = [(r["a"], r["b"], top[(i + 1) % len(top)]["b"]) for i, r in enumerate(top)]
+    named = lambda c: v.select(F.col("word").alias(c), F.col("v").alias(f"v{c}"))
+    both = spark.createDataFrame(rows, "a string, b string, c string").join(named("a"), "a").join(named("b"), "b").join(named("c"), "c")
+    got = both.agg(F.avg(cosine("va", "vb")).alias("near"), F.avg(cosine("va", "vc")).alias("far")).first()
+    return spark.createDataFrame([(True, got["near"] > got["far"])], "any_words boolean, closer boolean")

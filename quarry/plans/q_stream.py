@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.plans import fixtures as fx
 from quarry.plans.registry import query, rounded
 from quarry.session import scratch_path
+from quarry.streaming import stateful as sf_
 from quarry.streaming import streams as st
 
 W = fx.with_fixtures
@@ -148,3 +149,80 @@ SELECT string_split(value, ',')[1] AS "user", string_split(value, ',')[2] AS pro
 def parse_events(spark, sf):
     lines = st.event_lines(fx.purchases(spark, sf)).select("value")
     return rounded(st.parse_events(lines))
+
+
+# --- several triggers, late rows, restarts -----------------------------------------------------
+
+STEPS, LATEST_S = 6, 1800      # files of a back-fill; the most a row comes late
+
+
+def _late_stream(spark, sf):
+    """``events`` as a file stream in about the order of time: ``STEPS`` files, two
+    per trigger. A row reaches a file up to half an hour (by its user) after its
+    time, so files overlap. A last row, days later, lets the watermark pass all."""
+    rows = fx.purchases(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    seen = F.unix_timestamp("ts") + F.pmod(F.col("user"), F.lit(7)) * F.lit(LATEST_S // 7)
+    span = rows.agg(F.min(seen).alias("lo"), F.max(seen).alias("hi"), F.max("ts").alias("last")).first()
+    path = scratch_path(spark, "late-events")
+    if span["lo"] is not None:
+        width = (span["hi"] - span["lo"]) // STEPS + 1
+        chunk = F.floor((seen - F.lit(span["lo"])) / F.lit(width))
+        for i in range(STEPS):      # one write after the other: files are taken in the order of their times
+            rows.where(chunk == i).coalesce(1).write.mode("append").parquet(path)
+        end = rows.limit(1).select(*[F.lit(None).cast(t).alias(c) for c, t in rows.dtypes if c != "ts"],
+                                   (F.lit(span["last"]) + F.expr("INTERVAL 5 DAYS")).alias("ts")).select(*rows.columns)
+        end.write.mode("append").parquet(path)
+    else:
+        rows.write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+
+@query("str02_pane_windows", W("""
+, b AS (SELECT epoch_us(ts) AS us, product AS token FROM purchases)
+, w AS (SELECT token, (us // 2000000 - k) * 2000000 AS start_us FROM b, range(0, 5) t(k))
+SELECT strftime(make_timestamp(start_us), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(make_timestamp(start_us + 10000000), '%Y-%m-%d %H:%M:%S') AS window_end, token, count(*) AS n
+FROM w GROUP BY start_us, token""", "purchases"))
+def pane_windows(spark, sf):
+    """STR-2 with the inverse function: panes counted once, windows by adding the pane
+    that enters and taking off the one that leaves; late rows, several triggers."""
+    words = st.tokens_of(_late_stream(spark, sf).select("product", "ts"), "product")
+    with sf_.with_rocksdb(spark):
+        return _ran(sf_.pane_windows(words, watermark="1 hour"), "append", spark).drop("batch_id")
+
+
+@query("str03_chained_summary", PURCHASE_SUMMARY_SQL)
+def chained_summary(spark, sf):
+    """STR-3 over several triggers: exact distinct users by chained aggregations."""
+    return rounded(_ran(sf_.exact_summary(_late_stream(spark, sf)), "append", spark).drop("batch_id"))
+
+
+@query("str07_restarted_totals", _TOTALS_SQL)
+def restarted_totals(spark, sf):
+    """STR-4/5/7: totals in a value state. The second batch fails after it has written
+    a part of its output; the stream is started again from its checkpoint and goes
+    on. No row is counted twice or lost."""
+    stream = _late_stream(spark, sf)
+    out, checkpoint, failed = scratch_path(spark, "totals"), scratch_path(spark, "totals-checkpoint"), []
+
+    def per_batch(batch, batch_id):
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            batch.limit(3).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            raise RuntimeError("the batch is made to fail")
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    def start():
+        totals = sf_.totals_with_expiry(stream)
+        st.run_until_idle(st.stream_sink(totals, checkpoint, output_mode="update", foreach_batch=per_batch, trigger={"availableNow": True}))
+
+    with sf_.with_rocksdb(spark):
+        try:
+            start()
+        except Exception:
+            if not failed:
+                raise
+            start()
+    updates = spark.read.parquet(out).where("user is not null")
+    last = updates.groupBy("user").agg(F.max(F.struct("batch_id", "purchases", "revenue")).alias("s"))
+    return rounded(last.select("user", "s.purchases", "s.revenue"))

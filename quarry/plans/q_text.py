@@ -260,3 +260,9 @@ def group_lists(spark, sf):
     distinct kept tokens (never a list per user or per key of unbounded size)."""
     lists = rel.group_lists(kept_stats(spark, sf), "doc_id", "tok", "values")
     return lists.select("doc_id", F.array_join("values", " ").alias("tokens"))
+
+
+@query("txt03_kept_tokens", W(_TOKENIZE_SQL + "SELECT tok, count(*) AS n FROM tk GROUP BY tok", "tokens"))
+def kept_tokens(spark, sf):
+    """TXT-3 on the token rows themselves (an anti join drops the rare ones)."""
+    return rel.count_by(tx.tokenize(tx.tokens_word(fx.docs(spark, sf))), "tok")

@@ -3,6 +3,9 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,3 +32,30 @@ def write_kafka(df: DataFrame, servers: str, topic: str, col: str = "value") ->
     (kafka_frame(df, col).write.format("kafka")
      .option("kafka.bootstrap.servers", servers).option("topic", topic)
      .option("kafka.acks", "all").save())
+
+
+def grey_png(pixels: bytes, width: int, height: int) -> bytes:
+    """An 8-bit grey image as a PNG file."""
+    def chunk(kind: bytes, body: bytes) -> bytes:
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    lines = b"".join(b"\0" + pixels[i * width:(i + 1) * width] for i in range(height))
+    head = struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+
+
+def write_images(df: DataFrame, path: str, name: str, pixels: str, width: int, height: int) -> int:
+    """Write each row's grey ``pixels`` (binary, row by row) as ``<name>.png`` under
+    ``path``, a folder all executors reach; returns the number of files. A task that
+    runs again writes the same files. Null pixels are left out."""
+    def write(batches):
+        import pandas as pd
+        from pyarrow import fs
+        target, root = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+        target.create_dir(root)
+        for pdf in batches:
+            for key, raw in zip(pdf["name"], pdf["pixels"]):
+                with target.open_output_stream(f"{root}/{key}.png") as f:
+                    f.write(grey_png(bytes(raw), width, height))
+            yield pd.DataFrame({"n": [len(pdf)]})
+    rows = df.where(F.col(pixels).isNotNull()).select(F.col(name).cast("string").alias("name"), F.col(pixels).alias("pixels"))
+    return rows.mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]

@@ -37,9 +37,12 @@ def stream_source(spark: SparkSession, fmt: str, path: str | None = None, schema
     for k, v in options.items():
         r = r.option(k, v)
     df = r.load(path) if path is not None else r.load()
-    if fmt == "kafka":
-        df = df.select(F.col("value").cast("string").alias("value"))
-    return df
+    return kafka_values(df) if fmt == "kafka" else df
+
+
+def kafka_values(df: DataFrame) -> DataFrame:
+    """The text of Kafka rows (their key, topic and offsets are left out)."""
+    return df.select(F.col("value").cast("string").alias("value"))
 
 
 def kafka_options(servers: str, topics: list[str]) -> dict:

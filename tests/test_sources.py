@@ -86,3 +86,27 @@ def test_sinks(spark, tmp_dir):
     assert spark.read.option("header", True).csv(csv).first()["value"] == "2.5"
     kf = sk.kafka_frame(df, "line")
     assert kf.columns == ["key", "value"] and kf.where(F.col("key").isNull()).count() == 2
+
+
+def test_images_written_and_read_again(spark, tmp_dir):
+    from quarry.operators.reduce import pixel_vectors
+    rows = [(i, bytes((i * 7 + j * 11) % 256 for j in range(12))) for i in range(20)] + [(99, None)]
+    df = spark.createDataFrame(rows, "id long, raw binary").repartition(3)
+    out = os.path.join(tmp_dir, "img")
+    assert sk.write_images(df, out, "id", "raw", 4, 3) == 20
+    back = pixel_vectors(rd.read_images(spark, out), 4, 3).collect()
+    got = {int(os.path.basename(r["origin"])[:-4]): r["pixels"] for r in back}
+    assert got == {i: [float(x) for x in raw] for i, raw in rows if raw is not None}
+
+
+def test_kafka_shapes(spark):
+    from quarry.streaming import streams as st
+    df = spark.createDataFrame([("a", 1), (None, 2)], "value string, n int")
+    assert [tuple(r) for r in sk.kafka_frame(df).collect()] == [(None, "a"), (None, None)]
+    wire = spark.createDataFrame([(bytearray(b"k"), bytearray("é,1".encode()), "topic")], "key binary, value binary, topic string")
+    assert [tuple(r) for r in st.kafka_values(wire).collect()] == [("é,1",)]
+
+
+def test_literal_rows(spark):
+    df = rd.from_rows(spark, [("a", 1), (None, None)], "w string, n int")
+    assert df.columns == ["w", "n"] and df.count() == 2 and rd.from_rows(spark, [], "w string").count() == 0
