@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import regroup_arrow, text_batches, written
+from quarry.llm.common import counted_broadcast, regroup_arrow, text_batches, written
 from quarry.llm.quotient_filter import QuotientFilter, U, ones
 from quarry.operators.ordered import global_index
 
@@ -129,7 +129,7 @@ def frequent_words(shards: DataFrame, least: int) -> tuple[DataFrame, DataFrame]
     each = shards.select(F.explode(F.arrays_zip("langs", "words", "counts")).alias("w")) \
                  .select(F.col("w.langs").alias("lang"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     words = written(each.groupBy("lang", "word").agg(F.sum("n").alias("f")), "phrase-words")
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
+    totals = written(words.groupBy("lang").agg(F.sum("f").alias("n")), "phrase-totals")
     known = global_index(words.where(F.col("f") >= least), ["lang", "word"], "id")
     return written(known.select((F.col("id") + 1).alias("id"), "lang", "word", "f"), "phrase-vocabulary"), totals
 
@@ -326,11 +326,13 @@ def mine_collocations(df: DataFrame, lang: str = "lang", text: str = "text", lea
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
     last = left.select("lang", "score", "a", F.row_number().over(best).alias("p")).where(F.col("p") <= top) \
                .groupBy("lang").agg(F.min(F.struct("score", "a")).alias("last"))
+    # One row a language; sent to the phrases, which else would meet by language.
+    last = counted_broadcast(written(last, "phrase-last"), 64)
     rows = left.join(last, "lang").where(F.struct("score", "a") >= F.col("last")).drop("last")
     for i in (2, 3, 4):
         rows = rows.join(vocabulary.select(F.col("id").alias(f"w{i}"), F.col("word").alias(f"v{i}")), f"w{i}", "left")
     rows = rows.select("lang", F.concat_ws(" ", "v1", "v2", "v3", "v4").alias("phrase"), "a", "l", "r", "score") \
-               .join(totals, "lang")
+               .join(counted_broadcast(totals, 64), "lang")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     return rows.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top) \
                .select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
