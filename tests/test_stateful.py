@@ -57,6 +57,23 @@ def test_windows_by_adding_and_taking_off_equal_counting(seed):
     assert got == sorted(want.items()) and all(n > 0 for _, n in got) and not panes
 
 
+def test_windows_of_many_panes_take_one_pass():
+    """A trigger may close windows over days of panes; none is looked at per window."""
+    class Counted(dict):
+        looked = 0
+
+        def __iter__(self):
+            for p in super().__iter__():
+                Counted.looked += 1
+                yield p
+
+    n = 3000
+    panes = Counted({20 * i: 1 for i in range(n)})
+    closed, end, running = S.advance(panes, -(1 << 40) // 2 * 2, 0, 1 << 40, 10, 2)
+    assert len(closed) == 5 * n and all(x == 1 for _, x in closed) and running == 0 and not panes
+    assert end == 20 * (n - 1) + 12 and Counted.looked <= 4 * n
+
+
 def test_pane_windows_equal_the_batch_windows(spark, tmp_dir):
     r = np.random.default_rng(3)
     files = [[(1, str(r.choice(["a", "b", "hot"], p=[0.1, 0.1, 0.8])), 1.0, at(int(i * 60 + x))) for x in r.integers(0, 75, 40)] for i in range(5)]
