@@ -53,6 +53,20 @@ def test_als_beats_mean_baseline(spark):
     assert recs.groupBy("user").count().where("count > 5").count() == 0
 
 
+def test_als_deletes_the_files_of_earlier_iterations(spark):
+    """While a fit runs, files of a few iterations lie on disk, not those of all."""
+    def shuffles():
+        return spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    r = spark.createDataFrame([(u, i, float((3 * u + i) % 5 + 1)) for u in range(30) for i in range(20)], "user int, item int, rating double")
+    left = []
+    for iterations in (3, 9):
+        before = shuffles()
+        model = rc.fit_als(r, rank=2, max_iter=iterations)
+        left.append(shuffles() - before)
+        assert model.userFactors.count() == 30
+    assert left[1] <= left[0] + 4      # two shuffles an iteration
+
+
 def test_similar_items_skips_self(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, [0.0, 1.0]), (4, [1.0, 0.05])],
                               "id int, features array<double>")
