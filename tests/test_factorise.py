@@ -180,3 +180,14 @@ def test_low_rank_wide_and_empty(spark):
     withnull = vectors(spark, x).unionByName(spark.createDataFrame([(999, None)], VEC))
     assert np.allclose(S.leading_subspace(withnull, "v", 2, False).values, s[:2])
     assert S.project_rows(withnull, "v", m, ["id"]).where("id = 999").first()["projected"] is None
+
+
+def test_residuals_of_hot_users_in_chunks(spark):
+    r = np.random.default_rng(5)
+    rows = [(int(u), int(i), float(r.uniform(1, 5))) for u, n in ((1, 300), (2, 7), (3, 40)) for i in r.integers(0, 60, n)]
+    df = spark.createDataFrame(rows, "user long, item long, rating double")
+    items = spark.createDataFrame([(i, r.normal(size=3).tolist()) for i in range(60)], "id long, features array<double>")
+    users = spark.createDataFrame([(u, r.normal(size=3).tolist()) for u in (1, 2, 3)], "id long, features array<double>")
+    whole, cut = ({x["id"]: (x["n"], x["residual"]) for x in N.residuals(df, users, items, 0.3, chunk=c).collect()} for c in (4096, 16))
+    assert {u: n for u, (n, _) in whole.items()} == {1: 300, 2: 7, 3: 40}
+    assert all(cut[u][0] == n and abs(cut[u][1] - x) < 1e-9 for u, (n, x) in whole.items())
