@@ -150,3 +150,16 @@ def test_hash_unit_no_overflow(spark):
     vals = [r[0] for r in df.select(hash_unit("k", 42)).collect()]
     assert all(0.0 <= v < 1.0 for v in vals)
     assert vals[1] == ((7 * 2654435761 + 42) % 1000003) / 1000003.0
+
+
+def test_kept_words_and_arrays_need_no_row_per_document(spark):
+    from quarry.operators import text as tx
+    docs = spark.createDataFrame([(1, "en", "Cat sat the a1 cat x"), (2, "en", "sat dog-fox dog"), (2, "en", "fox the"), (None, "en", "owl cat"), (3, "en", None)],
+                                 "doc_id long, topic string, text string")
+    tokens = tx.tokens_word(docs)
+    words = tx.kept_words(tokens)
+    assert {r["tok"]: r["n"] for r in words.collect()} == {"cat": 3, "sat": 2, "dog": 2, "fox": 2}
+    assert {r["tok"] for r in tx.term_stats(tokens).select("tok").distinct().collect()} == {"cat", "sat", "dog", "fox"}
+    assert tx.kept_words(tokens)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    plain, clean = ({r["doc_id"]: r["tokens"] for r in tx.doc_token_arrays(docs, words, clean=c).collect()} for c in (False, True))
+    assert plain == clean and clean[1] == ["cat", "sat", "cat"] and clean[None] == ["cat"] and sorted(clean[2]) == ["dog", "dog", "fox", "fox", "sat"]
