@@ -67,6 +67,19 @@ def test_als_deletes_the_files_of_earlier_iterations(spark):
     assert left[1] <= left[0] + 4      # two shuffles an iteration
 
 
+def test_als_keeps_the_files_of_one_iteration(spark):
+    """The files of an iteration are gone when the next one has its factors: of a fit of
+    four, those of the ratings' blocks and of the last user factors are left."""
+    def shuffles():
+        ids = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().keys().toSeq().mkString(",")
+        return {int(x) for x in ids.split(",") if x}
+    r = spark.createDataFrame([(u, i, float((3 * u + i) % 5 + 1)) for u in range(30) for i in range(20)], "user int, item int, rating double")
+    before = shuffles()
+    model = rc.fit_als(r, rank=2, max_iter=4)
+    assert len(shuffles() - before) < 5
+    assert model.userFactors.count() == 30
+
+
 def test_similar_items_skips_self(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, [0.0, 1.0]), (4, [1.0, 0.05])],
                               "id int, features array<double>")
