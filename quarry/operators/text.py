@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import relational as rel
 from quarry.operators import shape as sh
-from quarry.session import cut_lineage
+from quarry.session import by_key, cut_lineage
 
 NO_DIGITS = "[^0-9]*"
 HASH_DIM = 1 << 18
@@ -92,6 +92,23 @@ def term_stats(tokens: DataFrame, stopwords: list[str] = sh.STOPWORDS, rare_belo
             .select(doc, tok, "tf", "df"))
 
 
+def kept_frequencies(tokens: DataFrame, stopwords: list[str] = sh.STOPWORDS, rare_below: int = 2, min_len: int = 2,
+                     doc: str = "doc_id", tok: str = "tok") -> DataFrame:
+    """(doc, tok, tf) of the tokens ``tokenize`` keeps, for tokens that lie by document
+    (``session.by_key``): no row per (doc, tok) is sent.
+
+    A rare word occurs in fewer than ``rare_below`` rows, so the documents it is in
+    are as few; (doc, rare word) pairs are sent to the documents and meet the counts
+    in the one aggregate that makes them."""
+    words = clean_tokens(tokens, stopwords, min_len, tok)
+    rare = words.groupBy(tok).agg(F.count("*").alias("_n"), F.min(doc).alias(doc)).where(F.col("_n") < rare_below)
+    if rare_below > 2:      # a rare word can be in more than one document
+        rare = words.join(rare.select(tok), tok)
+    both = words.select(doc, tok, F.lit(1).cast("long").alias("_c"), F.lit(False).alias("_r")).unionAll(
+        by_key(rare, doc).select(doc, tok, F.lit(0).cast("long").alias("_c"), F.lit(True).alias("_r")))
+    return both.groupBy(doc, tok).agg(F.sum("_c").alias("tf"), F.max("_r").alias("_r")).where(~F.col("_r")).select(doc, tok, "tf")
+
+
 def kept_words(tokens: DataFrame, stopwords: list[str] = sh.STOPWORDS, rare_below: int = 2, min_len: int = 2,
                tok: str = "tok") -> DataFrame:
     """(tok, n): the words ``tokenize`` keeps and how often each occurs. Counts are

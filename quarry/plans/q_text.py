@@ -12,7 +12,7 @@ from quarry.operators.evaluate import weighted_f1
 from quarry.plans import fixtures as fx
 from quarry.plans.q_core import _STOP_SQL
 from quarry.plans.registry import cached_model, query, rounded
-from quarry.session import cut_lineage
+from quarry.session import by_key, cut_lineage
 from quarry.sources.readers import from_rows
 
 W = fx.with_fixtures
@@ -43,6 +43,11 @@ def kept_stats(spark, sf):
     return tx.term_stats(fx.tokens(spark, sf))
 
 
+def kept_counts(spark, sf):
+    """(doc_id, tok, tf) of the same."""
+    return tx.kept_frequencies(tx.tokens_word(by_key(fx.docs(spark, sf), "doc_id")))
+
+
 def exact_tfidf(spark, sf):
     n = fx.docs(spark, sf).count()  # corpus size: one scalar
     return tx.tfidf_exact(fx.tokens(spark, sf), n), n
@@ -64,7 +69,7 @@ def tokens_word(spark, sf):
 @query("txt03_tokenize", W(_TOKENIZE_SQL + """
 SELECT doc_id, tok, count(*) AS tf FROM tk GROUP BY doc_id, tok""", "tokens"))
 def tokenize(spark, sf):
-    return kept_stats(spark, sf).select("doc_id", "tok", "tf")
+    return kept_counts(spark, sf)
 
 
 @query("txt04_token_report", W(f"""
@@ -258,7 +263,7 @@ SELECT doc_id, string_agg(DISTINCT tok, ' ' ORDER BY tok) AS tokens FROM tk GROU
 def group_lists(spark, sf):
     """AGG-6 on a group bounded by construction: each document's sorted
     distinct kept tokens (never a list per user or per key of unbounded size)."""
-    lists = rel.group_lists(kept_stats(spark, sf), "doc_id", "tok", "values")
+    lists = rel.group_lists(kept_counts(spark, sf), "doc_id", "tok", "values")
     return lists.select("doc_id", F.array_join("values", " ").alias("tokens"))
 
 

@@ -176,3 +176,22 @@ def test_kept_words_and_arrays_need_no_row_per_document(spark):
     assert tx.kept_words(tokens)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     plain, clean = ({r["doc_id"]: r["tokens"] for r in tx.doc_token_arrays(docs, words, clean=c).collect()} for c in (False, True))
     assert plain == clean and clean[1] == ["cat", "sat", "cat"] and clean[None] == ["cat"] and sorted(clean[2]) == ["dog", "dog", "fox", "fox", "sat"]
+
+
+def test_kept_frequencies_send_no_row_per_document_and_word(spark):
+    """The rows of the full tokenizer, also for documents without an id, with one that
+    repeats, and for higher limits of rareness; words are counted where their document lies."""
+    import re
+
+    from quarry.operators import text as tx
+    from quarry.session import by_key
+    d = spark.createDataFrame([(1, "Red blue once the 4you"), (1, "blue red"), (2, "green blue twice"), (None, "twice nulls sky"),
+                               (None, "sky alone"), (3, ""), (4, None), (5, "green green only")], "doc_id long, text string")
+    rows = lambda x: sorted(map(str, x.select("doc_id", "tok", "tf").collect()))
+    tokens = tx.tokens_word(d).where("tok <> 'once'").unionAll(spark.createDataFrame([(9, "solo")], "doc_id long, tok string"))
+    for below in (1, 2, 3, 4):
+        assert rows(tx.kept_frequencies(tokens, rare_below=below)) == rows(tx.term_stats(tokens, rare_below=below))
+    kept = tx.kept_frequencies(tx.tokens_word(by_key(d, "doc_id")))
+    assert rows(kept) == rows(tx.term_stats(tx.tokens_word(d))) != []
+    sent = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", kept._jdf.queryExecution().executedPlan().toString())
+    assert sent and not any("doc_id" in x and "tok" in x for x in sent)
