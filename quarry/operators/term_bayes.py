@@ -12,10 +12,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import log
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import cut_lineage
+from quarry.session import by_key, cut_lineage
 
 
 @dataclass
@@ -36,11 +36,17 @@ def fit(rows: DataFrame, docs: DataFrame, smoothing: float = 1.0, key: str = "do
     likelihood = (sum of x of class and term + s) / (sum of x of class + s V),
     prior = (documents of class + s) / (documents + s C). Only the C class totals
     reach the driver. Null labels, terms and weights are left out."""
+    known = rows.where(F.col(term).isNotNull() & F.col(x).isNotNull()).select(key, F.col(term).alias("term"), F.col(x).cast("double").alias("x"))
+    labels = docs.where(F.col(label).isNotNull()).select(key, F.col(label).alias("label"))
+    return fit_sums(known.join(labels, key).groupBy("term", "label").agg(F.sum("x").alias("x")), docs, smoothing, label)
+
+
+def fit_sums(sums: DataFrame, docs: DataFrame, smoothing: float = 1.0, label: str = "label") -> TermBayes:
+    """The same from ``sums(term, label, x)``, the weights summed by term and class."""
     if smoothing <= 0:
         raise ValueError("smoothing must be positive")
-    docs = docs.where(F.col(label).isNotNull()).select(key, F.col(label).alias("label"))
-    known = rows.where(F.col(term).isNotNull() & F.col(x).isNotNull()).select(key, F.col(term).alias("term"), F.col(x).cast("double").alias("x"))
-    per = cut_lineage(known.join(docs, key).groupBy("term", "label").agg(F.sum("x").alias("x")))
+    docs = docs.where(F.col(label).isNotNull()).select(F.col(label).alias("label"))
+    per = cut_lineage(sums)
     vocabulary = per.select("term").distinct()
     v = vocabulary.count()
     sums = {r["label"]: r["x"] for r in per.groupBy("label").agg(F.sum("x").alias("x")).collect()}
@@ -52,6 +58,20 @@ def fit(rows: DataFrame, docs: DataFrame, smoothing: float = 1.0, key: str = "do
     return TermBayes(weights, vocabulary, classes, smoothing)
 
 
+def class_counts(rows: DataFrame, docs: DataFrame, key: str = "doc_id", label: str = "label", term: str = "term", x: str = "x") -> DataFrame:
+    """``(term, label, x, n, df)`` of ``rows(key, term, x)``, one per key and term: ``x`` is
+    the sum that ``fit`` takes; ``n`` and ``df`` sum the weights and count the rows of the
+    keys that come with this label first, so over all labels each row counts once. Rows
+    that lie by key (``session.by_key``) are combined where they are; only one row per
+    term and class is sent."""
+    each = by_key(docs, key).groupBy(key, F.col(label).alias("label")).agg(F.count("*").alias("_m"))
+    first = F.row_number().over(Window.partitionBy(key).orderBy(F.col("label").asc_nulls_last()))   # a document's labels
+    each = each.withColumn("_f", (first == 1).cast("long"))
+    met = rows.select(key, F.col(term).alias("term"), F.col(x).alias("x")).join(each.hint("shuffle_hash"), key)
+    return met.groupBy("term", "label").agg(F.sum(F.col("x") * F.col("_m")).alias("x"), F.sum(F.col("x") * F.col("_f")).alias("n"),
+                                            F.sum("_f").alias("df"))
+
+
 def log_scores(model: TermBayes, rows: DataFrame, docs: DataFrame, key: str = "doc_id", term: str = "term", x: str = "x") -> DataFrame:
     """``(key, label, log_score)`` of every document and class. Terms the fit has not
     seen are left out; a document without a known term gets the priors. A fit
@@ -62,7 +82,7 @@ def log_scores(model: TermBayes, rows: DataFrame, docs: DataFrame, key: str = "d
     # One join finds a term's weights in all classes that have it; the unseen
     # classes' part needs just the document's sum of known weights.
     per_term = model.weights.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("label", "w"))).alias("ws"))
-    met = known.join(per_term, "term")
+    met = known.join(per_term.hint("shuffle_hash"), "term")
     gained = [F.sum(F.col("x") * F.coalesce(F.try_element_at("ws", F.lit(c)), F.lit(0.0))).alias(f"g{i}")
               for i, (c, _, _) in enumerate(model.classes)]
     sums = met.groupBy(key).agg(F.sum("x").alias("t"), *gained)

@@ -26,7 +26,7 @@ from quarry.plans.q_core import USER, _STOP_SQL
 from quarry.plans.q_models import ALS, DEPTHS, HOLDOUT_PENALTIES, ITERATIONS, NUMS, PENALTIES, SMOOTHINGS, STEPS, _TEST_U, _als
 from quarry.plans.q_text import _TOKENIZE_SQL, _word2vec, token_arrays
 from quarry.plans.registry import cached_model, query, rounded
-from quarry.session import cut_lineage
+from quarry.session import by_key, cut_lineage
 
 W = fx.with_fixtures
 
@@ -306,20 +306,22 @@ def _topics(spark, sf, variant):
     train, test = rel.split_by_hash(fx.docs(spark, sf), "doc_id", 0.6, 123)
 
     def counts(d):
+        d = by_key(d, "doc_id")
         if variant == "raw":
             toks = d.select("doc_id", F.explode(F.split("text", " ", -1)).alias("term"))
         else:
             toks = tx.clean_tokens(tx.tokens_word(d)).withColumnRenamed("tok", "term")
         return toks.groupBy("doc_id", "term").agg(F.count("*").cast("double").alias("x"))
 
-    tr, te = counts(train), counts(test)
+    te = counts(test)
+    sums = cut_lineage(tb.class_counts(counts(train), train, label="topic").where("term is not null"))
     if variant != "raw":
-        tr = cut_lineage(tr)
         n = train.count()
-        idf = tr.groupBy("term").agg(F.sum("x").alias("c"), F.log(F.lit(n + 1.0) / (F.count("*") + 1.0)).alias("w")) \
-                .where("c >= 2").select("term", "w")
-        tr, te = [d.join(idf, "term").select("doc_id", "term", (F.col("x") * F.col("w")).alias("x")) for d in (tr, te)]
-    model = tb.fit(tr, train.withColumnRenamed("topic", "label"), 0.1)
+        idf = sums.groupBy("term").agg(F.sum("n").alias("c"), F.log(F.lit(n + 1.0) / (F.sum("df") + 1.0)).alias("w")) \
+                  .where("c >= 2").select("term", "w")
+        sums = sums.join(idf, "term").withColumn("x", F.col("x") * F.col("w"))
+        te = te.join(idf.hint("shuffle_hash"), "term").select("doc_id", "term", (F.col("x") * F.col("w")).alias("x"))
+    model = tb.fit_sums(sums.where("label is not null").select("term", "label", "x"), train, 0.1, "topic")
     return model, te, test
 
 

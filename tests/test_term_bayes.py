@@ -1,10 +1,12 @@
 import math
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import term_bayes as B
+from quarry.session import by_key
 
 TRAIN = [(1, "x", "a a b"), (2, "x", "a c"), (3, "y", "c c d"), (4, "y", "d"), (5, "z", ""), (6, None, "a b"), (7, "x", "a a a")]
 TEST = [(10, "a b"), (11, "c d new"), (12, ""), (13, "new words"), (14, "a a c d b")]
@@ -67,3 +69,27 @@ def test_empty_tables_and_wrong_smoothing(spark):
     assert B.log_scores(model, none, spark.createDataFrame([(1,)], "doc_id long")).count() == 0
     with pytest.raises(ValueError):
         B.fit(none, train, 0.0)
+
+
+def test_class_counts_are_what_the_fit_sums(spark):
+    """Summed by class where the rows lie, also for keys that repeat, with other labels or none."""
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "a"), (3, None), (3, "b"), (4, None)], "doc_id long, label string")
+    rows = spark.createDataFrame([(1, "x", 2.0), (1, "y", 1.0), (2, "x", 1.0), (3, "x", 4.0), (4, "z", 5.0), (5, "x", 9.0)], "doc_id long, term string, x double")
+    sums = B.class_counts(rows, docs)
+    known = {(r["term"], r["label"]): r["x"] for r in sums.collect()}
+    assert known == {("x", "a"): 3.0, ("y", "a"): 1.0, ("x", "b"): 8.0, ("y", "b"): 2.0, ("x", None): 4.0, ("z", None): 5.0}
+    per = {r["term"]: (r["n"], r["df"]) for r in sums.groupBy("term").agg(F.sum("n").alias("n"), F.sum("df").alias("df")).collect()}
+    assert per == {"x": (7.0, 3), "y": (1.0, 1), "z": (5.0, 1)}
+    one, two = B.fit(rows, docs, 0.5), B.fit_sums(sums.where("label is not null").select("term", "label", "x"), docs, 0.5)
+    assert one.classes == two.classes
+    assert sorted(map(tuple, one.weights.collect())) == sorted(map(tuple, two.weights.collect()))
+
+
+def test_topic_rows_are_not_sent_by_document_and_term(spark):
+    """Words are counted where their document lies: the fit sends texts and one row per
+    term and class, no row per document and term."""
+    d = spark.createDataFrame([(i, "ab"[i % 2], f"w{i % 7} w{i % 3} common") for i in range(40)], "doc_id long, label string, text string")
+    rows = by_key(d, "doc_id").select("doc_id", F.explode(F.split("text", " ")).alias("term")).groupBy("doc_id", "term").agg(F.count("*").cast("double").alias("x"))
+    plan = B.class_counts(rows, d)._jdf.queryExecution().executedPlan().toString()
+    sent = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert len(sent) == 3 and not any("doc_id" in x and "term" in x for x in sent)
