@@ -156,6 +156,37 @@ def test_inner_products_odd_input(spark):
     assert I.top_inner(df, df.limit(0), 5).count() == 0 and I.top_inner(df.limit(0), df, 5).count() == 0
 
 
+def test_blocks_of_equal_length_are_skipped(spark):
+    # all of length 1: no norm excludes a block, only where it lies does
+    rng = np.random.default_rng(9)
+    v = np.repeat(rng.standard_normal((40, 16)), 100, axis=0) + 0.05 * rng.standard_normal((4000, 16))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    q = v[::80]
+    heaps, skipped = I.search(np.arange(50), q, np.arange(4000), v, 10, block=100)
+    assert skipped > 0.8 * 50 * 40
+    assert (heaps.item == np.lexsort((np.broadcast_to(np.arange(4000), (50, 4000)), -I._scores(q, v)), axis=1)[:, :10]).all()
+
+
+@pytest.mark.parametrize("skip_self", [False, True])
+def test_inner_products_with_copies_and_broken_vectors(spark, skip_self):
+    rng = np.random.default_rng(10)
+    v = np.repeat(rng.standard_normal((12, 4)), 30, axis=0) + 0.1 * rng.standard_normal((360, 4))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    v[100:220] = v[100]            # more copies than a stripe holds
+    v[300:310] = 0
+    ids = [i // 2 if i < 20 else i for i in range(360)]       # the first ids stand twice
+    rows = [(i, r.tolist()) for i, r in zip(ids, v)]
+    broken = [(900, [float("nan"), 0.0, 0.0, 0.0]), (901, [float("inf"), 0.0, 0.0, 0.0]), (902, [None, 1.0, 1.0, 1.0]), (903, None)]
+    df = spark.createDataFrame(rows + broken, "id long, features array<double>")
+    got = sorted(tuple(r) for r in I.top_inner(df, df, 4, skip_self=skip_self, block=8, first=16, stripe=2, tile=30).collect())
+    scores = I._scores(v, v)
+    want = []
+    for a, i in enumerate(ids):
+        best = sorted((-float(scores[a, b]), ids[b]) for b in range(360) if not (skip_self and ids[b] == i))[:4]
+        want += [(i, p + 1, b, -s) for p, (s, b) in enumerate(best)]
+    assert got == sorted(want)
+
+
 @pytest.mark.parametrize("d,k,centred", [(40, 5, True), (40, 40, True), (12, 3, False), (6, 10, True)])
 def test_values_equal_a_dense_solver(spark, d, k, centred):
     rng = np.random.default_rng(d)
