@@ -50,14 +50,15 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    # words are counted before the join: where labels are too many to broadcast, no text is shuffled
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", F.size(F.split("text", " ")).alias("n_words"))
     lab = read_table(spark, sf_dir, "labels")
     return (lab.join(docs, "doc_id")
             .select("doc_id",
                     F.col("quality").cast("double").alias("label"),
                     "lang", "source",
                     F.col("n_chars").cast("double").alias("n_chars"),
-                    F.size(F.split("text", " ")).cast("double").alias("n_words"),
+                    F.col("n_words").cast("double").alias("n_words"),
                     F.col("toxic").cast("double").alias("toxic")))
 
 

@@ -24,7 +24,7 @@ from quarry.operators.ordered import global_index
 from quarry.plans import fixtures as fx
 from quarry.plans.q_core import _BASELINE_SQL, CENTROIDS_SQL, USER, baseline_predictions, label_centroids
 from quarry.plans.registry import cached_model, query, rounded
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, few_partitions
 
 W = fx.with_fixtures
 ITEM = 7          # the item whose neighbours are listed
@@ -307,7 +307,7 @@ _TEST_U = "(((doc_id % 1000003) * 427799 + 123) % 1000003) / 1000003.0"
 
 
 def _split(spark, sf):
-    train, test = rel.split_by_hash(cut_lineage(fx.labelled(spark, sf)), "doc_id", 0.6, 123)
+    train, test = rel.split_by_hash(few_partitions(cut_lineage(fx.labelled(spark, sf))), "doc_id", 0.6, 123)
     return train, test
 
 

@@ -26,7 +26,7 @@ from quarry.plans.q_core import USER, _STOP_SQL
 from quarry.plans.q_models import ALS, DEPTHS, HOLDOUT_PENALTIES, ITERATIONS, NUMS, PENALTIES, SMOOTHINGS, STEPS, _TEST_U, _als
 from quarry.plans.q_text import _TOKENIZE_SQL, _word2vec, token_arrays
 from quarry.plans.registry import cached_model, query, rounded
-from quarry.session import by_key, cut_lineage
+from quarry.session import by_key, cut_lineage, few_partitions
 
 W = fx.with_fixtures
 
@@ -47,7 +47,7 @@ FROM curve GROUP BY g"""
 
 
 def _split(spark, sf):
-    return rel.split_by_hash(cut_lineage(fx.labelled(spark, sf)), "doc_id", 0.6, 123)
+    return rel.split_by_hash(few_partitions(cut_lineage(fx.labelled(spark, sf))), "doc_id", 0.6, 123)
 
 
 # --- gradient descent (CLS-2, CLS-7, TUN-2, TUN-3) ------------------------------------------

@@ -195,3 +195,15 @@ def test_kept_frequencies_send_no_row_per_document_and_word(spark):
     assert rows(kept) == rows(tx.term_stats(tx.tokens_word(d))) != []
     sent = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", kept._jdf.queryExecution().executedPlan().toString())
     assert sent and not any("doc_id" in x and "tok" in x for x in sent)
+
+
+def test_short_jobs_of_a_fit_meet_few_partitions(spark, tmp_dir):
+    from quarry.plans import q_models, q_solvers
+    docs = spark.range(600).selectExpr("id AS doc_id", "repeat('a b ', cast(id % 5 AS int)) AS text", "'en' AS lang", "'web' AS source", "id AS n_chars")
+    docs.repartition(30).write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.range(0, 600, 2).selectExpr("id AS doc_id", "cast(id % 4 / 2 AS int) AS quality", "0 AS toxic").write.parquet(f"{tmp_dir}/labels.parquet")
+    for module in (q_models, q_solvers):
+        train, test = module._split(spark, tmp_dir)
+        assert train.rdd.getNumPartitions() == test.rdd.getNumPartitions() == 1
+        rows = {r["doc_id"]: r["n_words"] for r in train.unionByName(test).collect()}
+        assert rows == {i: 2.0 * (i % 5) + 1 for i in range(0, 600, 2)}
