@@ -104,6 +104,47 @@ def test_solves_equal_least_squares(spark, chunk):
     assert min(r["residual"] for r in N.residuals(df, wrong, items, 0.3).collect()) > 1e-3
 
 
+def test_equations_are_summed_in_stripes(spark, monkeypatch):
+    """Stripes of users hold fewer factors on disk, leave no shuffle file and change no number."""
+    from quarry import session
+    rows, df = ratings(spark)
+    more = spark.createDataFrame([(None, 1, 2.0), (3, None, 2.0), (3, 77, 2.0), (77, 2, 1.0)], df.schema)
+    q = np.random.default_rng(1).standard_normal((20, 4)).astype(np.float32)
+    items = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(q)], "id long, features array<float>")
+    users = spark.createDataFrame([(u, [1.0, float(u), 0.5, 0.0]) for u in range(30)], "id long, features array<double>")
+    seen, stored = [], session.stored
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return disk.getAllBlocks().mkString(",").count("shuffle_")
+
+    def watched(part, name):
+        before = files()
+        out = stored(part, name)
+        seen.append((name, files() - before))
+        return out
+    monkeypatch.setattr(session, "stored", watched)
+    got = []
+    monkeypatch.setattr(session, "STRIPES", 3)
+    monkeypatch.setattr(N, "BUCKET", 20)
+    for most, chunk in ((1 << 30, 4096), (4000, 3)):
+        monkeypatch.setattr(session, "STRIPE_BYTES", most)
+        solved = {r["id"]: r["features"] for r in N.solve_factors(df.unionAll(more), items, 0.3, chunk=chunk).collect()}
+        off = {r["id"]: (r["n"], r["residual"]) for r in N.residuals(df.unionAll(more), users, items, 0.3, chunk=chunk).collect()}
+        p = N.by_users(df.unionAll(more), users, items, lambda x: x.groupBy("user").count()).collect()
+        got.append((solved, off, sorted(map(tuple, p))))
+    assert {name: len([1 for x in seen if x[0] == name]) for name, _ in seen} == {"sums": 4, "residuals": 4, "predictions": 4}
+    assert all(left <= 0 for _, left in seen)
+    for solved, off, p in got:
+        assert p == [(u, sum(a == u for a, _, _ in rows)) for u in range(30)] and set(off) == set(range(30)) and set(solved) == set(range(30)) | {77}
+        for u in range(30):
+            own = [(i, r) for a, i, r in rows if a == u]
+            a, b, x = q[[i for i, _ in own]].astype(float), np.array([r for _, r in own]), np.array([1.0, u, 0.5, 0.0])
+            want = np.linalg.norm(a.T @ (a @ x - b) + 0.3 * len(own) * x) / np.linalg.norm(a.T @ b)
+            assert off[u][0] == len(own) and np.isclose(off[u][1], want, rtol=1e-9)
+            assert np.allclose(solved[u], np.linalg.solve(a.T @ a + 0.3 * len(own) * np.eye(4), a.T @ b), atol=1e-9)
+
+
 def test_alternating_lowers_the_error_and_new_users_fold_in(spark):
     rows, df = ratings(spark)
     err = []
