@@ -80,6 +80,20 @@ def test_als_keeps_the_files_of_one_iteration(spark):
     assert model.userFactors.count() == 30
 
 
+def test_als_blocks_bound_what_a_task_receives(spark, monkeypatch):
+    """Ten blocks as long as the factors that one receives fit; more for more ratings."""
+    assert rc.als_blocks(600_000, 15_000, 20_000, 50) == rc.als_blocks(36_000_000, 900_000, 1_200_000, 50) == rc.als_blocks(0, 0, 0, 50) == 10
+    many = rc.als_blocks(216_000_000, 5_400_000, 7_200_000, 50)
+    for m in (5_400_000, 7_200_000):
+        assert m * -math.expm1(-216_000_000 / many / m) * 240 <= rc.BLOCK_BYTES < m * 240
+    seen, fit = [], rc.fit_als
+    monkeypatch.setattr(rc, "fit_als", lambda *a, **p: seen.append(p["blocks"]) or fit(*a, **p))
+    monkeypatch.setattr(rc, "BLOCK_BYTES", 600)
+    r = spark.createDataFrame([(u, i, float((3 * u + i) % 5 + 1)) for u in range(30) for i in range(20)], "user long, item long, rating double")
+    m = rc.Recommender(r, rank=2, max_iter=2, reg=0.1)
+    assert seen[0] > 10 and m.predict(r).count() == 600
+
+
 def test_similar_items_skips_self(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, [0.0, 1.0]), (4, [1.0, 0.05])],
                               "id int, features array<double>")
