@@ -145,6 +145,22 @@ def test_equations_are_summed_in_stripes(spark, monkeypatch):
             assert np.allclose(solved[u], np.linalg.solve(a.T @ a + 0.3 * len(own) * np.eye(4), a.T @ b), atol=1e-9)
 
 
+def test_tiles_after_each_other_give_the_same_lists(spark, monkeypatch):
+    """The stripes of some tiles are compared after those of the others, in stored parts."""
+    from quarry import session
+    x = np.random.default_rng(7).standard_normal((300, 6))
+    df, seen, stored = vectors(spark, x), [], session.stored
+    monkeypatch.setattr(session, "stored", lambda part, name: seen.append(name) or stored(part, name))
+    run = lambda: sorted(map(tuple, I.top_inner(df, df, 5, "id", "v", block=16, first=16, stripe=2, tile=40).collect()))
+    want = run()
+    assert not seen
+    monkeypatch.setattr(session, "STRIPE_BYTES", 20_000)
+    monkeypatch.setattr(session, "STRIPES", 3)
+    assert run() == want and seen == ["compared"] * 3
+    best = [[int(j) for j in np.argsort(-(x @ v))[:5]] for v in x]
+    assert [r[2] for r in want] == [j for own in best for j in own]
+
+
 def test_alternating_lowers_the_error_and_new_users_fold_in(spark):
     rows, df = ratings(spark)
     err = []

@@ -94,6 +94,19 @@ def test_als_blocks_bound_what_a_task_receives(spark, monkeypatch):
     assert seen[0] > 10 and m.predict(r).count() == 600
 
 
+def test_all_pairs_are_the_librarys(spark, monkeypatch):
+    """Every user's list has the library's scores, without the library's pair by pair search."""
+    rng = np.random.default_rng(5)
+    r = spark.createDataFrame([(u, i, float(rng.integers(1, 6))) for u in range(40) for i in range(25) if rng.random() < 0.6], "user long, item long, rating double")
+    m = rc.Recommender(r, rank=3, max_iter=3, reg=0.1)
+    lib = {x["user_idx"]: [y["rating"] for y in x["recommendations"]] for x in m.model.recommendForAllUsers(4).collect()}
+    monkeypatch.setattr(type(m.model), "recommendForAllUsers", None)
+    got = rc.recommend_all(m.model, 4, "item_idx").collect()
+    assert {x["user_idx"] for x in got} == set(lib) and len(got) == 160
+    for x in got:
+        assert math.isclose(x["score"], lib[x["user_idx"]][x["pos"] - 1], rel_tol=1e-5, abs_tol=1e-6)
+
+
 def test_similar_items_skips_self(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, [0.0, 1.0]), (4, [1.0, 0.05])],
                               "id int, features array<double>")
