@@ -234,3 +234,18 @@ def test_short_jobs_of_a_fit_meet_few_partitions(spark, tmp_dir):
         assert train.rdd.getNumPartitions() == test.rdd.getNumPartitions() == 1
         rows = {r["doc_id"]: r["n_words"] for r in train.unionByName(test).collect()}
         assert rows == {i: 2.0 * (i % 5) + 1 for i in range(0, 600, 2)}
+
+
+def test_words_of_a_fit_are_made_once(spark, monkeypatch):
+    """Fits read their documents' words several times; they read what was made once."""
+    from quarry.operators import text as tx
+    from quarry.plans import q_text
+    made, make = [], tx.doc_token_arrays
+    monkeypatch.setattr(tx, "doc_token_arrays", lambda *a, **p: made.append(1) or make(*a, **p))
+    a, b = q_text.stored_arrays(spark, SF_SMALL), q_text.stored_arrays(spark, SF_SMALL)
+    assert len(made) <= 1 and "Exchange" not in a._jdf.queryExecution().executedPlan().toString()
+    rows = lambda d: sorted((r["doc_id"], r["tokens"]) for r in d.collect())
+    assert rows(a) == rows(b) == rows(q_text.token_arrays(spark, SF_SMALL)) != []
+    kept, seen = q_text.stored, []
+    monkeypatch.setattr(q_text, "stored", lambda d, name: seen.append(name) or kept(d, name))
+    assert q_text.topic_classifier(spark, SF_SMALL).count() == 2 and seen == ["train-words"]
