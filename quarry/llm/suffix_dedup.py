@@ -176,7 +176,7 @@ def _digest_parts(digests: np.ndarray, parts: int) -> np.ndarray:
 def _cuts(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct sorted keys and where their runs begin and end."""
     key, first = np.unique(sorted_keys, return_index=True)
-    return key, first, np.append(first[1:], len(sorted_keys))
+    return key, first, np.append(first[1:], len(sorted_keys))[:len(key)]      # no keys, no runs
 
 
 def _found_rows(block: int, band: int, wide: int, parts: int, code, local, weight, digests, ids, rows) -> list[dict]:
